@@ -115,6 +115,25 @@ FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate D
 WHERE rn = 1""",
     "versions": """
 SELECT o_custkey AS cust_key, o_orderkey AS order_key, o_orderpriority AS priority, o_orderdate AS effective_from
+FROM orders""",
+    "clients_src": """
+SELECT CAST(c_custkey AS VARCHAR) AS client_id, c_name AS last_name, c_mktsegment AS first_name,
+       'N' || CAST(c_nationkey AS VARCHAR) AS patronymic,
+       DATE '1950-01-01' + CAST(c_custkey * 37 % 18000 AS INTEGER) AS date_of_birth,
+       CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'Q' ELSE 'P' END || CAST(c_custkey AS VARCHAR) AS passport_num,
+       CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN DATE '2024-01-01' + CAST(c_custkey * 3 % 60 AS INTEGER)
+            WHEN c_custkey % 11 = 0 THEN NULL
+            ELSE DATE '2024-01-01' + CAST(c_custkey * 7 % 90 AS INTEGER) END AS passport_valid_to,
+       CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN '+' || CAST(c_custkey AS VARCHAR) ELSE CAST(c_custkey AS VARCHAR) END AS phone,
+       TIMESTAMP '2023-01-01 00:00:00' + to_days(CAST(c_custkey % 365 AS INTEGER)) AS create_dt,
+       CASE WHEN c_mktsegment = 'AUTOMOBILE'
+            THEN TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(c_custkey % 28 AS INTEGER)) + to_hours(CAST(c_custkey % 24 AS BIGINT))
+            END AS update_dt
+FROM customer""",
+    "orders_src": """
+SELECT o_orderkey AS order_key, o_custkey AS cust_key, o_orderpriority AS priority, o_orderstatus AS status,
+       o_orderdate AS create_dt,
+       CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 30 DAY END AS update_dt
 FROM orders""",
 }
 

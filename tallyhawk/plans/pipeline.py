@@ -1,0 +1,234 @@
+"""Warehouse layout, writers and the daily run.
+
+Layout under one base folder (a shared file system on a cluster)::
+
+    hist/<dimension>/segment=open/...          open versions (rewritten per run)
+    hist/<dimension>/segment=closed-<run>/...  versions closed by that run
+    fact/transactions/file_date=.../           append-only
+    fact/passport_blacklist/file_date=.../     append-only
+    report/fraud/report_dt=.../event_type=.../ dynamic partition overwrite
+    meta/load_watermark/, meta/date_points/    small append/overwrite tables
+
+A merge reads only ``segment=open`` (partition pruning), so closed history is
+never read or rewritten again.  Writes use dynamic partition overwrite, so a
+rerun of the same run id replaces exactly what it wrote before (idempotent);
+lineage is cut with a reliable ``checkpoint()`` into ``spark.checkpoint.dir``
+before a table that was read is overwritten.
+"""
+
+from __future__ import annotations
+
+import os
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyhawk.functions import columns as X
+from tallyhawk.functions import constants as C
+from tallyhawk.operators import facts as L
+from tallyhawk.operators import rules as R
+from tallyhawk.operators import scd2 as S
+from tallyhawk.operators import state as ST
+from tallyhawk.session import checkpoint_dir
+
+SEGMENT = "segment"
+OPEN_SEGMENT = "open"
+
+
+# ------------------------------------------------------------------ staging
+
+
+def stage_clients(src: DataFrame) -> DataFrame:
+    """Client rows as merged: a passport without an end date is valid until
+    technical infinity (applied before the change comparison, so a re-read
+    row is not seen as changed); fixed-width phone numbers are trimmed."""
+    return src.withColumn("passport_valid_to", F.coalesce(F.col("passport_valid_to"), X.inf_date())).withColumn(
+        "phone", F.rtrim(F.col("phone"))
+    )
+
+
+def stage_source(df: DataFrame, table: str) -> DataFrame:
+    """Source columns renamed to warehouse names; clients also staged."""
+    from tallyhawk.sources.jdbc import source_columns
+
+    out = source_columns(df, table)
+    return stage_clients(out) if table == "clients" else out
+
+
+TRACKED = {t: [w for _, w in cols[1:]] for t, cols in C.SOURCE_COLUMNS.items()}
+KEYS = {t: cols[0][1] for t, cols in C.SOURCE_COLUMNS.items()}
+
+
+# ------------------------------------------------------------------ tables
+
+
+@dataclass
+class Warehouse:
+    spark: SparkSession
+    base: str
+    checkpoint_fallback: str | None = None
+    _cp: str | None = field(default=None, init=False)
+
+    def path(self, *parts: str) -> str:
+        return os.path.join(self.base, *parts)
+
+    def exists(self, *parts: str) -> bool:
+        p = self.path(*parts)
+        jvm = self.spark.sparkContext._jvm
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return fs.exists(hp)
+
+    def read(self, *parts: str) -> DataFrame | None:
+        return self.spark.read.parquet(self.path(*parts)) if self.exists(*parts) else None
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        """Materialise ``df`` reliably (survives executor loss) and drop lineage."""
+        if self._cp is None:
+            self._cp = checkpoint_dir(self.spark, self.checkpoint_fallback)
+        return df.checkpoint(eager=True)
+
+    # -- history
+    def open_versions(self, dim: str) -> DataFrame | None:
+        h = self.read("hist", dim)
+        return None if h is None else h.filter(F.col(SEGMENT) == OPEN_SEGMENT).drop(SEGMENT)
+
+    def history(self, dim: str) -> DataFrame | None:
+        h = self.read("hist", dim)
+        return None if h is None else h.drop(SEGMENT)
+
+    def write_history(self, dim: str, merged: DataFrame, run_id: str, grain: str) -> None:
+        """Open rows replace the open segment; rows closed now form the run's
+        closed segment.  Both in one job, dynamic partition overwrite."""
+        seg = F.when(X.is_open(C.TO_COL, grain), F.lit(OPEN_SEGMENT)).otherwise(F.lit(f"closed-{run_id}"))
+        out = self.cut(merged.withColumn(SEGMENT, seg))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(SEGMENT).parquet(self.path("hist", dim)))
+
+    # -- facts and report
+    def append_fact(self, name: str, rows: DataFrame) -> None:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(C.FILE_DATE_COL).parquet(self.path("fact", name)))
+
+    def write_report(self, report: DataFrame) -> None:
+        """Dynamic overwrite of (report_dt, event_type): a rerun replaces, never duplicates."""
+        (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("report_dt", "event_type").parquet(self.path("report", "fraud")))
+
+    def append_state(self, name: str, rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(self.path("meta", name))
+
+
+# ------------------------------------------------------------------ runs
+
+
+def merge_source_table(wh: Warehouse, table: str, changed: DataFrame, live_keys: DataFrame, run_ts: str, run_id: str) -> None:
+    """M-1 for one source table into its history, then the watermark (M-4)."""
+    key, tracked = KEYS[table], TRACKED[table]
+    staged = stage_source(changed, table)
+    open_rows = wh.open_versions(table)
+    if open_rows is None:
+        merged = S.scd2_initial(staged, key, tracked, run_ts)
+    else:
+        merged = S.scd2_merge_incremental(open_rows, staged, live_keys.select(F.col(live_keys.columns[0]).alias(key)), key, tracked, run_ts)
+    wh.write_history(table, merged, run_id, grain="ms")
+    meta = wh.read("meta", "load_watermark")
+    if meta is None:
+        meta = wh.spark.createDataFrame([], "schema_name string, table_name string, max_update_dt timestamp_ntz")
+    new_meta = wh.cut(ST.advance_watermark(meta, {table: changed}))
+    new_meta.write.mode("overwrite").parquet(wh.path("meta", "load_watermark"))
+
+
+def merge_terminals(wh: Warehouse, snapshot: DataFrame, day: str) -> None:
+    """M-2: a full terminal snapshot of ``day`` into the DATE-grain history."""
+    tracked = ["terminal_type", "terminal_city", "terminal_address"]
+    open_rows = wh.open_versions("terminals")
+    extras = {C.FILE_DATE_COL: X.date_lit(day)}
+    if open_rows is None:
+        open_rows = S.empty_history(wh.spark, {"terminal_id": "string"}, {c: "string" for c in tracked}, "day", {C.FILE_DATE_COL: "date"})
+    merged = S.scd2_merge_snapshot(open_rows, snapshot, "terminal_id", tracked, day, grain="day", extras=extras)
+    wh.write_history("terminals", merged, day.replace("-", ""), grain="day")
+
+
+def load_transactions_file(wh: Warehouse, delta: DataFrame, day: str) -> None:
+    """L-1 + K-1: append the new rows of a daily transaction file."""
+    existing = wh.read("fact", "transactions")
+    if existing is None:
+        rows = L.dedupe_batch(delta.select(*L.TX_COLUMNS)).withColumn(C.FILE_DATE_COL, X.date_lit(day))
+    else:
+        rows = L.load_transactions(existing.filter(F.col(C.FILE_DATE_COL) != X.date_lit(day)), delta, day)
+    wh.append_fact("transactions", wh.cut(rows))
+
+
+def load_blacklist_file(wh: Warehouse, mtd: DataFrame, day: str, run_ts: str) -> None:
+    """L-2 + K-2: append passports first listed on ``day``."""
+    existing = wh.read("fact", "passport_blacklist")
+    if existing is None:
+        existing = wh.spark.createDataFrame([], "passport_num string")
+    else:
+        existing = existing.filter(F.col(C.FILE_DATE_COL) != X.date_lit(day))
+    wh.append_fact("passport_blacklist", wh.cut(L.load_blacklist(existing, mtd, day, run_ts)))
+
+
+def dimensions(wh: Warehouse) -> R.Dimensions:
+    return R.Dimensions(cards=wh.history("cards"), accounts=wh.history("accounts"), clients=wh.history("clients"))
+
+
+def run_rules(wh: Warehouse, day: str, rules) -> None:
+    """Evaluate the given rules for one report day and overwrite their partitions."""
+    tx = wh.read("fact", "transactions")
+    bl = wh.read("fact", "passport_blacklist")
+    if bl is None:
+        bl = wh.spark.createDataFrame([], "entry_dt date, passport_num string")
+    terminals = wh.history("terminals")
+    rules = [r for r in rules if r != 3 or terminals is not None]
+    if not rules or tx is None:
+        return
+    report = R.fraud_report(tx, dimensions(wh), terminals, bl, report_days=(day, day), rules=tuple(rules))
+    wh.write_report(report)
+
+
+def run_date(wh: Warehouse, day: str, run_ts: str, files: dict[str, DataFrame]) -> DataFrame:
+    """O-4: load what arrived for ``day`` and run the rules that became possible.
+
+    ``files`` maps 'transactions' / 'passport_blacklist' / 'terminals' to the
+    DataFrame read from that day's file.  Returns the new load-state row.
+    """
+    spark = wh.spark
+    points = wh.read("meta", "date_points")
+    day_col = X.date_lit(day)
+    if points is None:
+        state = spark.createDataFrame([], "date_point date").select(F.col("date_point"), *[F.lit(0).alias(f) for f in ST.ALL_FLAGS])
+    else:
+        state = ST.latest_state(points.filter(F.col("date_point") == day_col)).drop("event_type_all_rep")
+    cur = state.first()
+    flags = {f: (cur[f] if cur is not None else 0) for f in ST.ALL_FLAGS}
+    run_id = run_ts.replace("-", "").replace(":", "").replace(" ", "T")
+    if "terminals" in files and not flags["terminals_flg"]:
+        merge_terminals(wh, files["terminals"], day)
+        flags["terminals_flg"] = 1
+    if "transactions" in files and not flags["transactions_flg"]:
+        load_transactions_file(wh, files["transactions"], day)
+        flags["transactions_flg"] = 1
+    if "passport_blacklist" in files and not flags["passport_blacklist_flg"]:
+        load_blacklist_file(wh, files["passport_blacklist"], day, run_ts)
+        flags["passport_blacklist_flg"] = 1
+    todo = []
+    if flags["transactions_flg"]:
+        if flags["passport_blacklist_flg"] and not flags["event_type_1_rep"]:
+            todo.append(1)
+        if not flags["event_type_2_rep"]:
+            todo.append(2)
+        if flags["terminals_flg"] and not flags["event_type_3_rep"]:
+            todo.append(3)
+        if not flags["event_type_4_rep"]:
+            todo.append(4)
+    run_rules(wh, day, todo)
+    for r in todo:
+        flags[f"event_type_{r}_rep"] = 1
+    row = spark.createDataFrame([(day,)], "d string").select(F.col("d").cast("date").alias("date_point"))
+    row = ST.date_point_rows(row, flags)
+    wh.append_state("date_points", row)
+    del run_id
+    return row

@@ -241,3 +241,40 @@ def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("priority"),
         F.col("o_orderdate").alias(C.FROM_COL),
     )
+
+
+def clients_src(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current state (SCD1) of the client source with create/update times;
+    ``passport_valid_to`` is NULL for passports without an end date."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    changes = F.col("c_mktsegment") == F.lit("AUTOMOBILE")
+    return c.select(
+        k.cast("string").alias("client_id"),
+        F.col("c_name").alias("last_name"),
+        F.col("c_mktsegment").alias("first_name"),
+        F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("patronymic"),
+        _days_from("1950-01-01", k * 37 % 18000).alias("date_of_birth"),
+        F.concat(F.when(changes, F.lit("Q")).otherwise(F.lit("P")), k.cast("string")).alias("passport_num"),
+        F.when(changes, _days_from("2024-01-01", k * 3 % 60))
+        .when(k % 11 == 0, F.lit(None).cast("date"))
+        .otherwise(_days_from("2024-01-01", k * 7 % 90))
+        .alias("passport_valid_to"),
+        F.when(changes, F.concat(F.lit("+"), k.cast("string"))).otherwise(k.cast("string")).alias("phone"),
+        (X.ts_lit(DIM_START_TS) + F.make_dt_interval(days=(k % 365).cast("int"))).alias(C.CREATE_COL),
+        F.when(changes, _client_change_ts(k)).alias(C.UPDATE_COL),
+    )
+
+
+def orders_src(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a current-state source: finished orders were updated 30 days
+    after they were created."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_orderkey").alias("order_key"),
+        F.col("o_custkey").alias("cust_key"),
+        F.col("o_orderpriority").alias("priority"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_orderdate").alias(C.CREATE_COL),
+        F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate") + F.expr("INTERVAL '30' DAY")).alias(C.UPDATE_COL),
+    )
