@@ -34,27 +34,30 @@ def day_bounds(df: DataFrame, ts: str = "trans_date") -> tuple:
 def load_transactions(
     existing: DataFrame,
     delta: DataFrame,
-    file_date,
+    file_date=None,
     prune_existing: bool = True,
     existing_day_col: str | None = None,
+    carry=(),
 ) -> DataFrame:
     """Rows of a daily transaction file to append to the fact.
 
     * in-file duplicates of (trans_id, trans_date) collapse to one row;
     * a row already in the fact with the same id *and* time is skipped, a
       known id with a new time is a new row;
-    * new rows are tagged with ``file_date``.
+    * new rows are tagged with ``file_date`` (or keep the delta's own
+      ``carry`` columns, e.g. file_date/load_id of a streamed file).
 
     With ``prune_existing`` the fact is first restricted to the days the file
     covers (partition pruning when the fact is partitioned by
     ``existing_day_col``), so the anti join reads a few days, not the history.
     """
-    batch = dedupe_batch(delta.select(*TX_COLUMNS))
+    cols = TX_COLUMNS + [c for c in carry if c not in TX_COLUMNS]
+    batch = dedupe_batch(delta.select(*cols), TX_KEY, cols)
     old = existing.select(*TX_KEY, *([existing_day_col] if existing_day_col else []))
     if prune_existing:
         lo, hi = day_bounds(batch)
         if lo is None:
-            return batch.withColumn(C.FILE_DATE_COL, _date(file_date)).limit(0)
+            return batch if file_date is None else batch.withColumn(C.FILE_DATE_COL, _date(file_date))
         if existing_day_col:
             old = old.filter(F.col(existing_day_col).between(F.lit(lo), F.lit(hi)))
         else:
@@ -63,7 +66,7 @@ def load_transactions(
                 & (F.col("trans_date") < F.date_add(F.lit(hi), 1).cast("timestamp_ntz"))
             )
     new = batch.join(old.select(*TX_KEY), TX_KEY, "left_anti")
-    return new.withColumn(C.FILE_DATE_COL, _date(file_date))
+    return new if file_date is None else new.withColumn(C.FILE_DATE_COL, _date(file_date))
 
 
 def slice_accumulating(df: DataFrame, date_col: str, day, since=None) -> DataFrame:

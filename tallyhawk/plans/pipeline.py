@@ -1,19 +1,28 @@
-"""Warehouse layout, writers and the daily run.
+"""Warehouse layout, idempotent writers and the daily run.
 
 Layout under one base folder (a shared file system on a cluster)::
 
-    hist/<dimension>/segment=open/...          open versions (rewritten per run)
-    hist/<dimension>/segment=closed-<run>/...  versions closed by that run
-    fact/transactions/file_date=.../           append-only
-    fact/passport_blacklist/file_date=.../     append-only
-    report/fraud/report_dt=.../event_type=.../ dynamic partition overwrite
-    meta/load_watermark/, meta/date_points/    small append/overwrite tables
-
-A merge reads only ``segment=open`` (partition pruning), so closed history is
-never read or rewritten again.  Writes use dynamic partition overwrite, so a
-rerun of the same run id replaces exactly what it wrote before (idempotent);
-lineage is cut with a reliable ``checkpoint()`` into ``spark.checkpoint.dir``
-before a table that was read is overwritten.
+    hist/<dimension>/segment=open/                  open versions (rewritten per run)
+    hist/<dimension>/segment=closed-<run>/          versions closed by that run
+    fact/transactions/file_date=D/load_id=<file>/   one partition per loaded file
+    fact/passport_blacklist/file_date=D/load_id=<file>/
+    report/fraud/report_dt=D/event_type=N/          recomputed per (day, rule)
+    meta/load_watermark/                            one row per source table
+    meta/date_points/                               appended load-state rows
+
+Every write is a dynamic partition overwrite of partitions owned by the
+current unit of work, so a rerun after a failure (a replayed stream batch,
+a restarted daily job) rewrites exactly what it wrote before:
+
+* facts: the partition of the file being loaded (the anti join against the
+  fact skips that file's own partition, so a replay sees the same input);
+* history: the open segment and the segment closed by this run; merges read
+  only ``segment=open`` (partition pruning), closed history is never read or
+  rewritten again;
+* report: the (report_dt, event_type) partitions recomputed from the facts.
+
+Lineage is cut with a reliable ``checkpoint()`` into ``spark.checkpoint.dir``
+(a shared folder on a cluster) before a table that was read is overwritten.
 """
 
 from __future__ import annotations
@@ -34,6 +43,8 @@ from tallyhawk.session import checkpoint_dir
 
 SEGMENT = "segment"
 OPEN_SEGMENT = "open"
+LOAD_ID = "load_id"
+TERMINAL_TRACKED = ["terminal_type", "terminal_city", "terminal_address"]
 
 
 # ------------------------------------------------------------------ staging
@@ -48,11 +59,18 @@ def stage_clients(src: DataFrame) -> DataFrame:
     )
 
 
+def rtrim_strings(df: DataFrame) -> DataFrame:
+    """Right-trim every string column (blank-padded CHAR(n) source fields)."""
+    return df.select(*[F.rtrim(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "string" else F.col(f.name)
+                       for f in df.schema.fields])
+
+
 def stage_source(df: DataFrame, table: str) -> DataFrame:
-    """Source columns renamed to warehouse names; clients also staged."""
+    """Source columns renamed to warehouse names, CHAR padding removed;
+    clients also get the passport sentinel."""
     from tallyhawk.sources.jdbc import source_columns
 
-    out = source_columns(df, table)
+    out = rtrim_strings(source_columns(df, table))
     return stage_clients(out) if table == "clients" else out
 
 
@@ -74,11 +92,9 @@ class Warehouse:
         return os.path.join(self.base, *parts)
 
     def exists(self, *parts: str) -> bool:
-        p = self.path(*parts)
-        jvm = self.spark.sparkContext._jvm
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hp.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(hp)
+        sc = self.spark.sparkContext
+        hp = sc._jvm.org.apache.hadoop.fs.Path(self.path(*parts))
+        return hp.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hp)
 
     def read(self, *parts: str) -> DataFrame | None:
         return self.spark.read.parquet(self.path(*parts)) if self.exists(*parts) else None
@@ -87,8 +103,14 @@ class Warehouse:
         """Materialise ``df`` reliably (survives executor loss) and drop lineage."""
         if self._cp is None:
             self._cp = checkpoint_dir(self.spark, self.checkpoint_fallback)
+            if self._cp is None:
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         return df.checkpoint(eager=True)
 
+    def _overwrite(self, df: DataFrame, parts: list[str], *path: str) -> None:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(*parts).parquet(self.path(*path)))
+
     # -- history
     def open_versions(self, dim: str) -> DataFrame | None:
         h = self.read("hist", dim)
@@ -99,40 +121,45 @@ class Warehouse:
         return None if h is None else h.drop(SEGMENT)
 
     def write_history(self, dim: str, merged: DataFrame, run_id: str, grain: str) -> None:
-        """Open rows replace the open segment; rows closed now form the run's
-        closed segment.  Both in one job, dynamic partition overwrite."""
         seg = F.when(X.is_open(C.TO_COL, grain), F.lit(OPEN_SEGMENT)).otherwise(F.lit(f"closed-{run_id}"))
-        out = self.cut(merged.withColumn(SEGMENT, seg))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(SEGMENT).parquet(self.path("hist", dim)))
+        self._overwrite(self.cut(merged.withColumn(SEGMENT, seg)), [SEGMENT], "hist", dim)
 
-    # -- facts and report
-    def append_fact(self, name: str, rows: DataFrame) -> None:
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(C.FILE_DATE_COL).parquet(self.path("fact", name)))
+    # -- facts, report, state
+    def write_fact(self, name: str, rows: DataFrame) -> None:
+        self._overwrite(rows, [C.FILE_DATE_COL, LOAD_ID], "fact", name)
 
     def write_report(self, report: DataFrame) -> None:
-        """Dynamic overwrite of (report_dt, event_type): a rerun replaces, never duplicates."""
-        (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("report_dt", "event_type").parquet(self.path("report", "fraud")))
+        self._overwrite(report, ["report_dt", "event_type"], "report", "fraud")
 
     def append_state(self, name: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(self.path("meta", name))
 
+    def report(self) -> DataFrame | None:
+        return self.read("report", "fraud")
+
 
-# ------------------------------------------------------------------ runs
+def _run_id(run_ts: str) -> str:
+    return run_ts.replace("-", "").replace(":", "").replace(" ", "T")
 
 
-def merge_source_table(wh: Warehouse, table: str, changed: DataFrame, live_keys: DataFrame, run_ts: str, run_id: str) -> None:
-    """M-1 for one source table into its history, then the watermark (M-4)."""
+# ------------------------------------------------------------------ dimension loads
+
+
+def merge_source_table(wh: Warehouse, table: str, changed: DataFrame, live_keys: DataFrame, run_ts: str) -> None:
+    """M-1 for one source table into its history, then its watermark (M-4).
+
+    ``changed``/``live_keys`` are source-named frames (e.g. from
+    :func:`tallyhawk.sources.jdbc.read_changes` / ``read_keys``).
+    """
     key, tracked = KEYS[table], TRACKED[table]
     staged = stage_source(changed, table)
     open_rows = wh.open_versions(table)
     if open_rows is None:
         merged = S.scd2_initial(staged, key, tracked, run_ts)
     else:
-        merged = S.scd2_merge_incremental(open_rows, staged, live_keys.select(F.col(live_keys.columns[0]).alias(key)), key, tracked, run_ts)
-    wh.write_history(table, merged, run_id, grain="ms")
+        keys = live_keys.select(F.rtrim(F.col(live_keys.columns[0])).alias(key))
+        merged = S.scd2_merge_incremental(open_rows, staged, keys, key, tracked, run_ts)
+    wh.write_history(table, merged, _run_id(run_ts), grain="ms")
     meta = wh.read("meta", "load_watermark")
     if meta is None:
         meta = wh.spark.createDataFrame([], "schema_name string, table_name string, max_update_dt timestamp_ntz")
@@ -140,71 +167,131 @@ def merge_source_table(wh: Warehouse, table: str, changed: DataFrame, live_keys:
     new_meta.write.mode("overwrite").parquet(wh.path("meta", "load_watermark"))
 
 
+def source_watermark(wh: Warehouse, table: str):
+    meta = wh.read("meta", "load_watermark")
+    return None if meta is None else ST.watermark_lookup(meta, table)
+
+
 def merge_terminals(wh: Warehouse, snapshot: DataFrame, day: str) -> None:
     """M-2: a full terminal snapshot of ``day`` into the DATE-grain history."""
-    tracked = ["terminal_type", "terminal_city", "terminal_address"]
     open_rows = wh.open_versions("terminals")
-    extras = {C.FILE_DATE_COL: X.date_lit(day)}
     if open_rows is None:
-        open_rows = S.empty_history(wh.spark, {"terminal_id": "string"}, {c: "string" for c in tracked}, "day", {C.FILE_DATE_COL: "date"})
-    merged = S.scd2_merge_snapshot(open_rows, snapshot, "terminal_id", tracked, day, grain="day", extras=extras)
+        open_rows = S.empty_history(wh.spark, {"terminal_id": "string"}, {c: "string" for c in TERMINAL_TRACKED},
+                                    "day", {C.FILE_DATE_COL: "date"})
+    merged = S.scd2_merge_snapshot(open_rows, snapshot.select("terminal_id", *TERMINAL_TRACKED), "terminal_id",
+                                   TERMINAL_TRACKED, day, grain="day", extras={C.FILE_DATE_COL: X.date_lit(day)})
     wh.write_history("terminals", merged, day.replace("-", ""), grain="day")
 
 
-def load_transactions_file(wh: Warehouse, delta: DataFrame, day: str) -> None:
-    """L-1 + K-1: append the new rows of a daily transaction file."""
-    existing = wh.read("fact", "transactions")
-    if existing is None:
-        rows = L.dedupe_batch(delta.select(*L.TX_COLUMNS)).withColumn(C.FILE_DATE_COL, X.date_lit(day))
-    else:
-        rows = L.load_transactions(existing.filter(F.col(C.FILE_DATE_COL) != X.date_lit(day)), delta, day)
-    wh.append_fact("transactions", wh.cut(rows))
+# ------------------------------------------------------------------ fact loads
+
+
+def _tx_fact(wh: Warehouse) -> DataFrame:
+    f = wh.read("fact", "transactions")
+    if f is None:
+        return wh.spark.createDataFrame([], "trans_id string, trans_date timestamp_ntz, load_id string")
+    return f
 
 
-def load_blacklist_file(wh: Warehouse, mtd: DataFrame, day: str, run_ts: str) -> None:
+def load_transactions_rows(wh: Warehouse, delta: DataFrame, load_ids: list[str]) -> DataFrame:
+    """New fact rows of ``delta`` (which carries file_date and load_id)."""
+    existing = _tx_fact(wh).filter(~F.col(LOAD_ID).isin(load_ids))
+    return L.load_transactions(existing, delta, None, carry=[C.FILE_DATE_COL, LOAD_ID])
+
+
+def load_transactions_file(wh: Warehouse, delta: DataFrame, day: str, load_id: str | None = None) -> None:
+    """L-1 + K-1: append the new rows of one daily transaction file."""
+    load_id = load_id or f"transactions_{day}"
+    d = delta.withColumn(C.FILE_DATE_COL, X.date_lit(day)).withColumn(LOAD_ID, F.lit(load_id))
+    wh.write_fact("transactions", wh.cut(load_transactions_rows(wh, d, [load_id])))
+
+
+def load_blacklist_file(wh: Warehouse, mtd: DataFrame, day: str, run_ts: str, load_id: str | None = None) -> None:
     """L-2 + K-2: append passports first listed on ``day``."""
+    load_id = load_id or f"passport_blacklist_{day}"
     existing = wh.read("fact", "passport_blacklist")
     if existing is None:
-        existing = wh.spark.createDataFrame([], "passport_num string")
-    else:
-        existing = existing.filter(F.col(C.FILE_DATE_COL) != X.date_lit(day))
-    wh.append_fact("passport_blacklist", wh.cut(L.load_blacklist(existing, mtd, day, run_ts)))
+        existing = wh.spark.createDataFrame([], "passport_num string, load_id string")
+    existing = existing.filter(F.col(LOAD_ID) != load_id)
+    rows = L.load_blacklist(existing, mtd, day, run_ts).withColumn(LOAD_ID, F.lit(load_id))
+    wh.write_fact("passport_blacklist", wh.cut(rows))
+
+
+# ------------------------------------------------------------------ rules
+
+
+DIM_TYPES = {
+    "cards": ({"card_num": "string"}, {"account_num": "string"}),
+    "accounts": ({"account_num": "string"}, {"valid_to": "date", "client": "string"}),
+    "clients": (
+        {"client_id": "string"},
+        {"last_name": "string", "first_name": "string", "patronymic": "string", "date_of_birth": "date",
+         "passport_num": "string", "passport_valid_to": "date", "phone": "string"},
+    ),
+}
 
 
 def dimensions(wh: Warehouse) -> R.Dimensions:
-    return R.Dimensions(cards=wh.history("cards"), accounts=wh.history("accounts"), clients=wh.history("clients"))
+    """Current histories of cards/accounts/clients (empty before their first load)."""
+    def get(dim):
+        h = wh.history(dim)
+        return h if h is not None else S.empty_history(wh.spark, *DIM_TYPES[dim], grain="ms")
 
+    return R.Dimensions(cards=get("cards"), accounts=get("accounts"), clients=get("clients"))
 
-def run_rules(wh: Warehouse, day: str, rules) -> None:
-    """Evaluate the given rules for one report day and overwrite their partitions."""
+
+def run_rules(wh: Warehouse, days, rules) -> list[int]:
+    """Evaluate ``rules`` for report days ``(first, last)`` and overwrite their
+    report partitions.  Returns the rules actually run."""
     tx = wh.read("fact", "transactions")
+    if tx is None or not rules:
+        return []
     bl = wh.read("fact", "passport_blacklist")
     if bl is None:
         bl = wh.spark.createDataFrame([], "entry_dt date, passport_num string")
     terminals = wh.history("terminals")
-    rules = [r for r in rules if r != 3 or terminals is not None]
-    if not rules or tx is None:
-        return
-    report = R.fraud_report(tx, dimensions(wh), terminals, bl, report_days=(day, day), rules=tuple(rules))
+    rules = tuple(r for r in rules if r != 3 or terminals is not None)
+    if not rules:
+        return []
+    report = R.fraud_report(tx, dimensions(wh), terminals, bl, report_days=days, rules=rules)
     wh.write_report(report)
+    return list(rules)
+
+
+def day_state(wh: Warehouse, day: str) -> dict:
+    points = wh.read("meta", "date_points")
+    flags = {f: 0 for f in ST.ALL_FLAGS}
+    if points is not None:
+        row = ST.latest_state(points.filter(F.col("date_point") == X.date_lit(day))).first()
+        if row is not None:
+            flags.update({f: int(row[f]) for f in ST.ALL_FLAGS})
+    return flags
+
 
+def rules_ready(flags: dict) -> list[int]:
+    """O-3 for one date's flags."""
+    todo = []
+    if flags["transactions_flg"]:
+        if flags["passport_blacklist_flg"] and not flags["event_type_1_rep"]:
+            todo.append(1)
+        if not flags["event_type_2_rep"]:
+            todo.append(2)
+        if flags["terminals_flg"] and not flags["event_type_3_rep"]:
+            todo.append(3)
+        if not flags["event_type_4_rep"]:
+            todo.append(4)
+    return todo
 
-def run_date(wh: Warehouse, day: str, run_ts: str, files: dict[str, DataFrame]) -> DataFrame:
+
+def run_date(wh: Warehouse, day: str, run_ts: str, files: dict[str, DataFrame]) -> dict:
     """O-4: load what arrived for ``day`` and run the rules that became possible.
 
-    ``files`` maps 'transactions' / 'passport_blacklist' / 'terminals' to the
-    DataFrame read from that day's file.  Returns the new load-state row.
+    ``files`` maps 'terminals' / 'transactions' / 'passport_blacklist' to the
+    DataFrame read from that day's file.  Each step runs at most once per day
+    (load-state flags); a step that fails raises, its flag stays 0 and the
+    next run retries it.  Returns the new flags (also appended to the state).
     """
-    spark = wh.spark
-    points = wh.read("meta", "date_points")
-    day_col = X.date_lit(day)
-    if points is None:
-        state = spark.createDataFrame([], "date_point date").select(F.col("date_point"), *[F.lit(0).alias(f) for f in ST.ALL_FLAGS])
-    else:
-        state = ST.latest_state(points.filter(F.col("date_point") == day_col)).drop("event_type_all_rep")
-    cur = state.first()
-    flags = {f: (cur[f] if cur is not None else 0) for f in ST.ALL_FLAGS}
-    run_id = run_ts.replace("-", "").replace(":", "").replace(" ", "T")
+    flags = day_state(wh, day)
     if "terminals" in files and not flags["terminals_flg"]:
         merge_terminals(wh, files["terminals"], day)
         flags["terminals_flg"] = 1
@@ -214,21 +301,37 @@ def run_date(wh: Warehouse, day: str, run_ts: str, files: dict[str, DataFrame])
     if "passport_blacklist" in files and not flags["passport_blacklist_flg"]:
         load_blacklist_file(wh, files["passport_blacklist"], day, run_ts)
         flags["passport_blacklist_flg"] = 1
-    todo = []
-    if flags["transactions_flg"]:
-        if flags["passport_blacklist_flg"] and not flags["event_type_1_rep"]:
-            todo.append(1)
-        if not flags["event_type_2_rep"]:
-            todo.append(2)
-        if flags["terminals_flg"] and not flags["event_type_3_rep"]:
-            todo.append(3)
-        if not flags["event_type_4_rep"]:
-            todo.append(4)
-    run_rules(wh, day, todo)
-    for r in todo:
+    for r in run_rules(wh, (day, day), rules_ready(flags)):
         flags[f"event_type_{r}_rep"] = 1
-    row = spark.createDataFrame([(day,)], "d string").select(F.col("d").cast("date").alias("date_point"))
-    row = ST.date_point_rows(row, flags)
-    wh.append_state("date_points", row)
-    del run_id
-    return row
+    row = wh.spark.createDataFrame([(day,)], "d string").select(F.col("d").cast("date").alias("date_point"))
+    wh.append_state("date_points", ST.date_point_rows(row, flags))
+    return flags
+
+
+# ------------------------------------------------------------------ streamed files
+
+
+def transactions_batch_writer(wh: Warehouse, rules=(2, 4)):
+    """``foreachBatch`` function for :func:`tallyhawk.streaming.file_stream.transactions_stream`.
+
+    Loads every file of the micro-batch (each into its own fact partition),
+    then recomputes ``rules`` for the batch's file days and appends their
+    load state.  Replaying a batch rewrites the same partitions.
+    """
+    from tallyhawk.streaming.file_stream import FILE_NAME
+
+    def process(batch: DataFrame, epoch_id: int) -> None:
+        delta = batch.withColumnRenamed(FILE_NAME, LOAD_ID)
+        # the files of one micro-batch: bounded by maxFilesPerTrigger
+        load_ids = [r[0] for r in delta.select(LOAD_ID).distinct().collect()]
+        if not load_ids:
+            return
+        rows = wh.cut(load_transactions_rows(wh, delta, load_ids))
+        wh.write_fact("transactions", rows)
+        lo_hi = delta.agg(F.min(C.FILE_DATE_COL).alias("lo"), F.max(C.FILE_DATE_COL).alias("hi")).first()
+        done = run_rules(wh, (lo_hi["lo"], lo_hi["hi"]), rules)
+        flags = {"transactions_flg": 1, **{f"event_type_{r}_rep": 1 for r in done}}
+        days = delta.select(F.col(C.FILE_DATE_COL).alias("date_point")).distinct()
+        wh.append_state("date_points", ST.date_point_rows(days, flags))
+
+    return process

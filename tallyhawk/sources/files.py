@@ -37,8 +37,9 @@ BLACKLIST_SCHEMA = T.StructType(
 )
 
 
-def normalize_transactions(raw: DataFrame) -> DataFrame:
-    """Positional CSV columns -> warehouse transaction columns.
+def normalize_transactions(raw: DataFrame, keep=()) -> DataFrame:
+    """Positional CSV columns -> warehouse transaction columns (``keep``:
+    extra columns carried through unchanged).
 
     The decimal comma of ``amount`` is replaced before the cast (a direct
     cast of '5000,50' fails in ANSI mode); card numbers are right-trimmed
@@ -53,6 +54,7 @@ def normalize_transactions(raw: DataFrame) -> DataFrame:
         F.col(cols[4]).alias("oper_type"),
         F.col(cols[5]).alias("oper_result"),
         F.col(cols[6]).alias("terminal"),
+        *[F.col(c) for c in keep],
     )
 
 
