@@ -13,6 +13,12 @@ sequence -- and a lag predicate that only accepts predecessors at most
 Rows are copied at most ``1 + ceil(horizon / bucket)`` times; with the
 default ``bucket = max(1 day, horizon)`` at most twice, and for a one hour
 horizon only the last hour of each day is copied (about 4 %).
+
+Hot keys: when ``key`` and ``hot_rows`` are given, keys with more than
+``hot_rows`` rows get buckets of one horizon instead (each task then holds at
+most two horizons of one key; rows are copied at most twice).  The hot-key
+list is found with a partial aggregate and broadcast; its size is bounded by
+``rows / hot_rows``.
 """
 
 from __future__ import annotations
@@ -30,20 +36,42 @@ def default_bucket(horizon_seconds: int) -> int:
     return max(86400, int(horizon_seconds))
 
 
+DEFAULT_HOT_ROWS = 1_000_000
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows (at most ``count(df) / hot_rows``)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(
+        key, F.lit(True).alias("_hot")
+    )
+
+
 def with_horizon_buckets(
-    df: DataFrame, ts: str, horizon_seconds: int, bucket_seconds: int | None = None
+    df: DataFrame,
+    ts: str,
+    horizon_seconds: int,
+    bucket_seconds: int | None = None,
+    key: str | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add ``_bucket`` (exploded) and ``_home`` (row belongs to that bucket)."""
-    size = int(bucket_seconds or default_bucket(horizon_seconds))
     h = int(horizon_seconds)
-    home = F.floor(X.epoch_seconds(ts) / F.lit(size))
-    reach = F.floor(X.epoch_seconds(F.col(ts) + F.expr(f"INTERVAL '{h}' SECOND")) / F.lit(size))
-    return (
+    size = F.lit(int(bucket_seconds or default_bucket(h)))
+    if key is not None and hot_rows:
+        # size bound: every hot key has > hot_rows rows, so there are at most
+        # count(df) / hot_rows of them
+        df = df.join(F.broadcast(hot_keys(df, key, hot_rows)), key, "left")
+        size = F.when(F.col("_hot"), F.lit(max(h, 1))).otherwise(size)
+    df = df.withColumn("_size", size)
+    home = F.floor(X.epoch_seconds(ts) / F.col("_size"))
+    reach = F.floor(X.epoch_seconds(F.col(ts) + F.expr(f"INTERVAL '{h}' SECOND")) / F.col("_size"))
+    out = (
         df.withColumn("_home_bucket", home)
         .withColumn(BUCKET, F.explode(F.sequence(F.col("_home_bucket"), reach)))
         .withColumn(HOME, F.col(BUCKET) == F.col("_home_bucket"))
-        .drop("_home_bucket")
+        .drop("_home_bucket", "_size")
     )
+    return out.drop("_hot") if "_hot" in out.columns else out
 
 
 def bucket_window(key: str, ts: str, tiebreak: str) -> Window:

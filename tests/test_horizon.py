@@ -94,3 +94,36 @@ def test_day_range_prunes_the_scan(spark):
     tx = _tx(spark, _random_ops(4))
     plan = R.amount_probe_hits(tx, ("2023-11-15", "2023-11-15"), 1200)._jdf.queryExecution().optimizedPlan().toString()
     assert "trans_date" in plan and ">=" in plan
+
+
+def test_fused_report_equals_rule_by_rule(spark):
+    import datetime as dt
+
+    ops = _random_ops(5)
+    tx = _tx(spark, ops).cache()
+    terms = B.terminals(spark, TERMS)
+    cards = sorted({o[3] for o in ops})
+    dims = B.simple_dims(spark, [(c, "P" + c, "2023-11-15", "2023-11-16") for c in cards])
+    bl = B.blacklist(spark, [("PHOT", "2023-11-15")])
+    cols = ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
+
+    def rows(df):
+        return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+    for days in (None, (dt.date(2023, 11, 15), dt.date(2023, 11, 15))):
+        # hot_rows=50 forces the hot-card path for the busy card
+        fused = R.fraud_report(tx, dims, terms, bl, days, probe_window_seconds=86400, hot_rows=50)
+        single = R.fraud_report_by_rule(tx, dims, terms, bl, days, probe_window_seconds=86400)
+        got = rows(fused)
+        assert got == rows(single)
+        if days is None:
+            assert {r[4] for r in got} == {1, 2, 3, 4}
+
+
+def test_hot_card_path_matches_brute_force(spark):
+    tx = _tx(spark, _random_ops(6)).cache()
+    terms = B.terminals(spark, TERMS)
+    got = sorted(r["trans_id"] for r in R.city_hop_hits(tx, terms, None, 3600, hot_rows=50).collect())
+    assert got == _brute_city(tx, terms, 3600)
+    got = sorted(r["trans_id"] for r in R.amount_probe_hits(tx, None, 86400, 3, hot_rows=50).collect())
+    assert got == _brute_probe(tx, 86400)
