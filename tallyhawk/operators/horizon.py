@@ -53,14 +53,21 @@ def with_horizon_buckets(
     bucket_seconds: int | None = None,
     key: str | None = None,
     hot_rows: int | None = None,
+    hot_source: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``_bucket`` (exploded) and ``_home`` (row belongs to that bucket)."""
+    """Add ``_bucket`` (exploded) and ``_home`` (row belongs to that bucket).
+
+    ``hot_source`` (default ``df``) is where keys are counted; any superset
+    of the rows works (a key may use either bucket size, only consistently),
+    so the raw fact's key column can be counted without recomputing joins.
+    """
     h = int(horizon_seconds)
     size = F.lit(int(bucket_seconds or default_bucket(h)))
     if key is not None and hot_rows:
         # size bound: every hot key has > hot_rows rows, so there are at most
         # count(df) / hot_rows of them
-        df = df.join(F.broadcast(hot_keys(df, key, hot_rows)), key, "left")
+        src = hot_source if hot_source is not None else df
+        df = df.join(F.broadcast(hot_keys(src.select(key), key, hot_rows)), key, "left")
         size = F.when(F.col("_hot"), F.lit(max(h, 1))).otherwise(size)
     df = df.withColumn("_size", size)
     home = F.floor(X.epoch_seconds(ts) / F.col("_size"))

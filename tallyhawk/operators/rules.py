@@ -206,9 +206,9 @@ def city_hop_hits(
     """Operations whose previous operation of the same card (among those with
     a known terminal city) was at most ``window_seconds`` earlier in another
     city.  Returns trans_id, trans_date, card_num of the second operation."""
-    t = H.report_day_bounds(tx.select("trans_id", "trans_date", "card_num", "terminal"), "trans_date", report_days, window_seconds)
-    t = resolve_terminal_city(t, terminals)
-    t = H.with_horizon_buckets(t, "trans_date", window_seconds, bucket_seconds, "card_num", hot_rows)
+    raw = H.report_day_bounds(tx.select("trans_id", "trans_date", "card_num", "terminal"), "trans_date", report_days, window_seconds)
+    t = resolve_terminal_city(raw, terminals)
+    t = H.with_horizon_buckets(t, "trans_date", window_seconds, bucket_seconds, "card_num", hot_rows, raw)
     w = H.bucket_window("card_num", "trans_date", "trans_id")
     prev_ts = F.lag("trans_date").over(w)
     prev_city = F.lag("city").over(w)
@@ -357,6 +357,7 @@ def sequence_hits(
     t = H.report_day_bounds(
         tx.select("trans_id", "trans_date", "card_num", "terminal", "amt", "oper_result"), "trans_date", report_days, horizon
     )
+    raw = t
     if 3 in rules:
         term = live_versions(terminals).select(
             F.col("terminal_id").alias("_t_id"), F.col("terminal_city").alias("_t_city"),
@@ -368,7 +369,7 @@ def sequence_hits(
             & (F.col("_t_file_date") <= F.to_date("trans_date"))
         )
         t = t.join(term, cond, "left").select(*t.columns, F.col("_t_city").alias("city"))
-    t = H.with_horizon_buckets(t, "trans_date", horizon, bucket_seconds, "card_num", hot_rows)
+    t = H.with_horizon_buckets(t, "trans_date", horizon, bucket_seconds, "card_num", hot_rows, raw)
     w = H.bucket_window("card_num", "trans_date", "trans_id")
     flags = []
     if 3 in rules:

@@ -22,7 +22,7 @@ generic tables onto the warehouse model:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhawk.functions import columns as X
@@ -61,6 +61,13 @@ def _client_change_ts(k) -> F.Column:
     )
 
 
+def _versions(df: DataFrame, *versions) -> DataFrame:
+    """Emit up to one row per version struct (NULL structs are skipped) from a
+    single scan of ``df``."""
+    arr = F.filter(F.array(*versions), lambda v: v.isNotNull())
+    return df.select(F.explode(arr).alias("_v")).select("_v.*")
+
+
 def clients_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
@@ -72,7 +79,7 @@ def clients_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("patronymic"),
         _days_from("1950-01-01", k * 37 % 18000).alias("date_of_birth"),
     ]
-    first = c.select(
+    first = F.struct(
         *common,
         F.concat(F.lit("P"), k.cast("string")).alias("passport_num"),
         F.when(k % 11 == 0, X.inf_date()).otherwise(_days_from("2024-01-01", k * 7 % 90)).alias("passport_valid_to"),
@@ -81,7 +88,7 @@ def clients_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(changes, X.shift(_client_change_ts(k), "ms", -1)).otherwise(X.inf_ts()).alias(C.TO_COL),
         F.lit(C.LIVE).alias(C.FLAG_COL),
     )
-    second = c.filter(changes).select(
+    second = F.when(changes, F.struct(
         *common,
         F.concat(F.lit("Q"), k.cast("string")).alias("passport_num"),
         _days_from("2024-01-01", k * 3 % 60).alias("passport_valid_to"),
@@ -89,8 +96,8 @@ def clients_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
         _client_change_ts(k).alias(C.FROM_COL),
         X.inf_ts().alias(C.TO_COL),
         F.lit(C.LIVE).alias(C.FLAG_COL),
-    )
-    return first.unionByName(second)
+    ))
+    return _versions(c, first, second)
 
 
 def _account_close_ts(k) -> F.Column:
@@ -106,19 +113,19 @@ def accounts_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
         _days_from("2024-01-01", k % 60).alias("valid_to"),
         k.cast("string").alias("client"),
     ]
-    first = c.select(
+    first = F.struct(
         *common,
         X.ts_lit(DIM_START_TS).alias(C.FROM_COL),
         F.when(closes, X.shift(_account_close_ts(k), "ms", -1)).otherwise(X.inf_ts()).alias(C.TO_COL),
         F.lit(C.LIVE).alias(C.FLAG_COL),
     )
-    marker = c.filter(closes).select(
+    marker = F.when(closes, F.struct(
         *common,
         _account_close_ts(k).alias(C.FROM_COL),
         X.inf_ts().alias(C.TO_COL),
         F.lit(C.DELETED).alias(C.FLAG_COL),
-    )
-    return first.unionByName(marker)
+    ))
+    return _versions(c, first, marker)
 
 
 def cards_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +180,7 @@ def terminals_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = ids.join(n1, (F.col("_tk") % 25) == F.col("_n1key")).join(n2, ((F.col("_tk") + 1) % 25) == F.col("_n2key"))
     moves = F.col("_n1region") == 0
     address = F.concat(F.lit("street "), F.col("terminal_id")).alias("terminal_address")
-    first = t.select(
+    first = F.struct(
         *_terminal_attrs(),
         F.col("_n1name").alias("terminal_city"),
         address,
@@ -182,7 +189,7 @@ def terminals_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(C.LIVE).alias(C.FLAG_COL),
         X.date_lit(DIM_START_DATE).alias(C.FILE_DATE_COL),
     )
-    second = t.filter(moves).select(
+    second = F.when(moves, F.struct(
         *_terminal_attrs(),
         F.col("_n2name").alias("terminal_city"),
         address,
@@ -190,8 +197,8 @@ def terminals_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
         X.inf_date().alias(C.TO_COL),
         F.lit(C.LIVE).alias(C.FLAG_COL),
         X.date_lit(TERMINAL_MOVE_DATE).alias(C.FILE_DATE_COL),
-    )
-    return first.unionByName(second)
+    ))
+    return _versions(t, first, second)
 
 
 def terminal_snapshot(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
@@ -222,13 +229,16 @@ def status(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
     lo, hi = STATUS_YEARS[which]
     o = table(spark, sf_dir, "orders")
     o = o.filter((F.col("o_orderdate") >= X.ts_lit(f"{lo} 00:00:00")) & (F.col("o_orderdate") < X.ts_lit(f"{hi} 00:00:00")))
-    w = Window.partitionBy("o_custkey").orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc())
-    latest = o.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+    # latest order per customer as an aggregate (map-side partial max), not a
+    # per-customer window: a customer with a huge share of orders stays cheap
+    latest = o.groupBy("o_custkey").agg(
+        F.max(F.struct("o_orderdate", "o_orderkey", "o_orderpriority", "o_orderstatus")).alias("_m")
+    )
     return latest.select(
         F.col("o_custkey").alias("cust_key"),
-        F.col("o_orderpriority").alias("priority"),
-        F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string")).otherwise(F.col("o_orderstatus")).alias("status"),
-        F.col("o_orderdate").alias("changed_at"),
+        F.col("_m.o_orderpriority").alias("priority"),
+        F.when(F.col("_m.o_orderstatus") == "P", F.lit(None).cast("string")).otherwise(F.col("_m.o_orderstatus")).alias("status"),
+        F.col("_m.o_orderdate").alias("changed_at"),
     )
 
 
