@@ -469,3 +469,13 @@ def fraud_report_by_rule(
 def report_summary(report: DataFrame) -> DataFrame:
     """Number of report rows per day and event type."""
     return report.groupBy("report_dt", "event_type").agg(F.count(F.lit(1)).alias("n_events"))
+
+
+def event_types(spark, effective_from: str = "2023-01-01 00:00:00") -> DataFrame:
+    """The event-type dimension (K-7): one live, open row per rule."""
+    rows = [(t, d) for t, d in C.EVENT_TYPES]
+    df = spark.createDataFrame(rows, "event_type int, description string")
+    return df.select(
+        "event_type", "description",
+        X.ts_lit(effective_from).alias(C.FROM_COL), X.inf_ts().alias(C.TO_COL), F.lit(C.LIVE).alias(C.FLAG_COL),
+    )

@@ -235,3 +235,15 @@ def test_report_columns_and_union(spark):
     assert sorted(r["event_type"] for r in rep.collect()) == [1, 2]
     summary = R.report_summary(rep).orderBy("event_type").collect()
     assert [(r["event_type"], r["n_events"]) for r in summary] == [(1, 1), (2, 1)]
+
+
+def test_event_type_seed_and_report_foreign_key(spark):
+    from tallyhawk.operators import quality as Q
+
+    seed = R.event_types(spark)
+    assert [r["event_type"] for r in seed.orderBy("event_type").collect()] == [1, 2, 3, 4]
+    assert Q.duplicate_keys(seed, "event_type").count() == 0
+    dims = B.simple_dims(spark, [("1", "P1", "2024-01-01", "2024-01-01")])
+    tx = B.tx(spark, [("t1", f"{D} 12:00:00", 10, "1", "SUCCESS", "A1")])
+    rep = R.fraud_report(tx, dims, B.terminals(spark, TERMS), B.blacklist(spark, [("P1", "2024-01-01")]), DAY)
+    assert Q.orphans(rep, seed, "event_type", "event_type").count() == 0
