@@ -22,7 +22,17 @@ def _rule1(spark, passport_valid_to, blacklist_rows, day=DAY):
     dims = B.simple_dims(spark, [("1", "P1", passport_valid_to, "2030-01-01")])
     tx = B.tx(spark, [("t1", f"{D} 12:00:00", 10, "1", "SUCCESS", "T1")])
     bl = B.blacklist(spark, blacklist_rows) if blacklist_rows else B.blacklist(spark, [("PX", "2020-01-01")])
-    return R.rule_passport(tx, dims, bl, day).collect()
+    rows = R.rule_passport(tx, dims, bl, day).collect()
+    _same_as_fused(spark, rows, tx, dims, bl, day, 1)
+    return rows
+
+
+def _same_as_fused(spark, rows, tx, dims, bl, day, rule, terms=None, **kw):
+    """The fused report path must give the same rows as the single rule."""
+    terms = terms if terms is not None else B.terminals(spark, [("Z", "Z", "2020-01-01", "9999-12-31", "N", "2020-01-01")])
+    fused = R.fraud_report(tx, dims, terms, bl, day, rules=(rule,), **kw).collect()
+    key = lambda r: (r["event_dt"], r["passport"], r["fio"], r["phone"], r["event_type"], r["report_dt"])
+    assert sorted(map(key, fused)) == sorted(map(key, rows))
 
 
 def test_1a_passport_valid_through_its_last_day(spark):
@@ -85,7 +95,9 @@ def test_1h_two_card_versions_one_row(spark):
 def _rule2(spark, contract_valid_to, dims=None):
     dims = dims or B.simple_dims(spark, [("1", "P1", "2030-01-01", contract_valid_to)])
     tx = B.tx(spark, [("t1", f"{D} 12:00:00", 10, "1", "SUCCESS", "T1")])
-    return R.rule_contract(tx, dims, DAY).collect()
+    rows = R.rule_contract(tx, dims, DAY).collect()
+    _same_as_fused(spark, rows, tx, dims, B.blacklist(spark, [("PX", "2020-01-01")]), DAY, 2)
+    return rows
 
 
 def test_2a_contract_valid_through_its_last_day(spark):
@@ -135,7 +147,9 @@ TERMS = [
 def _rule3(spark, ops, terms=TERMS, day=DAY):
     dims = B.simple_dims(spark, [("1", "P1", "2030-01-01", "2030-01-01"), ("2", "P2", "2030-01-01", "2030-01-01")])
     tx = B.tx(spark, [(f"t{i}", ts, 10, card, "SUCCESS", term) for i, (ts, card, term) in enumerate(ops)])
-    return sorted(r["event_dt"].strftime("%H:%M:%S.%f") for r in R.rule_city_hop(tx, B.terminals(spark, terms), dims, day).collect())
+    rows = R.rule_city_hop(tx, B.terminals(spark, terms), dims, day).collect()
+    _same_as_fused(spark, rows, tx, dims, B.blacklist(spark, [("PX", "2020-01-01")]), day, 3, B.terminals(spark, terms))
+    return sorted(r["event_dt"].strftime("%H:%M:%S.%f") for r in rows)
 
 
 def test_3a_one_hour_inclusive(spark):
@@ -184,7 +198,9 @@ def test_3h_different_cards(spark):
 def _rule4(spark, ops, day=DAY):
     dims = B.simple_dims(spark, [("1", "P1", "2030-01-01", "2030-01-01")])
     tx = B.tx(spark, [(f"t{i}", ts, amt, "1", res, "A1") for i, (ts, amt, res) in enumerate(ops)])
-    return sorted(r["event_dt"].strftime("%d %H:%M:%S.%f") for r in R.rule_amount_probe(tx, dims, day).collect())
+    rows = R.rule_amount_probe(tx, dims, day).collect()
+    _same_as_fused(spark, rows, tx, dims, B.blacklist(spark, [("PX", "2020-01-01")]), day, 4)
+    return sorted(r["event_dt"].strftime("%d %H:%M:%S.%f") for r in rows)
 
 
 S, J = "SUCCESS", "REJECT"
