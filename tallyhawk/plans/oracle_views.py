@@ -93,10 +93,10 @@ SELECT terminal_id, terminal_type, city2, terminal_address,
 FROM terminal_base WHERE region1 = 0""",
     "terminals_a": """
 SELECT terminal_id, terminal_type, city1 AS terminal_city, terminal_address
-FROM terminal_base WHERE tk < 90""",
+FROM terminal_base WHERE region1 <> 4""",
     "terminals_b": """
-SELECT terminal_id, terminal_type, CASE WHEN tk % 7 = 0 THEN city2 ELSE city1 END AS terminal_city, terminal_address
-FROM terminal_base WHERE tk >= 10""",
+SELECT terminal_id, terminal_type, CASE WHEN region1 = 2 THEN city2 ELSE city1 END AS terminal_city, terminal_address
+FROM terminal_base WHERE region1 <> 3""",
     "status_a": """
 SELECT o_custkey AS cust_key, o_orderpriority AS priority,
        CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS status,

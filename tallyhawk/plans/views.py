@@ -15,6 +15,7 @@ generic tables onto the warehouse model:
                       terminals of region-0 nations move to the next nation
                       on 2024-01-15
 * ``terminal_snapshot('a'|'b')`` two full snapshots for snapshot merges
+                      (membership and moves by the nation's region)
 * ``status('a'|'b')`` latest order priority/status per customer in 1997 / 1998
                       (a changing SCD1 source for incremental merges)
 * ``versions``        orders as versions of a customer (interval closing)
@@ -201,19 +202,26 @@ def terminals_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _versions(t, first, second)
 
 
+# Snapshot membership by region of the terminal's nation: snapshot 'a' lacks
+# the terminals of region 4 (opened later), snapshot 'b' lacks those of
+# region 3 (closed) and has the terminals of region 2 moved to the next nation.
+SNAPSHOT_A_MISSING_REGION = 4
+SNAPSHOT_B_MISSING_REGION = 3
+SNAPSHOT_B_MOVED_REGION = 2
+
+
 def terminal_snapshot(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
-    """Full terminal snapshot: 'a' holds terminals 0-89, 'b' 10-99 where
-    every terminal with ``k % 7 = 0`` has moved to the next nation."""
+    """Full terminal snapshot 'a' or 'b' (see the region constants above)."""
     ids = _terminal_ids(spark, sf_dir)
     n1 = _nation(spark, sf_dir, "_n1")
     n2 = _nation(spark, sf_dir, "_n2")
     t = ids.join(n1, (F.col("_tk") % 25) == F.col("_n1key")).join(n2, ((F.col("_tk") + 1) % 25) == F.col("_n2key"))
     if which == "a":
-        t = t.filter(F.col("_tk") < 90)
+        t = t.filter(F.col("_n1region") != SNAPSHOT_A_MISSING_REGION)
         city = F.col("_n1name")
     else:
-        t = t.filter(F.col("_tk") >= 10)
-        city = F.when(F.col("_tk") % 7 == 0, F.col("_n2name")).otherwise(F.col("_n1name"))
+        t = t.filter(F.col("_n1region") != SNAPSHOT_B_MISSING_REGION)
+        city = F.when(F.col("_n1region") == SNAPSHOT_B_MOVED_REGION, F.col("_n2name")).otherwise(F.col("_n1name"))
     return t.select(
         *_terminal_attrs(),
         city.alias("terminal_city"),
