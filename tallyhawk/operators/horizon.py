@@ -107,3 +107,30 @@ def in_report_days(ts: str, days):
         return F.lit(True)
     first, last = days
     return F.to_date(F.col(ts)).between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
+
+
+def next_in_key(df: DataFrame, keys: list[str], order: list[str], values: list[str], bucket, prefix: str = "_next_") -> DataFrame:
+    """For every row, ``values`` of the next row of the same key in ``order``
+    (NULL for the key's last row), without one task per key.
+
+    Rows are windowed per (key, bucket) -- ``bucket`` is a column that grows
+    with ``order`` (e.g. the day of the start) -- so a key with a huge share
+    of the rows is spread over its buckets.  The last row of each bucket takes
+    the first row of the key's next non-empty bucket, found on a per-(key,
+    bucket) aggregate (map-side partial ``min``) that is tiny next to the
+    data.  The result equals ``lead(...) over (partition by key order by
+    order)``.
+    """
+    d = df.withColumn("_nb", bucket)
+    w = Window.partitionBy(*keys, "_nb").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    for v in values:
+        d = d.withColumn(prefix + v, F.lead(v).over(w))
+    d = d.withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull())
+    fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)] + [F.col(v).alias(f"_v{i}") for i, v in enumerate(values)]
+    firsts = d.groupBy(*keys, "_nb").agg(F.min(F.struct(*fields)).alias("_first"))
+    wk = Window.partitionBy(*keys).orderBy("_nb")
+    nxt = firsts.select(*keys, "_nb", F.lead("_first").over(wk).alias("_nf"))
+    d = d.join(nxt, [*keys, "_nb"], "left")
+    for i, v in enumerate(values):
+        d = d.withColumn(prefix + v, F.when(F.col("_is_last"), F.col(f"_nf._v{i}")).otherwise(F.col(prefix + v)))
+    return d.drop("_nb", "_is_last", "_nf")

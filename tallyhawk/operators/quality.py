@@ -5,7 +5,7 @@ Each check returns the offending rows (empty DataFrame = constraint holds).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhawk.functions import columns as X
@@ -54,10 +54,11 @@ def too_long(df: DataFrame, limits: dict[str, int]) -> DataFrame:
 def validity_violations(hist: DataFrame, key, grain: str = "ms", tiebreak=()) -> DataFrame:
     """Non-overlapping validity per key: inverted intervals, overlaps with the
     next version and gaps before it."""
+    from tallyhawk.operators.horizon import next_in_key
+
     k = _keys(key)
-    order = [F.col(C.FROM_COL).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tiebreak]
-    w = Window.partitionBy(*k).orderBy(*order)
-    h = hist.withColumn("_next_from", F.lead(C.FROM_COL).over(w))
+    h = next_in_key(hist, k, [C.FROM_COL, *tiebreak], [C.FROM_COL], F.to_date(F.col(C.FROM_COL)), prefix="_nx_")
+    h = h.withColumnRenamed("_nx_" + C.FROM_COL, "_next_from")
     frm, to, nxt = F.col(C.FROM_COL), F.col(C.TO_COL), F.col("_next_from")
     issue = (
         F.when(to < frm, F.lit("inverted"))

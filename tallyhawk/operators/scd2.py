@@ -57,12 +57,17 @@ def scd2_close(hist: DataFrame, key, grain: str = "ms", tiebreak: Sequence[str]
     grain (infinity for the last version of a key).
 
     Rewrites the whole history of each key; use for backfills and checks.
-    Merges close intervals incrementally and give the same result.
+    Merges close intervals incrementally and give the same result.  The
+    "next version" is found per (key, start day) with a hand-over between
+    days, so a key with a very long history is not one task.
     """
-    order = [F.col(C.FROM_COL).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tiebreak]
-    w = Window.partitionBy(*_keys(key)).orderBy(*order)
-    nxt = F.lead(C.FROM_COL).over(w)
-    return hist.withColumn(C.TO_COL, F.coalesce(X.shift(nxt, grain, -1), X.infinity(grain)))
+    from tallyhawk.operators.horizon import next_in_key
+
+    keys = _keys(key)
+    order = [C.FROM_COL] + list(tiebreak)
+    out = next_in_key(hist, keys, order, [C.FROM_COL], F.to_date(F.col(C.FROM_COL)), prefix="_nx_")
+    to = F.coalesce(X.shift(F.col("_nx_" + C.FROM_COL), grain, -1), X.infinity(grain))
+    return out.withColumn(C.TO_COL, to).drop("_nx_" + C.FROM_COL).select(*hist.columns, *([] if C.TO_COL in hist.columns else [C.TO_COL]))
 
 
 def changed(tracked: Sequence[str], old_prefix: str, new_prefix: str) -> Column:

@@ -127,3 +127,22 @@ def test_hot_card_path_matches_brute_force(spark):
     assert got == _brute_city(tx, terms, 3600)
     got = sorted(r["trans_id"] for r in R.amount_probe_hits(tx, None, 86400, 3, hot_rows=50).collect())
     assert got == _brute_probe(tx, 86400)
+
+
+def test_next_in_key_equals_plain_lead(spark):
+    import datetime as dt
+
+    from tallyhawk.operators.horizon import next_in_key
+
+    rnd = random.Random(7)
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(3000):
+        k = "HOT" if rnd.random() < 0.4 else "k%d" % rnd.randint(1, 50)
+        ts = base + dt.timedelta(seconds=rnd.choice([0, 1, 86399, 86400]) + rnd.randint(0, 40) * 86400 // 3)
+        rows.append((k, ts.strftime("%Y-%m-%d %H:%M:%S"), i))
+    df = spark.createDataFrame(rows, "k string, t string, tb int").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    w = Window.partitionBy("k").orderBy("t", "tb")
+    want = sorted((r["tb"], r["nt"], r["ntb"]) for r in df.select("tb", F.lead("t").over(w).alias("nt"), F.lead("tb").over(w).alias("ntb")).collect())
+    got = next_in_key(df, ["k"], ["t", "tb"], ["t", "tb"], F.to_date("t"), prefix="n_")
+    assert sorted((r["tb"], r["n_t"], r["n_tb"]) for r in got.collect()) == want
