@@ -18,7 +18,7 @@ def test_amount_decimal_comma(spark):
     assert [r[0] for r in df.select(X.normalize_amount("a")).collect()] == [Decimal("5000.50"), Decimal("5000.00"), Decimal("0.05")]
 
 
-def test_csv_reader_positional_and_trimmed(spark, workdir):
+def test_csv_transactions(spark, workdir):
     p = f"{workdir}/transactions_01032024.txt"
     with open(p, "w") as f:
         f.write("transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n")

@@ -65,7 +65,7 @@ TERM_HEADER = ["terminal_id", "terminal_type", "terminal_city", "terminal_addres
 # ------------------------------------------------------------------ tests
 
 
-def test_jdbc_incremental_and_pushdown(spark, workdir):
+def test_jdbc_incremental(spark, workdir):
     url, conn = _derby(spark, workdir)
     _exec(
         conn, CLIENTS_DDL, ACCOUNTS_DDL, CARDS_DDL,
@@ -106,7 +106,7 @@ def test_jdbc_incremental_and_pushdown(spark, workdir):
     conn.close()
 
 
-def test_daily_runs_and_rerun(spark, workdir):
+def test_pipeline_e2e_and_report_rerun(spark, workdir):
     url, conn = _derby(spark, workdir)
     _exec(
         conn, CLIENTS_DDL, ACCOUNTS_DDL, CARDS_DDL,
@@ -134,7 +134,7 @@ def test_daily_runs_and_rerun(spark, workdir):
         ),
     }
     flags = P.run_date(wh, "2024-03-10", "2024-03-10 23:00:00", files)
-    assert flags["event_type_all_rep" if False else "event_type_3_rep"] == 1
+    assert flags["event_type_3_rep"] == 1
     fact = wh.read("fact", "transactions")
     assert fact.count() == 2
     assert sorted(str(r["amt"]) for r in fact.collect()) == ["100.50", "5000.00"]
@@ -158,7 +158,7 @@ def test_daily_runs_and_rerun(spark, workdir):
     conn.close()
 
 
-def test_file_stream_available_now(spark, workdir):
+def test_file_stream(spark, workdir):
     wh = P.Warehouse(spark, os.path.join(workdir, "wh"))
     drop, arch, cp = (os.path.join(workdir, n) for n in ("drop", "archive", "cp"))
     os.makedirs(drop)
@@ -200,3 +200,45 @@ def test_list_files(spark, workdir):
         _write_csv(os.path.join(workdir, n), ["x"], [("1",)])
     got = sorted(str(r["date_point"]) for r in FS.discover_file_dates(spark, workdir).collect())
     assert got == ["2024-03-01", "2024-03-02"]
+
+
+def test_jdbc_full(spark, workdir):
+    url, conn = _derby(spark, workdir)
+    _exec(conn, CARDS_DDL, *[f"INSERT INTO cards VALUES ('C{i}', 'A{i}', '2024-01-01 10:00:00', NULL)" for i in range(40)])
+    _exec(conn, "ALTER TABLE cards ADD COLUMN n INT", "UPDATE cards SET n = CAST(SUBSTR(card_num, 2) AS INT)")
+    df = J.read_table(spark, url, "CARDS", PROPS, partition_column="N", lower_bound=0, upper_bound=40, num_partitions=4)
+    assert df.rdd.getNumPartitions() == 4 and df.count() == 40
+    keys = J.read_keys(spark, url, "CARDS", "CARD_NUM", PROPS)
+    assert keys.columns == ["CARD_NUM"]
+    conn.close()
+
+
+def test_terminal_snapshot(spark, workdir):
+    wh = P.Warehouse(spark, os.path.join(workdir, "wh"))
+    p1, p2 = os.path.join(workdir, "terminals_01032024.txt"), os.path.join(workdir, "terminals_05032024.txt")
+    _write_csv(p1, TERM_HEADER, [("T1", "ATM", "Moscow", "a"), ("T2", "POS", "Kazan", "b")])
+    _write_csv(p2, TERM_HEADER, [("T1", "ATM", "Omsk", "a"), ("T3", "ATM", "Perm", "c")])
+    P.merge_terminals(wh, FS.read_snapshot(spark, p1), "2024-03-01")
+    P.merge_terminals(wh, FS.read_snapshot(spark, p2), "2024-03-05")
+    P.merge_terminals(wh, FS.read_snapshot(spark, p2), "2024-03-05")  # rerun: no change
+    h = wh.history("terminals")
+    got = sorted((r["terminal_id"], r["terminal_city"], str(r["effective_from"]), str(r["effective_to"]), r["deleted_flg"], str(r["file_date"]))
+                 for r in h.collect())
+    assert got == [
+        ("T1", "Moscow", "2024-03-01", "2024-03-04", "N", "2024-03-01"),
+        ("T1", "Omsk", "2024-03-05", "9999-12-31", "N", "2024-03-05"),
+        ("T2", "Kazan", "2024-03-01", "2024-03-04", "N", "2024-03-01"),
+        ("T2", "Kazan", "2024-03-05", "9999-12-31", "Y", "2024-03-05"),
+        ("T3", "Perm", "2024-03-05", "9999-12-31", "N", "2024-03-05"),
+    ]
+    # only the open segment is read by the next merge
+    assert wh.open_versions("terminals").count() == 3
+
+
+def test_schemas(spark):
+    src = spark.createDataFrame([("A1  ", "2030-01-01", "7", None, None)], "account string, valid_to string, client string, create_dt timestamp_ntz, update_dt timestamp_ntz")
+    staged = P.stage_source(src, "accounts")
+    assert staged.columns == ["account_num", "valid_to", "client", "create_dt", "update_dt"]
+    assert staged.first()["account_num"] == "A1"
+    assert P.KEYS == {"clients": "client_id", "accounts": "account_num", "cards": "card_num"}
+    assert P.TRACKED["cards"] == ["account_num"]

@@ -253,7 +253,7 @@ def test_report_columns_and_union(spark):
     assert [(r["event_type"], r["n_events"]) for r in summary] == [(1, 1), (2, 1)]
 
 
-def test_event_type_seed_and_report_foreign_key(spark):
+def test_seed_event_type(spark):
     from tallyhawk.operators import quality as Q
 
     seed = R.event_types(spark)
