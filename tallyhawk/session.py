@@ -22,17 +22,39 @@ BASE_CONF = {
 }
 
 
+# Settings for a large cluster (100 TB of facts, ~1000 executors).  Shuffles
+# start with many partitions and AQE coalesces them towards the advisory size,
+# so one setting fits both a daily run and a full backfill; skewed join
+# partitions (a card with a huge share of operations) are split at runtime;
+# runtime broadcast only below a measured 64 MB; tasks are retried when
+# executors are lost.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
 def get_session(
     master: str | None = None,
     app: str = "tallyhawk",
     shuffle_partitions: int | None = None,
     conf: dict | None = None,
+    profile: str = "local",
 ) -> SparkSession:
-    """Build (or reuse) a session with the library's base settings."""
+    """Build (or reuse) a session with the library's base settings
+    (``profile='cluster'`` adds :data:`CLUSTER_CONF`)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = dict(BASE_CONF)
+    if profile == "cluster":
+        settings.update(CLUSTER_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})

@@ -184,6 +184,12 @@ def test_file_stream(spark, workdir):
     assert sorted(r["load_id"] for r in fact.filter(F.col("trans_id") == "e").collect()) == ["transactions_02032024.txt"]
     pts = wh.read("meta", "date_points")
     assert sorted(str(r["date_point"]) for r in pts.collect()) == ["2024-03-01", "2024-03-02"]
+    # processed files are moved to the archive by the source (one run late)
+    FST.run_available(FST.transactions_stream(spark, drop, arch), P.transactions_batch_writer(wh, rules=(4,)), cp)
+    archived = {f for _, _, fs in os.walk(arch) for f in fs}
+    assert "transactions_01032024.txt" in archived
+    assert "transactions_01032024.txt" not in os.listdir(drop)
+    assert wh.read("fact", "transactions").count() == 5
 
 
 def test_file_dates_from_names(spark):
