@@ -250,3 +250,19 @@ def current_dimension(spark, d):
     from tallyhawk.operators.scd2 import scd2_current
 
     return scd2_current(V.accounts_hist(spark, d)).select("account_num", "valid_to", "client", "effective_from")
+
+
+REPORT_DAY = "2024-01-15"
+
+
+@register(
+    "fraud_report_daily",
+    with_views(f"SELECT * FROM ({FRAUD_UNION}) u WHERE report_dt = DATE '{REPORT_DAY}'", FRAUD_EXTRA),
+)
+def fraud_report_daily(spark, d):
+    """O-4 daily mode: the report of one day; the fact is read from one rule
+    window before the day, the result equals that day of the full report."""
+    return R.fraud_report(
+        V.tx(spark, d), dims(spark, d), V.terminals_hist(spark, d), V.blacklist(spark, d),
+        report_days=(REPORT_DAY, REPORT_DAY), probe_window_seconds=PROBE_WINDOW_SECONDS,
+    )
