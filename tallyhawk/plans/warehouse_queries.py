@@ -126,6 +126,10 @@ def status_source(spark: SparkSession, d: str, run: int) -> DataFrame:
     )
 
 
+def _no_meta(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "schema_name string, table_name string, max_update_dt timestamp_ntz")
+
+
 def status_history(spark: SparkSession, d: str, runs: int, with_action: bool = False) -> DataFrame:
     hist = S.empty_history(spark, {"cust_key": "bigint"}, {"priority": "string", "status": "string"}, grain="ms",
                            extras={C.PROCESSED_COL: "timestamp_ntz"})
@@ -136,7 +140,8 @@ def status_history(spark: SparkSession, d: str, runs: int, with_action: bool = F
         last = run == runs
         hist = S.scd2_merge_incremental(hist, changed, src.select("cust_key"), "cust_key", STATUS_TRACKED, run_ts,
                                         with_action=with_action and last)
-        watermark = changed.agg(F.max(X.validity_start()).alias("w")).first()["w"]
+        if not last:  # the next run reads changes since this one
+            watermark = ST.watermark_lookup(ST.advance_watermark(_no_meta(spark), {"status": changed}), "status")
     return hist
 
 
