@@ -77,7 +77,6 @@ def changed(tracked: Sequence[str], old_prefix: str, new_prefix: str) -> Column:
 
 def _merge(
     open_rows: DataFrame,
-    staged: DataFrame | None,
     keys: list[str],
     tracked: list[str],
     new_from: Column,
@@ -86,9 +85,14 @@ def _merge(
     extras_new: dict[str, Column],
     with_action: bool,
     live_flag: Column | None,
-    src_side: DataFrame | None,
+    src_side: DataFrame,
 ) -> DataFrame:
-    """Shared core: classify every key once, emit replaced + new versions."""
+    """Shared core: classify every key once, emit replaced + new versions.
+
+    ``src_side`` holds the staged image (``_s_*`` columns, ``_s_present``)
+    per key; one full outer join with the open versions classifies each key
+    and emits at most two rows for it (the replaced version and the new one).
+    """
     o_cols = tracked + [C.FROM_COL, C.TO_COL, C.FLAG_COL] + list(extras_new)
     o = open_rows.select(*keys, *[F.col(c).alias("_o_" + c) for c in o_cols], F.lit(True).alias("_o_present"))
     j = src_side.join(o, keys, "full_outer")
@@ -192,7 +196,7 @@ def scd2_merge_snapshot(
     start = as_of if isinstance(as_of, Column) else (X.date_lit(as_of) if grain == "day" else F.lit(as_of))
     open_rows, closed = _split(hist, grain)
     s = snapshot.select(*keys, *[F.col(c).alias("_s_" + c) for c in tracked], F.lit(True).alias("_s_present"))
-    merged = _merge(open_rows, None, keys, tracked, start, start, grain, extras, with_action, None, s)
+    merged = _merge(open_rows, keys, tracked, start, start, grain, extras, with_action, None, s)
     columns = keys + tracked + [C.FROM_COL, C.TO_COL, C.FLAG_COL] + list(extras)
     return merged.unionByName(_passthrough(closed, columns, with_action))
 
@@ -239,7 +243,7 @@ def scd2_merge_incremental(
     # both sides shuffle on the key, the full outer join below reuses it.
     src = live.join(staged, keys, "left")
     merged = _merge(
-        open_rows, None, keys, tracked, F.col("_s_start"), run, grain, extras, with_action,
+        open_rows, keys, tracked, F.col("_s_start"), run, grain, extras, with_action,
         F.col("_live").isNotNull(), src,
     )
     columns = keys + tracked + [C.FROM_COL, C.TO_COL, C.FLAG_COL] + list(extras)
