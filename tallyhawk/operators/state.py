@@ -39,7 +39,7 @@ def incremental_extract(source: DataFrame, watermark, create_col: str = C.CREATE
     return source.filter(incremental_filter(watermark, create_col, update_col))
 
 
-def watermark_lookup(meta: DataFrame, table: str, schema: str = "bank"):
+def watermark_lookup(meta: DataFrame, table: str, schema: str = "source"):
     """Stored watermark of one source table, or None before the first load."""
     row = meta.filter((F.col("schema_name") == schema) & (F.col("table_name") == table)).agg(
         F.max("max_update_dt").alias("w")
@@ -59,7 +59,7 @@ def change_max(changed: DataFrame, table: str, create_col: str = C.CREATE_COL, u
     )
 
 
-def advance_watermark(meta: DataFrame, changes: dict[str, DataFrame], schema: str = "bank",
+def advance_watermark(meta: DataFrame, changes: dict[str, DataFrame], schema: str = "source",
                       create_col: str = C.CREATE_COL, update_col: str = C.UPDATE_COL) -> DataFrame:
     """New watermark per table = max(old, latest change time of its change set).
 

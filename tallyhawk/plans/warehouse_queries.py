@@ -388,9 +388,9 @@ def normalize_amount(spark, d):
 
 WM_ORDERS = "1998-06-15 13:00:00"
 META_VALUES = [
-    ("bank", "orders", WM_ORDERS),
-    ("bank", "clients", "2023-06-01 00:00:00"),
-    ("bank", "transactions", "2024-01-15 00:00:00"),
+    ("source", "orders", WM_ORDERS),
+    ("source", "clients", "2023-06-01 00:00:00"),
+    ("source", "transactions", "2024-01-15 00:00:00"),
 ]
 META_SQL = "SELECT * FROM (VALUES " + ", ".join(
     f"('{s}', '{t}', TIMESTAMP '{w}')" for s, t, w in META_VALUES

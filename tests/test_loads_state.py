@@ -67,7 +67,7 @@ def _changes(spark, rows):
 
 
 def test_watermark_uses_create_when_not_updated(spark):
-    meta = spark.createDataFrame([("bank", "clients", "2024-01-01 00:00:00")], "schema_name string, table_name string, w string")
+    meta = spark.createDataFrame([("source", "clients", "2024-01-01 00:00:00")], "schema_name string, table_name string, w string")
     meta = meta.select("schema_name", "table_name", F.col("w").cast("timestamp_ntz").alias("max_update_dt"))
     ch = _changes(spark, [("2024-01-05 00:00:00", None), ("2023-12-01 00:00:00", "2024-01-03 00:00:00")])
     out = {r["table_name"]: r["max_update_dt"] for r in ST.advance_watermark(meta, {"clients": ch}).collect()}
@@ -76,7 +76,7 @@ def test_watermark_uses_create_when_not_updated(spark):
 
 def test_watermarks_move_independently_and_never_back(spark):
     meta = spark.createDataFrame(
-        [("bank", "x", "2024-01-01 00:00:00"), ("bank", "y", "2024-06-01 00:00:00")], "schema_name string, table_name string, w string"
+        [("source", "x", "2024-01-01 00:00:00"), ("source", "y", "2024-06-01 00:00:00")], "schema_name string, table_name string, w string"
     ).select("schema_name", "table_name", F.col("w").cast("timestamp_ntz").alias("max_update_dt"))
     ch = {"x": _changes(spark, [("2024-02-01 00:00:00", None)]), "y": _changes(spark, [("2024-03-01 00:00:00", None)]),
           "z": _changes(spark, [("2024-04-01 00:00:00", None)])}

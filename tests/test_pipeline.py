@@ -16,7 +16,7 @@ from tallyhawk.streaming import file_stream as FST
 
 
 def _derby(spark, folder):
-    url = f"jdbc:derby:{folder}/bank;create=true"
+    url = f"jdbc:derby:{folder}/srcdb;create=true"
     conn = spark.sparkContext._jvm.java.sql.DriverManager.getConnection(url)
     return url.replace(";create=true", ""), conn
 
