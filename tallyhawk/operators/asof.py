@@ -8,7 +8,7 @@ join at runtime only when the measured dimension side is below
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhawk.functions import columns as X
@@ -77,3 +77,49 @@ def intersect_versions(
         .withColumn(out_to, F.least(F.col(left_to), F.col(right_to)))
         .drop(left_from, left_to, right_from, right_to)
     )
+
+
+# The finest timestamp step: gaps between versions are computed with it, so
+# they are exact whatever the precision of the probing timestamps.
+def _micro():
+    return F.expr("INTERVAL '0.000001' SECOND")
+
+
+def uncovered_parts(
+    left: DataFrame,
+    right: DataFrame,
+    left_ids: list[str],
+    left_key: str,
+    right_key: str,
+    left_from: str,
+    left_to: str,
+    right_from: str,
+    right_to: str,
+) -> DataFrame:
+    """The parts of each ``left`` interval not covered by any ``right``
+    interval of the matching key (timestamp validity, inclusive bounds).
+
+    ``left_ids`` identify a left interval (e.g. key + start).  Right intervals
+    of one key must not overlap (an SCD2 invariant).  Returns the left rows
+    with ``left_from``/``left_to`` narrowed to each uncovered piece; a left
+    interval without any overlapping right interval is returned whole.
+    Dimension sized: used to build left-join semantics into a pre-joined
+    chain so the fact is joined once.
+    """
+    r = right.select(F.col(right_key).alias("_rk"), F.col(right_from).alias("_rf"), F.col(right_to).alias("_rt"))
+    cond = (F.col(left_key) == F.col("_rk")) & (F.col(left_from) <= F.col("_rt")) & (F.col("_rf") <= F.col(left_to))
+    x = left.join(r, cond, "inner").withColumn("_cf", F.greatest(F.col("_rf"), F.col(left_from))).withColumn(
+        "_ct", F.least(F.col("_rt"), F.col(left_to))
+    )
+    w = Window.partitionBy(*left_ids).orderBy("_cf")
+    x = x.withColumn("_prev_ct", F.lag("_ct").over(w)).withColumn("_next_cf", F.lead("_cf").over(w))
+    cols = [c for c in left.columns if c not in (left_from, left_to)]
+    before = x.select(
+        *cols,
+        F.coalesce(F.col("_prev_ct") + _micro(), F.col(left_from)).alias(left_from),
+        (F.col("_cf") - _micro()).alias(left_to),
+    )
+    after = x.filter(F.col("_next_cf").isNull()).select(*cols, (F.col("_ct") + _micro()).alias(left_from), F.col(left_to))
+    untouched = left.join(x.select(*left_ids).distinct(), left_ids, "left_anti").select(*cols, left_from, left_to)
+    pieces = before.unionByName(after).unionByName(untouched)
+    return pieces.filter(F.col(left_from) <= F.col(left_to))
