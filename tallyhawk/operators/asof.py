@@ -108,18 +108,21 @@ def uncovered_parts(
     """
     r = right.select(F.col(right_key).alias("_rk"), F.col(right_from).alias("_rf"), F.col(right_to).alias("_rt"))
     cond = (F.col(left_key) == F.col("_rk")) & (F.col(left_from) <= F.col("_rt")) & (F.col("_rf") <= F.col(left_to))
-    x = left.join(r, cond, "inner").withColumn("_cf", F.greatest(F.col("_rf"), F.col(left_from))).withColumn(
-        "_ct", F.least(F.col("_rt"), F.col(left_to))
-    )
-    w = Window.partitionBy(*left_ids).orderBy("_cf")
+    x = left.join(r, cond, "left")
+    cf = F.greatest(F.col("_rf"), F.col(left_from))
+    ct = F.least(F.col("_rt"), F.col(left_to))
+    x = x.withColumn("_cf", cf).withColumn("_ct", ct)
+    # the join output is hash partitioned on the key, so a window over
+    # (key, interval id) needs no further exchange
+    w = Window.partitionBy(left_key, *left_ids).orderBy("_cf")
     x = x.withColumn("_prev_ct", F.lag("_ct").over(w)).withColumn("_next_cf", F.lead("_cf").over(w))
-    cols = [c for c in left.columns if c not in (left_from, left_to)]
-    before = x.select(
-        *cols,
-        F.coalesce(F.col("_prev_ct") + _micro(), F.col(left_from)).alias(left_from),
-        (F.col("_cf") - _micro()).alias(left_to),
+    matched = F.col("_rk").isNotNull()
+    piece = lambda frm, to: F.struct(frm.alias("_pf"), to.alias("_pt"))
+    pieces = F.array(
+        F.when(matched, piece(F.coalesce(F.col("_prev_ct") + _micro(), F.col(left_from)), F.col("_cf") - _micro())),
+        F.when(matched & F.col("_next_cf").isNull(), piece(F.col("_ct") + _micro(), F.col(left_to))),
+        F.when(~matched, piece(F.col(left_from), F.col(left_to))),
     )
-    after = x.filter(F.col("_next_cf").isNull()).select(*cols, (F.col("_ct") + _micro()).alias(left_from), F.col(left_to))
-    untouched = left.join(x.select(*left_ids).distinct(), left_ids, "left_anti").select(*cols, left_from, left_to)
-    pieces = before.unionByName(after).unionByName(untouched)
-    return pieces.filter(F.col(left_from) <= F.col(left_to))
+    cols = [c for c in left.columns if c not in (left_from, left_to)]
+    out = x.select(*cols, F.explode(F.filter(pieces, lambda p: p.isNotNull() & (p["_pf"] <= p["_pt"]))).alias("_p"))
+    return out.select(*cols, F.col("_p._pf").alias(left_from), F.col("_p._pt").alias(left_to))
