@@ -4,7 +4,7 @@ Layout under one base folder (a shared file system on a cluster)::
 
     hist/<dimension>/segment=open/                  open versions (rewritten per run)
     hist/<dimension>/segment=closed-<run>/          versions closed by that run
-    fact/transactions/file_date=D/load_id=<file>/   one partition per loaded file
+    fact/transactions/trans_day=D/load_id=<file>/   by operation day, then loaded file
     fact/passport_blacklist/file_date=D/load_id=<file>/
     report/fraud/report_dt=D/event_type=N/          recomputed per (day, rule)
     meta/load_watermark/                            one row per source table
@@ -14,8 +14,10 @@ Every write is a dynamic partition overwrite of partitions owned by the
 current unit of work, so a rerun after a failure (a replayed stream batch,
 a restarted daily job) rewrites exactly what it wrote before:
 
-* facts: the partition of the file being loaded (the anti join against the
-  fact skips that file's own partition, so a replay sees the same input);
+* facts: the partitions of the file being loaded (the anti join against the
+  fact skips that file's own partitions, so a replay sees the same input);
+  transactions are partitioned by operation day first, so a daily rule run
+  and the load's anti join prune to a few days of the fact;
 * history: the open segment and the segment closed by this run; merges read
   only ``segment=open`` (partition pruning), closed history is never read or
   rewritten again;
@@ -44,6 +46,7 @@ from tallyhawk.session import checkpoint_dir
 SEGMENT = "segment"
 OPEN_SEGMENT = "open"
 LOAD_ID = "load_id"
+TRANS_DAY = "trans_day"
 TERMINAL_TRACKED = ["terminal_type", "terminal_city", "terminal_address"]
 
 
@@ -126,7 +129,11 @@ class Warehouse:
 
     # -- facts, report, state
     def write_fact(self, name: str, rows: DataFrame) -> None:
-        self._overwrite(rows, [C.FILE_DATE_COL, LOAD_ID], "fact", name)
+        if name == "transactions":
+            rows = rows.withColumn(TRANS_DAY, F.to_date("trans_date"))
+            self._overwrite(rows, [TRANS_DAY, LOAD_ID], "fact", name)
+        else:
+            self._overwrite(rows, [C.FILE_DATE_COL, LOAD_ID], "fact", name)
 
     def write_report(self, report: DataFrame) -> None:
         self._overwrite(report, ["report_dt", "event_type"], "report", "fraud")
@@ -189,14 +196,16 @@ def merge_terminals(wh: Warehouse, snapshot: DataFrame, day: str) -> None:
 def _tx_fact(wh: Warehouse) -> DataFrame:
     f = wh.read("fact", "transactions")
     if f is None:
-        return wh.spark.createDataFrame([], "trans_id string, trans_date timestamp_ntz, load_id string")
+        return wh.spark.createDataFrame([], "trans_id string, trans_date timestamp_ntz, trans_day date, load_id string")
     return f
 
 
 def load_transactions_rows(wh: Warehouse, delta: DataFrame, load_ids: list[str]) -> DataFrame:
-    """New fact rows of ``delta`` (which carries file_date and load_id)."""
+    """New fact rows of ``delta`` (which carries file_date and load_id); the
+    fact is pruned to the operation days the delta covers (partition pruning
+    on ``trans_day``)."""
     existing = _tx_fact(wh).filter(~F.col(LOAD_ID).isin(load_ids))
-    return L.load_transactions(existing, delta, None, carry=[C.FILE_DATE_COL, LOAD_ID])
+    return L.load_transactions(existing, delta, None, existing_day_col=TRANS_DAY, carry=[C.FILE_DATE_COL, LOAD_ID])
 
 
 def load_transactions_file(wh: Warehouse, delta: DataFrame, day: str, load_id: str | None = None) -> None:
@@ -240,22 +249,35 @@ def dimensions(wh: Warehouse) -> R.Dimensions:
     return R.Dimensions(cards=get("cards"), accounts=get("accounts"), clients=get("clients"))
 
 
-def run_rules(wh: Warehouse, days, rules) -> list[int]:
-    """Evaluate ``rules`` for report days ``(first, last)`` and overwrite their
-    report partitions.  Returns the rules actually run."""
+def report_frame(wh: Warehouse, days, rules) -> tuple[DataFrame | None, list[int]]:
+    """The report rows of ``rules`` for report days ``(first, last)`` (all
+    days when None) and the rules that could run."""
     tx = wh.read("fact", "transactions")
     if tx is None or not rules:
-        return []
+        return None, []
+    if days is not None:
+        # partition pruning: the rules look back at most one window before
+        # the first day (the exact time bound is applied by the rules)
+        reach = -(-max(C.CITY_HOP_WINDOW_SECONDS, C.AMOUNT_PROBE_WINDOW_SECONDS) // 86400)
+        first, last = (F.lit(str(d)).cast("date") for d in days)
+        tx = tx.filter(F.col(TRANS_DAY).between(F.date_sub(first, reach), last))
     bl = wh.read("fact", "passport_blacklist")
     if bl is None:
         bl = wh.spark.createDataFrame([], "entry_dt date, passport_num string")
     terminals = wh.history("terminals")
     rules = tuple(r for r in rules if r != 3 or terminals is not None)
     if not rules:
-        return []
-    report = R.fraud_report(tx, dimensions(wh), terminals, bl, report_days=days, rules=rules)
-    wh.write_report(report)
-    return list(rules)
+        return None, []
+    return R.fraud_report(tx, dimensions(wh), terminals, bl, report_days=days, rules=rules), list(rules)
+
+
+def run_rules(wh: Warehouse, days, rules) -> list[int]:
+    """Evaluate ``rules`` for report days ``(first, last)`` and overwrite their
+    report partitions.  Returns the rules actually run."""
+    report, done = report_frame(wh, days, rules)
+    if report is not None:
+        wh.write_report(report)
+    return done
 
 
 def day_state(wh: Warehouse, day: str) -> dict:

@@ -145,6 +145,11 @@ def test_pipeline_e2e_and_report_rerun(spark, workdir):
     # passport expired 03-01 and blacklisted: one row per operation; contract ended; city hop at 10:30
     assert got == [(1, "10:00"), (1, "10:30"), (2, "10:00"), (2, "10:30"), (3, "10:30")]
 
+    # the daily report reads only the operation days it needs (partition pruning)
+    rep_df, _ = P.report_frame(wh, ("2024-03-10", "2024-03-10"), [1, 2, 3, 4])
+    plan = rep_df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trans_day" in plan
+
     # rerun of the day: flags prevent reloading, nothing is duplicated
     P.run_date(wh, "2024-03-10", "2024-03-11 01:00:00", files)
     assert wh.read("fact", "transactions").count() == 2
