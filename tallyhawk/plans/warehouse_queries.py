@@ -105,6 +105,25 @@ def scd2_restore(spark, d):
     return terminal_history(spark, d, [("a", D1), ("b", D2), ("a", D3)])
 
 
+# --------------------------------------------------------------------------
+# Output convention for timestamp histories: an open version is shown with
+# effective_to NULL and is_open = true (technical infinity 9999-12-31 is kept
+# inside the library; it is outside the nanosecond range of pandas, which
+# result consumers often convert to).
+
+
+def open_as_null(df: DataFrame) -> DataFrame:
+    is_open = F.col(C.TO_COL) == X.inf_ts()
+    return df.withColumn("is_open", is_open).withColumn(C.TO_COL, F.when(is_open, F.lit(None)).otherwise(F.col(C.TO_COL)))
+
+
+def open_as_null_sql(body: str) -> str:
+    return (
+        "SELECT * REPLACE (NULLIF(effective_to, TIMESTAMP '9999-12-31 00:00:00') AS effective_to), "
+        f"effective_to = TIMESTAMP '9999-12-31 00:00:00' AS is_open FROM ({body}) q"
+    )
+
+
 # --------------------------------------------------------------------------
 # SCD2: incremental merges of a changing source (timestamp grain, 1 ms)
 
@@ -174,33 +193,33 @@ INC_DELETE = [
 INC_INSERT = [_srow("b", "b.changed_at", _TS_INF, "N", _r(R2)) + _SB_ONLY]
 
 
-@register("scd2_incremental_insert", with_views(_srow("a", "a.changed_at", _TS_INF, "N", _r(R1)) + " FROM status_a a"))
+@register("scd2_incremental_insert", with_views(open_as_null_sql(_srow("a", "a.changed_at", _TS_INF, "N", _r(R1)) + " FROM status_a a")))
 def scd2_incremental_insert(spark, d):
     """M-1, first run: every source row becomes an open version starting at its creation."""
-    return status_history(spark, d, 1)
+    return open_as_null(status_history(spark, d, 1))
 
 
 def _with_action(spark, d, action):
     h = status_history(spark, d, 2, with_action=True)
-    return h.filter(F.col(S.ACTION_COL) == action).drop(S.ACTION_COL)
+    return open_as_null(h.filter(F.col(S.ACTION_COL) == action).drop(S.ACTION_COL))
 
 
-@register("scd2_incremental_update", with_views(" UNION ALL ".join(INC_UPDATE)))
+@register("scd2_incremental_update", with_views(open_as_null_sql(" UNION ALL ".join(INC_UPDATE))))
 def scd2_incremental_update(spark, d):
     """M-1, second run: versions of keys whose tracked attributes changed (null-safe)."""
     return _with_action(spark, d, S.UPDATE)
 
 
-@register("scd2_incremental_delete", with_views(" UNION ALL ".join(INC_DELETE)))
+@register("scd2_incremental_delete", with_views(open_as_null_sql(" UNION ALL ".join(INC_DELETE))))
 def scd2_incremental_delete(spark, d):
     """M-1, second run: keys gone from the source get a delete marker at the run time."""
     return _with_action(spark, d, S.DELETE)
 
 
-@register("scd2_incremental_merge", with_views(" UNION ALL ".join(INC_KEEP + INC_UPDATE + INC_DELETE + INC_INSERT)))
+@register("scd2_incremental_merge", with_views(open_as_null_sql(" UNION ALL ".join(INC_KEEP + INC_UPDATE + INC_DELETE + INC_INSERT))))
 def scd2_incremental_merge(spark, d):
     """M-1: the whole history after two incremental runs."""
-    return status_history(spark, d, 2)
+    return open_as_null(status_history(spark, d, 2))
 
 
 # --------------------------------------------------------------------------
@@ -209,16 +228,16 @@ def scd2_incremental_merge(spark, d):
 
 @register(
     "scd2_close_intervals",
-    with_views(
+    with_views(open_as_null_sql(
         "SELECT cust_key, order_key, effective_from, COALESCE(lead(effective_from) OVER "
         "(PARTITION BY cust_key ORDER BY effective_from, order_key) - INTERVAL 1 MILLISECOND, "
         f"{_TS_INF}) AS effective_to FROM versions"
-    ),
+    )),
 )
 def scd2_close_intervals(spark, d):
     """W-1 / J-9: each version ends 1 ms before the next one of its key."""
     v = V.versions(spark, d).select("cust_key", "order_key", C.FROM_COL)
-    return S.scd2_close(v, "cust_key", grain="ms", tiebreak=["order_key"])
+    return open_as_null(S.scd2_close(v, "cust_key", grain="ms", tiebreak=["order_key"]))
 
 
 @register(

@@ -42,6 +42,18 @@ def _rows(columns, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+_TYPE_MAP = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN", "double": "DOUBLE", "smallint": "SMALLINT", "tinyint": "TINYINT",
+}
+
+
+def spark_type_as_duck(t: str) -> str:
+    if t.startswith("decimal"):
+        return t.replace("decimal", "DECIMAL")
+    return _TYPE_MAP.get(t, t.upper())
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -64,6 +76,11 @@ def compare(spark, con, sf_dir: str, key: str, query, sql: str | None):
     d_rows = rel.fetchall()
     res["oracle_rows"] = len(d_rows)
     res["columns_ok"] = sorted(s_cols) == sorted(d_cols)
+    s_types = {f.name: spark_type_as_duck(f.dataType.simpleString()) for f in df.schema.fields}
+    d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
+    res["types_ok"] = s_types == d_types
+    if not res["types_ok"]:
+        res["type_diff"] = {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types) if s_types.get(c) != d_types.get(c)}
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
     res["values_ok"] = a == b
     if not res["values_ok"]:
@@ -72,7 +89,7 @@ def compare(spark, con, sf_dir: str, key: str, query, sql: str | None):
         res["only_oracle"] = sorted(sb - sa, key=str)[:3]
         res["spark_cols"] = s_cols
         res["oracle_cols"] = d_cols
-    res["ok"] = res["columns_ok"] and res["values_ok"] and len(s_rows) == len(d_rows)
+    res["ok"] = res["columns_ok"] and res["types_ok"] and res["values_ok"] and len(s_rows) == len(d_rows)
     return res
 
 

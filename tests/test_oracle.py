@@ -32,3 +32,11 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, key):
     res = compare(spark, con, SF_DIR, key, E.queries()[key], E.oracle_sql()[key])
     assert res["ok"], res
+
+
+def test_results_convert_to_pandas(spark):
+    """Result consumers often go through pandas (nanosecond timestamps):
+    no registered query may emit a value outside that range."""
+    for key in KEYS:
+        pdf = E.queries()[key](spark, SF_DIR).toPandas()
+        assert list(pdf.columns) == E.queries()[key](spark, SF_DIR).columns
