@@ -38,5 +38,5 @@ def test_results_convert_to_pandas(spark):
     """Result consumers often go through pandas (nanosecond timestamps):
     no registered query may emit a value outside that range."""
     for key in KEYS:
-        pdf = E.queries()[key](spark, SF_DIR).toPandas()
-        assert list(pdf.columns) == E.queries()[key](spark, SF_DIR).columns
+        df = E.queries()[key](spark, SF_DIR)
+        assert list(df.toPandas().columns) == df.columns
