@@ -357,3 +357,56 @@ def transactions_batch_writer(wh: Warehouse, rules=(2, 4)):
         wh.append_state("date_points", ST.date_point_rows(days, flags))
 
     return process
+
+
+def terminals_batch_writer(wh: Warehouse):
+    """``foreachBatch`` for :func:`tallyhawk.streaming.file_stream.terminals_stream`:
+    merges the batch's snapshot (one file per batch) as of its file date and
+    records the load state; rule 3 becomes runnable for that date."""
+    from tallyhawk.streaming.file_stream import FILE_NAME
+
+    def process(batch: DataFrame, epoch_id: int) -> None:
+        # one file per batch (maxFilesPerTrigger=1): its date is one scalar
+        row = batch.agg(F.min(C.FILE_DATE_COL).alias("d"), F.countDistinct(FILE_NAME).alias("n")).first()
+        if row is None or row["d"] is None:
+            return
+        if row["n"] != 1:
+            raise ValueError("terminal snapshots must arrive one file per batch")
+        day = str(row["d"])
+        merge_terminals(wh, batch.select("terminal_id", *TERMINAL_TRACKED), day)
+        days = batch.select(F.col(C.FILE_DATE_COL).alias("date_point")).distinct()
+        wh.append_state("date_points", ST.date_point_rows(days, {"terminals_flg": 1}))
+
+    return process
+
+
+def blacklist_batch_writer(wh: Warehouse, run_ts: str):
+    """``foreachBatch`` for :func:`tallyhawk.streaming.file_stream.blacklist_stream`.
+
+    Every month-to-date file contributes the rows of its own date (a column
+    comparison, so any number of files per batch); passports already in the
+    fact, or in an earlier file of the batch, are skipped.
+    """
+    from tallyhawk.streaming.file_stream import FILE_NAME
+
+    def process(batch: DataFrame, epoch_id: int) -> None:
+        rows = batch.filter(F.col("date") == F.col(C.FILE_DATE_COL))
+        first = rows.groupBy("passport_num").agg(
+            F.min(F.struct(F.col("date").alias("entry_dt"), F.col(C.FILE_DATE_COL).alias("fd"), F.col(FILE_NAME).alias("lid"))).alias("_m")
+        )
+        load_ids = [r[0] for r in batch.select(FILE_NAME).distinct().collect()]
+        if not load_ids:
+            return
+        existing = wh.read("fact", "passport_blacklist")
+        if existing is None:
+            existing = wh.spark.createDataFrame([], "passport_num string, load_id string")
+        existing = existing.filter(~F.col(LOAD_ID).isin(load_ids))
+        new = first.join(existing.select("passport_num"), "passport_num", "left_anti").select(
+            F.col("_m.entry_dt").alias("entry_dt"), "passport_num", X.ts_lit(run_ts).alias(C.PROCESSED_COL),
+            F.col("_m.fd").alias(C.FILE_DATE_COL), F.col("_m.lid").alias(LOAD_ID),
+        )
+        wh.write_fact("passport_blacklist", wh.cut(new))
+        days = batch.select(F.col(C.FILE_DATE_COL).alias("date_point")).distinct()
+        wh.append_state("date_points", ST.date_point_rows(days, {"passport_blacklist_flg": 1}))
+
+    return process

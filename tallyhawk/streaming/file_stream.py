@@ -70,3 +70,15 @@ def run_available(
     q = w.start()
     q.awaitTermination()
     return q
+
+
+def terminals_stream(spark: SparkSession, folder: str, archive_dir: str | None = None) -> DataFrame:
+    """Daily full terminal snapshots, one file per micro-batch: snapshots are
+    merged in arrival order, each as of its file date."""
+    return file_stream(spark, folder, "terminals", FS.TERMINAL_SCHEMA, archive_dir, max_files_per_trigger=1)
+
+
+def blacklist_stream(spark: SparkSession, folder: str, archive_dir: str | None = None) -> DataFrame:
+    """Month-to-date blacklist files (date; passport)."""
+    raw = file_stream(spark, folder, "passport_blacklist", FS.BLACKLIST_SCHEMA, archive_dir)
+    return raw.withColumnRenamed("passport", "passport_num")

@@ -253,3 +253,27 @@ def test_schemas(spark):
     assert staged.first()["account_num"] == "A1"
     assert P.KEYS == {"clients": "client_id", "accounts": "account_num", "cards": "card_num"}
     assert P.TRACKED["cards"] == ["account_num"]
+
+
+def test_terminal_and_blacklist_streams(spark, workdir):
+    wh = P.Warehouse(spark, os.path.join(workdir, "wh"))
+    drop = os.path.join(workdir, "drop")
+    os.makedirs(drop)
+    _write_csv(f"{drop}/terminals_01032024.txt", TERM_HEADER, [("T1", "ATM", "Moscow", "a"), ("T2", "POS", "Kazan", "b")])
+    _write_csv(f"{drop}/terminals_05032024.txt", TERM_HEADER, [("T1", "ATM", "Omsk", "a")])
+    FST.run_available(FST.terminals_stream(spark, drop), P.terminals_batch_writer(wh), os.path.join(workdir, "cp_t"))
+    got = sorted((r["terminal_id"], r["terminal_city"], str(r["effective_from"]), str(r["effective_to"]), r["deleted_flg"])
+                 for r in wh.history("terminals").collect())
+    assert got == [
+        ("T1", "Moscow", "2024-03-01", "2024-03-04", "N"), ("T1", "Omsk", "2024-03-05", "9999-12-31", "N"),
+        ("T2", "Kazan", "2024-03-01", "2024-03-04", "N"), ("T2", "Kazan", "2024-03-05", "9999-12-31", "Y"),
+    ]
+    _write_csv(f"{drop}/passport_blacklist_01032024.txt", ["date", "passport"], [("2024-02-28", "OLD"), ("2024-03-01", "A")])
+    _write_csv(f"{drop}/passport_blacklist_02032024.txt", ["date", "passport"],
+               [("2024-02-28", "OLD"), ("2024-03-01", "A"), ("2024-03-02", "A"), ("2024-03-02", "B")])
+    cp_b = os.path.join(workdir, "cp_b")
+    FST.run_available(FST.blacklist_stream(spark, drop), P.blacklist_batch_writer(wh, "2024-03-02 23:00:00"), cp_b)
+    bl = sorted((r["passport_num"], str(r["entry_dt"]), str(r["file_date"])) for r in wh.read("fact", "passport_blacklist").collect())
+    assert bl == [("A", "2024-03-01", "2024-03-01"), ("B", "2024-03-02", "2024-03-02")]
+    states = wh.read("meta", "date_points")
+    assert states.filter(F.col("terminals_flg") == 1).count() == 2 and states.filter(F.col("passport_blacklist_flg") == 1).count() == 2
