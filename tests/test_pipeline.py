@@ -277,3 +277,34 @@ def test_terminal_and_blacklist_streams(spark, workdir):
     assert bl == [("A", "2024-03-01", "2024-03-01"), ("B", "2024-03-02", "2024-03-02")]
     states = wh.read("meta", "date_points")
     assert states.filter(F.col("terminals_flg") == 1).count() == 2 and states.filter(F.col("passport_blacklist_flg") == 1).count() == 2
+
+
+def test_jdbc_delete_then_restore_through_segments(spark, workdir):
+    url, conn = _derby(spark, workdir)
+    _exec(conn, CARDS_DDL, "INSERT INTO cards VALUES ('C1', 'A1', '2024-01-01 10:00:00', NULL)",
+          "INSERT INTO cards VALUES ('C2', 'A2', '2024-01-01 10:00:00', NULL)")
+    wh = P.Warehouse(spark, os.path.join(workdir, "wh"))
+
+    def load(run_ts):
+        changed = J.read_changes(spark, url, "CARDS", P.source_watermark(wh, "cards"), PROPS)
+        changed = changed.toDF(*[c.lower() for c in changed.columns])
+        P.merge_source_table(wh, "cards", changed, J.read_keys(spark, url, "CARDS", "CARD_NUM", PROPS), run_ts)
+
+    load("2024-01-02 00:00:00")
+    _exec(conn, "DELETE FROM cards WHERE card_num = 'C1'")
+    load("2024-01-03 00:00:00")
+    _exec(conn, "INSERT INTO cards VALUES ('C1', 'A9', '2024-01-01 10:00:00', '2024-01-04 08:00:00')")
+    load("2024-01-05 00:00:00")
+    got = sorted((r["card_num"], r["account_num"], r["effective_from"].strftime("%m-%d %H:%M"), r["effective_to"].strftime("%Y-%m-%d %H:%M:%S.%f")[:23], r["deleted_flg"])
+                 for r in wh.history("cards").filter(F.col("card_num") == "C1").collect())
+    assert got == [
+        ("C1", "A1", "01-01 10:00", "2024-01-02 23:59:59.999", "N"),
+        ("C1", "A1", "01-03 00:00", "2024-01-04 07:59:59.999", "Y"),
+        ("C1", "A9", "01-04 08:00", "9999-12-31 00:00:00.000", "N"),
+    ]
+    # each run wrote the versions it closed into its own segment; the open
+    # segment holds exactly one version per key
+    segs = {r["segment"] for r in spark.read.parquet(wh.path("hist", "cards")).select("segment").distinct().collect()}
+    assert segs == {"open", "closed-20240103T000000", "closed-20240105T000000"}
+    assert wh.open_versions("cards").groupBy("card_num").count().filter("count > 1").count() == 0
+    conn.close()
