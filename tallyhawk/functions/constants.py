@@ -12,6 +12,8 @@ Fixed values (must stay as they are for results to match the report format):
   rule 3 default window             1 hour
   rule 4 default window             20 minutes, 3 rejected operations before the success
   file name date pattern            8 digits, day month year (DDMMYYYY)
+  declared text length limits       client_id 10, last_name 20, first_name 20, patronymic 20,
+                                    passport_num 15, phone 16, account_num 20, card_num 20
   source -> warehouse column names  clients: client_id last_name first_name patronymic
                                              date_of_birth passport_num passport_valid_to phone
                                     accounts: account -> account_num, valid_to, client
@@ -72,6 +74,17 @@ SOURCE_COLUMNS = {
     ],
 }
 
+STRING_LIMITS = {
+    "client_id": 10,
+    "last_name": 20,
+    "first_name": 20,
+    "patronymic": 20,
+    "passport_num": 15,
+    "phone": 16,
+    "account_num": 20,
+    "card_num": 20,
+}
+
 CREATE_COL = "create_dt"
 UPDATE_COL = "update_dt"
 

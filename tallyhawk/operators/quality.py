@@ -66,3 +66,25 @@ def validity_violations(hist: DataFrame, key, grain: str = "ms", tiebreak=()) ->
         .when(nxt.isNotNull() & (nxt > X.shift(to, grain, 1)), F.lit("gap"))
     )
     return h.withColumn("issue", issue).filter(F.col("issue").isNotNull()).drop("_next_from")
+
+
+def length_report(df: DataFrame, limits: dict[str, int]) -> DataFrame:
+    """Per constrained text column: longest value, its limit and the number
+    of values over the limit (one aggregate pass)."""
+    aggs = []
+    for c, n in limits.items():
+        aggs += [F.max(F.length(F.col(c))).alias(f"_max_{c}"), F.sum((F.length(F.col(c)) > n).cast("long")).alias(f"_over_{c}")]
+    row = df.agg(*aggs)
+    items = [
+        F.struct(F.lit(c).alias("column_name"), F.col(f"_max_{c}").cast("long").alias("max_length"), F.lit(n).alias("length_limit"),
+                 F.coalesce(F.col(f"_over_{c}"), F.lit(0).cast("long")).alias("n_over"))
+        for c, n in limits.items()
+    ]
+    return row.select(F.explode(F.array(*items)).alias("_s")).select("_s.*")
+
+
+def null_report(df: DataFrame, columns) -> DataFrame:
+    """NULL count of every listed column (one aggregate pass)."""
+    counts = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in columns])
+    items = [F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col(c), F.lit(0).cast("long")).alias("n_nulls")) for c in columns]
+    return counts.select(F.explode(F.array(*items)).alias("_s")).select("_s.*")

@@ -620,3 +620,34 @@ def dq_validity_overlap(spark, d):
 def dq_duplicate_keys(spark, d):
     """O-5 primary key: (key, effective_from) pairs occurring more than once."""
     return Q.duplicate_keys(V.versions(spark, d), ["cust_key", C.FROM_COL])
+
+
+CLIENT_TEXT = ["client_id", "last_name", "first_name", "patronymic", "passport_num", "phone"]
+
+
+@register(
+    "dq_string_length",
+    with_views(" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, max(length({c})) AS max_length, {C.STRING_LIMITS[c]} AS length_limit, "
+        f"count(*) FILTER (WHERE length({c}) > {C.STRING_LIMITS[c]}) AS n_over FROM clients_hist"
+        for c in CLIENT_TEXT
+    )),
+)
+def dq_string_length(spark, d):
+    """O-5 declared text lengths: longest value and violations per column of the client history."""
+    return Q.length_report(V.clients_hist(spark, d), {c: C.STRING_LIMITS[c] for c in CLIENT_TEXT})
+
+
+CLIENT_SRC_COLUMNS = ["client_id", "last_name", "first_name", "patronymic", "date_of_birth", "passport_num",
+                      "passport_valid_to", "phone", "create_dt", "update_dt"]
+
+
+@register(
+    "dq_null_counts",
+    with_views(" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) - count({c}) AS n_nulls FROM clients_src" for c in CLIENT_SRC_COLUMNS
+    )),
+)
+def dq_null_counts(spark, d):
+    """O-5 NOT NULL: NULLs per column of the client source (passport end dates and update times may be NULL)."""
+    return Q.null_report(V.clients_src(spark, d), CLIENT_SRC_COLUMNS)
