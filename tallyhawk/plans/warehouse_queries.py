@@ -651,3 +651,19 @@ CLIENT_SRC_COLUMNS = ["client_id", "last_name", "first_name", "patronymic", "dat
 def dq_null_counts(spark, d):
     """O-5 NOT NULL: NULLs per column of the client source (passport end dates and update times may be NULL)."""
     return Q.null_report(V.clients_src(spark, d), CLIENT_SRC_COLUMNS)
+
+
+@register(
+    "scd2_change_summary",
+    with_views(
+        "SELECT change_action, count(*) AS n_keys FROM ("
+        "SELECT CASE WHEN a.cust_key IS NULL THEN 'INSERT' WHEN b.cust_key IS NULL THEN 'DELETE' "
+        "WHEN a.priority IS DISTINCT FROM b.priority OR a.status IS DISTINCT FROM b.status THEN 'UPDATE' ELSE 'KEEP' END AS change_action "
+        "FROM status_a a FULL OUTER JOIN status_b b ON a.cust_key = b.cust_key) GROUP BY change_action"
+    ),
+)
+def scd2_change_summary(spark, d):
+    """Key classification between two states of a source (insert / update /
+    delete / keep), counted per action."""
+    actions = S.classify_changes(V.status(spark, d, "a"), V.status(spark, d, "b"), "cust_key", STATUS_TRACKED)
+    return actions.groupBy(S.ACTION_COL).agg(F.count(F.lit(1)).alias("n_keys"))
