@@ -72,8 +72,9 @@ def normalize_amount(col, scale: int = 2) -> Column:
 
 
 def file_name_date(col) -> Column:
-    """First 8-digit group of a file name (DDMMYYYY) -> date."""
-    return F.to_date(F.regexp_extract(as_col(col), C.FILE_DATE_REGEX, 1), C.FILE_DATE_FORMAT)
+    """First 8-digit group of a file name (DDMMYYYY) -> date; NULL when the
+    name has none or it is not a valid date (never raises in ANSI mode)."""
+    return F.try_to_date(F.regexp_extract(as_col(col), C.FILE_DATE_REGEX, 1), C.FILE_DATE_FORMAT)
 
 
 def fio(last="last_name", first="first_name", patronymic="patronymic") -> Column:

@@ -410,3 +410,34 @@ def blacklist_batch_writer(wh: Warehouse, run_ts: str):
         wh.append_state("date_points", ST.date_point_rows(days, {"passport_blacklist_flg": 1}))
 
     return process
+
+
+def read_drop_file(spark, path: str, kind: str) -> DataFrame:
+    """Read one dropped file as the DataFrame ``run_date`` expects."""
+    from tallyhawk.sources import files as FS
+
+    if kind == "transactions":
+        return FS.read_transactions_csv(spark, path)
+    if kind == "terminals":
+        return FS.read_snapshot(spark, path)
+    return FS.read_accumulating(spark, path).withColumnRenamed("passport", "passport_num")
+
+
+def run_folder(wh: Warehouse, folder: str, run_ts: str) -> list[dict]:
+    """O-4 over a drop folder: find the dated files, then run every date in
+    chronological order (not by the DDMMYYYY text).  The loop is over file
+    names only; each step is a distributed job.  Dates already done are
+    skipped by their load state, so the folder can be processed repeatedly
+    (e.g. every few minutes by a scheduler)."""
+    from tallyhawk.sources import files as FS
+
+    listing = FS.list_files(wh.spark, folder).select(
+        "name", X.file_name_date("name").alias("d"), FS.file_kind("name").alias("kind")
+    ).filter(F.col("d").isNotNull() & (F.col("kind") != ""))
+    # file metadata of one drop folder (a handful of names per day)
+    names = sorted((r["d"], r["kind"], r["name"]) for r in listing.collect())
+    results = []
+    for day in sorted({d for d, _, _ in names}):
+        files = {kind: read_drop_file(wh.spark, os.path.join(folder, name), kind) for d, kind, name in names if d == day}
+        results.append(run_date(wh, str(day), run_ts, files))
+    return results

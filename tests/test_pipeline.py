@@ -308,3 +308,33 @@ def test_jdbc_delete_then_restore_through_segments(spark, workdir):
     assert segs == {"open", "closed-20240103T000000", "closed-20240105T000000"}
     assert wh.open_versions("cards").groupBy("card_num").count().filter("count > 1").count() == 0
     conn.close()
+
+
+def test_run_folder_processes_dates_in_order(spark, workdir):
+    url, conn = _derby(spark, workdir)
+    _exec(
+        conn, CLIENTS_DDL, ACCOUNTS_DDL, CARDS_DDL,
+        "INSERT INTO clients VALUES ('1', 'Ivanov', 'Ivan', 'I', '1980-01-01', 'P1', '2030-01-01', '+1', '2024-01-01 10:00:00', NULL)",
+        "INSERT INTO accounts VALUES ('A1', '2030-01-01', '1', '2024-01-01 10:00:00', NULL)",
+        "INSERT INTO cards VALUES ('C1', 'A1', '2024-01-01 10:00:00', NULL)",
+    )
+    wh = P.Warehouse(spark, os.path.join(workdir, "wh"))
+    _load_dims(spark, wh, url, "2024-01-02 00:00:00")
+    drop = os.path.join(workdir, "drop")
+    os.makedirs(drop)
+    # 31.03 must be processed before 01.04 although "01042024" < "31032024"
+    _write_csv(f"{drop}/terminals_31032024.txt", TERM_HEADER, [("T1", "ATM", "Moscow", "a"), ("T2", "ATM", "Kazan", "b")])
+    _write_csv(f"{drop}/terminals_01042024.txt", TERM_HEADER, [("T1", "ATM", "Moscow", "a"), ("T2", "ATM", "Perm", "b")])
+    _write_csv(f"{drop}/transactions_31032024.txt", TX_HEADER, [("t1", "2024-03-31 23:50:00", "1", "C1", "PAYMENT", "SUCCESS", "T1")])
+    _write_csv(f"{drop}/transactions_01042024.txt", TX_HEADER, [("t2", "2024-04-01 00:20:00", "1", "C1", "PAYMENT", "SUCCESS", "T2")])
+    _write_csv(f"{drop}/readme.txt", ["x"], [("1",)])
+    flags = P.run_folder(wh, drop, "2024-04-01 06:00:00")
+    assert [f["terminals_flg"] for f in flags] == [1, 1]
+    hist = sorted((r["terminal_id"], r["terminal_city"], str(r["effective_from"])) for r in wh.history("terminals").collect())
+    assert ("T2", "Perm", "2024-04-01") in hist and ("T2", "Kazan", "2024-03-31") in hist
+    rep = [(r["event_type"], r["event_dt"].strftime("%m-%d %H:%M")) for r in wh.report().collect()]
+    assert rep == [(3, "04-01 00:20")]  # Moscow 23:50 -> Perm (terminal moved on 04-01) 00:20
+    # processing the folder again changes nothing
+    P.run_folder(wh, drop, "2024-04-01 07:00:00")
+    assert wh.report().count() == 1 and wh.read("fact", "transactions").count() == 2
+    conn.close()
