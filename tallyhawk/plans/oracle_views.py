@@ -11,7 +11,7 @@ import re
 VIEWS = {
     "tx": """
 SELECT CAST(event_id AS VARCHAR) AS trans_id,
-       date_trunc('millisecond', ts) AS trans_date,
+       ts AS trans_date,
        CAST(value AS DECIMAL(18,2)) AS amt,
        CAST(user_id AS VARCHAR) AS card_num,
        event_type AS oper_type,
