@@ -157,6 +157,22 @@ def _merge(
     return out.select(*keys, "_v.*")
 
 
+def latest_per_key(df: DataFrame, keys: list[str], columns: list[str], order: Column | None = None, order_name: str = "_ord") -> DataFrame:
+    """One row per key: the one with the greatest ``order`` (then the greatest
+    attribute image, so the choice is deterministic).
+
+    A map-side partial aggregate: repeated keys (a change log, a resent
+    snapshot) are combined before the shuffle, and the result is hash
+    partitioned on the keys, which the merge's joins reuse.
+    """
+    fields = ([order.alias(order_name)] if order is not None else []) + [F.col(c).alias(c) for c in columns]
+    agg = df.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("_m"))
+    out = [F.col("_m." + c).alias(c) for c in columns]
+    if order is not None:
+        out.append(F.col("_m." + order_name).alias(order_name))
+    return agg.select(*keys, *out)
+
+
 def _split(hist: DataFrame, grain: str) -> tuple[DataFrame, DataFrame]:
     open_cond = X.is_open(C.TO_COL, grain)
     return hist.filter(open_cond), hist.filter(~open_cond)
@@ -195,7 +211,8 @@ def scd2_merge_snapshot(
     extras = dict(extras or {})
     start = as_of if isinstance(as_of, Column) else (X.date_lit(as_of) if grain == "day" else F.lit(as_of))
     open_rows, closed = _split(hist, grain)
-    s = snapshot.select(*keys, *[F.col(c).alias("_s_" + c) for c in tracked], F.lit(True).alias("_s_present"))
+    snap = latest_per_key(snapshot, keys, tracked)
+    s = snap.select(*keys, *[F.col(c).alias("_s_" + c) for c in tracked], F.lit(True).alias("_s_present"))
     merged = _merge(open_rows, keys, tracked, start, start, grain, extras, with_action, None, s)
     columns = keys + tracked + [C.FROM_COL, C.TO_COL, C.FLAG_COL] + list(extras)
     return merged.unionByName(_passthrough(closed, columns, with_action))
@@ -217,8 +234,9 @@ def scd2_merge_incremental(
     """Merge a change set of a current-state (SCD1) source into a history.
 
     ``changed_rows`` are the source rows changed since the last watermark
-    (key, tracked attributes, create/update time); ``live_keys`` is the full
-    key list of the source, used to detect deletions.  Changed rows whose key
+    (key, tracked attributes, create/update time; several rows per key are
+    allowed, the latest wins); ``live_keys`` is the full key list of the
+    source, used to detect deletions.  Changed rows whose key
     is no longer live are ignored, so a key deleted between the two reads
     only gets its delete marker.
 
@@ -233,10 +251,12 @@ def scd2_merge_incremental(
     extras = {processed_col: run} if processed_col else {}
     open_rows, closed = _split(hist, grain)
     live = live_keys.select(*keys).distinct().withColumn("_live", F.lit(True))
-    staged = changed_rows.select(
+    # the latest change per key (a change set may hold several per key)
+    latest = latest_per_key(changed_rows, keys, tracked, X.validity_start(update_col, create_col), "_start")
+    staged = latest.select(
         *keys,
         *[F.col(c).alias("_s_" + c) for c in tracked],
-        X.validity_start(update_col, create_col).alias("_s_start"),
+        F.col("_start").alias("_s_start"),
         F.lit(True).alias("_s_present"),
     )
     # live keys LEFT staged: staged rows of keys that vanished are dropped;

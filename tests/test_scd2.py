@@ -195,3 +195,15 @@ def test_as_of_and_current(spark):
     at = S.scd2_as_of(h, X.date_lit("2024-02-15"), grain="day")
     assert _rows(at, ["id", "city"]) == [("T1", "C"), ("T3", "E")]
     assert _rows(S.scd2_current(h, grain="day"), ["id", "city"]) == [("T1", "C"), ("T2", "B"), ("T3", "E")]
+
+
+def test_repeated_keys_in_change_set_and_snapshot(spark):
+    # a change log with several changes of one key: the latest wins
+    h = _inc(spark, _empty_inc(spark), [("A", "x", C1, None)], ["A"], R1)
+    log = [("A", "y", C1, "2024-01-01 08:00:00"), ("A", "z", C1, U1), ("A", "w", C1, "2024-01-01 09:00:00")]
+    h = _inc(spark, h, log, ["A", "A"], R2)
+    assert ("A", "z", _t(U1), INF_T, "N") in _rows(h, ICOLS) and h.count() == 2
+    # a snapshot listing a key twice keeps one deterministic version
+    snap = _snap(spark, [("T1", "A"), ("T1", "B"), ("T2", "C")])
+    h2 = S.scd2_merge_snapshot(_empty_terminals(spark), snap, "id", ["city"], D1, grain="day")
+    assert _rows(h2, ["id", "city"]) == [("T1", "B"), ("T2", "C")]
