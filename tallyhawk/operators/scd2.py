@@ -295,10 +295,12 @@ def empty_history(spark, key_types: dict[str, str], tracked_types: dict[str, str
 
 def classify_changes(old: DataFrame, new: DataFrame, key, tracked: Sequence[str]) -> DataFrame:
     """Per key: INSERT (only new), DELETE (only old), UPDATE (tracked attributes
-    differ, null-safe) or KEEP, from one full outer join."""
+    differ, null-safe) or KEEP, from one full outer join (repeated keys are
+    collapsed map-side first)."""
     keys = _keys(key)
-    o = old.select(*keys, *[F.col(c).alias("_o_" + c) for c in tracked], F.lit(True).alias("_o"))
-    n = new.select(*keys, *[F.col(c).alias("_s_" + c) for c in tracked], F.lit(True).alias("_n"))
+    tracked = list(tracked)
+    o = latest_per_key(old, keys, tracked).select(*keys, *[F.col(c).alias("_o_" + c) for c in tracked], F.lit(True).alias("_o"))
+    n = latest_per_key(new, keys, tracked).select(*keys, *[F.col(c).alias("_s_" + c) for c in tracked], F.lit(True).alias("_n"))
     j = o.join(n, keys, "full_outer")
     act = (
         F.when(F.col("_o").isNull(), F.lit(INSERT))
