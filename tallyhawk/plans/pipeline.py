@@ -343,18 +343,23 @@ def transactions_batch_writer(wh: Warehouse, rules=(2, 4)):
     from tallyhawk.streaming.file_stream import FILE_NAME
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        delta = batch.withColumnRenamed(FILE_NAME, LOAD_ID)
-        # the files of one micro-batch: bounded by maxFilesPerTrigger
-        load_ids = [r[0] for r in delta.select(LOAD_ID).distinct().collect()]
-        if not load_ids:
-            return
-        rows = wh.cut(load_transactions_rows(wh, delta, load_ids))
-        wh.write_fact("transactions", rows)
-        lo_hi = delta.agg(F.min(C.FILE_DATE_COL).alias("lo"), F.max(C.FILE_DATE_COL).alias("hi")).first()
-        done = run_rules(wh, (lo_hi["lo"], lo_hi["hi"]), rules)
-        flags = {"transactions_flg": 1, **{f"event_type_{r}_rep": 1 for r in done}}
-        days = delta.select(F.col(C.FILE_DATE_COL).alias("date_point")).distinct()
-        wh.append_state("date_points", ST.date_point_rows(days, flags))
+        # several actions read the batch: keep it for the duration of the
+        # function (lost blocks are recomputed from the batch's files)
+        delta = batch.withColumnRenamed(FILE_NAME, LOAD_ID).persist()
+        try:
+            # the files of one micro-batch: bounded by maxFilesPerTrigger
+            load_ids = [r[0] for r in delta.select(LOAD_ID).distinct().collect()]
+            if not load_ids:
+                return
+            rows = wh.cut(load_transactions_rows(wh, delta, load_ids))
+            wh.write_fact("transactions", rows)
+            lo_hi = delta.agg(F.min(C.FILE_DATE_COL).alias("lo"), F.max(C.FILE_DATE_COL).alias("hi")).first()
+            done = run_rules(wh, (lo_hi["lo"], lo_hi["hi"]), rules)
+            flags = {"transactions_flg": 1, **{f"event_type_{r}_rep": 1 for r in done}}
+            days = delta.select(F.col(C.FILE_DATE_COL).alias("date_point")).distinct()
+            wh.append_state("date_points", ST.date_point_rows(days, flags))
+        finally:
+            delta.unpersist()
 
     return process
 
@@ -366,6 +371,13 @@ def terminals_batch_writer(wh: Warehouse):
     from tallyhawk.streaming.file_stream import FILE_NAME
 
     def process(batch: DataFrame, epoch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            _merge_snapshot_batch(batch)
+        finally:
+            batch.unpersist()
+
+    def _merge_snapshot_batch(batch: DataFrame) -> None:
         # one file per batch (maxFilesPerTrigger=1): its date is one scalar
         row = batch.agg(F.min(C.FILE_DATE_COL).alias("d"), F.countDistinct(FILE_NAME).alias("n")).first()
         if row is None or row["d"] is None:
@@ -390,6 +402,13 @@ def blacklist_batch_writer(wh: Warehouse, run_ts: str):
     from tallyhawk.streaming.file_stream import FILE_NAME
 
     def process(batch: DataFrame, epoch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            _load_blacklist_batch(batch)
+        finally:
+            batch.unpersist()
+
+    def _load_blacklist_batch(batch: DataFrame) -> None:
         rows = batch.filter(F.col("date") == F.col(C.FILE_DATE_COL))
         first = rows.groupBy("passport_num").agg(
             F.min(F.struct(F.col("date").alias("entry_dt"), F.col(C.FILE_DATE_COL).alias("fd"), F.col(FILE_NAME).alias("lid"))).alias("_m")
