@@ -152,7 +152,7 @@ def enrich_transactions(tx: DataFrame, dims: Dimensions, how: str = "left") -> D
 
 
 def enrich_transactions_chain(tx: DataFrame, dims: Dimensions, how: str = "left") -> DataFrame:
-    """The same enrichment as three successive as-of joins (reference form;
+    """The same enrichment as three successive as-of joins (plain form;
     shuffles the fact once per link).  Kept for checks."""
     t = asof_join(tx, _cards(dims), "card_num", "_c_card", "trans_date", "_c_from", "_c_to", how=how)
     t = asof_join(t, _accounts(dims), "_c_account", "_a_account", "trans_date", "_a_from", "_a_to", how=how)
@@ -502,7 +502,7 @@ def fraud_report_by_rule(
     probe_window_seconds: int = C.AMOUNT_PROBE_WINDOW_SECONDS,
     probe_rejects: int = C.AMOUNT_PROBE_REJECTS,
 ) -> DataFrame:
-    """Reference evaluation: the four rule operators one by one (for checks)."""
+    """Plain evaluation: the four rule operators one by one (for checks)."""
     return (
         rule_passport(tx, dims, blacklist, report_days)
         .unionByName(rule_contract(tx, dims, report_days))
