@@ -263,3 +263,16 @@ def test_seed_event_type(spark):
     tx = B.tx(spark, [("t1", f"{D} 12:00:00", 10, "1", "SUCCESS", "A1")])
     rep = R.fraud_report(tx, dims, B.terminals(spark, TERMS), B.blacklist(spark, [("P1", "2024-01-01")]), DAY)
     assert Q.orphans(rep, seed, "event_type", "event_type").count() == 0
+
+
+def test_3i_versions_loaded_after_the_day_are_ignored(spark):
+    # the only version of terminal L was loaded on 03-12, after the operations of 03-10
+    terms = TERMS + [("L", "Z", "2024-03-01", "9999-12-31", "N", "2024-03-12")]
+    got = _rule3(spark, [(f"{D} 10:00:00", "1", "A1"), (f"{D} 10:10:00", "1", "L"), (f"{D} 10:20:00", "1", "B1")], terms)
+    assert got == ["10:20:00.000000"]
+
+
+def test_3j_deleted_terminal_version_is_unknown(spark):
+    terms = TERMS + [("G", "Z", "2020-01-01", "9999-12-31", "Y", "2020-01-01")]
+    got = _rule3(spark, [(f"{D} 10:00:00", "1", "A1"), (f"{D} 10:10:00", "1", "G")], terms)
+    assert got == []
