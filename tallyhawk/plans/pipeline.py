@@ -136,7 +136,10 @@ class Warehouse:
             self._overwrite(rows, [C.FILE_DATE_COL, LOAD_ID], "fact", name)
 
     def write_report(self, report: DataFrame) -> None:
-        self._overwrite(report, ["report_dt", "event_type"], "report", "fraud")
+        # range partitioning: each task writes few (day, type) folders, and a
+        # day holding a huge share of the hits is split over several tasks
+        ranged = report.repartitionByRange("report_dt", "event_type", "event_dt")
+        self._overwrite(ranged, ["report_dt", "event_type"], "report", "fraud")
 
     def append_state(self, name: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(self.path("meta", name))
