@@ -147,6 +147,26 @@ class Warehouse:
     def report(self) -> DataFrame | None:
         return self.read("report", "fraud")
 
+    def _fs(self):
+        sc = self.spark.sparkContext
+        return sc._jvm.org.apache.hadoop.fs.Path, sc._jsc.hadoopConfiguration()
+
+    def segments(self, dim: str) -> list[str]:
+        """Names of the segment folders of a history (folder listing)."""
+        Path, conf = self._fs()
+        root = Path(self.path("hist", dim))
+        fs = root.getFileSystem(conf)
+        if not fs.exists(root):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(root)]
+        return sorted(n.split("=", 1)[1] for n in names if n.startswith(SEGMENT + "="))
+
+    def drop_segments(self, dim: str, segments: list[str]) -> None:
+        Path, conf = self._fs()
+        for seg in segments:
+            p = Path(self.path("hist", dim, f"{SEGMENT}={seg}"))
+            p.getFileSystem(conf).delete(p, True)
+
 
 def _run_id(run_ts: str) -> str:
     return run_ts.replace("-", "").replace(":", "").replace(" ", "T")
@@ -177,6 +197,27 @@ def merge_source_table(wh: Warehouse, table: str, changed: DataFrame, live_keys:
     new_meta.write.mode("overwrite").parquet(wh.path("meta", "load_watermark"))
 
 
+def compact_closed(wh: Warehouse, dim: str, stamp: str) -> str | None:
+    """Rewrite every closed segment of a history as one segment.
+
+    Closed versions never change, so copies are exact and a plain
+    ``dropDuplicates`` makes the step safe to repeat: if it stops after the
+    write, the next compaction reads the old and new segments and writes one
+    clean segment again.  Run it between warehouse runs (readers of the
+    history would briefly see both copies).  Returns the new segment name.
+    """
+    old = [s for s in wh.segments(dim) if s != OPEN_SEGMENT]
+    if len(old) < 2:
+        return None
+    name = f"closed-compact-{stamp}"
+    hist = wh.read("hist", dim)
+    closed = hist.filter(F.col(SEGMENT).isin(old)).drop(SEGMENT).dropDuplicates()
+    out = wh.cut(closed.withColumn(SEGMENT, F.lit(name)))
+    wh._overwrite(out, [SEGMENT], "hist", dim)
+    wh.drop_segments(dim, [s for s in old if s != name])
+    return name
+
+
 def source_watermark(wh: Warehouse, table: str):
     meta = wh.read("meta", "load_watermark")
     return None if meta is None else ST.watermark_lookup(meta, table)

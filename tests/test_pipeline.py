@@ -338,3 +338,22 @@ def test_run_folder_processes_dates_in_order(spark, workdir):
     P.run_folder(wh, drop, "2024-04-01 07:00:00")
     assert wh.report().count() == 1 and wh.read("fact", "transactions").count() == 2
     conn.close()
+
+
+def test_compact_closed_segments(spark, workdir):
+    wh = P.Warehouse(spark, os.path.join(workdir, "wh"))
+    days = ["2024-03-01", "2024-03-02", "2024-03-03", "2024-03-04"]
+    for i, day in enumerate(days):
+        p = os.path.join(workdir, f"terminals_{i}.txt")
+        _write_csv(p, TERM_HEADER, [("T1", "ATM", f"City{i}", "a"), ("T2", "POS", "Kazan", "b")])
+        P.merge_terminals(wh, FS.read_snapshot(spark, p), day)
+    before = sorted(tuple(r) for r in wh.history("terminals").collect())
+    assert len([s for s in wh.segments("terminals") if s != "open"]) == 3
+    assert P.compact_closed(wh, "terminals", "20240305") == "closed-compact-20240305"
+    assert wh.segments("terminals") == ["closed-compact-20240305", "open"]
+    assert sorted(tuple(r) for r in wh.history("terminals").collect()) == before
+    # a repeated compaction (e.g. after a stop between write and delete) stays exact
+    P.merge_terminals(wh, FS.read_snapshot(spark, os.path.join(workdir, "terminals_0.txt")), "2024-03-05")
+    P.compact_closed(wh, "terminals", "20240306")
+    h = wh.history("terminals")
+    assert h.count() == h.dropDuplicates().count() == len(before) + 1
