@@ -28,7 +28,7 @@ def _norm(v):
     if isinstance(v, float):
         return round(v, 6)
     if isinstance(v, decimal.Decimal):
-        return str(v.normalize()) if v == v.to_integral_value() else str(v.normalize())
+        return str(v.normalize())
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, dt.date):
