@@ -10,7 +10,7 @@ Merges touch only the open versions (at most one per key).  Closed versions
 pass through untouched, so the cost of a merge is one shuffle of the open
 versions and the staged rows on the business key, independent of how long
 the history is.  Keep the history partitioned by openness and feed only the
-open part when the history is large (see ``tallyhawk.plans.pipeline``).
+open part when the history is large (see ``tallyhawk.plans.warehouse``).
 """
 
 from __future__ import annotations

@@ -305,7 +305,7 @@ def in_subquery_semi(spark, d):
 )
 def null_validity_sentinel(spark, d):
     """P-10: a passport without end date is valid until technical infinity."""
-    from tallyhawk.plans.pipeline import stage_clients
+    from tallyhawk.plans.warehouse import stage_clients
 
     return stage_clients(V.clients_src(spark, d)).select("client_id", "passport_valid_to")
 

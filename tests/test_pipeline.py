@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tallyhawk.plans import pipeline as P
+from tallyhawk.plans import warehouse as P
 from tallyhawk.sources import files as FS
 from tallyhawk.sources import jdbc as J
 from tallyhawk.streaming import file_stream as FST

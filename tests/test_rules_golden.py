@@ -58,7 +58,7 @@ def test_1e_expired_and_blacklisted_once(spark):
 
 
 def test_1f_null_validity_is_infinite(spark):
-    from tallyhawk.plans.pipeline import stage_clients
+    from tallyhawk.plans.warehouse import stage_clients
 
     dims = B.simple_dims(spark, [("1", "P1", None, "2030-01-01")])
     dims.clients = stage_clients(dims.clients)

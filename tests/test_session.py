@@ -3,7 +3,7 @@
 import os
 import tempfile
 
-from tallyhawk.plans.pipeline import Warehouse
+from tallyhawk.plans.warehouse import Warehouse
 from tallyhawk.session import CLUSTER_CONF, checkpoint_dir, ensure_utc
 
 
