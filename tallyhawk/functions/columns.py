@@ -34,8 +34,15 @@ def as_col(value) -> Column:
 
 
 def trunc_ms(col) -> Column:
-    """Truncate a timestamp to whole milliseconds, keeping timestamp_ntz."""
-    return F.date_trunc("millisecond", as_col(col)).cast("timestamp_ntz")
+    """Truncate a timestamp_ntz to whole milliseconds.
+
+    Pure wall-clock arithmetic (the sub-millisecond part of the seconds field
+    is subtracted), so the session time zone plays no part -- no DST gap can
+    move the value.
+    """
+    c = as_col(col)
+    sub_ms = (F.date_part(F.lit("SECOND"), c) * F.lit(1000000)) % F.lit(1000)
+    return c - F.make_dt_interval(secs=(sub_ms / F.lit(1000000)).cast("decimal(18,6)"))
 
 
 def shift(col, grain: str, steps: int = 1) -> Column:

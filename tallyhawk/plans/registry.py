@@ -6,7 +6,6 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhawk.session import ensure_utc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -18,7 +17,8 @@ def register(name: str, sql: str | None = None):
 
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ensure_utc(spark)
+            # no session settings are changed: every timestamp is
+            # timestamp_ntz and handled as wall-clock time
             return fn(spark, sf_dir)
 
         run.__name__ = fn.__name__
