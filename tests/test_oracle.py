@@ -40,3 +40,17 @@ def test_results_convert_to_pandas(spark):
     for key in KEYS:
         df = E.queries()[key](spark, SF_DIR)
         assert list(df.toPandas().columns) == df.columns
+
+
+def test_queries_do_not_depend_on_the_session_time_zone(spark, con):
+    """Registered queries keep the caller's settings and give the same
+    results in any session time zone (all timestamps are wall-clock)."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        for key in ["rule3_city_hop", "rule4_amount_probe", "scd2_incremental_merge", "discover_file_dates", "fraud_report_daily"]:
+            res = compare(spark, con, SF_DIR, key, E.queries()[key], E.oracle_sql()[key])
+            assert res["ok"], res
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Kolkata"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
