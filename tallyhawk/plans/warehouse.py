@@ -476,14 +476,21 @@ def blacklist_batch_writer(wh: Warehouse, run_ts: str):
 
 
 def read_drop_file(spark, path: str, kind: str) -> DataFrame:
-    """Read one dropped file as the DataFrame ``run_date`` expects."""
+    """Read one dropped file (';'-separated text with a header, or Parquet
+    with the same columns) as the DataFrame ``run_date`` expects."""
     from tallyhawk.sources import files as FS
 
+    ext = os.path.splitext(path)[1].lower()
+    if ext not in (".txt", ".csv", ".parquet"):
+        raise ValueError(f"unsupported file format {ext!r} for {path}: provide CSV or Parquet")
+    fmt = "parquet" if ext == ".parquet" else "csv"
     if kind == "transactions":
+        if fmt == "parquet":
+            return FS.normalize_transactions(spark.read.parquet(path))
         return FS.read_transactions_csv(spark, path)
     if kind == "terminals":
-        return FS.read_snapshot(spark, path)
-    return FS.read_accumulating(spark, path).withColumnRenamed("passport", "passport_num")
+        return FS.read_snapshot(spark, path, fmt)
+    return FS.read_accumulating(spark, path, fmt).withColumnRenamed("passport", "passport_num")
 
 
 def run_folder(wh: Warehouse, folder: str, run_ts: str) -> list[dict]:

@@ -357,3 +357,13 @@ def test_compact_closed_segments(spark, workdir):
     P.compact_closed(wh, "terminals", "20240306")
     h = wh.history("terminals")
     assert h.count() == h.dropDuplicates().count() == len(before) + 1
+
+
+def test_drop_file_formats(spark, workdir):
+    import pytest
+
+    p = os.path.join(workdir, "terminals_01032024.parquet")
+    spark.createDataFrame([("T1", "ATM", "Moscow", "a")], "terminal_id string, terminal_type string, terminal_city string, terminal_address string").write.parquet(p)
+    assert P.read_drop_file(spark, p, "terminals").count() == 1
+    with pytest.raises(ValueError, match="unsupported file format"):
+        P.read_drop_file(spark, os.path.join(workdir, "terminals_01032024.xlsx"), "terminals")
