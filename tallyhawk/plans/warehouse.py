@@ -19,8 +19,9 @@ a restarted daily job) rewrites exactly what it wrote before:
   transactions are partitioned by operation day first, so a daily rule run
   and the load's anti join prune to a few days of the fact;
 * history: the open segment and the segment closed by this run; merges read
-  only ``segment=open`` (partition pruning), closed history is never read or
-  rewritten again;
+  only ``segment=open`` (partition pruning), closed history is never read by
+  a merge (``compact_closed`` folds accumulated closed segments into one
+  between runs);
 * report: the (report_dt, event_type) partitions recomputed from the facts.
 
 Lineage is cut with a reliable ``checkpoint()`` into ``spark.checkpoint.dir``
