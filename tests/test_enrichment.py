@@ -67,3 +67,36 @@ def test_levels_equal_chain(spark):
         # the fixture exercises every level
         assert any(r[3] is not None for r in levels) and any(r[1] is not None and r[3] is None for r in levels)
         assert any(r[1] is None for r in levels)
+
+
+def test_uncovered_parts_brute_force(spark):
+    from tallyhawk.operators.asof import uncovered_parts
+
+    rnd = random.Random(3)
+    us = dt.timedelta(microseconds=1)
+    left, right = [], []
+    for k in range(8):
+        for j in range(rnd.randint(1, 3)):
+            a = BASE + dt.timedelta(hours=rnd.randint(0, 100))
+            left.append((f"k{k}", j, a, a + dt.timedelta(hours=rnd.randint(0, 40), microseconds=rnd.randint(0, 5))))
+        t = BASE - dt.timedelta(hours=10)
+        for _ in range(rnd.randint(0, 4)):  # non-overlapping right intervals of the key
+            s = t + dt.timedelta(hours=rnd.randint(0, 30), microseconds=rnd.randint(0, 3))
+            e = s + dt.timedelta(hours=rnd.randint(0, 20), microseconds=rnd.randint(0, 3))
+            right.append((f"k{k}", s, e))
+            t = e + us
+    L = spark.createDataFrame(left, "k string, lid int, f timestamp_ntz, t timestamp_ntz")
+    R = spark.createDataFrame(right, "rk string, rf timestamp_ntz, rt timestamp_ntz") if right else None
+    got = uncovered_parts(L, R, ["k", "lid"], "k", "rk", "f", "t", "rf", "rt").collect()
+    pieces = {}
+    for r in got:
+        pieces.setdefault((r["k"], r["lid"]), []).append((r["f"], r["t"]))
+    probes = {x + d for (_, _, a, b) in left for x in (a, b) for d in (-us, dt.timedelta(0), us)}
+    probes |= {x + d for (_, a, b) in right for x in (a, b) for d in (-us, dt.timedelta(0), us)}
+    for k, lid, a, b in left:
+        ps = pieces.get((k, lid), [])
+        for t in probes:
+            inside = a <= t <= b and not any(rk == k and rf <= t <= rt for rk, rf, rt in right)
+            assert inside == any(f <= t <= e for f, e in ps), (k, lid, t)
+        ps = sorted(ps)
+        assert all(ps[i][1] < ps[i + 1][0] for i in range(len(ps) - 1))  # disjoint pieces
