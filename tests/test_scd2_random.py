@@ -67,3 +67,26 @@ def test_random_runs_keep_invariants(spark):
             key = lambda t: tuple((x is None, str(x)) for x in t)
             again = sorted((tuple(r[c] for c in cols) for r in S.scd2_close(hist, "id").collect()), key=key)
             assert again == sorted((tuple(r[c] for c in cols) for r in rows), key=key), (seed, run)
+
+
+def test_random_snapshots_keep_invariants(spark):
+    rnd = random.Random(21)
+    hist = S.empty_history(spark, {"id": "string"}, {"v": "string"}, grain="day")
+    ever = set()
+    day0 = dt.date(2024, 3, 1)
+    for i in range(6):
+        day = day0 + dt.timedelta(days=i * rnd.randint(1, 3) + i)
+        snap = {f"t{k}": rnd.choice(["a", "b", None]) for k in range(25) if rnd.random() < 0.7}
+        ever |= set(snap)
+        df = spark.createDataFrame(sorted(snap.items()), "id string, v string")
+        hist = S.scd2_merge_snapshot(hist, df, "id", ["v"], str(day), grain="day").cache()
+        rows = hist.collect()
+        open_rows = [r for r in rows if r["effective_to"] == dt.date(9999, 12, 31)]
+        assert {r["id"]: r["v"] for r in open_rows if r["deleted_flg"] == "N"} == snap, i
+        assert {r["id"] for r in open_rows if r["deleted_flg"] == "Y"} == ever - set(snap), i
+        assert len(open_rows) == len({r["id"] for r in open_rows}), i
+        assert Q.validity_violations(hist, "id", grain="day").count() == 0, i
+        cols = ["id", "v", "effective_from", "effective_to", "deleted_flg"]
+        key = lambda t: tuple((x is None, str(x)) for x in t)
+        again = sorted((tuple(r[c] for c in cols) for r in S.scd2_close(hist, "id", grain="day").collect()), key=key)
+        assert again == sorted((tuple(r[c] for c in cols) for r in rows), key=key), i
