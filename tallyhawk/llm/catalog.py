@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from tallyhawk.llm import exact_dedup, line_frequency, pii, poisson_mix
+from tallyhawk.llm import crf_quality, exact_dedup, langid, line_frequency, ngram_jaccard, pii, poisson_mix, sentencepiece, site_template, threshold_topk
 
 _MODULES = {
+    "op1_site_template": site_template,
+    "op2_crf_quality": crf_quality,
     "op3_pii": pii,
+    "op4_threshold_topk": threshold_topk,
     "op5_line_frequency": line_frequency,
+    "op6_unigram_langid": langid,
     "op7_poisson_mix": poisson_mix,
+    "op8_ngram_jaccard": ngram_jaccard,
+    "op9_sentencepiece": sentencepiece,
     "op10_exact_dedup": exact_dedup,
 }
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,3 +62,41 @@ def sample_labelled(
         .select("sample_id", "sample_label")
         .dropDuplicates(["sample_id"])
     )
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a Parquet table in the shared checkpoint folder, for
+    tables of which later steps read few columns."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(
+            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="llm-cp-")
+        )
+    path = f"{sc.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, root) of every node of the undirected edges (a, b), root being
+    the smallest node reachable: alternating large-star and small-star steps,
+    each a few shuffles of the edges, until the edges no longer change."""
+    edges = cut(
+        links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    )
+    before = None
+    while True:
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        edges = cut(small.union(least.select("a", F.col("m").alias("b"))).distinct())
+        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+        if now == before:
+            break
+        before = now
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    )
