@@ -129,11 +129,11 @@ def block_keys(value: np.ndarray, offsets: np.ndarray, num: int, den: int) -> tu
         content = np.add.reduceat(_mix(v + _C[3]), at)
         keys.append(_mix(content + _mix(part[at] * _C[0] + t[at] * _C[3] + np.uint64(1))))
         owners.append(own[at])
-        filled = np.bincount(own[at], minlength=len(sizes))
+        filled, t_of = np.bincount(own[at], minlength=len(sizes)), tag.astype(np.uint64)[:, None]
         for d in np.flatnonzero(use & (filled <= r_of[tag])):
             here = part[at][own[at] == d].astype(np.int64)
             rest = np.setdiff1d(np.arange(parts_of[tag[d]]), here).astype(np.uint64)
-            keys.append(_mix(_mix(rest * _C[0] + np.uint64(tag[d]) * _C[3] + np.uint64(1))))
+            keys.append(_mix(_mix(rest * _C[0] + t_of[d] * _C[3] + np.uint64(1))))
             owners.append(np.full(len(rest), d))
     if not keys:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
