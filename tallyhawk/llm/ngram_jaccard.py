@@ -4,8 +4,9 @@ A document is the set of its distinct word shingles (64-bit hashes); equal
 sets are one class from the start.  Shingles are hashed into COORDS groups and
 the counts per group are a point.  Two points bound the overlap of their sets
 by the sum of the smaller coordinates, and an R-tree over points bounds it for
-whole subtrees by the largest coordinates below.  Survivors are verified on
-the sets.
+whole subtrees by the largest coordinates below.  Points that pass are bounded
+once more by counts modulo 2 in many more groups (a group of odd difference
+holds a shingle that only one set has).  Survivors are verified on the sets.
 
 So that no task needs all points, the search runs inside blocks that no link
 can miss.  Linked sets of a size band differ in at most r shingles.  Shingles
@@ -39,6 +40,8 @@ from tallyhawk.llm.sentencepiece import runs
 #: Coordinates of a point, members of a leaf or node, points of a sub-block,
 #: partners returned for a point by the first round.
 COORDS, FANOUT, BLOCK, PARTNERS = 64, 16, 2048, 4
+#: Groups whose counts are kept modulo 2.
+BITS = 1024
 _BAND = 1.5
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 
@@ -180,11 +183,12 @@ def signed_documents(df: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
 
 def set_rows(df: DataFrame, k: int) -> DataFrame:
-    """digest, did, n, point (counts per coordinate) and hashes of the texts."""
+    """digest, did, n, point (counts per coordinate), bits (parities) and
+    hashes of the texts."""
 
     def run(batches):
         for batch in batches:
-            for part in runs(batch, "text"):
+            for part in runs(batch, "text", rows=2048):
                 value, offsets = shingle_sets(part.column("text"), k)
                 digests = _digests(value, offsets)
                 sizes = offsets[1:] - offsets[:-1]
@@ -192,18 +196,21 @@ def set_rows(df: DataFrame, k: int) -> DataFrame:
                 points = np.bincount(
                     owner * COORDS + (_mix(value) >> np.uint64(58)).astype(np.int64), minlength=len(sizes) * COORDS
                 )
+                odd = np.bincount(owner * BITS + (_mix(value + _C[1]) % np.uint64(BITS)).astype(np.int64), minlength=len(sizes) * BITS)
+                bits = np.packbits((odd & 1).astype(np.uint8)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(digests, pa.binary()),
                         pa.array([int.from_bytes(d[:8], "little", signed=True) if d else None for d in digests], pa.int64()),
                         pa.array(sizes, pa.int64()),
                         pa.FixedSizeListArray.from_arrays(pa.array(points, pa.int32()), COORDS).cast(pa.list_(pa.int32())),
+                        pa.FixedSizeListArray.from_arrays(pa.array(bits), BITS // 64).cast(pa.list_(pa.int64())),
                         pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(value.view(np.int64))),
                     ],
-                    ["digest", "did", "n", "point", "hashes"],
+                    ["digest", "did", "n", "point", "bits", "hashes"],
                 )
 
-    return df.mapInArrow(run, "digest binary, did bigint, n bigint, point array<int>, hashes array<bigint>")
+    return df.mapInArrow(run, "digest binary, did bigint, n bigint, point array<int>, bits array<bigint>, hashes array<bigint>")
 
 
 class Tree:
@@ -237,18 +244,20 @@ class Tree:
 
 def partners(group: dict, num: int, den: int, most: int) -> tuple[list, list, list]:
     """Pairs (asking, found, whether more were left out) of one sub-block."""
-    asks, roots, digests = group["asks"], group["root"], group["digest"]
-    ask, have = np.flatnonzero(asks), np.flatnonzero(~asks)
+    roots, digests, sizes, bits = group["root"], group["digest"], group["n"], group["bits"]
+    ask, have = np.flatnonzero(group["asks"]), np.flatnonzero(group["has"] & ~group["pivot"])
     a, b, more = [], [], []
     if len(ask) and len(have):
-        tree = Tree(group["point"][have], group["n"][have])
+        tree = Tree(group["point"][have], sizes[have])
         for i in ask:
-            found, bound = tree.search(group["point"][i], group["n"][i], num, den)
+            found, bound = tree.search(group["point"][i], sizes[i], num, den)
             found = have[found]
-            other = (roots[found] != roots[i]) & ~group["pivot"][found]
-            found, bound = found[other], bound[other]
+            both = sizes[i] + sizes[found]
+            apart = np.bitwise_count(bits[found] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            ok = (roots[found] != roots[i]) & ((both - apart) * (num + den) >= 2 * num * both)
+            found, apart = found[ok], apart[ok]
             if len(found):
-                best = np.argsort(-bound, kind="stable")[:most]
+                best = np.argsort(apart, kind="stable")[:most]
                 a += [digests[i]] * len(best)
                 b += list(digests[found[best]])
                 more += [len(found) > most] * len(best)
@@ -263,40 +272,55 @@ def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, de
         return df.select(F.col("digest").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in cols])
 
     near = (
-        pairs.join(side(points, "a", "n", "point"), "a")
-        .join(side(points, "b", "n", "point"), "b")
+        pairs.join(side(points, "a", "n", "point", "bits"), "a")
+        .join(side(points, "b", "n", "point", "bits"), "b")
         .withColumn("need", F.lit(num) * (F.col("n_a") + F.col("n_b")))
     )
     bound = F.aggregate(F.zip_with("point_a", "point_b", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda t, x: t + x)
-    near = near.where(bound * (num + den) >= F.col("need")).select("a", "b", "need")
+    apart = F.aggregate(
+        F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0).cast("long"), lambda t, x: t + x
+    )
+    near = near.where(bound * (num + den) >= F.col("need")).where(
+        (F.col("n_a") + F.col("n_b") - apart) * (num + den) >= 2 * F.col("need")
+    ).select("a", "b", "need")
     both = near.join(side(sets, "a", "hashes"), "a").join(side(sets, "b", "hashes"), "b")
     same = F.size(F.array_intersect("hashes_a", "hashes_b"))
     return both.where(same * (num + den) >= F.col("need")).select("a", "b")
 
 
 def _search_round(blocks: DataFrame, num: int, den: int, most: int) -> DataFrame:
-    """R-tree search inside the blocks (key, digest, n, point, pivot, root,
+    """R-tree search inside the blocks (key, digest, n, point, bits, pivot, root,
     asks): pairs (a, b) of different components and whether some were left out."""
     sized = blocks.join(
         blocks.groupBy("key").agg(F.ceil(F.count("*") / F.lit(float(BLOCK))).cast("int").alias("parts")), "key"
     ).withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    cols = ["key", "digest", "n", "point", "pivot", "root"]
-    asking = sized.where("asks").select(*cols, F.col("part").alias("i"), every.alias("j"), F.lit(True).alias("asks"))
-    having = sized.select(*cols, every.alias("i"), F.col("part").alias("j"), F.lit(False).alias("asks"))
-    dealt = asking.unionByName(having).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    cols = ["key", "digest", "n", "point", "bits", "pivot", "root"]
+    # each sub-block of members meets each sub-block of those that ask
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    whole = sized.where("parts = 1").select(
+        *cols, F.lit(0).alias("i"), F.lit(0).alias("j"), "asks", F.lit(True).alias("has")
+    )
+    split = sized.where("parts > 1")
+    asking = split.where("asks").select(
+        *cols, F.col("part").alias("i"), F.explode(every).alias("j"), F.lit(True).alias("asks"), F.lit(False).alias("has")
+    )
+    having = split.select(
+        *cols, F.explode(every).alias("i"), F.col("part").alias("j"), F.lit(False).alias("asks"), F.lit(True).alias("has")
+    )
+    dealt = whole.unionByName(asking).unionByName(having).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def run(batches):
         held: list[pa.RecordBatch] = []
 
         def answer(parts):
             rows = pa.Table.from_batches(parts).combine_chunks()
-            points = rows.column("point").combine_chunks()
             group = {
-                "asks": rows.column("asks").to_numpy(), "pivot": rows.column("pivot").to_numpy(),
+                "asks": rows.column("asks").to_numpy(), "has": rows.column("has").to_numpy(),
+                "pivot": rows.column("pivot").to_numpy(),
+                "bits": rows.column("bits").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, BITS // 64),
                 "n": rows.column("n").to_numpy(), "root": np.array(rows.column("root").to_pylist(), object),
                 "digest": np.array(rows.column("digest").to_pylist(), object),
-                "point": points.flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDS),
+                "point": rows.column("point").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDS),
             }
             return partners(group, num, den, most)
 
@@ -346,39 +370,35 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
     )
     texts = join_lookup(docs.select("doc_id", "text"), needed.select("doc_id").distinct(), "doc_id", "left_semi", 500_000)
     sets = stored(set_rows(texts.select("text"), k).join(needed.select("digest"), "digest", "left_semi").dropDuplicates(["digest"]))
-    points = sets.select("digest", "did", "n", "point")
-    named = sets.select("did", "digest")
-    star = blocks.where("did <> pivot").select("did", "pivot").distinct()
-    star = star.join(named.withColumnRenamed("digest", "b"), "did").join(
-        named.select(F.col("did").alias("pivot"), F.col("digest").alias("a")), "pivot"
-    ).select("a", "b")
+    points = sets.select("digest", "n", "point", "bits")
+    named = cut(blocks.join(sets.select("did", "digest"), "did").select("key", "c", "digest", (F.col("did") == F.col("pivot")).alias("pivot")))
+    star = named.where("not pivot").select("key", F.col("digest").alias("a")).join(
+        named.where("pivot").select("key", F.col("digest").alias("b")), "key"
+    ).select("a", "b").where("a <> b").distinct()
     links = cut(_verified(star, points, sets, num, den))
+    open_blocks = named.where("c > 2").select("key", "digest", "pivot")
     most = PARTNERS
     while True:
-        found = components(links) if not links.isEmpty() else None
-        placed = blocks.where("c > 2").join(points, "did")
+        found = None if links.isEmpty() else cut(components(links))
         if found is None:
-            placed = placed.withColumn("root", F.col("digest"))
+            placed = open_blocks.withColumn("root", F.col("digest"))
         else:
-            found = cut(found)
-            placed = placed.join(found.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
+            placed = open_blocks.join(found.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
                 "root", F.coalesce("root", "digest")
             )
-        placed = placed.withColumn("is_pivot", F.col("did") == F.col("pivot"))
         spread = (
             placed.groupBy("key")
-            .agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.max(F.when(F.col("is_pivot"), F.col("root"))).alias("home"))
+            .agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.max(F.when(F.col("pivot"), F.col("root"))).alias("home"))
             .where("r0 <> r1")
             .select("key", "home")
         )
-        mixed = cut(
-            placed.join(spread, "key").select(
-                "key", "digest", "n", "point", F.col("is_pivot").alias("pivot"), "root",
-                (~F.col("root").eqNullSafe(F.col("home"))).alias("asks"),
-            )
+        open_blocks = cut(
+            placed.join(spread, "key").select("key", "digest", "pivot", "root", (~F.col("root").eqNullSafe(F.col("home"))).alias("asks"))
         )
-        if mixed.isEmpty():
+        if open_blocks.isEmpty():
             return found
+        mixed = open_blocks.join(points, "digest")
+        open_blocks = open_blocks.select("key", "digest", "pivot")
         pairs = cut(_search_round(mixed, num, den, most))
         new = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         added = cut(_verified(new, points, sets, num, den))

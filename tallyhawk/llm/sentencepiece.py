@@ -193,10 +193,10 @@ def marked_words(texts: pa.Array) -> pa.Array:
     return pc.split_pattern(pc.replace_substring_regex(marked, r"([^ ]) ", rf"\1{sep} "), sep)
 
 
-def runs(batch: pa.RecordBatch, text: str, limit: int = RUN_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about ``limit`` bytes of text."""
+def runs(batch: pa.RecordBatch, text: str, limit: int = RUN_BYTES, rows: int = 8192) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``limit`` bytes of text, ``rows`` rows at most."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes) // limit
+    part = np.cumsum(sizes) // limit + np.arange(len(sizes)) // rows
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
     for a, b in zip(edges, edges[1:]):
         if b > a:
