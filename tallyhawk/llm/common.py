@@ -17,6 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows a task of a derived small table is given at least.
+ROWS_PER_TASK = 20_000
+
+
+def tasks_for(rows: int) -> int:
+    """Tasks for a table of so many rows: they grow with it."""
+    return max(8, -(-rows // ROWS_PER_TASK))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder that
     ``spark.checkpoint.dir`` names (a folder of our own only where it is
@@ -85,16 +94,18 @@ def components(links: DataFrame) -> DataFrame:
     edges = cut(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
+    n = tasks_for(edges.count())  # the edges only get fewer
+    edges = edges.coalesce(n)
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).coalesce(n).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        edges = cut(small.union(least.select("a", F.col("m").alias("b"))).distinct())
-        own = edges.groupBy("a").agg(F.min("b").alias("b"), F.max("b").alias("c"))
+        edges = cut(small.union(least.select("a", F.col("m").alias("b"))).coalesce(n).distinct().coalesce(n))
+        own = edges.groupBy("a").agg(F.min("b").alias("b"), F.max("b").alias("c")).coalesce(n)
         chained = edges.select(F.col("b").alias("a")).distinct().join(own, "a", "left_semi").select("a")
-        if own.where("b <> c").select("a").union(chained).isEmpty():
+        if own.where("b <> c").select("a").union(chained).coalesce(n).isEmpty():
             break
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()

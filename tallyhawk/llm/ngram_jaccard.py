@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhawk.llm.common import components, cut, join_lookup, stored, table
+from tallyhawk.llm.common import components, cut, join_lookup, stored, table, tasks_for
 from tallyhawk.llm.sentencepiece import runs
 
 #: Coordinates of a point, members of a leaf or node, points of a sub-block,
@@ -264,7 +264,7 @@ def partners(group: dict, num: int, den: int, most: int) -> tuple[list, list, li
     return a, b, more
 
 
-def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, den: int, n: int) -> DataFrame:
     """The linked ones of the pairs (a, b) of digests: overlap bound on the
     points first, then the sets."""
 
@@ -273,6 +273,7 @@ def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, de
 
     near = (
         pairs.join(side(points, "a", "n", "point", "bits"), "a")
+        .coalesce(n)
         .join(side(points, "b", "n", "point", "bits"), "b")
         .withColumn("need", F.lit(num) * (F.col("n_a") + F.col("n_b")))
     )
@@ -282,18 +283,18 @@ def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, de
     )
     near = near.where(bound * (num + den) >= F.col("need")).where(
         (F.col("n_a") + F.col("n_b") - apart) * (num + den) >= 2 * F.col("need")
-    ).select("a", "b", "need")
-    both = near.join(side(sets, "a", "hashes"), "a").join(side(sets, "b", "hashes"), "b")
+    ).select("a", "b", "need").coalesce(n)
+    both = near.join(side(sets, "a", "hashes"), "a").coalesce(n).join(side(sets, "b", "hashes"), "b").coalesce(n)
     same = F.size(F.array_intersect("hashes_a", "hashes_b"))
     return both.where(same * (num + den) >= F.col("need")).select("a", "b")
 
 
-def _search_round(blocks: DataFrame, num: int, den: int, most: int) -> DataFrame:
+def _search_round(blocks: DataFrame, num: int, den: int, most: int, n: int) -> DataFrame:
     """R-tree search inside the blocks (key, digest, n, point, bits, pivot, root,
     asks): pairs (a, b) of different components and whether some were left out."""
     sized = blocks.join(
         blocks.groupBy("key").agg(F.ceil(F.count("*") / F.lit(float(BLOCK))).cast("int").alias("parts")), "key"
-    ).withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
+    ).coalesce(n).withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
     cols = ["key", "digest", "n", "point", "bits", "pivot", "root"]
     # each sub-block of members meets each sub-block of those that ask
     every = F.sequence(F.lit(0), F.col("parts") - 1)
@@ -317,7 +318,7 @@ def _search_round(blocks: DataFrame, num: int, den: int, most: int) -> DataFrame
             group = {
                 "asks": rows.column("asks").to_numpy(), "has": rows.column("has").to_numpy(),
                 "pivot": rows.column("pivot").to_numpy(),
-                "bits": rows.column("bits").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, BITS // 64),
+                "bits": rows.column("bits").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, BITS // 64).view(np.uint64),
                 "n": rows.column("n").to_numpy(), "root": np.array(rows.column("root").to_pylist(), object),
                 "digest": np.array(rows.column("digest").to_pylist(), object),
                 "point": rows.column("point").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDS),
@@ -354,7 +355,7 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
     shared = cut(
         keyed.groupBy("key").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).where("lo < hi").select("key")
     )
-    members = cut(join_lookup(keyed, shared, "key", "left_semi", 500_000).distinct())
+    members = cut(keyed.join(shared, "key", "left_semi").distinct())
     # blocks with the same members are searched once
     alike = members.groupBy("key").agg(
         F.count("*").alias("c"), F.bit_xor(F.xxhash64("did")).alias("x"),
@@ -372,10 +373,12 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
     sets = stored(set_rows(texts.select("text"), k).join(needed.select("digest"), "digest", "left_semi").dropDuplicates(["digest"]))
     points = sets.select("digest", "n", "point", "bits")
     named = cut(blocks.join(sets.select("did", "digest"), "did").select("key", "c", "digest", (F.col("did") == F.col("pivot")).alias("pivot")))
+    n = tasks_for(named.count())
+    named = named.coalesce(n)
     star = named.where("not pivot").select("key", F.col("digest").alias("a")).join(
         named.where("pivot").select("key", F.col("digest").alias("b")), "key"
-    ).select("a", "b").where("a <> b").distinct()
-    links = cut(_verified(star, points, sets, num, den))
+    ).select("a", "b").where("a <> b").coalesce(n).distinct().coalesce(n)
+    links = cut(_verified(star, points, sets, num, den, n))
     open_blocks = named.where("c > 2").select("key", "digest", "pivot")
     most = PARTNERS
     while True:
@@ -385,23 +388,24 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
         else:
             placed = open_blocks.join(found.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
                 "root", F.coalesce("root", "digest")
-            )
+            ).coalesce(n)
         spread = (
             placed.groupBy("key")
             .agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.max(F.when(F.col("pivot"), F.col("root"))).alias("home"))
             .where("r0 <> r1")
             .select("key", "home")
+            .coalesce(n)
         )
         open_blocks = cut(
-            placed.join(spread, "key").select("key", "digest", "pivot", "root", (~F.col("root").eqNullSafe(F.col("home"))).alias("asks"))
+            placed.join(spread, "key").select("key", "digest", "pivot", "root", (~F.col("root").eqNullSafe(F.col("home"))).alias("asks")).coalesce(n)
         )
         if open_blocks.isEmpty():
             return found
-        mixed = open_blocks.join(points, "digest")
+        mixed = open_blocks.join(points, "digest").coalesce(n)
         open_blocks = open_blocks.select("key", "digest", "pivot")
-        pairs = cut(_search_round(mixed, num, den, most))
-        new = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        added = cut(_verified(new, points, sets, num, den))
+        pairs = cut(_search_round(mixed, num, den, most, n)).coalesce(n)
+        new = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().coalesce(n)
+        added = cut(_verified(new, points, sets, num, den, n))
         left_out = not pairs.where("more").isEmpty()
         if not added.isEmpty():
             links = cut(added if found is None else added.union(found.select(F.col("node").alias("a"), F.col("root").alias("b"))))
