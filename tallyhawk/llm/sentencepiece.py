@@ -32,7 +32,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Texts of a task are handled in runs of about so many bytes; distinct words
 #: and pairs are remembered across runs up to so many entries.
-RUN_BYTES, WORDS, PAIRS = 4 << 20, 400_000, 1_000_000
+RUN_BYTES, WORDS, PAIRS = 4 << 20, 800_000, 1_000_000
 
 
 @dataclass
@@ -47,6 +47,7 @@ class Model:
     longest: int
     splits: dict[str, tuple[str, str]] = field(default_factory=dict)  # BPE: the last merge that makes a piece
     ranks: dict[str, int] = field(default_factory=dict)  # BPE: order of that merge
+    endings: dict[str, int] = field(default_factory=dict)  # BPE: every ending of a piece -> id, -1 if it is none
 
 
 def load_model(path: str = MODEL, kind: str = "bpe", proto: bytes | None = None) -> Model:
@@ -72,6 +73,11 @@ def load_model(path: str = MODEL, kind: str = "bpe", proto: bytes | None = None)
         for piece, i in ids.items():
             if len(piece) > 1 and (last := _last_merge(piece, ids, scores)):
                 model.splits[piece], model.ranks[piece] = last, order[scores[i]]
+        for piece, i in ids.items():
+            if len(piece) == 1 or piece in model.ranks:
+                for at in range(1, len(piece)):
+                    model.endings.setdefault(piece[at:], -1)
+                model.endings[piece] = i
     return model
 
 
@@ -93,21 +99,34 @@ def _last_merge(piece: str, ids: dict, scores: dict) -> tuple[str, str] | None:
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
 
+#: Number that stands before the first piece, and first number of characters
+#: that are no piece.
+_BEGIN, _OTHER = (1 << 21) - 1, 1 << 19
+
+
 class Encoder:
     """Ids of marked words, with the states of shared prefixes reused."""
 
     def __init__(self, model: Model):
         self.m = model
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.words: dict[str, list[int]] = {}
         self.floor = min(model.scores.values(), default=0.0) - 10.0
-
-    def side_by_side(self, a: str, b: str) -> bool:
-        """Whether BPE leaves a and b apart.  Their merges are undone from the
-        latest back; if what then touches would have been joined before the
-        merge just undone, they would not be apart (an equal rank goes to the
-        pair on the left)."""
-        key = (a, b)
+        self.names = {i: p for p, i in model.ids.items()} | {_BEGIN: ""}
+        self.others: dict[str, int] = {}
+
+    def other(self, char: str) -> int:
+        """Number of a character that is no piece."""
+        n = self.others.setdefault(char, _OTHER + len(self.others))
+        self.names[n] = char
+        return n
+
+    def side_by_side(self, key: int) -> bool:
+        """Whether BPE leaves pieces a and b apart.  Their merges are undone
+        from the latest back; if what then touches would have been joined
+        before the merge just undone, they would not be apart (an equal rank
+        goes to the pair on the left)."""
+        a, b = self.names[key >> 21], self.names[key & _BEGIN]
         ranks, splits = self.m.ranks, self.m.splits
         limit, ok = 1 << 60, True
         while a:
@@ -132,53 +151,59 @@ class Encoder:
         if len(self.words) + len(new) > WORDS:
             self.words = {}
             new = sorted(set(words))
-        step = self._step_bpe if self.m.kind == "bpe" else self._step_unigram
-        # states[d]: (score, start of the last piece, the piece) of the prefix of length d
-        states: list[tuple] = [(0.0, 0, "")]
+        size = max(map(len, new), default=0) + 1
+        step = self._extend_bpe if self.m.kind == "bpe" else self._extend_unigram
+        # of the prefix of length d: its last piece, where that starts, its score
+        last_piece, starts, scores = [_BEGIN] * size, [0] * size, [0.0] * size
         last = ""
         for w in new:
             d, most = 0, min(len(w), len(last))
             while d < most and w[d] == last[d]:
                 d += 1
-            del states[d + 1 :]
-            for end in range(d + 1, len(w) + 1):
-                states.append(step(w, end, states))
+            step(w, d, last_piece, starts, scores)
             last = w
             out, end = [], len(w)
             while end:
-                _, end, piece = states[end]
-                out.append(piece)
-            ids: list[int] = []
-            for piece in reversed(out):
-                i = self.m.ids.get(piece)
-                if i is None:
-                    ids.extend(self.m.byte_ids[b] for b in piece.encode())
-                else:
-                    ids.append(i)
-            self.words[w] = ids
+                out.append(last_piece[end])
+                end = starts[end]
+            out.reverse()
+            if max(out) >= _OTHER:
+                out = [j for i in out for j in ([i] if i < _OTHER else [self.m.byte_ids[b] for b in self.names[i].encode()])]
+            self.words[w] = out
         return self.words
 
-    def _step_bpe(self, w: str, end: int, states: list[tuple]) -> tuple:
-        ranks, pairs = self.m.ranks, self.pairs
-        for start in range(max(0, end - self.m.longest), end):
-            piece = w[start:end]
-            if piece in ranks or start == end - 1:
-                before = states[start][2]
-                ok = pairs.get((before, piece))
-                if ok or (ok is None and self.side_by_side(before, piece)):
-                    return (0.0, start, piece)
-        raise AssertionError(f"no segmentation of {w[:end]!r}")
-
-    def _step_unigram(self, w: str, end: int, states: list[tuple]) -> tuple:
-        best = None
-        for start in range(max(0, end - self.m.longest), end):
-            piece = w[start:end]
-            i = self.m.ids.get(piece)
-            if i is not None or start == end - 1:
-                score = states[start][0] + (self.floor if i is None else self.m.scores[i])
-                if best is None or score > best[0]:
-                    best = (score, start, piece)
-        return best
+    def _extend_bpe(self, w: str, known: int, last_piece: list, starts: list, scores: list) -> None:
+        endings, pairs = self.m.endings.get, self.pairs.get
+        for end in range(known + 1, len(w) + 1):
+            start = end - 1
+            i = endings(w[start:end], -1)
+            if i < 0:
+                i = self.other(w[start])
+            while True:
+                if i >= 0:
+                    key = last_piece[start] << 21 | i
+                    ok = pairs(key)
+                    if ok or (ok is None and self.side_by_side(key)):
+                        last_piece[end], starts[end] = i, start
+                        break
+                start -= 1
+                i = endings(w[start:end]) if start >= 0 else None
+                if i is None:
+                    raise AssertionError(f"no segmentation of {w[:end]!r}")
+
+    def _extend_unigram(self, w: str, known: int, last_piece: list, starts: list, scores: list) -> None:
+        ids, values = self.m.ids, self.m.scores
+        for end in range(known + 1, len(w) + 1):
+            best = None
+            for start in range(max(0, end - self.m.longest), end):
+                i = ids.get(w[start:end])
+                if i is None and start < end - 1:
+                    continue
+                score = scores[start] + (self.floor if i is None else values[i])
+                if best is None or score > best:
+                    best = score
+                    last_piece[end] = self.other(w[start]) if i is None else i
+                    starts[end], scores[end] = start, score
 
 
 def marked_words(texts: pa.Array) -> pa.Array:
