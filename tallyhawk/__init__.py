@@ -7,7 +7,7 @@ evaluates four fraud rules into an idempotent daily report.  Every operator
 takes and returns DataFrames, so Catalyst plans the whole chain.
 """
 
-from tallyhawk.session import checkpoint_dir, ensure_utc, get_session
+from tallyhawk.session import checkpoint_dir, get_session
 
-__all__ = ["get_session", "ensure_utc", "checkpoint_dir"]
+__all__ = ["get_session", "checkpoint_dir"]
 __version__ = "0.1.0"

@@ -23,6 +23,8 @@ list is found with a partial aggregate and broadcast; its size is bounded by
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,49 +38,28 @@ def default_bucket(horizon_seconds: int) -> int:
     return max(86400, int(horizon_seconds))
 
 
-DEFAULT_HOT_ROWS = 1_000_000
-
-
-def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows (at most ``count(df) / hot_rows``)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(
-        key, F.lit(True).alias("_hot")
-    )
-
-
 def with_horizon_buckets(
     df: DataFrame,
     ts: str,
     horizon_seconds: int,
     bucket_seconds: int | None = None,
-    key: str | None = None,
-    hot_rows: int | None = None,
-    hot_source: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``_bucket`` (exploded) and ``_home`` (row belongs to that bucket).
 
-    ``hot_source`` (default ``df``) is where keys are counted; any superset
-    of the rows works (a key may use either bucket size, only consistently),
-    so the raw fact's key column can be counted without recomputing joins.
+    Every key uses the same bucket width, so the plan is the same at every
+    size; a key with a huge share of the rows is spread over its buckets.
     """
     h = int(horizon_seconds)
     size = F.lit(int(bucket_seconds or default_bucket(h)))
-    if key is not None and hot_rows:
-        # size bound: every hot key has > hot_rows rows, so there are at most
-        # count(df) / hot_rows of them
-        src = hot_source if hot_source is not None else df
-        df = df.join(F.broadcast(hot_keys(src.select(key), key, hot_rows)), key, "left")
-        size = F.when(F.col("_hot"), F.lit(max(h, 1))).otherwise(size)
     df = df.withColumn("_size", size)
     home = F.floor(X.epoch_seconds(ts) / F.col("_size"))
     reach = F.floor(X.epoch_seconds(F.col(ts) + F.expr(f"INTERVAL '{h}' SECOND")) / F.col("_size"))
-    out = (
+    return (
         df.withColumn("_home_bucket", home)
         .withColumn(BUCKET, F.explode(F.sequence(F.col("_home_bucket"), reach)))
         .withColumn(HOME, F.col(BUCKET) == F.col("_home_bucket"))
         .drop("_home_bucket", "_size")
     )
-    return out.drop("_hot") if "_hot" in out.columns else out
 
 
 def bucket_window(key: str, ts: str, tiebreak: str) -> Window:
@@ -130,7 +111,10 @@ def next_in_key(df: DataFrame, keys: list[str], order: list[str], values: list[s
     firsts = d.groupBy(*keys, "_nb").agg(F.min(F.struct(*fields)).alias("_first"))
     wk = Window.partitionBy(*keys).orderBy("_nb")
     nxt = firsts.select(*keys, "_nb", F.lead("_first").over(wk).alias("_nf"))
-    d = d.join(nxt, [*keys, "_nb"], "left")
+    # null-safe: rows without a key are one key, as for a window
+    n = nxt.select(*[F.col(c).alias(f"_j_{c}") for c in [*keys, "_nb"]], "_nf")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_j_{c}")) for c in [*keys, "_nb"]])
+    d = d.join(n, same, "left").drop(*[f"_j_{c}" for c in [*keys, "_nb"]])
     for i, v in enumerate(values):
         d = d.withColumn(prefix + v, F.when(F.col("_is_last"), F.col(f"_nf._v{i}")).otherwise(F.col(prefix + v)))
     return d.drop("_nb", "_is_last", "_nf")

@@ -246,14 +246,13 @@ def city_hop_hits(
     report_days=None,
     window_seconds: int = C.CITY_HOP_WINDOW_SECONDS,
     bucket_seconds: int | None = None,
-    hot_rows: int | None = H.DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """Operations whose previous operation of the same card (among those with
     a known terminal city) was at most ``window_seconds`` earlier in another
     city.  Returns trans_id, trans_date, card_num of the second operation."""
     raw = H.report_day_bounds(tx.select("trans_id", "trans_date", "card_num", "terminal"), "trans_date", report_days, window_seconds)
-    t = resolve_terminal_city(raw, terminals)
-    t = H.with_horizon_buckets(t, "trans_date", window_seconds, bucket_seconds, "card_num", hot_rows, raw)
+    t = resolve_terminal_city(raw.where("card_num is not null"), terminals)  # unknown cards are not one card
+    t = H.with_horizon_buckets(t, "trans_date", window_seconds, bucket_seconds)
     w = H.bucket_window("card_num", "trans_date", "trans_id")
     prev_ts = F.lag("trans_date").over(w)
     prev_city = F.lag("city").over(w)
@@ -289,15 +288,15 @@ def amount_probe_hits(
     window_seconds: int = C.AMOUNT_PROBE_WINDOW_SECONDS,
     rejects: int = C.AMOUNT_PROBE_REJECTS,
     bucket_seconds: int | None = None,
-    hot_rows: int | None = H.DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """A successful operation preceded by ``rejects`` rejected operations of
     the same card, amounts strictly falling along the chain, and the first of
     them at most ``window_seconds`` earlier.  The success is reported."""
     t = H.report_day_bounds(
-        tx.select("trans_id", "trans_date", "card_num", "amt", "oper_result"), "trans_date", report_days, window_seconds
+        tx.select("trans_id", "trans_date", "card_num", "amt", "oper_result").where("card_num is not null"),
+        "trans_date", report_days, window_seconds,
     )
-    t = H.with_horizon_buckets(t, "trans_date", window_seconds, bucket_seconds, "card_num", hot_rows)
+    t = H.with_horizon_buckets(t, "trans_date", window_seconds, bucket_seconds)
     w = H.bucket_window("card_num", "trans_date", "trans_id")
     for k in range(1, rejects + 1):
         t = t.withColumn(f"_res{k}", F.lag("oper_result", k).over(w)).withColumn(f"_amt{k}", F.lag("amt", k).over(w))
@@ -389,7 +388,6 @@ def sequence_hits(
     rejects: int = C.AMOUNT_PROBE_REJECTS,
     rules=(3, 4),
     bucket_seconds: int | None = None,
-    hot_rows: int | None = H.DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """Rules 3 and 4 in one window pass over the card's operations.
 
@@ -414,7 +412,7 @@ def sequence_hits(
             & (F.col("_t_file_date") <= F.to_date("trans_date"))
         )
         t = t.join(term, cond, "left").select(*t.columns, F.col("_t_city").alias("city"))
-    t = H.with_horizon_buckets(t, "trans_date", horizon, bucket_seconds, "card_num", hot_rows, raw)
+    t = H.with_horizon_buckets(t, "trans_date", horizon, bucket_seconds)
     w = H.bucket_window("card_num", "trans_date", "trans_id")
     flags = []
     if 3 in rules:
@@ -470,7 +468,6 @@ def fraud_report(
     city_window_seconds: int = C.CITY_HOP_WINDOW_SECONDS,
     probe_window_seconds: int = C.AMOUNT_PROBE_WINDOW_SECONDS,
     probe_rejects: int = C.AMOUNT_PROBE_REJECTS,
-    hot_rows: int | None = H.DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """The selected rules in the report schema.
 
@@ -483,8 +480,7 @@ def fraud_report(
     if r12:
         parts.append(to_report_typed(passport_contract_hits(tx, dims, blacklist, report_days, r12)))
     if r34:
-        hits = sequence_hits(tx, terminals, report_days, city_window_seconds, probe_window_seconds, probe_rejects, r34,
-                             hot_rows=hot_rows)
+        hits = sequence_hits(tx, terminals, report_days, city_window_seconds, probe_window_seconds, probe_rejects, r34)
         parts.append(to_report_typed(enrich_transactions(hits, dims, how="left")))
     out = parts[0]
     for p in parts[1:]:

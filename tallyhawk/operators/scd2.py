@@ -185,6 +185,12 @@ def _passthrough(closed: DataFrame, columns: list[str], with_action: bool) -> Da
     return closed.select(*cols)
 
 
+def _start(update_col: str, create_col: str, grain: str) -> Column:
+    """Version start on the history's grid: whole milliseconds at ms grain."""
+    start = X.validity_start(update_col, create_col)
+    return X.trunc_ms(start) if grain == "ms" else start
+
+
 def scd2_merge_snapshot(
     hist: DataFrame,
     snapshot: DataFrame,
@@ -252,7 +258,7 @@ def scd2_merge_incremental(
     open_rows, closed = _split(hist, grain)
     live = live_keys.select(*keys).distinct().withColumn("_live", F.lit(True))
     # the latest change per key (a change set may hold several per key)
-    latest = latest_per_key(changed_rows, keys, tracked, X.validity_start(update_col, create_col), "_start")
+    latest = latest_per_key(changed_rows, keys, tracked, _start(update_col, create_col, grain), "_start")
     staged = latest.select(
         *keys,
         *[F.col(c).alias("_s_" + c) for c in tracked],
@@ -277,7 +283,7 @@ def scd2_initial(rows: DataFrame, key, tracked: Sequence[str], run_ts, grain: st
     keys = _keys(key)
     run = run_ts if isinstance(run_ts, Column) else X.ts_lit(str(run_ts))
     cols = [F.col(k) for k in keys] + [F.col(c) for c in tracked]
-    cols += [X.validity_start(update_col, create_col).alias(C.FROM_COL), X.infinity(grain).alias(C.TO_COL), F.lit(C.LIVE).alias(C.FLAG_COL)]
+    cols += [_start(update_col, create_col, grain).alias(C.FROM_COL), X.infinity(grain).alias(C.TO_COL), F.lit(C.LIVE).alias(C.FLAG_COL)]
     if processed_col:
         cols.append(run.alias(processed_col))
     return rows.select(*cols)

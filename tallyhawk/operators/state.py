@@ -72,7 +72,8 @@ def advance_watermark(meta: DataFrame, changes: dict[str, DataFrame], schema: st
     new = F.when(F.col("max_update_dt").isNull(), F.col("_new")).when(F.col("_new").isNull(), F.col("max_update_dt")).otherwise(
         F.greatest("max_update_dt", "_new")
     )
-    return j.select(F.lit(schema).alias("schema_name"), "table_name", new.alias("max_update_dt"))
+    others = meta.filter(~F.col("schema_name").eqNullSafe(F.lit(schema))).select("schema_name", "table_name", "max_update_dt")
+    return j.select(F.lit(schema).alias("schema_name"), "table_name", new.alias("max_update_dt")).unionByName(others)
 
 
 # ------------------------------------------------------------------ date points

@@ -103,7 +103,7 @@ SELECT o_custkey AS cust_key, o_orderpriority AS priority,
        o_orderdate AS changed_at
 FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
       FROM orders
-      WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1998-01-01 00:00:00')
+      WHERE o_custkey % 10 <> 3 AND o_orderdate < TIMESTAMP '1998-01-01 00:00:00')
 WHERE rn = 1""",
     "status_b": """
 SELECT o_custkey AS cust_key, o_orderpriority AS priority,
@@ -111,7 +111,7 @@ SELECT o_custkey AS cust_key, o_orderpriority AS priority,
        o_orderdate AS changed_at
 FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
       FROM orders
-      WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1999-01-01 00:00:00')
+      WHERE o_custkey % 10 <> 7)
 WHERE rn = 1""",
     "versions": """
 SELECT o_custkey AS cust_key, o_orderkey AS order_key, o_orderpriority AS priority, o_orderdate AS effective_from

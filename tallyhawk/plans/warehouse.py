@@ -30,6 +30,9 @@ Lineage is cut with a reliable ``checkpoint()`` into ``spark.checkpoint.dir``
 
 from __future__ import annotations
 
+import uuid
+import json
+import datetime as dt
 import os
 from dataclasses import dataclass, field
 
@@ -44,7 +47,6 @@ from tallyhawk.operators import scd2 as S
 from tallyhawk.operators import state as ST
 from tallyhawk.session import checkpoint_dir
 
-SEGMENT = "segment"
 OPEN_SEGMENT = "open"
 LOAD_ID = "load_id"
 TRANS_DAY = "trans_day"
@@ -89,7 +91,6 @@ KEYS = {t: cols[0][1] for t, cols in C.SOURCE_COLUMNS.items()}
 class Warehouse:
     spark: SparkSession
     base: str
-    checkpoint_fallback: str | None = None
     _cp: str | None = field(default=None, init=False)
 
     def path(self, *parts: str) -> str:
@@ -106,7 +107,7 @@ class Warehouse:
     def cut(self, df: DataFrame) -> DataFrame:
         """Materialise ``df`` reliably (survives executor loss) and drop lineage."""
         if self._cp is None:
-            self._cp = checkpoint_dir(self.spark, self.checkpoint_fallback)
+            self._cp = checkpoint_dir(self.spark)
             if self._cp is None:
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         return df.checkpoint(eager=True)
@@ -115,32 +116,103 @@ class Warehouse:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*parts).parquet(self.path(*path)))
 
-    # -- history
+    def _escape(self, name: str) -> str:
+        return self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(name)
+
+    def _replace(self, rows: DataFrame, parts: list[str], covered: str, *path: str) -> None:
+        """Replace exactly the partition folders that match ``covered`` (a
+        glob below the table): those that get rows are overwritten, those
+        that get none any more are removed afterwards."""
+        Path, conf = self._fs()
+        glob = Path(self.path(*path, covered))
+        fs = glob.getFileSystem(conf)
+        before = [st.getPath() for st in (fs.globStatus(glob) or [])]
+        rows = self.cut(rows)
+        # one entry per partition folder written, as many as the run covers
+        written = rows.select(*parts).distinct().collect()
+        kept = {"/".join(f"{c}={self._escape(str(v))}" for c, v in zip(parts, r)) for r in written}
+        self._overwrite(rows, parts, *path)
+        for p in before:
+            if "/".join(p.toString().split("/")[-len(parts):]) not in kept:
+                fs.delete(p, True)
+
+    # -- history: parts are written under new names and become visible when a
+    # manifest naming them is renamed into place; nothing that a reader or an
+    # interrupted run could need is overwritten
+    def manifest(self, dim: str) -> dict:
+        Path, conf = self._fs()
+        root = Path(self.path("hist", dim, "manifest"))
+        fs = root.getFileSystem(conf)
+        names = [st.getPath().getName() for st in fs.listStatus(root)] if fs.exists(root) else []
+        names = sorted(n for n in names if n.endswith(".json"))
+        if not names:
+            return {"version": 0, "open": None, "closed": [], "as_of": None, "before": None}
+        stream = fs.open(Path(root, names[-1]))
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def publish(self, dim: str, manifest: dict) -> None:
+        Path, conf = self._fs()
+        root = Path(self.path("hist", dim, "manifest"))
+        fs = root.getFileSystem(conf)
+        part = Path(root, f"{uuid.uuid4().hex}.part")
+        stream = fs.create(part)
+        stream.write(bytearray(json.dumps(manifest).encode()))
+        stream.close()
+        final = Path(root, f"{manifest['version']:010d}.json")
+        if fs.exists(final) or not fs.rename(part, final):
+            raise RuntimeError(f"another run published version {manifest['version']} of {dim}")
+
+    def _parts(self, dim: str, names: list[str]) -> DataFrame | None:
+        return self.spark.read.parquet(*[self.path("hist", dim, n) for n in names]) if names else None
+
     def open_versions(self, dim: str) -> DataFrame | None:
-        h = self.read("hist", dim)
-        return None if h is None else h.filter(F.col(SEGMENT) == OPEN_SEGMENT).drop(SEGMENT)
+        m = self.manifest(dim)
+        return self._parts(dim, [m["open"]] if m["open"] else [])
 
     def history(self, dim: str) -> DataFrame | None:
-        h = self.read("hist", dim)
-        return None if h is None else h.drop(SEGMENT)
-
-    def write_history(self, dim: str, merged: DataFrame, run_id: str, grain: str) -> None:
-        seg = F.when(X.is_open(C.TO_COL, grain), F.lit(OPEN_SEGMENT)).otherwise(F.lit(f"closed-{run_id}"))
-        self._overwrite(self.cut(merged.withColumn(SEGMENT, seg)), [SEGMENT], "hist", dim)
+        m = self.manifest(dim)
+        return self._parts(dim, ([m["open"]] if m["open"] else []) + m["closed"])
+
+    def write_history(self, dim: str, merged: DataFrame, run_id: str, grain: str, as_of: str | None = None) -> None:
+        m = self.manifest(dim)
+        rows = self.cut(merged)
+        tag = f"{run_id}-{uuid.uuid4().hex[:8]}"
+        is_open = F.coalesce(X.is_open(C.TO_COL, grain), F.lit(False))
+        rows.filter(is_open).write.parquet(self.path("hist", dim, f"open-{tag}"))
+        closed = rows.filter(~is_open)
+        new = [] if closed.isEmpty() else [f"closed-{tag}"]
+        if new:
+            closed.write.parquet(self.path("hist", dim, new[0]))
+        self.publish(dim, {
+            "version": m["version"] + 1, "open": f"open-{tag}", "closed": m["closed"] + new,
+            "as_of": max(filter(None, (m["as_of"], as_of)), default=None), "before": m["open"],
+        })
+        if m["before"]:  # the open part before the last one: no reader starts on it any more
+            self.drop_segments(dim, [m["before"]])
 
     # -- facts, report, state
-    def write_fact(self, name: str, rows: DataFrame) -> None:
+    def write_fact(self, name: str, rows: DataFrame, load_ids: list[str]) -> None:
+        """Replace the rows of the given loads."""
+        day = C.FILE_DATE_COL
         if name == "transactions":
-            rows = rows.withColumn(TRANS_DAY, F.to_date("trans_date"))
-            self._overwrite(rows, [TRANS_DAY, LOAD_ID], "fact", name)
-        else:
-            self._overwrite(rows, [C.FILE_DATE_COL, LOAD_ID], "fact", name)
+            day, rows = TRANS_DAY, rows.withColumn(TRANS_DAY, F.to_date("trans_date"))
+        loads = ",".join(self._escape(i) for i in load_ids)
+        self._replace(rows, [day, LOAD_ID], f"{day}=*/{LOAD_ID}={{{loads}}}", "fact", name)
 
-    def write_report(self, report: DataFrame) -> None:
+    def write_report(self, report: DataFrame, days, rules) -> None:
+        """Replace the report of the evaluated days (all if None) and rules."""
         # range partitioning: each task writes few (day, type) folders, and a
         # day holding a huge share of the hits is split over several tasks
         ranged = report.repartitionByRange("report_dt", "event_type", "event_dt")
-        self._overwrite(ranged, ["report_dt", "event_type"], "report", "fraud")
+        on = "*"
+        if days is not None:
+            first, last = (dt.date.fromisoformat(str(d)) for d in days)
+            on = "{" + ",".join(str(first + dt.timedelta(n)) for n in range((last - first).days + 1)) + "}"
+        types = "{" + ",".join(str(r) for r in rules) + "}"
+        self._replace(ranged, ["report_dt", "event_type"], f"report_dt={on}/event_type={types}", "report", "fraud")
 
     def append_state(self, name: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(self.path("meta", name))
@@ -153,19 +225,22 @@ class Warehouse:
         return sc._jvm.org.apache.hadoop.fs.Path, sc._jsc.hadoopConfiguration()
 
     def segments(self, dim: str) -> list[str]:
-        """Names of the segment folders of a history (folder listing)."""
+        """Published parts of a history: its closed ones and 'open'."""
+        m = self.manifest(dim)
+        return sorted(m["closed"] + ([OPEN_SEGMENT] if m["open"] else []))
+
+    def archive(self, folder: str, archive: str, names: list[str]) -> None:
         Path, conf = self._fs()
-        root = Path(self.path("hist", dim))
-        fs = root.getFileSystem(conf)
-        if not fs.exists(root):
-            return []
-        names = [st.getPath().getName() for st in fs.listStatus(root)]
-        return sorted(n.split("=", 1)[1] for n in names if n.startswith(SEGMENT + "="))
+        target = Path(archive)
+        fs = target.getFileSystem(conf)
+        fs.mkdirs(target)
+        for name in names:
+            fs.rename(Path(folder, name), Path(target, name + ".backup"))
 
     def drop_segments(self, dim: str, segments: list[str]) -> None:
         Path, conf = self._fs()
         for seg in segments:
-            p = Path(self.path("hist", dim, f"{SEGMENT}={seg}"))
+            p = Path(self.path("hist", dim, seg))
             p.getFileSystem(conf).delete(p, True)
 
 
@@ -207,14 +282,13 @@ def compact_closed(wh: Warehouse, dim: str, stamp: str) -> str | None:
     clean segment again.  Run it between warehouse runs (readers of the
     history would briefly see both copies).  Returns the new segment name.
     """
-    old = [s for s in wh.segments(dim) if s != OPEN_SEGMENT]
+    m = wh.manifest(dim)
+    old = m["closed"]
     if len(old) < 2:
         return None
     name = f"closed-compact-{stamp}"
-    hist = wh.read("hist", dim)
-    closed = hist.filter(F.col(SEGMENT).isin(old)).drop(SEGMENT).dropDuplicates()
-    out = wh.cut(closed.withColumn(SEGMENT, F.lit(name)))
-    wh._overwrite(out, [SEGMENT], "hist", dim)
+    wh._parts(dim, old).dropDuplicates().write.mode("overwrite").parquet(wh.path("hist", dim, name))
+    wh.publish(dim, {**m, "version": m["version"] + 1, "closed": [name]})
     wh.drop_segments(dim, [s for s in old if s != name])
     return name
 
@@ -224,15 +298,23 @@ def source_watermark(wh: Warehouse, table: str):
     return None if meta is None else ST.watermark_lookup(meta, table)
 
 
+class LateSnapshot(ValueError):
+    """A full snapshot older than one already merged: merging it would make
+    its state the current one."""
+
+
 def merge_terminals(wh: Warehouse, snapshot: DataFrame, day: str) -> None:
     """M-2: a full terminal snapshot of ``day`` into the DATE-grain history."""
+    newest = wh.manifest("terminals")["as_of"]
+    if newest and day < newest:
+        raise LateSnapshot(f"snapshot of {day} arrived after that of {newest} was merged")
     open_rows = wh.open_versions("terminals")
     if open_rows is None:
         open_rows = S.empty_history(wh.spark, {"terminal_id": "string"}, {c: "string" for c in TERMINAL_TRACKED},
                                     "day", {C.FILE_DATE_COL: "date"})
     merged = S.scd2_merge_snapshot(open_rows, snapshot.select("terminal_id", *TERMINAL_TRACKED), "terminal_id",
                                    TERMINAL_TRACKED, day, grain="day", extras={C.FILE_DATE_COL: X.date_lit(day)})
-    wh.write_history("terminals", merged, day.replace("-", ""), grain="day")
+    wh.write_history("terminals", merged, day.replace("-", ""), grain="day", as_of=day)
 
 
 # ------------------------------------------------------------------ fact loads
@@ -257,7 +339,7 @@ def load_transactions_file(wh: Warehouse, delta: DataFrame, day: str, load_id: s
     """L-1 + K-1: append the new rows of one daily transaction file."""
     load_id = load_id or f"transactions_{day}"
     d = delta.withColumn(C.FILE_DATE_COL, X.date_lit(day)).withColumn(LOAD_ID, F.lit(load_id))
-    wh.write_fact("transactions", wh.cut(load_transactions_rows(wh, d, [load_id])))
+    wh.write_fact("transactions", load_transactions_rows(wh, d, [load_id]), [load_id])
 
 
 def load_blacklist_file(wh: Warehouse, mtd: DataFrame, day: str, run_ts: str, load_id: str | None = None) -> None:
@@ -268,7 +350,7 @@ def load_blacklist_file(wh: Warehouse, mtd: DataFrame, day: str, run_ts: str, lo
         existing = wh.spark.createDataFrame([], "passport_num string, load_id string")
     existing = existing.filter(F.col(LOAD_ID) != load_id)
     rows = L.load_blacklist(existing, mtd, day, run_ts).withColumn(LOAD_ID, F.lit(load_id))
-    wh.write_fact("passport_blacklist", wh.cut(rows))
+    wh.write_fact("passport_blacklist", rows, [load_id])
 
 
 # ------------------------------------------------------------------ rules
@@ -321,7 +403,7 @@ def run_rules(wh: Warehouse, days, rules) -> list[int]:
     report partitions.  Returns the rules actually run."""
     report, done = report_frame(wh, days, rules)
     if report is not None:
-        wh.write_report(report)
+        wh.write_report(report, days, done)
     return done
 
 
@@ -350,31 +432,67 @@ def rules_ready(flags: dict) -> list[int]:
     return todo
 
 
-def run_date(wh: Warehouse, day: str, run_ts: str, files: dict[str, DataFrame]) -> dict:
+def load_dimensions(wh: Warehouse, sources: dict, run_ts: str) -> dict[str, str]:
+    """First step of a run: merge every source table into its history.
+
+    ``sources`` maps clients / accounts / cards to (changed rows, live keys)
+    or to a function of the stored watermark that returns them.  A table that
+    fails doesn't stop the others; returns the errors by table.
+    """
+    errors = {}
+    for name, source in sources.items():
+        try:
+            changed, live = source(source_watermark(wh, name)) if callable(source) else source
+            merge_source_table(wh, name, changed, live, run_ts)
+        except Exception as exc:  # the step failed: reported, the next run retries it
+            errors[name] = repr(exc)[:500]
+    return errors
+
+
+def run_date(wh: Warehouse, day: str, run_ts: str, files: dict) -> dict:
     """O-4: load what arrived for ``day`` and run the rules that became possible.
 
     ``files`` maps 'terminals' / 'transactions' / 'passport_blacklist' to the
-    DataFrame read from that day's file.  Each step runs at most once per day
-    (load-state flags); a step that fails raises, its flag stays 0 and the
-    next run retries it.  Returns the new flags (also appended to the state).
+    DataFrame of that day's file, loaded at most once per day (load-state
+    flags), or to a list of (file name, DataFrame): each is loaded under its
+    name, and rules already run for the day are run again on the fuller data.
+    A step that fails raises, its flag stays 0 and the next run retries it.
+    Returns the new flags (also appended to the state).
     """
     flags = day_state(wh, day)
-    if "terminals" in files and not flags["terminals_flg"]:
-        merge_terminals(wh, files["terminals"], day)
-        flags["terminals_flg"] = 1
-    if "transactions" in files and not flags["transactions_flg"]:
-        load_transactions_file(wh, files["transactions"], day)
-        flags["transactions_flg"] = 1
-    if "passport_blacklist" in files and not flags["passport_blacklist_flg"]:
-        load_blacklist_file(wh, files["passport_blacklist"], day, run_ts)
-        flags["passport_blacklist_flg"] = 1
-    for r in run_rules(wh, (day, day), rules_ready(flags)):
+    again = False
+    for kind in ("terminals", "transactions", "passport_blacklist"):
+        given = files.get(kind, [])
+        for name, rows in given if isinstance(given, list) else [(None, given)]:
+            if name is None and flags[f"{kind}_flg"]:
+                continue
+            if kind == "terminals":
+                merge_terminals(wh, rows, day)
+            elif kind == "transactions":
+                load_transactions_file(wh, rows, day, name)
+            else:
+                load_blacklist_file(wh, rows, day, run_ts, name)
+            flags[f"{kind}_flg"] = 1
+            again = again or name is not None
+    open_rules = {**flags, **{f: 0 for f in ST.RULE_FLAGS}} if again else flags
+    for r in run_rules(wh, (day, day), rules_ready(open_rules)):
         flags[f"event_type_{r}_rep"] = 1
     row = wh.spark.createDataFrame([(day,)], "d string").select(F.col("d").cast("date").alias("date_point"))
     wh.append_state("date_points", ST.date_point_rows(row, flags))
     return flags
 
 
+def run_ready(wh: Warehouse, days: list, rules) -> None:
+    """Run those of ``rules`` whose inputs have arrived, for each of a few days
+    (again where they had run: an input has changed)."""
+    for day in map(str, days):
+        flags = {**day_state(wh, day), **{f"event_type_{r}_rep": 0 for r in rules}}
+        done = run_rules(wh, (day, day), [r for r in rules_ready(flags) if r in rules])
+        if done:
+            row = wh.spark.createDataFrame([(day,)], "d string").select(F.col("d").cast("date").alias("date_point"))
+            wh.append_state("date_points", ST.date_point_rows(row, {f"event_type_{r}_rep": 1 for r in done}))
+
+
 # ------------------------------------------------------------------ streamed files
 
 
@@ -396,13 +514,14 @@ def transactions_batch_writer(wh: Warehouse, rules=(2, 4)):
             load_ids = [r[0] for r in delta.select(LOAD_ID).distinct().collect()]
             if not load_ids:
                 return
-            rows = wh.cut(load_transactions_rows(wh, delta, load_ids))
-            wh.write_fact("transactions", rows)
+            wh.write_fact("transactions", load_transactions_rows(wh, delta, load_ids), load_ids)
             lo_hi = delta.agg(F.min(C.FILE_DATE_COL).alias("lo"), F.max(C.FILE_DATE_COL).alias("hi")).first()
             done = run_rules(wh, (lo_hi["lo"], lo_hi["hi"]), rules)
             flags = {"transactions_flg": 1, **{f"event_type_{r}_rep": 1 for r in done}}
             days = delta.select(F.col(C.FILE_DATE_COL).alias("date_point")).distinct()
             wh.append_state("date_points", ST.date_point_rows(days, flags))
+            # a batch has at most maxFilesPerTrigger file days
+            run_ready(wh, [r[0] for r in days.collect()], [r for r in (1, 3) if r not in rules])
         finally:
             delta.unpersist()
 
@@ -433,6 +552,7 @@ def terminals_batch_writer(wh: Warehouse):
         merge_terminals(wh, batch.select("terminal_id", *TERMINAL_TRACKED), day)
         days = batch.select(F.col(C.FILE_DATE_COL).alias("date_point")).distinct()
         wh.append_state("date_points", ST.date_point_rows(days, {"terminals_flg": 1}))
+        run_ready(wh, [day], [3])
 
     return process
 
@@ -469,9 +589,10 @@ def blacklist_batch_writer(wh: Warehouse, run_ts: str):
             F.col("_m.entry_dt").alias("entry_dt"), "passport_num", X.ts_lit(run_ts).alias(C.PROCESSED_COL),
             F.col("_m.fd").alias(C.FILE_DATE_COL), F.col("_m.lid").alias(LOAD_ID),
         )
-        wh.write_fact("passport_blacklist", wh.cut(new))
+        wh.write_fact("passport_blacklist", new, load_ids)
         days = batch.select(F.col(C.FILE_DATE_COL).alias("date_point")).distinct()
         wh.append_state("date_points", ST.date_point_rows(days, {"passport_blacklist_flg": 1}))
+        run_ready(wh, [r[0] for r in days.collect()], [1])
 
     return process
 
@@ -494,21 +615,47 @@ def read_drop_file(spark, path: str, kind: str) -> DataFrame:
     return FS.read_accumulating(spark, path, fmt).withColumnRenamed("passport", "passport_num")
 
 
-def run_folder(wh: Warehouse, folder: str, run_ts: str) -> list[dict]:
-    """O-4 over a drop folder: find the dated files, then run every date in
-    chronological order (not by the DDMMYYYY text).  The loop is over file
-    names only; each step is a distributed job.  Dates already done are
-    skipped by their load state, so the folder can be processed repeatedly
-    (e.g. every few minutes by a scheduler)."""
+def run_folder(wh: Warehouse, folder: str, run_ts: str, sources: dict | None = None, archive: str | None = None) -> list[dict]:
+    """O-4 over a drop folder: load the dimensions, find the dated files not
+    loaded yet, and run every date in chronological order (not by the DDMMYYYY
+    text).  Every file of a kind and day is loaded, also one that arrives
+    later; files, not days, are registered as loaded (``meta/files``).  A file
+    or day that fails is reported in its result under 'error' and doesn't stop
+    the others; the next run retries it.  With ``archive``, loaded files are
+    moved there under their name with '.backup'.  The loops are over new file
+    names only; each step is a distributed job."""
     from tallyhawk.sources import files as FS
 
+    results = []
+    failed = load_dimensions(wh, sources, run_ts) if sources else {}
+    if failed:
+        results.append({"error": failed})
     listing = FS.list_files(wh.spark, folder).select(
         "name", X.file_name_date("name").alias("d"), FS.file_kind("name").alias("kind")
     ).filter(F.col("d").isNotNull() & (F.col("kind") != ""))
-    # file metadata of one drop folder (a handful of names per day)
+    loaded = wh.read("meta", "files")
+    if loaded is not None:
+        listing = listing.join(loaded.select("name"), "name", "left_anti")
     names = sorted((r["d"], r["kind"], r["name"]) for r in listing.collect())
-    results = []
     for day in sorted({d for d, _, _ in names}):
-        files = {kind: read_drop_file(wh.spark, os.path.join(folder, name), kind) for d, kind, name in names if d == day}
-        results.append(run_date(wh, str(day), run_ts, files))
+        files: dict[str, list] = {}
+        errors = {}
+        for d, kind, name in names:
+            if d == day:
+                try:
+                    files.setdefault(kind, []).append((name, read_drop_file(wh.spark, os.path.join(folder, name), kind)))
+                except Exception as exc:
+                    errors[name] = repr(exc)[:500]
+        files = {k: v for k, v in files.items() if v}
+        result: dict = {}
+        if files:
+            try:
+                result = run_date(wh, str(day), run_ts, files)
+                done = [(name, str(day)) for given in files.values() for name, _ in given]
+                wh.append_state("files", wh.spark.createDataFrame(done, "name string, day string"))
+                if archive:
+                    wh.archive(folder, archive, [name for name, _ in done])
+            except Exception as exc:
+                errors[str(day)] = repr(exc)[:500]
+        results.append({**result, "error": errors} if errors else result)
     return results

@@ -127,7 +127,7 @@ def open_as_null_sql(body: str) -> str:
 # --------------------------------------------------------------------------
 # SCD2: incremental merges of a changing source (timestamp grain, 1 ms)
 
-R1, R2 = "1998-01-01 00:00:00", "1999-01-01 00:00:00"
+R1, R2 = "1998-01-01 00:00:00", "2002-01-01 00:00:00"
 STATUS_TRACKED = ["priority", "status"]
 
 

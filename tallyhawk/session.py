@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 # Settings every job of the library relies on.  AQE re-plans joins from the
@@ -65,17 +63,10 @@ def get_session(
     return spark
 
 
-def ensure_utc(spark: SparkSession) -> None:
-    """Pin the session time zone to UTC (timestamp_ntz round trips exactly)."""
-    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared file system folder and is used
-    as is.  Only when it is unset (local tests) is ``fallback`` installed.
+    None where it is unset (tests set it themselves).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -87,8 +78,4 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if fallback:
-        os.makedirs(fallback, exist_ok=True)
-        sc.setCheckpointDir(fallback)
-        return sc.getCheckpointDir()
     return None

@@ -29,7 +29,7 @@ def file_stream(
     schema,
     archive_dir: str | None = None,
     sep: str = ";",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = 100,
 ) -> DataFrame:
     """Stream the CSV files named ``<prefix>_DDMMYYYY*`` in ``folder``.
 
@@ -43,9 +43,7 @@ def file_stream(
     )
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = reader.csv(folder)
+    df = reader.option("maxFilesPerTrigger", str(max_files_per_trigger)).csv(folder)
     return df.withColumn(FILE_NAME, F.col("_metadata.file_name")).withColumn(
         "file_date", X.file_name_date(F.col(FILE_NAME))
     )

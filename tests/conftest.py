@@ -10,11 +10,11 @@ sys.path.insert(0, ROOT)
 
 @pytest.fixture(scope="session")
 def spark():
-    from tallyhawk.session import checkpoint_dir, get_session
+    from tallyhawk.session import get_session
 
     s = get_session("local[4]", app="tallyhawk-tests", shuffle_partitions=4)
     # tests only: the checkpoint folder is unset locally, so give it one
-    checkpoint_dir(s, tempfile.mkdtemp(prefix="th-cp-"))
+    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="th-cp-"))
     yield s
     s.stop()
 

@@ -111,8 +111,7 @@ def test_fused_report_equals_rule_by_rule(spark):
         return sorted(tuple(r[c] for c in cols) for r in df.collect())
 
     for days in (None, (dt.date(2023, 11, 15), dt.date(2023, 11, 15))):
-        # hot_rows=50 forces the hot-card path for the busy card
-        fused = R.fraud_report(tx, dims, terms, bl, days, probe_window_seconds=86400, hot_rows=50)
+        fused = R.fraud_report(tx, dims, terms, bl, days, probe_window_seconds=86400)
         single = R.fraud_report_by_rule(tx, dims, terms, bl, days, probe_window_seconds=86400)
         got = rows(fused)
         assert got == rows(single)
@@ -123,9 +122,9 @@ def test_fused_report_equals_rule_by_rule(spark):
 def test_hot_card_path_matches_brute_force(spark):
     tx = _tx(spark, _random_ops(6)).cache()
     terms = B.terminals(spark, TERMS)
-    got = sorted(r["trans_id"] for r in R.city_hop_hits(tx, terms, None, 3600, hot_rows=50).collect())
+    got = sorted(r["trans_id"] for r in R.city_hop_hits(tx, terms, None, 3600).collect())
     assert got == _brute_city(tx, terms, 3600)
-    got = sorted(r["trans_id"] for r in R.amount_probe_hits(tx, None, 86400, 3, hot_rows=50).collect())
+    got = sorted(r["trans_id"] for r in R.amount_probe_hits(tx, None, 86400, 3).collect())
     assert got == _brute_probe(tx, 86400)
 
 

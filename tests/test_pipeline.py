@@ -4,6 +4,8 @@ over CSV files, idempotent reruns and the streamed file source."""
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tallyhawk.plans import warehouse as P
@@ -304,8 +306,8 @@ def test_jdbc_delete_then_restore_through_segments(spark, workdir):
     ]
     # each run wrote the versions it closed into its own segment; the open
     # segment holds exactly one version per key
-    segs = {r["segment"] for r in spark.read.parquet(wh.path("hist", "cards")).select("segment").distinct().collect()}
-    assert segs == {"open", "closed-20240103T000000", "closed-20240105T000000"}
+    segs = [x.rsplit("-", 1)[0] for x in wh.segments("cards") if x != "open"]
+    assert segs == ["closed-20240103T000000", "closed-20240105T000000"]
     assert wh.open_versions("cards").groupBy("card_num").count().filter("count > 1").count() == 0
     conn.close()
 
@@ -367,3 +369,55 @@ def test_drop_file_formats(spark, workdir):
     assert P.read_drop_file(spark, p, "terminals").count() == 1
     with pytest.raises(ValueError, match="unsupported file format"):
         P.read_drop_file(spark, os.path.join(workdir, "terminals_01032024.xlsx"), "terminals")
+
+
+def test_corrected_snapshot_of_a_day_keeps_closed_versions(spark, workdir):
+    wh = P.Warehouse(spark, os.path.join(workdir, "wh"))
+
+    def snap(*rows):
+        return spark.createDataFrame([(t, "ATM", c, "a") for t, c in rows], "terminal_id string, terminal_type string, terminal_city string, terminal_address string")
+
+    P.merge_terminals(wh, snap(("A", "c1"), ("B", "c1")), "2024-03-01")
+    P.merge_terminals(wh, snap(("A", "c2"), ("B", "c1")), "2024-03-05")
+    P.merge_terminals(wh, snap(("A", "c2"), ("B", "c9")), "2024-03-05")
+    got = {(r["terminal_id"], r["terminal_city"], str(r["effective_from"])) for r in wh.history("terminals").collect()}
+    assert {("A", "c1", "2024-03-01"), ("A", "c2", "2024-03-05"), ("B", "c9", "2024-03-05")} <= got
+    with pytest.raises(P.LateSnapshot):
+        P.merge_terminals(wh, snap(("A", "old")), "2024-03-02")
+    # a run that stops before it publishes leaves readers on the old version
+    before = sorted(map(tuple, wh.history("terminals").collect()))
+    publish = P.Warehouse.publish
+    try:
+        P.Warehouse.publish = lambda *a: (_ for _ in ()).throw(RuntimeError("stopped"))
+        with pytest.raises(RuntimeError):
+            P.merge_terminals(wh, snap(("A", "c3")), "2024-03-06")
+    finally:
+        P.Warehouse.publish = publish
+    assert sorted(map(tuple, wh.history("terminals").collect())) == before
+    P.merge_terminals(wh, snap(("A", "c3")), "2024-03-06")
+    assert ("A", "c3") in {(r["terminal_id"], r["terminal_city"]) for r in wh.history("terminals").collect()}
+
+
+def test_report_rerun_without_hits_leaves_no_rows(spark, workdir):
+    wh = P.Warehouse(spark, os.path.join(workdir, "wh"))
+    row = spark.sql("select date'2024-03-01' report_dt, 2 event_type, timestamp_ntz'2024-03-01 10:00:00' event_dt, 'p' passport")
+    other = spark.sql("select date'2024-03-01' report_dt, 4 event_type, timestamp_ntz'2024-03-01 11:00:00' event_dt, 'q' passport")
+    wh.write_report(row.union(other), ("2024-03-01", "2024-03-01"), [2, 4])
+    wh.write_report(row.limit(0), ("2024-03-01", "2024-03-01"), [2])
+    assert [r["passport"] for r in wh.report().collect()] == ["q"]
+
+
+def test_run_folder_loads_every_file_of_a_day(spark, workdir):
+    wh = P.Warehouse(spark, os.path.join(workdir, "wh"))
+    drop, archive = os.path.join(workdir, "drop"), os.path.join(workdir, "archive")
+    os.makedirs(drop)
+    _write_csv(f"{drop}/transactions_01032024.txt", TX_HEADER, [("t1", "2024-03-01 10:00:00", "1", "C1", "PAYMENT", "SUCCESS", "T1")])
+    _write_csv(f"{drop}/transactions_01032024_part2.txt", TX_HEADER, [("t2", "2024-03-01 11:00:00", "1", "C1", "PAYMENT", "SUCCESS", "T1")])
+    _write_csv(f"{drop}/transactions_29022024.xlsx", TX_HEADER, [("t0", "2024-02-29 11:00:00", "1", "C1", "PAYMENT", "SUCCESS", "T1")])
+    first = P.run_folder(wh, drop, "2024-03-02 00:00:00", archive=archive)
+    assert any("error" in r for r in first)  # the unreadable file is reported, the other day still ran
+    assert {r["trans_id"] for r in wh.read("fact", "transactions").collect()} == {"t1", "t2"}
+    assert any("transactions_01032024.txt.backup" in n for n in os.listdir(archive))
+    _write_csv(f"{drop}/transactions_01032024_late.txt", TX_HEADER, [("t3", "2024-03-01 12:00:00", "1", "C1", "PAYMENT", "SUCCESS", "T1")])
+    P.run_folder(wh, drop, "2024-03-03 00:00:00", archive=archive)
+    assert {r["trans_id"] for r in wh.read("fact", "transactions").collect()} == {"t1", "t2", "t3"}

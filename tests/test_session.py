@@ -1,19 +1,13 @@
 """Session helpers: UTC pinning and the shared checkpoint folder."""
 
 import os
-import tempfile
 
 from tallyhawk.plans.warehouse import Warehouse
-from tallyhawk.session import CLUSTER_CONF, checkpoint_dir, ensure_utc
+from tallyhawk.session import CLUSTER_CONF, checkpoint_dir
 
 
-def test_checkpoint_dir_prefers_the_session_setting(spark):
-    current = spark.sparkContext.getCheckpointDir()
-    assert current  # conftest installed a fallback because none was configured
-    # an already configured folder is kept, a fallback is not applied over it
-    other = tempfile.mkdtemp(prefix="th-other-")
-    assert checkpoint_dir(spark, other) == current
-    assert not os.listdir(other)
+def test_checkpoint_dir_is_the_session_setting(spark):
+    assert checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
 
 
 def test_warehouse_cut_uses_reliable_checkpoints(spark, workdir):
@@ -24,9 +18,3 @@ def test_warehouse_cut_uses_reliable_checkpoints(spark, workdir):
     plan = cut._jdf.queryExecution().logical().toString()
     assert "LogicalRDD" in plan  # lineage replaced by the checkpointed data
     assert "spark.checkpoint.dir" not in CLUSTER_CONF  # never hard-coded: the cluster names it
-
-
-def test_ensure_utc(spark):
-    spark.conf.set("spark.sql.session.timeZone", "Europe/Moscow")
-    ensure_utc(spark)
-    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
