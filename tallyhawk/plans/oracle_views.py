@@ -108,7 +108,7 @@ WHERE rn = 1""",
     "status_b": """
 SELECT o_custkey AS cust_key, o_orderpriority AS priority,
        CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS status,
-       o_orderdate AS changed_at
+       CASE WHEN o_custkey % 10 = 3 THEN greatest(o_orderdate, TIMESTAMP '1998-01-01 00:00:00') ELSE o_orderdate END AS changed_at
 FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
       FROM orders
       WHERE o_custkey % 10 <> 7)

@@ -249,7 +249,11 @@ def status(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
         F.col("o_custkey").alias("cust_key"),
         F.col("_m.o_orderpriority").alias("priority"),
         F.when(F.col("_m.o_orderstatus") == "P", F.lit(None).cast("string")).otherwise(F.col("_m.o_orderstatus")).alias("status"),
-        F.col("_m.o_orderdate").alias("changed_at"),
+        # a customer new in state b enters the source after the cut
+        F.when(
+            F.lit(which == "b") & (F.col("o_custkey") % 10 == STATUS_MISSING["a"]),
+            F.greatest(F.col("_m.o_orderdate"), X.ts_lit(f"{STATUS_CUT} 00:00:00")),
+        ).otherwise(F.col("_m.o_orderdate")).alias("changed_at"),
     )
 
 
