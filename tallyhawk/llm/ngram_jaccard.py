@@ -68,7 +68,7 @@ def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     counts = np.bincount(doc, minlength=n)
     size = len(h)
     s = h.copy()
-    for j in range(1, k):
+    for j in range(1, k if size >= k else 1):
         s[: size - j] = _mix(s[: size - j] * _C[0] + h[j:])
     whole = np.zeros(max(0, size - k + 1), bool)
     if size >= k:

@@ -1,0 +1,289 @@
+"""Operators of the llm package against SQL, brute force, round trips and
+held-out accuracy, and on nulls, empty texts and tables, ties, repeated rows
+and clashing column names."""
+
+import hashlib
+import math
+import re
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tallyhawk.llm import (
+    catalog, common, crf_quality, exact_dedup, langid, line_frequency, ngram_jaccard, pii, poisson_mix, sentencepiece,
+    site_template, threshold_topk,
+)
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, keep_id string, norm string"
+ROWS = [
+    (1, "a  b", "en", "s", 4, "x", "y"), (2, "ab", "en", "s", 2, "x", "y"), (3, "a b\n", "en", "t", 4, "x", "y"),
+    (3, "a b\n", "en", "t", 4, "x", "y"), (None, None, None, None, None, None, None), (5, "", "en", "s", 0, "x", "y"),
+    (6, "word " * 5000, "en", "s", 25000, "x", "y"),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ROWS, DOCS)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
+def test_same_as_sql(spark, name):
+    from tests.oracle_compare import compare, duck
+
+    result = compare(spark, duck(SF), SF, name, catalog.QUERIES[name], catalog.ORACLE[name])
+    assert result["ok"], result
+
+
+def test_exact_dedup_edges(odd, none):
+    got = {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.exact_dedup(odd).collect()}
+    assert got == {(1, 1, 4, True), (2, 1, 4, False), (3, 1, 4, False), (None, 5, 2, False), (5, 5, 2, True), (6, 6, 1, True)}
+    assert sorted(r["doc_id"] for r in exact_dedup.keep_first(odd).collect()) == [1, 5, 6]
+    assert exact_dedup.exact_dedup(none).count() == 0 and exact_dedup.keep_first(none).columns == none.columns
+
+
+def test_poisson_mix_edges(odd, none):
+    got = poisson_mix.poisson_mix(odd, {"s": 1.0, "t": 1.0})
+    assert got.columns == [*odd.columns, "copy", "mix_key"]
+    counts = {(r["doc_id"], r["source"]): r["n"] for r in got.groupBy("doc_id", "source").agg(F.max("copy").alias("n")).collect()}
+    rates = {"s": 0.5 * 25014 / 25006, "t": 0.5 * 25014 / 8, None: 1.0}  # no text: rate 1
+    for doc_id, _, _, source, *_ in ROWS:
+        u = int(hashlib.md5(f"{poisson_mix.SEED}|{'' if doc_id is None else doc_id}".encode()).hexdigest()[:13], 16) / 2**52
+        k, total = 0, math.exp(-rates[source])
+        while u >= total:
+            k += 1
+            total += math.exp(-rates[source] + k * math.log(rates[source]) - math.lgamma(k + 1))
+        assert counts.get((doc_id, source), 0) == k
+    assert poisson_mix.poisson_mix(none).count() == 0
+
+
+def test_line_frequency(spark, odd, none):
+    rows = [(i, f"same line\nown {i}\n\n", "s") for i in range(30)] + [(99, None, None)]
+    got = line_frequency.drop_frequent_lines(spark.createDataFrame(rows, "doc_id long, text string, source string"), ratio=0.5)
+    by = {r["doc_id"]: (r["text"], r["n_lines"], r["n_dropped"]) for r in got.collect()}
+    assert by[3] == ("own 3\n\n", 4, 1) and by[99] == (None, 0, 0)
+    assert line_frequency.drop_frequent_lines(odd).count() == len(ROWS)
+    assert line_frequency.drop_frequent_lines(none).count() == 0
+
+
+PII = [
+    "a@b.c_x@d.e", "x@y.z@q.r.s, mail .a@b-.c", "1.2.3.4.5 300.1.1.1 1.2.3.256 001.02.3.4", "4111 1111 1111 1111 and 4111-1111-1111-1112",
+    "+1 (017) 555-7713 +12 +1234567890123456", "9" * 5000, "a" * 5000 + "@", "é 1.1.1.1 😀 b@c.de", None, "", "+1+1 234 567 89 0",
+    "IBAN GB82 WEST 1234 5698 7654 32 ok", "my ssn 123-45-6789", "123-45-6789",
+]
+
+
+def base_spans(text):
+    text, out = text or "", []
+
+    def digits(m):
+        return re.sub("[^0-9]", "", m)
+
+    def luhn(d):
+        return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    for kind, pattern, ok in (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 13 <= len(digits(m)) <= 19 and luhn(digits(m))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(digits(m)) <= 15),
+    ):
+        out += [f"{kind}:{m.start()}:{m.end()}" for m in re.finditer(pattern, text) if ok(m[0])]
+    return out
+
+
+def test_pii_against_the_plain_patterns(spark):
+    many = ", ".join(f"u{i}@h.org" for i in range(700))
+    texts = [*PII, many]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.digest(pii.find_pii(df)).collect()}
+    for i, text in enumerate(texts):
+        want = ",".join(base_spans(text))
+        assert got[i]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest(), (text, want, got[i]["spans"])
+    assert got[11]["spans"].endswith("iban:5:32") and "ssn:7:18" in got[12]["spans"] and "ssn" not in got[13]["spans"]
+
+
+def test_threshold_topk_edges(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rng.integers(-3, 4, 6) / 4]) for i in range(200)]
+    rows += [(200, None), (201, [1.0, None]), (202, [float("nan")] * 6), (3, rows[3][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in threshold_topk.top_k(df, F.col("vec_id") % 50 == 0, block=37, query_block=2).collect()}
+    m = np.floor(np.array([r[1] for r in rows[:200]]) * 256).astype(int)
+    for q in (0, 50, 100, 150):
+        best = sorted((-int(m[q] @ m[i]), i) for i in range(200) if i != q)[:5]
+        assert [got[q, k + 1] for k in range(5)] == [(i, -s) for s, i in best]
+    assert threshold_topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_site_template(spark):
+    head = '<nav>menu</nav><div class="x">Common box</div>'
+    rows = [(i, f"http://h.org/{i}", f"<body>{head}<div><p>Own&amp;{i}  text<br>more</p><p>b{i}<script>x()</script></div></body>") for i in range(12)]
+    rows += [(100, None, None), (101, "http://h.org/z", ""), (102, "::", "<p>a<p>b")]
+    got = {r["page_id"]: r["text"] for r in site_template.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Own&3 text more\nb3" and got[100] == "" and got[101] == "" and got[102] == "a\nb"
+    article = "<article><h1>T</h1><p><b>x<br><p>y</p><div class='comments'>no</div></article><footer>f</footer>"
+    assert site_template.Page(article).text(set()) == "T\nx\ny"
+
+
+def test_sentencepiece_round_trip_and_library(spark, odd, none):
+    from sentencepiece import SentencePieceProcessor
+
+    texts = ["", " ", "  a  b ", "\n\tx", "日本語 🎉 ñandú", "a" * 3000, " " * 40 + "x", "<0x41> <s>", "\x01 \x02", "Hello world"]
+    texts += [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
+    model = sentencepiece.load_model()
+    ids = sentencepiece.encode_texts(pa.array(texts), sentencepiece.Encoder(model))
+    assert ids.to_pylist() == SentencePieceProcessor(model_file=sentencepiece.MODEL).encode(texts)
+    assert sentencepiece.decode_ids(ids, model) == texts
+    marks = ["▁a▁ ▁", "x▁"]
+    assert sentencepiece.decode_ids(sentencepiece.encode_texts(pa.array(marks), sentencepiece.Encoder(model)), model) == marks
+    assert sentencepiece.encoded_documents(odd).where("not round_trip").count() == 0
+    assert sentencepiece.encoded_documents(none).count() == 0
+
+
+def test_unigram_viterbi_is_the_best_segmentation():
+    pieces = {" a": -1.9, "b": -1.5, " ab": -3.6, "a": -1.0, " ": -1.0, "bb": -2.9, "bab": -3.0}
+    ids = {p: i for i, p in enumerate(pieces)}
+    model = sentencepiece.Model("unigram", ids, {ids[p]: s for p, s in pieces.items()}, [0] * 256, [p.encode() for p in ids], 3)
+
+    def best(word):
+        options = [(0.0, [])] if not word else []
+        for p, s in pieces.items():
+            if word.startswith(p):
+                score, rest = best(word[len(p):])
+                options.append((s + score, [ids[p], *rest]))
+        return max(options, default=(-1e9, []))
+
+    words = [" abab", " abb", " bab", " ab", " abba"]
+    got = sentencepiece.Encoder(model).encode_words(words)
+    assert all(got[w] == best(w)[1] for w in words)
+
+
+def test_language_forward_sums_all_segmentations():
+    p = langid.load_pieces()
+    rows = {}
+    rng = np.random.default_rng(0)
+    probs = np.zeros((p.n, 2))
+    probs[1:] = rng.random((p.n - 1, 2)) * 0.01
+    words = ["the", "é", "zu", "x" * 100]
+
+    def row(piece):
+        if piece not in rows:
+            rows[piece] = int(langid._find(p, np.array([langid.piece_hash(piece)], np.uint64))[0])
+        return rows[piece]
+
+    got = langid.forward(p, probs, pa.array(words))
+    for w, have in zip(words, got):
+        data = b" " + w.encode()
+        a = [np.ones(2)] + [np.zeros(2)] * len(data)
+        for k in range(1, len(data) + 1):
+            a[k] = sum(a[k - n] * probs[row(data[k - n : k])] for n in range(1, min(k, p.longest) + 1) if row(data[k - n : k]))
+        assert np.allclose(np.exp(have - np.log(a[-1])), 1, rtol=1e-6)
+
+
+def test_held_out_accuracy(spark, odd, none):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    lang = langid.query(spark, sf).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
+    assert lang.where("lang_pred = lang").count() >= 0.97 * lang.count()
+    quality = crf_quality.query(spark, sf).where("held_out").join(labels, "doc_id")
+    assert quality.where("predicted = quality").count() >= 0.95 * quality.count()
+    edge = {r["doc_id"]: r for r in langid.identify(odd).collect()}
+    assert edge[None]["lang_pred"] == "und" and edge[5]["lang_pred"] == "und" and edge[6]["lang_pred"] == "en"
+    assert crf_quality.assess(none, labels).count() == 0
+    assert {r["score"] for r in crf_quality.assess(odd, labels.limit(0)).collect()} == {0.5}
+    assert crf_quality.keep_good(odd, labels).columns == odd.columns
+
+
+def brute_components(texts, k, num, den):
+    low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    sets = []
+    for t in texts:
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", (t or "").translate(low)) if x]
+        sets.append({tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set()))
+    label = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if a and sets[j] and den * both >= num * (len(a) + len(sets[j]) - both):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    return [len(s) for s in sets], label
+
+
+@pytest.mark.parametrize("k,num,den", [(3, 9, 10), (5, 4, 5)])
+def test_ngram_jaccard_against_brute_force(spark, k, num, den):
+    rng = np.random.default_rng(k)
+    texts = [None, "", " ", "One two", "one TWO", "É b c", "é b c"]
+    for n in (8, 20, 60, 150):
+        base = [f"w{x}" for x in rng.integers(0, 5000, n)]
+        for _ in range(25):  # chains of small edits
+            base = list(base)
+            for at in rng.integers(0, n, 1 + n // 60):
+                base[at] = f"w{rng.integers(0, 5000)}"
+            texts.append(" ".join(base))
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, digest string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_jaccard.jaccard_components(df, k, num, den).collect()}
+    sizes, label = brute_components(texts, k, num, den)
+    assert got == {i: (sizes[i], label[i]) for i in range(len(texts))}
+
+
+def test_ngram_jaccard_edges(odd, none):
+    assert ngram_jaccard.jaccard_components(odd).count() == len(ROWS)
+    assert ngram_jaccard.jaccard_components(none).count() == 0
+    assert ngram_jaccard.keep_one(odd).columns == odd.columns
+
+
+def test_tree_finds_every_point_within_the_bound():
+    rng = np.random.default_rng(3)
+    points = rng.poisson(2, (600, ngram_jaccard.COORDS))
+    sizes = points.sum(axis=1)
+    tree = ngram_jaccard.Tree(points, sizes)
+    for i in range(0, 600, 50):
+        found, _ = tree.search(points[i], sizes[i], 3, 4)
+        bound = np.minimum(points, points[i]).sum(axis=1)
+        assert sorted(found) == list(np.flatnonzero(bound * 7 >= 3 * (sizes + sizes[i])))
+
+
+def test_components(spark):
+    rng = np.random.default_rng(5)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(400, 460)]
+    label = {x: x for p in pairs for x in p}
+    for a, b in pairs:
+        old, new = max(label[a], label[b]), min(label[a], label[b])
+        label = {x: new if y == old else y for x, y in label.items()}
+    got = {r["node"]: r["root"] for r in common.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert all(got[x] == y for x, y in label.items() if x in got)
+    assert all(x in got for a, b in pairs if a != b for x in (a, b))
+
+
+def test_pipeline(spark, odd, none):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = common.stored(stage(spark, kept, sf))
+        assert kept.columns == docs.columns, name
+    assert corpus_pipeline.run(spark, sf).where("not round_trip").count() == 0
+    for frame in (odd, none):
+        for _, stage in corpus_pipeline.STAGES:
+            stage(spark, frame, sf).collect()
+
+
+def test_queries_are_registered():
+    import __spark_entry__ as entry
+
+    names = entry.queries()
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert duckdb.__version__
