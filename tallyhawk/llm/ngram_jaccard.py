@@ -289,12 +289,14 @@ def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, de
     return both.where(same * (num + den) >= F.col("need")).select("a", "b")
 
 
-def _search_round(blocks: DataFrame, num: int, den: int, most: int, n: int) -> DataFrame:
-    """R-tree search inside the blocks (key, digest, n, point, bits, pivot, root,
-    asks): pairs (a, b) of different components and whether some were left out."""
-    sized = blocks.join(
-        blocks.groupBy("key").agg(F.ceil(F.count("*") / F.lit(float(BLOCK))).cast("int").alias("parts")), "key"
-    ).coalesce(n).withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
+def _search_round(blocks: DataFrame, points: DataFrame, num: int, den: int, most: int, n: int) -> DataFrame:
+    """R-tree search inside the blocks (key, digest, pivot, root, asks): pairs (a, b) of different components and whether some were left out."""
+    # the number of sub-blocks is known before the points are attached
+    parts = blocks.groupBy("key").agg(F.ceil(F.count("*") / F.lit(float(BLOCK))).cast("int").alias("parts"))
+    sized = (
+        blocks.join(parts, "key").coalesce(n).join(points, "digest").coalesce(n)
+        .withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
+    )
     cols = ["key", "digest", "n", "point", "bits", "pivot", "root"]
     # each sub-block of members meets each sub-block of those that ask
     every = F.sequence(F.lit(0), F.col("parts") - 1)
@@ -380,7 +382,7 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
     ).select("a", "b").where("a <> b").coalesce(n).distinct().coalesce(n)
     links = cut(_verified(star, points, sets, num, den, n))
     open_blocks = named.where("c > 2").select("key", "digest", "pivot")
-    most = PARTNERS
+    most, again = PARTNERS, None
     while True:
         found = None if links.isEmpty() else cut(components(links))
         if found is None:
@@ -401,12 +403,17 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
         )
         if open_blocks.isEmpty():
             return found
-        mixed = open_blocks.join(points, "digest").coalesce(n)
+        if again is not None:  # whoever got all its partners is done
+            asked = open_blocks.join(again, "digest", "left").withColumn("asks", F.col("asks") & F.col("again").isNotNull()).drop("again")
+            open_blocks = cut(asked.join(asked.where("asks").select("key").distinct(), "key", "left_semi").coalesce(n))
+            if open_blocks.isEmpty():
+                return found
+        pairs = cut(_search_round(open_blocks, points, num, den, most, n)).coalesce(n)
         open_blocks = open_blocks.select("key", "digest", "pivot")
-        pairs = cut(_search_round(mixed, num, den, most, n)).coalesce(n)
+        again = cut(pairs.where("more").select(F.col("a").alias("digest"), F.lit(True).alias("again")).distinct())
         new = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().coalesce(n)
         added = cut(_verified(new, points, sets, num, den, n))
-        left_out = not pairs.where("more").isEmpty()
+        left_out = not again.isEmpty()
         if not added.isEmpty():
             links = cut(added if found is None else added.union(found.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         if not left_out:
