@@ -23,7 +23,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType
 
 from tallyhawk.llm.common import table
@@ -32,7 +31,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Texts of a task are handled in runs of about so many bytes; distinct words
 #: and pairs are remembered across runs up to so many entries.
-RUN_BYTES, WORDS, PAIRS = 4 << 20, 800_000, 1_000_000
+RUN_BYTES, WORDS, PAIRS = 4 << 20, 400_000, 500_000
 
 
 @dataclass
@@ -255,18 +254,16 @@ def encode_texts(texts: pa.Array, encoder: Encoder) -> pa.Array:
 
 def decode_ids(ids: pa.Array, model: Model) -> list[str]:
     """Texts of lists of ids; bytes that are no UTF-8 become U+FFFD."""
-    pool = np.frombuffer(b"".join(model.texts), dtype=np.uint8)
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in model.texts])]).astype(np.int64)
     if isinstance(ids, pa.ChunkedArray):
         ids = ids.combine_chunks()
     counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-    flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    data, ends = gather(pool, offsets, flat)
-    edges = ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-    raw = data.tobytes()
-    out = []
-    for a, b in zip(edges, edges[1:]):
-        out.append(raw[a + (raw[a : a + 1] == b" ") : b].decode("utf-8", "replace"))
+    flat = ids.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(counts, dtype=np.int64).tolist()
+    out, start = [], 0
+    for end in ends:
+        raw = b"".join([model.texts[i] for i in flat[start:end].tolist()])
+        out.append(raw.removeprefix(b" ").decode("utf-8", "replace"))
+        start = end
     return out
 
 
@@ -313,14 +310,27 @@ def decode(df: DataFrame, model: Model, ids_col: str = "piece_ids", out_col: str
 
 
 def encoded_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """Ids of every document, and whether decoding them gives the text back."""
-    model = load_model(path)
-    done = decode(encode(docs.select("doc_id", "text"), model), model)
-    return done.select(
-        "doc_id",
-        "n_pieces",
-        "piece_ids",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    """Ids of every document, and whether decoding them gives the text back.
+
+    Both directions run in one pass, so that neither texts nor ids go back
+    and forth between Spark and a second Python process."""
+    shared = docs.sparkSession.sparkContext.broadcast(load_model(path))
+
+    def run(batches):
+        encoder = Encoder(shared.value)
+        for batch in batches:
+            for part in runs(batch, "text"):
+                ids = encode_texts(part.column("text"), encoder)
+                back = pa.array(decode_ids(ids, shared.value), pa.string())
+                same = pc.equal(back, pc.fill_null(part.column("text"), "").cast(pa.string()))
+                n = pc.list_value_length(ids).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), n, ids, same], ["doc_id", "n_pieces", "piece_ids", "round_trip"]
+                )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, n_pieces bigint, piece_ids array<int>, round_trip boolean"
     )
 
 
