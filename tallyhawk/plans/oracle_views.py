@@ -17,6 +17,15 @@ SELECT CAST(event_id AS VARCHAR) AS trans_id,
        event_type AS oper_type,
        CASE WHEN event_type IN ('error', 'view') THEN 'REJECT' ELSE 'SUCCESS' END AS oper_result,
        regexp_extract(props, '[0-9]+', 0) AS terminal
+FROM events""",
+    "tx_close": """
+SELECT CAST(event_id AS VARCHAR) AS trans_id,
+       date_trunc('month', ts) + to_minutes(day(ts)) + to_seconds(hour(ts)) AS trans_date,
+       CAST(value AS DECIMAL(18,2)) AS amt,
+       CAST(user_id AS VARCHAR) AS card_num,
+       event_type AS oper_type,
+       CASE WHEN event_type IN ('error', 'view') THEN 'REJECT' ELSE 'SUCCESS' END AS oper_result,
+       regexp_extract(props, '[0-9]+', 0) AS terminal
 FROM events""",
     "clients_hist": """
 SELECT CAST(c_custkey AS VARCHAR) AS client_id, c_name AS last_name, c_mktsegment AS first_name,

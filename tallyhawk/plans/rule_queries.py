@@ -11,17 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhawk.functions import columns as X
+from tallyhawk.functions import constants as C
 from tallyhawk.operators import rules as R
 from tallyhawk.plans import views as V
 from tallyhawk.plans.oracle_views import with_views
 from tallyhawk.plans.registry import register
 
-# Parameters of the registered rule-4 query.  With the 20-minute default no
-# card in the driver data probes amounts (0 hits at every size), so the
-# registered check widens the window; the 20-minute default is covered by
-# golden tests.
-PROBE_WINDOW_SECONDS = 7 * 86400
-PROBE_WINDOW_SQL = "INTERVAL 7 DAY"
+# With the 20-minute default no card in the driver data probes amounts (0 hits
+# at every size), so these queries widen the window of rule 4; the default runs
+# in rule4_amount_probe_20min, over a view whose cards operate more often.
+WIDE_PROBE_SECONDS = 7 * 86400
+WIDE_PROBE_SQL = "INTERVAL 7 DAY"
 
 
 def dims(spark: SparkSession, d: str) -> R.Dimensions:
@@ -79,15 +79,19 @@ WHERE trans_date - prev_ts <= INTERVAL 1 HOUR AND city <> prev_city"""
 
 RULE3_SQL = with_views(_report_select("x", 3) + " FROM rule3_hits x" + _chain("x", "LEFT,LEFT,LEFT"), [("rule3_hits", RULE3_HITS)])
 
-RULE4_HITS = f"""
+def _rule4_hits(tx: str, window: str) -> str:
+    return f"""
 SELECT trans_id, trans_date, card_num FROM (
   SELECT trans_id, trans_date, card_num, amt, oper_result,
          lag(trans_date, 3) OVER w AS ts3,
          lag(oper_result, 1) OVER w AS r1, lag(oper_result, 2) OVER w AS r2, lag(oper_result, 3) OVER w AS r3,
          lag(amt, 1) OVER w AS a1, lag(amt, 2) OVER w AS a2, lag(amt, 3) OVER w AS a3
-  FROM tx WINDOW w AS (PARTITION BY card_num ORDER BY trans_date, trans_id))
+  FROM {tx} WINDOW w AS (PARTITION BY card_num ORDER BY trans_date, trans_id))
 WHERE oper_result = 'SUCCESS' AND r1 = 'REJECT' AND r2 = 'REJECT' AND r3 = 'REJECT'
-  AND a3 > a2 AND a2 > a1 AND a1 > amt AND trans_date - ts3 <= {PROBE_WINDOW_SQL}"""
+  AND a3 > a2 AND a2 > a1 AND a1 > amt AND trans_date - ts3 <= {window}"""
+
+
+RULE4_HITS = _rule4_hits("tx", WIDE_PROBE_SQL)
 
 RULE4_SQL = with_views(_report_select("x", 4) + " FROM rule4_hits x" + _chain("x", "LEFT,LEFT,LEFT"), [("rule4_hits", RULE4_HITS)])
 
@@ -110,7 +114,7 @@ FRAUD_SUMMARY_SQL = with_views(
 def _fraud_report(spark: SparkSession, d: str) -> DataFrame:
     return R.fraud_report(
         V.tx(spark, d), dims(spark, d), V.terminals_hist(spark, d), V.blacklist(spark, d),
-        probe_window_seconds=PROBE_WINDOW_SECONDS,
+        probe_window_seconds=WIDE_PROBE_SECONDS,
     )
 
 
@@ -138,7 +142,19 @@ def rule3_city_hop(spark, d):
 @register("rule4_amount_probe", RULE4_SQL)
 def rule4_amount_probe(spark, d):
     """R-4 over every day: falling amounts, 3 rejects then a success."""
-    return R.rule_amount_probe(V.tx(spark, d), dims(spark, d), window_seconds=PROBE_WINDOW_SECONDS)
+    return R.rule_amount_probe(V.tx(spark, d), dims(spark, d), window_seconds=WIDE_PROBE_SECONDS)
+
+
+@register(
+    "rule4_amount_probe_20min",
+    with_views(
+        _report_select("x", 4) + " FROM rule4_hits x" + _chain("x", "LEFT,LEFT,LEFT"),
+        [("rule4_hits", _rule4_hits("tx_close", "INTERVAL 20 MINUTE"))],
+    ),
+)
+def rule4_amount_probe_20min(spark, d):
+    """R-4 with its default window, over every operation of the closer view."""
+    return R.rule_amount_probe(V.tx_close(spark, d), dims(spark, d))
 
 
 @register("fraud_report", FRAUD_REPORT_SQL)
@@ -153,6 +169,24 @@ def fraud_summary_by_type(spark, d):
     return R.report_summary(_fraud_report(spark, d))
 
 
+@register(
+    "event_type_descriptions",
+    with_views(
+        "SELECT e.event_type, e.description, count(u.event_type) AS n_events FROM (VALUES "
+        + ", ".join(f"({t}, '{text}')" for t, text in C.EVENT_TYPES)
+        + f") e(event_type, description) LEFT JOIN ({FRAUD_UNION}) u ON u.event_type = e.event_type"
+        " GROUP BY e.event_type, e.description",
+        FRAUD_EXTRA,
+    ),
+)
+def event_type_descriptions(spark, d):
+    """K-7: every event type of the seeded dimension with its report rows."""
+    counts = _fraud_report(spark, d).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return R.event_types(spark).join(counts, "event_type", "left").select(
+        "event_type", "description", F.coalesce("n", F.lit(0)).alias("n_events")
+    )
+
+
 # ---------------------------------------------------------------- as-of joins and enrichment
 
 
@@ -264,5 +298,5 @@ def fraud_report_daily(spark, d):
     window before the day, the result equals that day of the full report."""
     return R.fraud_report(
         V.tx(spark, d), dims(spark, d), V.terminals_hist(spark, d), V.blacklist(spark, d),
-        report_days=(REPORT_DAY, REPORT_DAY), probe_window_seconds=PROBE_WINDOW_SECONDS,
+        report_days=(REPORT_DAY, REPORT_DAY), probe_window_seconds=WIDE_PROBE_SECONDS,
     )

@@ -5,6 +5,7 @@ Each view is deterministic and has a twin written in SQL in
 generic tables onto the warehouse model:
 
 * ``tx``              events -> transactions fact
+* ``tx_close``        the same with a month's operations within its first 32 minutes
 * ``clients_hist``    customer -> client history (a passport change for the
                       AUTOMOBILE segment, month-day and hour from the key)
 * ``accounts_hist``   customer -> account history (accounts of customers with
@@ -56,6 +57,14 @@ def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tx_close(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every transaction, with a month's days moved to minutes and its hours to
+    seconds: cards operate often enough to meet windows of minutes."""
+    t = F.col("trans_date")
+    moved = F.trunc(t, "month").cast("timestamp_ntz") + F.make_dt_interval(mins=F.dayofmonth(t), secs=F.hour(t))
+    return tx(spark, sf_dir).withColumn("trans_date", moved)
+
+
 def _client_change_ts(k) -> F.Column:
     return X.ts_lit("2024-01-01 00:00:00") + F.make_dt_interval(
         days=(k % 28).cast("int"), hours=(k % 24).cast("int")

@@ -310,9 +310,50 @@ def null_validity_sentinel(spark, d):
     return stage_clients(V.clients_src(spark, d)).select("client_id", "passport_valid_to")
 
 
+@register(
+    "stage_clients_source",
+    with_views(
+        "SELECT client_id, last_name, first_name, patronymic, date_of_birth, passport_num,"
+        " COALESCE(passport_valid_to, DATE '9999-12-31') AS passport_valid_to, phone, create_dt, update_dt FROM clients_src"
+    ),
+)
+def stage_clients_source(spark, d):
+    """P-1: blank-padded source rows staged under warehouse names."""
+    from tallyhawk.plans.warehouse import stage_source
+
+    src = V.clients_src(spark, d)
+    padded = [F.rpad(c, n, " ").alias(c) if c in ("client_id", "phone") else F.col(c)
+              for c, n in ((c, C.STRING_LIMITS.get(c)) for c in src.columns)]
+    return stage_source(src.select(*padded), "clients")
+
+
 # --------------------------------------------------------------------------
 # fact loads
 
+_CSV = {"sep": ";"}
+
+
+@register(
+    "read_transaction_lines",
+    with_views(
+        "SELECT trans_id, date_trunc('milliseconds', trans_date) AS trans_date, amt, card_num, oper_type, oper_result, terminal FROM tx"
+    ),
+)
+def read_transaction_lines(spark, d):
+    """S-1: transaction file lines (decimal comma, padded card) parsed and normalised."""
+    tx = V.tx(spark, d)
+    line = F.to_csv(
+        F.struct(
+            "trans_id", F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("trans_date"),
+            F.translate(F.col("amt").cast("string"), ".", ",").alias("amt"),
+            F.rpad("card_num", C.STRING_LIMITS["card_num"], " ").alias("card_num"),
+            "oper_type", "oper_result", "terminal",
+        ),
+        {**_CSV, "ignoreTrailingWhiteSpace": "false"},
+    )
+    fields = F.from_csv(line, FS.TRANSACTION_CSV_SCHEMA.simpleString()[len("struct<"):-1].replace(":", " "), _CSV)
+    return FS.normalize_transactions(tx.select(fields.alias("f")).select("f.*"))
+
 LOAD_FILE_DATE = "2024-01-31"
 EXISTING_BEFORE = "2024-01-16 00:00:00"
 DELTA_FROM = "2024-01-15 00:00:00"
