@@ -13,12 +13,6 @@ sequence -- and a lag predicate that only accepts predecessors at most
 Rows are copied at most ``1 + ceil(horizon / bucket)`` times; with the
 default ``bucket = max(1 day, horizon)`` at most twice, and for a one hour
 horizon only the last hour of each day is copied (about 4 %).
-
-Hot keys: when ``key`` and ``hot_rows`` are given, keys with more than
-``hot_rows`` rows get buckets of one horizon instead (each task then holds at
-most two horizons of one key; rows are copied at most twice).  The hot-key
-list is found with a partial aggregate and broadcast; its size is bounded by
-``rows / hot_rows``.
 """
 
 from __future__ import annotations
