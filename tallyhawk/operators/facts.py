@@ -25,10 +25,10 @@ def dedupe_batch(delta: DataFrame, key=TX_KEY, columns=TX_COLUMNS) -> DataFrame:
     return agg.select(*key, *[F.col("_r." + c).alias(c) for c in rest])
 
 
-def day_bounds(df: DataFrame, ts: str = "trans_date") -> tuple:
-    """(first, last) calendar day of a (small, daily) delta: one tiny aggregate."""
-    row = df.agg(F.min(F.to_date(ts)).alias("lo"), F.max(F.to_date(ts)).alias("hi")).first()
-    return (row["lo"], row["hi"]) if row and row["lo"] is not None else (None, None)
+def operation_days(df: DataFrame, ts: str = "trans_date") -> list:
+    """The calendar days of a delta, ascending: as many values as days."""
+    days = df.select(F.to_date(ts).alias("d")).where("d is not null").distinct()
+    return sorted(r["d"] for r in days.collect())
 
 
 def load_transactions(
@@ -48,22 +48,24 @@ def load_transactions(
       ``carry`` columns, e.g. file_date/load_id of a streamed file).
 
     With ``prune_existing`` the fact is first restricted to the days the file
-    covers (partition pruning when the fact is partitioned by
-    ``existing_day_col``), so the anti join reads a few days, not the history.
+    has operations of (partition pruning when the fact is partitioned by
+    ``existing_day_col``), so the anti join reads these days, not the history,
+    also when one of them lies far back.  Without that column the fact is
+    pruned to the range of the days.
     """
     cols = TX_COLUMNS + [c for c in carry if c not in TX_COLUMNS]
     batch = dedupe_batch(delta.select(*cols), TX_KEY, cols)
     old = existing.select(*TX_KEY, *([existing_day_col] if existing_day_col else []))
     if prune_existing:
-        lo, hi = day_bounds(batch)
-        if lo is None:
+        days = operation_days(batch)
+        if not days:
             return batch if file_date is None else batch.withColumn(C.FILE_DATE_COL, _date(file_date))
         if existing_day_col:
-            old = old.filter(F.col(existing_day_col).between(F.lit(lo), F.lit(hi)))
+            old = old.filter(F.col(existing_day_col).isin(days))
         else:
             old = old.filter(
-                (F.col("trans_date") >= F.lit(lo).cast("timestamp_ntz"))
-                & (F.col("trans_date") < F.date_add(F.lit(hi), 1).cast("timestamp_ntz"))
+                (F.col("trans_date") >= F.lit(days[0]).cast("timestamp_ntz"))
+                & (F.col("trans_date") < F.date_add(F.lit(days[-1]), 1).cast("timestamp_ntz"))
             )
     new = batch.join(old.select(*TX_KEY), TX_KEY, "left_anti")
     return new if file_date is None else new.withColumn(C.FILE_DATE_COL, _date(file_date))

@@ -98,6 +98,20 @@ def first_listing(blacklist: DataFrame) -> DataFrame:
     )
 
 
+def _overlaps(versions: DataFrame, report_days, days_before: int = 0) -> DataFrame:
+    """Versions that overlap the report days (and some days before them): an
+    operation outside can't be reported, so the scans skip the others."""
+    if report_days is None:
+        return versions
+    first, last = (F.lit(str(d)).cast("date") for d in report_days)
+    return versions.filter((F.col(C.TO_COL) >= F.date_sub(first, days_before)) & (F.col(C.FROM_COL) < F.date_add(last, 1)))
+
+
+def dimensions_in_days(dims: Dimensions, report_days) -> Dimensions:
+    """The versions that an operation of the report days can meet."""
+    return Dimensions(*[_overlaps(d, report_days) for d in (dims.cards, dims.accounts, dims.clients)])
+
+
 # --------------------------------------------------------------------------
 # enrichment
 
@@ -190,7 +204,7 @@ def rule_passport(tx: DataFrame, dims: Dimensions, blacklist: DataFrame, report_
     The fact is joined once, to the pre-joined card/account/client chain that
     already carries the first blacklisting date of each passport.
     """
-    chain = card_account_clients(dims)
+    chain = card_account_clients(dimensions_in_days(dims, report_days))
     chain = chain.join(first_listing(blacklist), F.col("_p_passport") == F.col("_bl_passport"), "left")
     t = asof_join(_tx_keys(tx, report_days), chain, "card_num", "_c_card", "trans_date", "_cap_from", "_cap_to", how="inner")
     day = F.to_date("trans_date")
@@ -209,6 +223,7 @@ def rule_contract(tx: DataFrame, dims: Dimensions, report_days=None) -> DataFram
     optional (person columns NULL when unknown).  Only the hits are joined
     to the clients.
     """
+    dims = dimensions_in_days(dims, report_days)
     t = asof_join(_tx_keys(tx, report_days), card_accounts(dims), "card_num", "_c_card", "trans_date", "_ca_from", "_ca_to", how="inner")
     hits = t.filter(F.col("_a_valid_to") < F.to_date("trans_date"))
     hits = asof_join(hits, _clients(dims), "_a_client", "_p_client", "trans_date", "_p_from", "_p_to", how="left")
@@ -251,6 +266,7 @@ def city_hop_hits(
     a known terminal city) was at most ``window_seconds`` earlier in another
     city.  Returns trans_id, trans_date, card_num of the second operation."""
     raw = H.report_day_bounds(tx.select("trans_id", "trans_date", "card_num", "terminal"), "trans_date", report_days, window_seconds)
+    terminals = _overlaps(terminals, report_days, -(-window_seconds // 86400))
     t = resolve_terminal_city(raw.where("card_num is not null"), terminals)  # unknown cards are not one card
     t = H.with_horizon_buckets(t, "trans_date", window_seconds, bucket_seconds)
     w = H.bucket_window("card_num", "trans_date", "trans_id")
@@ -275,6 +291,7 @@ def rule_city_hop(
     bucket_seconds: int | None = None,
 ) -> DataFrame:
     hits = city_hop_hits(tx, terminals, report_days, window_seconds, bucket_seconds)
+    dims = dimensions_in_days(dims, report_days)
     return to_report(enrich_transactions(hits, dims, how="left"), C.EVENT_CITY_HOP)
 
 
@@ -320,6 +337,7 @@ def rule_amount_probe(
     bucket_seconds: int | None = None,
 ) -> DataFrame:
     hits = amount_probe_hits(tx, report_days, window_seconds, rejects, bucket_seconds)
+    dims = dimensions_in_days(dims, report_days)
     return to_report(enrich_transactions(hits, dims, how="left"), C.EVENT_AMOUNT_PROBE)
 
 
@@ -402,7 +420,7 @@ def sequence_hits(
     )
     raw = t
     if 3 in rules:
-        term = live_versions(terminals).select(
+        term = live_versions(_overlaps(terminals, report_days, -(-horizon // 86400))).select(
             F.col("terminal_id").alias("_t_id"), F.col("terminal_city").alias("_t_city"),
             F.col(C.FROM_COL).alias("_t_from"), F.col(C.TO_COL).alias("_t_to"), F.col(C.FILE_DATE_COL).alias("_t_file_date"),
         )
@@ -475,6 +493,7 @@ def fraud_report(
     (card, time bucket) window for rules 3+4, instead of one per rule.
     """
     parts = []
+    dims = dimensions_in_days(dims, report_days)
     r12 = tuple(r for r in rules if r in (1, 2))
     r34 = tuple(r for r in rules if r in (3, 4))
     if r12:

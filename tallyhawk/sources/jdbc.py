@@ -3,7 +3,8 @@
 The incremental predicate is an OR of plain comparisons, so the JDBC scan
 receives it as pushed filters; only the key column is read for delete
 detection (column pruning reaches the scan).  Large tables are read in
-parallel with ``partitionColumn`` bounds.
+parallel with ``partitionColumn`` bounds; where the caller names only the
+column, one min/max query gives the bounds.
 """
 
 from __future__ import annotations
@@ -14,6 +15,13 @@ from tallyhawk.functions import constants as C
 from tallyhawk.operators.state import incremental_filter
 
 
+def column_bounds(spark: SparkSession, url: str, table: str, column: str, properties: dict | None = None) -> tuple:
+    """Smallest and largest value of a source column (None, None if it has
+    none), computed by the source."""
+    query = f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) bounds"
+    return tuple(read_table(spark, url, query, properties).first())
+
+
 def read_table(
     spark: SparkSession,
     url: str,
@@ -24,7 +32,14 @@ def read_table(
     upper_bound=None,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Full read of a source table (first load), optionally split in ranges."""
+    """Full read of a source table (first load).  With ``partition_column`` (a
+    number, date or timestamp) it is read in ranges between the bounds, by
+    default the column's own smallest and largest value; rows outside them or
+    without a value are read too."""
+    if partition_column and lower_bound is None and upper_bound is None:
+        lower_bound, upper_bound = column_bounds(spark, url, table, partition_column, properties)
+        if lower_bound is None:
+            partition_column = None
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)

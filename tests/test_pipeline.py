@@ -221,8 +221,13 @@ def test_jdbc_full(spark, workdir):
     _exec(conn, "ALTER TABLE cards ADD COLUMN n INT", "UPDATE cards SET n = CAST(SUBSTR(card_num, 2) AS INT)")
     df = J.read_table(spark, url, "CARDS", PROPS, partition_column="N", lower_bound=0, upper_bound=40, num_partitions=4)
     assert df.rdd.getNumPartitions() == 4 and df.count() == 40
-    keys = J.read_keys(spark, url, "CARDS", "CARD_NUM", PROPS)
+    _exec(conn, "INSERT INTO cards VALUES ('CX', 'AX', '2024-01-01 10:00:00', NULL, NULL)")
+    assert J.column_bounds(spark, url, "CARDS", "N", PROPS) == (0, 39)
+    keys = J.read_keys(spark, url, "CARDS", "CARD_NUM", PROPS, partition_column="N", num_partitions=4)
     assert keys.columns == ["CARD_NUM"]
+    assert keys.rdd.getNumPartitions() == 4 and keys.count() == 41
+    _exec(conn, "DELETE FROM cards")
+    assert J.read_changes(spark, url, "CARDS", None, PROPS, partition_column="N").count() == 0
     conn.close()
 
 
