@@ -1,9 +1,10 @@
 """HTML extraction with site template removal.
 
 First pass: every page's element subtrees are hashed; Spark counts on how many
-pages of a host each hash occurs (once per page, combined in each task before
-the shuffle).  Second pass: subtrees that recur on a large share of the host's
-pages are deleted, elements that are never part of an article (menus, forms,
+distinct pages of a host each hash occurs (pages with equal main elements are
+one page, so a copied article is no template).  Second pass: subtrees that
+recur on a large share of the host's pages are deleted, inside the main element
+as well as outside, elements that are never part of an article (menus, forms,
 adverts, reader comments, ...) are skipped, and the text of the remaining main
 element is read block by block.
 
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 
 from tallyhawk.llm.common import cut, join_lookup, table
 
-#: A subtree on more than this share of a host's pages, and on so many pages
-#: at least, is part of the site's template.
+#: A subtree on more than this share of a host's distinct pages, and on so many
+#: of them at least, is part of the site's template.
 SHARE, MIN_PAGES = 0.5, 10
 
 _TOKEN = re.compile(
@@ -73,8 +74,6 @@ _ENDS = {
     "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
     "tfoot": ({"tbody", "tr", "td", "th"}, {"table"}),
 }
-#: Inside the main element these are its text even where they recur.
-_PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "blockquote", "pre", "dl", "dt", "dd", "td", "th", "tr"}
 
 
 class Page:
@@ -183,23 +182,37 @@ class Page:
                 out[n] = hashlib.blake2b(b"\x00".join([self.tags[n].encode(), *parts]), digest_size=8).digest()
         return out
 
-    def text(self, template: set) -> str:
-        """Blocks of the main elements (of the whole page if it names none)."""
-        gone = list(self.skip)
+    def roots(self, gone: list) -> list[int]:
+        """The outermost main elements that are not gone."""
         inside = [False] * len(self.tags)
         mains = set(self.mains)
-        hashes = self.digests() if template else None
+        found = []
+        for n in range(1, len(self.tags)):
+            above = inside[self.parents[n]]
+            inside[n] = above or (n in mains and not gone[n])
+            if inside[n] and not above:
+                found.append(n)
+        return found
+
+    def _gone(self, template: set, hashes: list[bytes]) -> list[bool]:
+        gone = list(self.skip)
         for n in range(1, len(self.tags)):
-            parent = self.parents[n]
-            gone[n] |= gone[parent]
-            inside[n] = inside[parent] or n in mains
-            if hashes and hashes[n] in template and n not in mains and not (inside[n] and self.tags[n] in _PROSE):
-                gone[n] = True
-        if hashes and mains:  # an element around the article is no template
-            for n in mains:
-                if not self.skip[n] and gone[n]:
-                    return self.text(set())
-        roots = [n for n in self.mains if not gone[n] and not inside[self.parents[n]]] or [0]
+            gone[n] |= gone[self.parents[n]] or (bool(template) and hashes[n] in template)
+        return gone
+
+    def key(self, hashes: list[bytes]) -> bytes:
+        """Equal for pages with equal main elements (with equal blocks if they name none)."""
+        parts = self.roots(self._gone(set(), hashes)) or self.items[0]
+        told = [hashes[x] if isinstance(x, int) else x.encode("utf-8", "replace") for x in parts]
+        return hashlib.blake2b(b"\x00".join(told), digest_size=16).digest()
+
+    def text(self, template: set) -> str:
+        """Blocks of the main elements (of the whole page if it names none)."""
+        gone = self._gone(template, self.digests() if template else [])
+        roots = self.roots(gone)
+        if template and not roots and self.roots(self._gone(set(), [])):
+            return self.text(set())  # every main element recurs: the page has no other content
+        roots = roots or [0]
         blocks: list[str] = []
         for root in roots:
             stack: list = [(root, 0, [])]
@@ -231,28 +244,35 @@ def _host():
 
 def site_templates(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
     """host, template (array of subtree hashes): the subtrees on more than
-    ``share`` of the host's pages, on ``min_pages`` at least."""
+    ``share`` of the host's distinct pages, on ``min_pages`` at least."""
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = []
+                keys, found = [], []
                 for source in part.column("html").to_pylist():
-                    found.append(sorted({h for h in Page(source).digests() if h}) if source else [])
-                yield pa.RecordBatch.from_arrays([part.column("host"), pa.array(found, pa.list_(pa.binary()))], ["host", "hashes"])
+                    page = Page(source or "")
+                    hashes = page.digests()
+                    keys.append(page.key(hashes))
+                    found.append(sorted({h for h in hashes if h} | {b""}))  # b'' stands for the page
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("host"), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.binary()))],
+                    ["host", "key", "hashes"],
+                )
 
     rows = pages.select(_host().alias("host"), "html").where("host <> ''")
-    totals = rows.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
-    counts = (
-        rows.mapInArrow(run, "host string, hashes array<binary>")
-        .select("host", F.explode("hashes").alias("hash"))
+    counts = cut(
+        rows.mapInArrow(run, "host string, key binary, hashes array<binary>")
+        .select("host", "key", F.explode("hashes").alias("hash"))
+        .distinct()
         .groupBy("host", "hash")
         .agg(F.count("*").alias("on"))
         .where(F.col("on") >= min_pages)
     )
+    totals = counts.where("hash = X''").select("host", F.col("on").alias("pages"))
     return (
-        join_lookup(counts, cut(totals), "host", "inner")
+        join_lookup(counts.where("hash <> X''"), totals, "host", "inner")
         .where(F.col("on") > F.lit(share) * F.col("pages"))
         .groupBy("host")
         .agg(F.collect_list("hash").alias("template"))
@@ -263,10 +283,11 @@ def extract_text(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PA
     """page_id, url, text, n_chars of every row.
 
     Main text: the outermost main or article elements, else the whole page,
-    without skipped elements and the host's template; paragraphs, headings and
-    lists inside an article are its text even where they recur.  Null or empty
+    without skipped elements and the host's template, inside an article too.  A
+    page all of whose main elements recur keeps them whole.  Null or empty
     html gives an empty text.  A null or odd url has no host and no template.
-    Repeated rows are pages of their own; other columns are ignored.
+    Pages of a host with equal main elements count as one; each row gets its
+    text; other columns are ignored.
     """
     found = cut(site_templates(pages, share, min_pages)).withColumnRenamed("host", "t_host")
     rows = pages.select("page_id", "url", "html", _host().alias("host"))
