@@ -412,13 +412,14 @@ def sequence_hits(
     The terminal city is left-joined; rule 3's predecessor is the previous
     operation *with* a known city (running ``last(..., ignorenulls)``), which
     is the same sequence rule 3 sees when unknown terminals are dropped.
+    Operations without a card are left out: unknown cards are not one card.
     Returns (trans_id, trans_date, card_num, event_type) per hit.
     """
     horizon = max(city_window_seconds if 3 in rules else 0, probe_window_seconds if 4 in rules else 0)
     t = H.report_day_bounds(
-        tx.select("trans_id", "trans_date", "card_num", "terminal", "amt", "oper_result"), "trans_date", report_days, horizon
+        tx.select("trans_id", "trans_date", "card_num", "terminal", "amt", "oper_result").where("card_num is not null"),
+        "trans_date", report_days, horizon,
     )
-    raw = t
     if 3 in rules:
         term = live_versions(_overlaps(terminals, report_days, -(-horizon // 86400))).select(
             F.col("terminal_id").alias("_t_id"), F.col("terminal_city").alias("_t_city"),

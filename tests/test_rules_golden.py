@@ -243,6 +243,16 @@ def test_4g_chain_over_midnight(spark):
     assert _rule4(spark, ops) == ["10 00:05:00.000000"]
 
 
+def test_operations_without_a_card_are_no_sequence(spark):
+    hops = [(f"{D} 10:00:00", None, "A1"), (f"{D} 10:30:00", None, "B1"), (f"{D} 11:00:00", "1", "A1"), (f"{D} 11:30:00", "1", "B1")]
+    assert _rule3(spark, hops) == ["11:30:00.000000"]
+    tx = B.tx(spark, [(f"t{i}", ts, 100 - i, card, S if i % 4 == 3 else J, term) for i, (ts, card, term) in enumerate(
+        [(f"{D} 10:0{i}:00", None, "A1") for i in range(4)] + hops[:2])])
+    dims = B.simple_dims(spark, [("1", "P1", "2030-01-01", "2030-01-01")])
+    rep = R.fraud_report(tx, dims, B.terminals(spark, TERMS), B.blacklist(spark, [("PX", "2020-01-01")]), DAY)
+    assert rep.collect() == []
+
+
 def test_report_columns_and_union(spark):
     dims = B.simple_dims(spark, [("1", "P1", "2024-01-01", "2024-01-01")])
     tx = B.tx(spark, [("t1", f"{D} 12:00:00", 10, "1", "SUCCESS", "A1")])
