@@ -30,7 +30,6 @@ from tallyhawk.llm.sentencepiece import MODEL, load_model, runs
 #: rounds of learning, and the pieces used (up to so many bytes).
 SAMPLE, ROUNDS, PIECE_BYTES = 500, 2, 12
 _BASE, _C1, _C2, _BITS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), 17
-_LEARN_BYTES = 24
 
 
 @dataclass
@@ -145,40 +144,51 @@ def forward(p: Pieces, probs: np.ndarray, words: pa.Array) -> np.ndarray:
     return out
 
 
+def _arcs(p: Pieces, h: np.ndarray, k: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces that end at byte k of the first n words: start, word and row."""
+    lens = np.arange(1, min(k, p.longest) + 1)
+    rows = _find(p, (h[k, :n] - h[k - lens, :n] * p.powers[lens][:, None]).ravel())
+    hit = np.flatnonzero(rows)
+    return k - 1 - hit // n, hit % n, rows[hit]
+
+
 def expected_counts(p: Pieces, probs: np.ndarray, words: pa.Array, weight: np.ndarray) -> np.ndarray:
-    """Expected uses of each piece (one language) in words of given weights.
-    For learning only, longer words are cut to their first bytes."""
+    """Expected uses of each piece (one language) in words of given weights:
+    forward sums, then the share of every boundary from the end backward."""
     data, offsets = _packed(words)
     counts = np.zeros(p.n)
-    lens_all = np.minimum(offsets[1:] - offsets[:-1], _LEARN_BYTES)
-    cutoff = np.stack([offsets[:-1], offsets[:-1] + lens_all])
+    lens_all = offsets[1:] - offsets[:-1]
     by_length = np.argsort(-lens_all, kind="stable")
-    for at in range(0, len(by_length), 8192):
-        order = by_length[at : at + 8192]
-        first, lens = cutoff[0][order], lens_all[order]
+    at = 0
+    while at < len(by_length):
+        # longest first; few words at a time while they are long
+        step = int(max(1, min(8192, (1 << 21) // (int(lens_all[by_length[at]]) + 1))))
+        order = by_length[at : at + step]
+        at += step
+        h, lens = _matrix(data, offsets, order)
         most = int(lens[0])
-        h = np.zeros((most + 1, len(order)), np.uint64)
-        for k in range(most):
-            n = int(np.searchsorted(-lens, -k, "left"))
-            h[k + 1, :n] = h[k, :n] * _BASE + data[first[:n] + k].astype(np.uint64) + np.uint64(1)
-        a, b = np.zeros((most + 1, len(order))), np.zeros((most + 1, len(order)))
+        active = np.searchsorted(-lens, -np.arange(most + 1), "right")  # words of k bytes and more
+        a = np.zeros((most + 1, len(order)))
         a[0] = 1.0
-        arcs = []
+        tops = {}
         for k in range(1, most + 1):
-            n = int(np.searchsorted(-lens, -k, "right"))
-            for l in range(1, min(k, p.longest) + 1):
-                rows = _find(p, h[k, :n] - h[k - l, :n] * p.powers[l])
-                hit = np.flatnonzero(rows)
-                if len(hit):
-                    arcs.append((k, l, hit, rows[hit]))
-                    a[k, hit] += a[k - l, hit] * probs[rows[hit]]
-        b[lens, np.arange(len(order))] = 1.0
-        z = a[lens, np.arange(len(order))]
-        share = np.where(z > 0, weight[order] / np.where(z > 0, z, 1.0), 0.0)
-        for k, l, hit, rows in reversed(arcs):
-            flow = probs[rows] * b[k, hit]
-            b[k - l, hit] += flow
-            counts += np.bincount(rows, flow * a[k - l, hit] * share[hit], p.n)
+            n = int(active[k])
+            start, word, rows = _arcs(p, h, k, n)
+            a[k, :n] = np.bincount(word, a[start, word] * probs[rows], n)
+            if k % 8 == 0:  # keep the sums in range; the way back takes the factor out again
+                tops[k] = np.where(a[k, :n] > 0, a[k, :n], 1.0)
+                a[max(0, k - p.longest + 1) : k + 1, :n] /= tops[k]
+        g = np.zeros_like(a)
+        g[lens, np.arange(len(order))] = weight[order]
+        for k in range(most, 0, -1):
+            n = int(active[k])
+            if k % 8 == 0:
+                a[max(0, k - p.longest + 1) : k + 1, :n] *= tops.pop(k)
+            share = np.where(a[k, :n] > 0, g[k, :n] / np.where(a[k, :n] > 0, a[k, :n], 1.0), 0.0)
+            start, word, rows = _arcs(p, h, k, n)
+            flow = a[start, word] * probs[rows] * share[word]
+            g[start, word] += flow
+            np.add.at(counts, rows, flow)
     return counts
 
 

@@ -203,6 +203,33 @@ def test_language_forward_sums_all_segmentations():
         assert np.allclose(np.exp(have - np.log(a[-1])), 1, rtol=1e-6)
 
 
+def test_language_learning_counts_whole_words():
+    p = langid.load_pieces()
+    rng = np.random.default_rng(1)
+    probs = np.zeros(p.n)
+    probs[1:] = rng.random(p.n - 1) * 0.01
+    words, weight = ["the", "每天早上我们都在公园里跑步" * 3, "x" * 2000, "é", "donaudampfschifffahrtsgesellschaft"], np.array([2.0, 1.0, 3.0, 1.0, 0.5])
+    want = np.zeros(p.n)
+    for w, times in zip(words, weight):
+        data = b" " + w.encode()
+        size = len(data)
+        arcs = []
+        for k in range(1, size + 1):
+            for n in range(1, min(k, p.longest) + 1):
+                row = int(langid._find(p, np.array([langid.piece_hash(data[k - n : k])], np.uint64))[0])
+                if row:
+                    arcs.append((k - n, k, row))
+        a, b = np.full(size + 1, -np.inf), np.full(size + 1, -np.inf)
+        a[0] = b[size] = 0.0
+        for i, k, row in arcs:
+            a[k] = np.logaddexp(a[k], a[i] + np.log(probs[row]))
+        for i, k, row in reversed(arcs):
+            b[i] = np.logaddexp(b[i], b[k] + np.log(probs[row]))
+        for i, k, row in arcs:
+            want[row] += times * np.exp(a[i] + np.log(probs[row]) + b[k] - a[size])
+    assert np.allclose(langid.expected_counts(p, probs, pa.array(words), weight), want, rtol=1e-6, atol=1e-9)
+
+
 def test_held_out_accuracy(spark, odd, none):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
