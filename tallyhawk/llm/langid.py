@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from tallyhawk.llm.common import crc_fold, cut, join_lookup, sample_labelled, table
 from tallyhawk.llm.sentencepiece import MODEL, load_model, runs
 
-#: Labelled texts a language is learned from (drawn by a hash of the id),
-#: rounds of learning, and the pieces used (up to so many bytes).
-SAMPLE, ROUNDS, PIECE_BYTES = 500, 2, 12
+#: Labelled texts a language is learned from (drawn by a hash of the id) and
+#: rounds of learning.
+SAMPLE, ROUNDS = 500, 2
 _BASE, _C1, _C2, _BITS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), 17
 
 
@@ -56,7 +56,7 @@ def load_pieces(path: str = MODEL) -> Pieces:
     ordered = sorted(load_model(path).ids.items(), key=lambda x: x[1])
     texts = [bytes([b]) for b in range(256)]
     known = set(texts)
-    texts += [t for p, _ in ordered if (t := p.encode()) not in known and len(t) <= PIECE_BYTES]
+    texts += [t for p, _ in ordered if (t := p.encode()) not in known]
     keys = [np.zeros(1 << _BITS, np.uint64) for _ in range(2)]
     rows = [np.zeros(1 << _BITS, np.int32) for _ in range(2)]
     for row, text in enumerate(texts, 1):

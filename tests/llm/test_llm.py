@@ -203,6 +203,17 @@ def test_language_forward_sums_all_segmentations():
         assert np.allclose(np.exp(have - np.log(a[-1])), 1, rtol=1e-6)
 
 
+def test_language_pieces_are_the_whole_vocabulary():
+    p = langid.load_pieces()
+    texts = [x.encode() for x in sentencepiece.load_model().ids]
+    rows = langid._find(p, np.array([langid.piece_hash(t) for t in texts], np.uint64))
+    assert (rows > 0).all() and p.longest == max(map(len, texts))
+    probs = np.zeros((p.n, 1))
+    whole = max((t for t in texts if t.startswith(b" ") and b" " not in t[1:]), key=len)
+    probs[rows[texts.index(whole)]] = 0.5
+    assert np.allclose(langid.forward(p, probs, pa.array([whole[1:].decode()])), np.log(0.5))
+
+
 def test_language_learning_counts_whole_words():
     p = langid.load_pieces()
     rng = np.random.default_rng(1)
