@@ -6,9 +6,9 @@ labels, and forward-backward gives each line's probability of being good.  A
 document's score is the mean of these, weighted by line length, passed through
 a logistic curve that is fitted on the same sample.
 
-The weights are learned on the driver from a bounded sample of labelled
-documents (SAMPLE of each label, at most LEARN_LINES lines of each), whose
-lines take the document's label.  Scoring reads every whole text.
+The weights are learned on the driver from a bounded sample of whole labelled
+documents (SAMPLE of each label), whose lines take the document's label.
+Scoring reads every whole text.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tallyhawk.llm.common import crc_fold, cut, join_lookup, sample_labelled, table
 from tallyhawk.llm.sentencepiece import runs
 
-SAMPLE, LEARN_LINES, STEPS, RATE, SHRINK = 1500, 48, 150, 0.1, 1e-3
+SAMPLE, STEPS, RATE, SHRINK = 1500, 150, 0.1, 1e-3
 #: Byte classes whose share of a line is a feature.
 _CLASSES = [
     bytes(range(65, 91)),  # A-Z
@@ -201,7 +201,7 @@ def learn(labelled: DataFrame) -> Weights | None:
                 x, size, counts = line_features(part.column("text"))
                 ends = np.cumsum(counts)
                 rows = [
-                    np.column_stack([size[e - c : e][:LEARN_LINES], x[e - c : e][:LEARN_LINES]]).astype(np.float32).tobytes()
+                    np.column_stack([size[e - c : e], x[e - c : e]]).astype(np.float32).tobytes()
                     for c, e in zip(counts, ends)
                 ]
                 yield pa.RecordBatch.from_arrays(

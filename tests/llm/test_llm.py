@@ -255,6 +255,15 @@ def test_held_out_accuracy(spark, odd, none):
     assert crf_quality.keep_good(odd, labels).columns == odd.columns
 
 
+def test_quality_learns_from_whole_documents(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(crf_quality, "fit", lambda x, size, counts, labels: seen.append((counts, size, labels)))
+    rows = [(1, 0, "clean words here\n" * 60 + "$$$$\n" * 59 + "$$$$"), (2, 1, "a\nb\nc")]
+    crf_quality.learn(spark.createDataFrame(rows, "sample_id bigint, sample_label int, text string"))
+    counts, size, labels = seen[0]
+    assert counts.tolist() == [120, 3] and size[:120].tolist() == [17.0] * 60 + [5.0] * 60 and labels.tolist() == [0, 1]
+
+
 def brute_components(texts, k, num, den):
     low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     sets = []
