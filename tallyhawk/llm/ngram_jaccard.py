@@ -372,6 +372,8 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
         .join(blocks.select("did").distinct(), "did", "left_semi").select("digest", "doc_id")
     )
     texts = join_lookup(docs.select("doc_id", "text"), needed.select("doc_id").distinct(), "doc_id", "left_semi", 500_000)
+    if not needed.where("doc_id is null").isEmpty():  # sets that only rows without an id hold
+        texts = texts.unionByName(docs.where("doc_id is null").select("doc_id", "text"))
     sets = stored(set_rows(texts.select("text"), k).join(needed.select("digest"), "digest", "left_semi").dropDuplicates(["digest"]))
     points = sets.select("digest", "n", "point", "bits")
     named = cut(blocks.join(sets.select("did", "digest"), "did").select("key", "c", "digest", (F.col("did") == F.col("pivot")).alias("pivot")))
@@ -455,9 +457,19 @@ def jaccard_components(
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """All columns of the document of each group of linked documents that
-    gives the group its id, and of every unlinked document."""
-    gone = cut(jaccard_components(docs, k, num, den).where("component_id <> doc_id").select("doc_id").distinct())
-    return join_lookup(docs, gone, "doc_id", "left_anti", 500_000)
+    gives the group its id, and of every unlinked document.  Rows without an
+    id are named by their text, after all ids."""
+    if docs.where("doc_id is null").isEmpty():
+        named, name = docs, F.col("doc_id")
+    else:
+        unnamed = F.col("doc_id").isNull()
+        name = F.struct(
+            unnamed.alias("unnamed"), F.col("doc_id").alias("id"),
+            F.when(unnamed, F.md5(F.coalesce("text", F.lit("")))).otherwise("").alias("by"),
+        )
+        named = docs.select(name.alias("doc_id"), "text")
+    gone = cut(jaccard_components(named, k, num, den).where("not component_id <=> doc_id").select("doc_id").distinct())
+    return join_lookup(docs, gone.withColumnRenamed("doc_id", "gone_id"), name.eqNullSafe(F.col("gone_id")), "left_anti", 500_000)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -303,6 +303,21 @@ def test_ngram_jaccard_edges(odd, none):
     assert ngram_jaccard.keep_one(odd).columns == odd.columns
 
 
+def test_ngram_jaccard_links_through_rows_without_an_id(spark):
+    base = [f"w{i}" for i in range(40)]
+    texts = [" ".join(base), " ".join([*base[2:], "x1", "x2"]), " ".join([*base[4:], "x1", "x2", "x3", "x4"])]
+    sizes, label = brute_components(texts, 3, 9, 11)
+    assert label == [0, 0, 0] and brute_components([texts[0], texts[2]], 3, 9, 11)[1] == [0, 1]
+    rows = [(1, texts[0]), (None, texts[1]), (2, texts[2]), (None, "un linked text of its own"), (None, None)]
+    rows += [(None, " ".join(f"v{i}" for i in range(n, n + 40))) for n in (0, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"]) for r in ngram_jaccard.jaccard_components(df, 3, 9, 11).collect() if r["doc_id"])
+    assert got == [(1, 38, 1), (2, 38, 1)]
+    kept = sorted((r["doc_id"] or 0, r["text"] or "") for r in ngram_jaccard.keep_one(df, 3, 9, 11).collect())
+    assert len(kept) == 4 and (1, texts[0]) in kept and (0, "un linked text of its own") in kept and (0, "") in kept
+    assert sum(t.startswith("v") for _, t in kept) == 1
+
+
 def test_tree_finds_every_point_within_the_bound():
     rng = np.random.default_rng(3)
     points = rng.poisson(2, (600, ngram_jaccard.COORDS))
