@@ -264,6 +264,29 @@ def test_quality_learns_from_whole_documents(spark, monkeypatch):
     assert counts.tolist() == [120, 3] and size[:120].tolist() == [17.0] * 60 + [5.0] * 60 and labels.tolist() == [0, 1]
 
 
+def test_quality_marginals_against_all_labelings():
+    from itertools import product
+
+    rng = np.random.default_rng(2)
+    counts, link = np.array([3, 1, 0, 5]), rng.normal(size=(2, 2))
+    emit = rng.normal(size=counts.sum())
+    good, moves, log_z = crf_quality.marginals(emit, link, counts)
+    at, all_moves = 0, np.zeros((2, 2))
+    for c, z in zip(counts, log_z):
+        weights, want = [], np.zeros(c)
+        for y in product((0, 1), repeat=int(c)):
+            w = math.exp(sum(emit[at + i] * v for i, v in enumerate(y)) + sum(link[a, b] for a, b in zip(y, y[1:])))
+            weights.append((w, y))
+        total = sum(w for w, _ in weights)
+        for w, y in weights:
+            want += w / total * np.array(y)
+            for a, b in zip(y, y[1:]):
+                all_moves[a, b] += w / total
+        assert np.allclose(good[at : at + c], want) and (c == 0 or np.isclose(z, math.log(total)))
+        at += c
+    assert np.allclose(moves, all_moves)
+
+
 def brute_components(texts, k, num, den):
     low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     sets = []
