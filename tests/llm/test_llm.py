@@ -379,6 +379,40 @@ def test_pipeline(spark, odd, none):
             stage(spark, frame, sf).collect()
 
 
+def test_pipeline_against_plain_python(spark, tmp_path):
+    import corpus_pipeline
+    from sentencepiece import SentencePieceProcessor
+
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"word{x}" for x in rng.integers(0, 3000, 40)) + "." for _ in range(30)]
+    texts += texts[:4] + [t + " tail" for t in texts[4:8]] + ["$$ ## 99 " * 12 + f"{i}" for i in range(12)]
+    labels = [1] * 38 + [0] * 12
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    quality = spark.createDataFrame([(i, y, 0) for i, y in enumerate(labels)], "doc_id long, quality int, toxic int")
+    quality.write.parquet(f"{tmp_path}/labels.parquet")
+    weights = crf_quality.train(docs, quality)
+    left = [i for i, t in enumerate(texts) if crf_quality.score_texts(pa.array([t]), weights)[0] >= 0.5]
+    assert left == list(range(38))
+    left = [i for i in left if texts.index(texts[i]) == i]
+    _, group = brute_components([texts[i] for i in left], 5, 4, 5)
+    left = [i for at, i in enumerate(left) if group[at] == at]
+    assert len(left) == 30
+    library, want = SentencePieceProcessor(model_file=sentencepiece.MODEL), []
+    for i in left:  # one source: rate 1
+        u = int(hashlib.md5(f"{poisson_mix.SEED}|{i}".encode()).hexdigest()[:13], 16) / 2**52
+        k, total = 0, math.exp(-1)
+        while u >= total:
+            k += 1
+            total += math.exp(-1) / math.factorial(k)
+        want += [(i, library.encode(texts[i]), True)] * k
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ids = next(c for c in rows[0].asDict() if isinstance(rows[0][c], list))
+    assert sorted((r["doc_id"], r[ids], r["round_trip"]) for r in rows) == sorted(want)
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
