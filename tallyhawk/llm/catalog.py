@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from tallyhawk.llm import crf_quality, exact_dedup, langid, line_frequency, ngram_jaccard, pii, poisson_mix, sentencepiece, site_template, threshold_topk
+from tallyhawk.llm import (
+    crf_quality, exact_dedup, langid, line_frequency, ngram_jaccard, periodic_runs, phrases, pii, poisson_mix, sentencepiece,
+    site_template, threshold_topk, token_orc,
+)
 
 _MODULES = {
     "op1_site_template": site_template,
@@ -15,6 +18,9 @@ _MODULES = {
     "op8_ngram_jaccard": ngram_jaccard,
     "op9_sentencepiece": sentencepiece,
     "op10_exact_dedup": exact_dedup,
+    "op11_periodic_runs": periodic_runs,
+    "op12_token_orc": token_orc,
+    "op13_phrases": phrases,
 }
 
 QUERIES = {name: module.query for name, module in _MODULES.items()}

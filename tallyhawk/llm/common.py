@@ -26,16 +26,27 @@ def tasks_for(rows: int) -> int:
     return max(8, -(-rows // ROWS_PER_TASK))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder that
-    ``spark.checkpoint.dir`` names (a folder of our own only where it is
-    unset, as in local tests)."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.  Where it is unset, a
+    folder of our own in local mode; on a cluster, whose machines share no
+    temporary folder, an error."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="llm-cp-")
-        )
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not (sc.master or "").startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="llm-cp-"))
+    return sc.getCheckpointDir()
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -76,15 +87,9 @@ def sample_labelled(
 def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage by a Parquet table in the shared checkpoint folder, for
     tables of which later steps read few columns."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="llm-cp-")
-        )
-    path = f"{sc.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, "table")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def components(links: DataFrame) -> DataFrame:
