@@ -35,7 +35,7 @@ from tallyhawk.llm.words import byte_kinds, split_words
 SUPPORT, INSIDE, TOP = 10, 50, 2000
 SHARDS = 3
 #: Bytes of text counted at a time by a task; bits of the Bloom filter.
-_RUN, _LEAST_BITS, _MOST_BITS = 16 << 20, 1 << 20, 1 << 28
+_RUN, _LEAST_BITS, _MOST_BITS = 6 << 20, 1 << 20, 1 << 28
 _KINDS = byte_kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 

@@ -10,7 +10,9 @@ stripe can be read by any task without the ones before it.
 
 from __future__ import annotations
 
+import functools
 import os
+import re
 import zlib
 
 import numpy as np
@@ -28,8 +30,16 @@ from tallyhawk.llm.words import strings, text_bytes
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 #: Rows between two entries of the row index, bytes of a stripe before compression.
 INDEX_ROWS, STRIPE_BYTES = 1000, 32 << 20
-#: Stretches of text remembered by a task, and the longest one that is.
-REMEMBERED, LONGEST = 400_000, 64
+#: Bytes of text encoded at a time, stretches of text remembered by a process.
+RUN_BYTES, REMEMBERED = 8 << 20, 500_000
+#: Kinds of bytes: letter, digit, other printable ASCII, space; 0: unknown.
+_LETTER, _DIGIT, _OTHER, _SPACE = 1, 2, 3, 4
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[33:127] = _OTHER
+_KINDS[48:58] = _DIGIT
+_KINDS[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KINDS[32] = _SPACE
+_ALONE = re.compile(r" ?\S+").fullmatch
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -38,10 +48,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def cuts_at_spaces(tokenizer) -> bool:
-    """Whether the tokenizer never joins what stands before a space with the
-    space: byte-level BPE with its usual pattern, no normalizer, no prefix
-    space, and no added token that takes neighbouring white space."""
+def splits_words(tokenizer) -> bool:
+    """Whether the tokenizer is byte-level BPE with its usual pattern, which
+    starts a piece at every change between letters, digits and other
+    characters and at a space after any of them (but for an apostrophe and
+    what follows it): no normalizer, no prefix space, and no added token that
+    takes neighbouring characters."""
     import json
 
     spec = json.loads(tokenizer.to_str())
@@ -49,62 +61,107 @@ def cuts_at_spaces(tokenizer) -> bool:
     return (
         pre.get("type") == "ByteLevel" and pre.get("use_regex") is True and not pre.get("add_prefix_space")
         and not spec.get("normalizer") and spec["model"].get("type") == "BPE"
-        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in spec["added_tokens"])
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"])
     )
 
 
+def word_edges(data: np.ndarray) -> np.ndarray:
+    """Where such a tokenizer starts a piece in any case, as flags per byte.
+    Two-byte letters of U+00C0-U+00FF count as letters; next to any other
+    character that is not ASCII nothing is said."""
+    kind = _KINDS[data]
+    two = np.flatnonzero(data[:-1] == 0xC3)
+    two = two[(data[two + 1] != 0x97) & (data[two + 1] != 0xB7)]
+    kind[two] = kind[two + 1] = _LETTER
+    here, before = kind[1:], kind[:-1]
+    seen = (before > 0) & (before < _SPACE) & (here > 0) & (here != before)
+    return np.concatenate([[False], seen & ((here == _SPACE) | (data[:-1] != ord("'")))])
+
+
 class Encoder:
     """Ids of texts, the same as the tokenizers library gives for whole texts.
     Where the tokenizer allows it, the library is asked once per distinct
-    stretch from a space to the next one."""
+    stretch between two edges."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cuts = cuts_at_spaces(self.tokenizer)
-        self.known: dict[str, np.ndarray] = {}
+        self.cuts = splits_words(self.tokenizer)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added]
+        self.odd = re.compile("|".join(map(re.escape, self.added))) if self.added else None
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
+        self.known: dict[str, int] = {}  # stretch -> its number
+        self.flat, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def forget(self, first: int, words: list[str]) -> None:
+        """Forget the words learned from number ``first`` on."""
+        for w in words:
+            del self.known[w]
+        self.flat, self.ends = self.flat[: self.ends[first]], self.ends[: first + 1]
 
     def stretches(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
         """Distinct stretches, the number of each, first one of each text."""
         data, ends = text_bytes(texts)
+        if not len(data):
+            return pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(len(ends), np.int64)
         edge = np.zeros(len(data) + 1, bool)
+        # an added token is looked for before anything is split
+        if self.cuts and not any(pc.any(pc.match_substring(texts, t)).as_py() for t in self.added):
+            edge[:-1] = word_edges(data)
         edge[ends] = True
-        if self.cuts and len(data) > 2:
-            # before a space that follows a printable ASCII character or a letter of U+00C0-U+00FF
-            before = (data[1:-1] > 0x20) & (data[1:-1] < 0x7F) | (data[:-2] == 0xC3) & (data[1:-1] >= 0x80)
-            edge[2:-1] |= (data[2:] == 0x20) & before
         starts = np.flatnonzero(edge)
-        if not len(data):
-            return pa.array([], pa.string()), np.zeros(0, np.int64), np.zeros(len(ends), np.int64)
         coded = strings(data, starts, pa.string() if len(data) < 1 << 31 else pa.large_string()).dictionary_encode()
         return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.searchsorted(starts, ends)
 
-    def ids_of(self, words: list[str]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        coded = self.tokenizer.encode_batch(new, add_special_tokens=False)
-        fresh = {w: np.array(e.ids, np.int32) for w, e in zip(new, coded)}
-        out = [fresh[w] if w in fresh else self.known[w] for w in words]
-        self.known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST)
-        return out
+    def learn(self, words: list[str]) -> None:
+        """Ask the library for new stretches: many at a time with a line end
+        between them where that changes nothing, the rest one by one."""
+        plain, rest = [], words
+        if self.cuts and self.line is not None:
+            # no white space but for one space before the rest, no added token
+            plain = [w for w in words if _ALONE(w) and not (self.odd and self.odd.search(w))]
+            rest = [w for w in words if not _ALONE(w) or self.odd and self.odd.search(w)] if len(plain) < len(words) else []
+        groups = ["\n".join(plain[i : i + 100]) for i in range(0, len(plain), 100)]
+        flat, lens = [self.flat], []
+        for e in self.tokenizer.encode_batch_fast(groups, add_special_tokens=False):
+            ids = np.array(e.ids, np.int32)
+            gaps = np.flatnonzero(ids == self.line)
+            lens.append(np.diff(np.concatenate([[-1], gaps, [len(ids)]])) - 1)
+            flat.append(np.delete(ids, gaps))
+        for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False):
+            flat.append(np.array(e.ids, np.int32))
+            lens.append([len(e.ids)])
+        self.known.update(zip([*plain, *rest], range(len(self.known), len(self.known) + len(plain) + len(rest))))
+        self.flat = np.concatenate(flat)
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate([*lens, np.zeros(0, np.int64)]))]).astype(np.int64)
 
     def encode(self, texts: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (null: empty), ``end_id`` after each, and where each text's begin."""
         distinct, codes, firsts = self.stretches(texts)
-        per_word = self.ids_of(distinct.to_pylist())
+        words, known, first = distinct.to_pylist(), self.known, len(self.known)
+        new = [w for w in words if w not in known]
+        self.learn(new)
+        codes = np.fromiter(map(known.__getitem__, words), np.int64, len(words))[codes]
+        flat, ends = self.flat, self.ends
         if end_id is not None:
-            codes = np.insert(codes, firsts[1:], len(per_word))
-            firsts = firsts + np.arange(len(firsts))
-            per_word.append(np.array([end_id], np.int32))
-        flat = np.concatenate([*per_word, np.zeros(0, np.int32)])
-        offsets = np.concatenate([[0], np.cumsum([len(x) for x in per_word], dtype=np.int64)]).astype(np.int64)
-        values, ends = gather(flat, offsets, codes)
+            codes, firsts = np.insert(codes, firsts[1:], len(ends) - 1), firsts + np.arange(len(firsts))
+            flat, ends = np.append(flat, np.int32(end_id)), np.append(ends, ends[-1] + 1)
+        values, ends = gather(flat, ends, codes)
+        if len(known) > REMEMBERED:  # full: what came first stays
+            self.forget(first, new)
         return values, ends[firsts]
 
 
+@functools.cache
+def process_encoder(path: str) -> Encoder:
+    """One per Python process: its next tasks know the stretches of those before."""
+    return Encoder(path)
+
+
 def encode_documents(df: DataFrame, path: str, end_id: int | None = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """part, at, doc_id, n_tokens, ids in ascending order of ids: ``part`` is
     the number of the file, ``at`` the ids before the document in it.
@@ -116,9 +173,9 @@ def encode_documents(df: DataFrame, path: str, end_id: int | None = END_ID, id_c
     ordered = docs.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
 
     def run(batches):
-        encoder, at, part_no = Encoder(path), 0, TaskContext.get().partitionId()
+        encoder, at, part_no = process_encoder(path), 0, TaskContext.get().partitionId()
         for batch in batches:
-            for part in text_runs(batch, "text"):
+            for part in text_runs(batch, "text", RUN_BYTES):
                 values, ends = encoder.encode(part.column("text"), end_id)
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays(

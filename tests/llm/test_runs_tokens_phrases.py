@@ -127,9 +127,25 @@ def test_stretches_give_the_library_ids():
     assert encoder.cuts
     rng = random.Random(5)
     alphabet = ["a", "B", " ", " ", "é", "\n", "\t", "1", ".", "'s", " ", "ü", "中", "😀", "　", "<|endoftext|>"]
-    texts = [*ODD, *("".join(rng.choices(alphabet, k=rng.randint(0, 40))) for _ in range(2000))]
+    texts = [*ODD, *("".join(rng.choices(alphabet[:-1], k=rng.randint(0, 40))) for _ in range(2000)), *("".join(rng.choices(alphabet, k=rng.randint(0, 40))) for _ in range(2000))]
+    values, ends = encoder.encode(pa.array(texts[: len(ODD)], pa.string()), 2)
+    for i, text in enumerate(ODD):
+        assert values[ends[i] : ends[i + 1]].tolist() == [*library.encode(text or "", add_special_tokens=False).ids, 2], text
+    texts = [t for t in texts if t and "<|" not in t] + [t for t in texts if t and "<|" in t]  # with and without added tokens
+    half = [("<|" in t) for t in texts].index(True)
+    for part in (texts[:half], texts[half:]):
+        values, ends = encoder.encode(pa.array(part, pa.string()), 2)
+        for i, text in enumerate(part):
+            assert values[ends[i] : ends[i + 1]].tolist() == [*library.encode(text, add_special_tokens=False).ids, 2], text
+    for text in texts:  # edges are where the library starts a token
+        data = np.frombuffer(text.encode(), np.uint8)
+        starts, at = set(), 0
+        for token in library.pre_tokenizer.pre_tokenize_str(text):
+            starts.add(at)
+            at += len(token[0])  # one character stands for each byte
+        assert set(np.flatnonzero(token_orc.word_edges(data)).tolist()) <= starts, text
     values, ends = encoder.encode(pa.array(texts, pa.string()), 2)
-    for i, text in enumerate(texts):
+    for i, text in enumerate(texts[:500]):
         assert values[ends[i] : ends[i + 1]].tolist() == [*library.encode(text or "", add_special_tokens=False).ids, 2], text
     whole = token_orc.Encoder(token_orc.tokenizer_path())
     whole.cuts = False  # other tokenizers: whole texts
