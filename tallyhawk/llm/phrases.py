@@ -35,7 +35,7 @@ from tallyhawk.llm.words import byte_kinds, split_words
 SUPPORT, INSIDE, TOP = 10, 50, 2000
 SHARDS = 3
 #: Bytes of text counted at a time by a task; bits of the Bloom filter.
-_RUN, _LEAST_BITS, _MOST_BITS = 6 << 20, 1 << 20, 1 << 28
+_RUN, _LEAST_BITS, _MOST_BITS = 3 << 20, 1 << 20, 1 << 28
 _KINDS = byte_kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 
@@ -75,7 +75,7 @@ def _texts(batches):
 
 
 def _shard_counts(docs: DataFrame, shards: int) -> DataFrame:
-    """h, shard, c: words and pairs of each shard, counted per task."""
+    """h, c (counts by shard) of words and pairs, counted per task first."""
 
     def run(batches):
         shard = TaskContext.get().partitionId() % shards
@@ -86,7 +86,9 @@ def _shard_counts(docs: DataFrame, shards: int) -> DataFrame:
             h, c = np.concatenate([x.hash, pairs]).view(np.int64), np.concatenate([of_words, of_pairs])
             yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), shard, np.int32)), pa.array(c.astype(np.int64))], ["h", "shard", "c"])
 
-    return docs.mapInArrow(run, "h bigint, shard int, c bigint").groupBy("h", "shard").agg(F.sum("c").alias("c"))
+    each = [F.sum(F.when(F.col("shard") == i, F.col("c")).otherwise(0)) for i in range(shards)]
+    # one row per word or pair with its count in every shard: one shuffle
+    return docs.mapInArrow(run, "h bigint, shard int, c bigint").groupBy("h").agg(F.array(*each).alias("c"))
 
 
 def local_threshold(support: int, shards: int) -> int:
@@ -96,11 +98,10 @@ def local_threshold(support: int, shards: int) -> int:
 def frequent_hashes(docs: DataFrame, support: int, shards: int) -> DataFrame:
     """h of the words and pairs that are frequent in some shard; those whose
     counts (collisions included) don't add up to the support are left out."""
-    each = _shard_counts(docs, shards)
+    total = F.aggregate("c", F.lit(0).cast("long"), lambda t, x: t + x)
     return (
-        each.groupBy("h")
-        .agg(F.max("c").alias("most"), F.sum("c").alias("c"))
-        .where((F.col("most") >= local_threshold(support, shards)) & (F.col("c") >= support))
+        _shard_counts(docs, shards)
+        .where((F.array_max("c") >= local_threshold(support, shards)) & (total >= support))
         .select("h")
     )
 
