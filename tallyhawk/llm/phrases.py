@@ -4,8 +4,8 @@ Every document belongs to one of SHARDS shards.  A phrase that occurs at least
 ``support`` times has, in some shard, at least its proportional part of that:
 if it had fewer than t = (support - 1) // SHARDS + 1 in each, it would have at
 most SHARDS * (t - 1) < support in all.  Each shard is mined completely for
-phrases with t occurrences (words and pairs first; a phrase of three words can
-only be frequent where both its pairs are), the locally frequent ones of all
+phrases with t occurrences (words and pairs first, then the phrases of three
+words both of whose pairs are frequent), the locally frequent ones of all
 shards are united, and all candidates are counted exactly over all texts.
 
 Shards are not tasks.  A shard is mined by many tasks, each of which counts
@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyhawk.llm.bloom import bloom_filter, inside, mix
 from tallyhawk.llm.common import cut, stored, table
 from tallyhawk.llm.sentencepiece import runs as text_runs
 from tallyhawk.llm.words import byte_kinds, split_words
@@ -33,21 +34,15 @@ from tallyhawk.llm.words import byte_kinds, split_words
 #: Occurrences of a candidate, percent of its occurrences inside a longer one
 #: that drop it, rows per language.
 SUPPORT, INSIDE, TOP = 10, 50, 2000
-SHARDS = 3
-#: Bytes of text counted at a time by a task; bits of the Bloom filter.
-_RUN, _LEAST_BITS, _MOST_BITS = 3 << 20, 1 << 20, 1 << 28
+SHARDS, PARTS = 3, 8
+#: Bytes of text counted at a time by a task.
+_RUN = 3 << 20
 _KINDS = byte_kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
-_C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _C[1]
-    x = (x ^ (x >> np.uint64(27))) * _C[2]
-    return x ^ (x >> np.uint64(31))
+_C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)]
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return _mix(a * _C[0] + b * _C[3])
+    return mix(a * _C[0] + b * _C[1])
 
 
 class Counted:
@@ -68,26 +63,44 @@ class Counted:
         self.h = self.hash[self.word]
         self.pair_hash = _pair(self.h[:-1], self.h[1:])
 
+    def pairs_in(self, pairs: np.ndarray) -> np.ndarray:
+        """For each word whether it and the next one may be a pair of the filter."""
+        ok = np.append(self.joined, False) if len(self.h) else self.joined
+        at = np.flatnonzero(self.joined)
+        ok[at] = inside(pairs, self.pair_hash[at])
+        return ok
+
+    def triples(self, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First words and hashes of the three-word phrases both of whose pairs are ``ok``."""
+        first = np.flatnonzero(ok[:-1] & ok[1:])
+        return first, _pair(self.pair_hash[first], self.h[first + 2])
+
 
 def _texts(batches):
     for batch in batches:
         yield from text_runs(batch, "text", _RUN, 1 << 20)
 
 
-def _shard_counts(docs: DataFrame, shards: int) -> DataFrame:
-    """h, c (counts by shard) of words and pairs, counted per task first."""
+def _shard_counts(docs: DataFrame, shards: int, pairs: np.ndarray | None) -> DataFrame:
+    """h, c (counts by shard), counted per task first: of words and pairs, or,
+    given the filter of frequent pairs, of three-word phrases made of those."""
+    shared = None if pairs is None else docs.sparkSession.sparkContext.broadcast(pairs)
 
     def run(batches):
         shard = TaskContext.get().partitionId() % shards
         for part in _texts(batches):
             x = Counted(part.column("text"), part.column("lang"))
-            of_words = np.bincount(x.word, minlength=len(x.hash))
-            pairs, of_pairs = np.unique(x.pair_hash[x.joined], return_counts=True)
-            h, c = np.concatenate([x.hash, pairs]).view(np.int64), np.concatenate([of_words, of_pairs])
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), shard, np.int32)), pa.array(c.astype(np.int64))], ["h", "shard", "c"])
+            if shared is None:
+                h, c = np.unique(x.pair_hash[x.joined], return_counts=True)
+                h, c = np.concatenate([x.hash, h]), np.concatenate([np.bincount(x.word, minlength=len(x.hash)), c])
+            else:
+                h, c = np.unique(x.triples(x.pairs_in(shared.value))[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h.view(np.int64)), pa.array(np.full(len(h), shard, np.int32)), pa.array(c.astype(np.int64))], ["h", "shard", "c"]
+            )
 
     each = [F.sum(F.when(F.col("shard") == i, F.col("c")).otherwise(0)) for i in range(shards)]
-    # one row per word or pair with its count in every shard: one shuffle
+    # one row per phrase with its count in every shard: one shuffle
     return docs.mapInArrow(run, "h bigint, shard int, c bigint").groupBy("h").agg(F.array(*each).alias("c"))
 
 
@@ -95,98 +108,58 @@ def local_threshold(support: int, shards: int) -> int:
     return (support - 1) // shards + 1
 
 
-def frequent_hashes(docs: DataFrame, support: int, shards: int) -> DataFrame:
-    """h of the words and pairs that are frequent in some shard; those whose
-    counts (collisions included) don't add up to the support are left out."""
+def frequent_hashes(docs: DataFrame, support: int, shards: int, pairs: np.ndarray | None = None) -> DataFrame:
+    """h of the phrases that are frequent in some shard; those whose counts
+    (collisions included) don't add up to the support are left out."""
     total = F.aggregate("c", F.lit(0).cast("long"), lambda t, x: t + x)
     return (
-        _shard_counts(docs, shards)
+        _shard_counts(docs, shards, pairs)
         .where((F.array_max("c") >= local_threshold(support, shards)) & (total >= support))
         .select("h")
     )
 
 
-def _places(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64(bits - 1)
-    return h & mask, _mix(h + _C[0]) & mask
-
-
-def bloom_filter(hashes: DataFrame) -> np.ndarray:
-    """Two bits for each hash, about 16 bits a hash, at most 32 MB: only the
-    filter's own bytes come to the driver, by blocks of 64 kB."""
-    n = hashes.count()
-    bits = min(_MOST_BITS, max(_LEAST_BITS, 1 << (16 * max(1, n) - 1).bit_length()))
-
-    def run(batches):
-        blocks: dict[int, np.ndarray] = {}
-        for batch in batches:
-            h = batch.column("h").to_numpy().view(np.uint64)
-            for at in _places(h, bits):
-                for no in np.unique(at >> np.uint64(19)).tolist():
-                    here = (at[at >> np.uint64(19) == no] & np.uint64((1 << 19) - 1)).astype(np.int64)
-                    block = blocks.setdefault(no, np.zeros(1 << 16, np.uint8))
-                    np.bitwise_or.at(block, here >> 3, (128 >> (here & 7)).astype(np.uint8))
-        for no, block in blocks.items():
-            yield pa.RecordBatch.from_arrays([pa.array([no], pa.int64()), pa.array([block.tobytes()], pa.binary())], ["no", "block"])
-
-    out = np.zeros(bits // 8, np.uint8)
-    for row in hashes.coalesce(max(1, bits >> 25)).mapInArrow(run, "no bigint, block binary").toLocalIterator():
-        out[row["no"] << 16 : (row["no"] + 1) << 16] |= np.frombuffer(row["block"], np.uint8)
-    return out
-
-
-def _inside(filter_bytes: np.ndarray, h: np.ndarray) -> np.ndarray:
-    ok = np.ones(len(h), bool)
-    for at in _places(h, len(filter_bytes) * 8):
-        ok &= (filter_bytes[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7)).astype(np.uint8))) & 1 == 1
-    return ok
-
-
-def exact_counts(docs: DataFrame, candidates: np.ndarray, support: int) -> DataFrame:
-    """lang, k, phrase, f of the phrases of 1 to 3 words with f >= support;
-    with k = 0 the number of all words of each language."""
-    shared = docs.sparkSession.sparkContext.broadcast(candidates)
+def exact_counts(docs: DataFrame, short: np.ndarray, long: np.ndarray, support: int) -> DataFrame:
+    """lang, k, phrase, f of the phrases of 1 to 3 words with f >= support,
+    candidates being those in the filters of words and pairs and of three-word
+    phrases; with k = 0 the number of all words of each language."""
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(short), context.broadcast(long)
 
     def run(batches):
         for part in _texts(batches):
             x = Counted(part.column("text"), part.column("lang"))
             lists = []
-
-            def add(k, lang, names, counts):
-                lists.append((np.full(len(counts), k, np.int32), lang, names, counts))
-
             of_words = np.bincount(x.word, minlength=len(x.hash)).astype(np.int64)
             totals = np.bincount(x.lang_of, of_words, minlength=len(x.langs)).astype(np.int64)
-            add(0, np.arange(len(x.langs)), pa.array([""] * len(x.langs), pa.string()), totals)
-            use = np.flatnonzero(_inside(shared.value, x.hash))
-            add(1, x.lang_of[use], x.names.take(pa.array(use)), of_words[use])
-            pair = np.zeros(len(x.joined), bool)
-            at = np.flatnonzero(x.joined)
-            pair[at] = _inside(shared.value, x.pair_hash[at])
-            size = max(1, len(x.hash))
+            lists.append((0, np.arange(len(x.langs)), pa.array([""] * len(x.langs), pa.string()), totals))
+            use = np.flatnonzero(inside(shared[0].value, x.hash))
+            lists.append((1, x.lang_of[use], x.names.take(pa.array(use)), of_words[use]))
+            pair, size, space = x.pairs_in(shared[0].value), max(1, len(x.hash)), pa.scalar(" ", pa.string())
             first = np.flatnonzero(pair)
             keys, number, counts = np.unique(x.word[first] * size + x.word[first + 1], return_inverse=True, return_counts=True)
             a, b = keys // size, keys % size
-            space = pa.scalar(" ", pa.string())
             names = pc.binary_join_element_wise(x.names.take(pa.array(a)), x.names.take(pa.array(b)), space)
-            add(2, x.lang_of[a], names, counts)
-            numbers = np.full(len(pair) + 1, -1, np.int64)
+            lists.append((2, x.lang_of[a], names, counts))
+            numbers = np.full(len(pair), -1, np.int64)
             numbers[first] = number
-            first = np.flatnonzero(pair[:-1] & pair[1:]) if len(pair) > 1 else np.zeros(0, np.int64)
-            triples, counts = np.unique(numbers[first] * size + x.word[first + 2], return_counts=True)
-            ab, c = triples // size, triples % size
+            first, h = x.triples(pair)
+            first = first[inside(shared[1].value, h)]
+            keys, counts = np.unique(numbers[first] * size + x.word[first + 2], return_counts=True)
+            ab, c = keys // size, keys % size
             names = pc.binary_join_element_wise(names.take(pa.array(ab)), x.names.take(pa.array(c)), space)
-            add(3, x.lang_of[a[ab]], names, counts)
+            lists.append((3, x.lang_of[a[ab]], names, counts))
             for k, lang, names, counts in lists:
                 yield pa.RecordBatch.from_arrays(
-                    [x.langs.take(pa.array(lang)), pa.array(k), names, pa.array(counts.astype(np.int64))], ["lang", "k", "phrase", "f"]
+                    [x.langs.take(pa.array(lang)), pa.array(np.full(len(lang), k, np.int32)), names, pa.array(counts.astype(np.int64))],
+                    ["lang", "k", "phrase", "f"],
                 )
 
     counted = docs.mapInArrow(run, "lang string, k int, phrase string, f bigint")
     return counted.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f")).where((F.col("f") >= support) | (F.col("k") == 0))
 
 
-def scored_phrases(counts: DataFrame, inside: int = INSIDE) -> DataFrame:
+def scored_phrases(counts: DataFrame, covered: int = INSIDE) -> DataFrame:
     """lang, phrase, a, l, r, score of the candidates that no longer one covers."""
     f = counts.where("k > 0").select("lang", F.col("phrase").alias("part"), F.col("f").alias("part_f"))
     long = counts.where("k > 1").select("lang", "phrase", F.col("f").alias("a"), F.split("phrase", " ").alias("w"), "k")
@@ -210,11 +183,11 @@ def scored_phrases(counts: DataFrame, inside: int = INSIDE) -> DataFrame:
     parts = F.explode(F.array(*(F.array_join(F.slice("w", i, 2), " ") for i in (1, 2)))).alias("phrase")
     longer = triples.select("lang", "a", parts).groupBy("lang", "phrase").agg(F.max("a").alias("longest"))
     return best.join(longer, ["lang", "phrase"], "left").where(
-        F.col("longest").isNull() | (100 * F.col("longest") < inside * F.col("a"))
+        F.col("longest").isNull() | (100 * F.col("longest") < covered * F.col("a"))
     ).drop("longest")
 
 
-def collocations(df: DataFrame, support: int = SUPPORT, inside: int = INSIDE, top: int = TOP, shards: int = SHARDS,
+def collocations(df: DataFrame, support: int = SUPPORT, covered: int = INSIDE, top: int = TOP, shards: int = SHARDS,
                  text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the ``top`` best phrases of two
     and three words of each language.
@@ -226,11 +199,18 @@ def collocations(df: DataFrame, support: int = SUPPORT, inside: int = INSIDE, to
     bytes.  Other columns are ignored; an empty table gives an empty result.
     """
     docs = df.select(F.col(text_col).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"))
-    candidates = bloom_filter(cut(frequent_hashes(docs, support, shards)))
-    counts = stored(exact_counts(docs, candidates, support))
+    short = bloom_filter(cut(frequent_hashes(docs, support, shards)))
+    long = bloom_filter(cut(frequent_hashes(docs, support, shards, short)))
+    counts = stored(exact_counts(docs, short, long, support))
     n = counts.where("k = 0").select("lang", F.col("f").alias("n"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    best = scored_phrases(counts, inside).withColumn("rank", place.cast("long")).where(F.col("rank") <= top)
+
+    def place(*of):
+        return F.row_number().over(Window.partitionBy(*of).orderBy(F.desc("score"), F.desc("a"), "phrase")).cast("long")
+
+    # the best of each part of a language first, so that the last step sees PARTS * top rows at most
+    best = scored_phrases(counts, covered).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    best = best.withColumn("rank", place("lang", "part")).where(F.col("rank") <= top)
+    best = best.withColumn("rank", place("lang")).where(F.col("rank") <= top)
     return best.join(n, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 

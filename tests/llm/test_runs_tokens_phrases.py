@@ -271,7 +271,7 @@ def test_phrases_equal_brute_force(spark):
     want = brute_phrases(rows)
     got = {tuple(r) for r in phrases.collocations(df).select(*COLUMNS).collect()}
     assert got == want and {r[0] for r in got} >= {"en", "de", "und", "fr"}
-    few = {tuple(r) for r in phrases.collocations(df, support=4, inside=80, top=5, shards=2).select(*COLUMNS).collect()}
+    few = {tuple(r) for r in phrases.collocations(df, support=4, covered=80, top=5, shards=2).select(*COLUMNS).collect()}
     assert few == brute_phrases(rows, 4, 80, 5)
     assert phrases.collocations(df.limit(0)).count() == 0
 
@@ -292,7 +292,6 @@ def test_scores_of_large_counts_are_exact(spark):
 
 
 def test_a_full_filter_only_costs_time(spark, monkeypatch):
-    monkeypatch.setattr(phrases, "_LEAST_BITS", 1 << 20)
     monkeypatch.setattr(phrases, "bloom_filter", lambda hashes: np.full(1 << 17, 255, np.uint8))
     rows = [("alpha beta gamma " * 12, "en"), ("alpha beta delta", "en")]
     got = {tuple(r) for r in phrases.collocations(spark.createDataFrame(rows, "text string, lang string")).select(*COLUMNS).collect()}
