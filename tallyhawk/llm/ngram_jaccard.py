@@ -34,6 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhawk.llm.bloom import bloom_filter, inside
 from tallyhawk.llm.common import components, cut, join_lookup, stored, table, tasks_for
 from tallyhawk.llm.sentencepiece import runs
 
@@ -149,37 +150,56 @@ def _digests(value: np.ndarray, offsets: np.ndarray) -> list[bytes | None]:
     return [hashlib.md5(value[a:b].tobytes()).digest() if b > a else None for a, b in zip(offsets, offsets[1:])]
 
 
-def signed_documents(df: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, n, digest (of the set, null if empty), did (its first 64 bits)
-    and keys (null where the task has given the same set's before)."""
+def _did(digests: list[bytes | None]) -> pa.Array:
+    """The first 64 bits of the digests."""
+    return pa.array([int.from_bytes(d[:8], "little", signed=True) if d else None for d in digests], pa.int64())
+
+
+def signed_documents(df: DataFrame, k: int) -> DataFrame:
+    """doc_id, n, digest (of the set, null if empty) and did (its first 64 bits)."""
 
     def run(batches):
-        seen: set = set()
         for batch in batches:
             for part in runs(batch, "text"):
                 value, offsets = shingle_sets(part.column("text"), k)
                 digests = _digests(value, offsets)
-                owner, key = block_keys(value, offsets, num, den)
-                ends = np.searchsorted(owner, np.arange(len(digests) + 1))
-                if len(seen) > 1_000_000:
-                    seen.clear()
-                lists = []
-                for i, d in enumerate(digests):
-                    lists.append(key[ends[i] : ends[i + 1]] if d and d not in seen else None)
-                    seen.add(d)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array(offsets[1:] - offsets[:-1], pa.int64()),
-                        pa.array(digests, pa.binary()),
-                        pa.array([int.from_bytes(d[:8], "little", signed=True) if d else None for d in digests], pa.int64()),
-                        pa.array(lists, pa.list_(pa.int64())),
-                    ],
-                    ["doc_id", "n", "digest", "did", "keys"],
+                    [part.column("doc_id"), pa.array(offsets[1:] - offsets[:-1], pa.int64()), pa.array(digests, pa.binary()), _did(digests)],
+                    ["doc_id", "n", "digest", "did"],
                 )
 
     kind = df.schema["doc_id"].dataType.simpleString()
-    return df.mapInArrow(run, f"doc_id {kind}, n bigint, digest binary, did bigint, keys array<bigint>")
+    return df.mapInArrow(run, f"doc_id {kind}, n bigint, digest binary, did bigint")
+
+
+def keyed_sets(df: DataFrame, k: int, num: int, den: int, known: np.ndarray | None = None) -> DataFrame:
+    """The block keys of the texts' sets: each key alone, or, given the filter
+    of those worth following, (did, key).  A set that its task has just seen
+    is left out."""
+    shared = None if known is None else df.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches):
+        seen: set = set()
+        for batch in batches:
+            for part in runs(batch, "text"):
+                value, offsets = shingle_sets(part.column("text"), k)
+                digests = _digests(value, offsets)
+                if len(seen) > 500_000:
+                    seen.clear()
+                fresh = np.zeros(len(digests), bool)
+                for i, d in enumerate(digests):
+                    if d and d not in seen:
+                        seen.add(d)
+                        fresh[i] = True
+                owner, key = block_keys(value, offsets, num, den)
+                use = fresh[owner]
+                if shared is not None:
+                    use[use] = inside(shared.value, key[use].view(np.uint64))
+                owner, key = owner[use], pa.array(key[use])
+                yield pa.RecordBatch.from_arrays([key] if shared is None else [_did(digests).take(pa.array(owner)), key],
+                                                 ["key"] if shared is None else ["did", "key"])
+
+    return df.select("text").mapInArrow(run, "key bigint" if known is None else "did bigint, key bigint")
 
 
 def set_rows(df: DataFrame, k: int) -> DataFrame:
@@ -201,7 +221,7 @@ def set_rows(df: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(digests, pa.binary()),
-                        pa.array([int.from_bytes(d[:8], "little", signed=True) if d else None for d in digests], pa.int64()),
+                        _did(digests),
                         pa.array(sizes, pa.int64()),
                         pa.FixedSizeListArray.from_arrays(pa.array(points, pa.int32()), COORDS).cast(pa.list_(pa.int32())),
                         pa.FixedSizeListArray.from_arrays(pa.array(bits), BITS // 64).cast(pa.list_(pa.int64())),
@@ -284,7 +304,10 @@ def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, de
     near = near.where(bound * (num + den) >= F.col("need")).where(
         (F.col("n_a") + F.col("n_b") - apart) * (num + den) >= 2 * F.col("need")
     ).select("a", "b", "need").coalesce(n)
-    both = near.join(side(sets, "a", "hashes"), "a").coalesce(n).join(side(sets, "b", "hashes"), "b").coalesce(n)
+    near = cut(near)
+    named = near.select(F.col("a").alias("digest")).union(near.select(F.col("b").alias("digest"))).distinct()
+    sets = join_lookup(sets.select("digest", "hashes"), cut(named), "digest", "left_semi", 200_000)  # 16 bytes each
+    both = near.join(side(sets, "a", "hashes"), "a").join(side(sets, "b", "hashes"), "b")  # whole sets: no fewer tasks
     same = F.size(F.array_intersect("hashes_a", "hashes_b"))
     return both.where(same * (num + den) >= F.col("need")).select("a", "b")
 
@@ -351,18 +374,23 @@ def _search_round(blocks: DataFrame, points: DataFrame, num: int, den: int, most
     return dealt.mapInArrow(run, "a binary, b binary, more boolean")
 
 
+def repeated_ids(signed: DataFrame, needed: DataFrame) -> bool:
+    """Whether an id of ``needed`` stands in several rows."""
+    rows = join_lookup(signed.select("doc_id"), needed.select("doc_id").distinct(), "doc_id", "left_semi", 500_000)
+    return rows.count() > needed.count() or not needed.groupBy("doc_id").count().where("count > 1").isEmpty()
+
+
 def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame | None:
     """(node, root) of the set digests that have a link, None if none has."""
-    keyed = signed.where("keys is not null").select("did", F.explode("keys").alias("key"))
-    shared = cut(
-        keyed.groupBy("key").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).where("lo < hi").select("key")
-    )
-    members = cut(keyed.join(shared, "key", "left_semi").distinct())
+    # most keys occur once: keys travel alone first, and with their set only if
+    # the filter of the others may hold them
+    twice = cut(keyed_sets(docs, k, num, den).groupBy("key").count().where("count > 1").select("key"))
+    members = cut(keyed_sets(docs, k, num, den, bloom_filter(twice)).distinct())
     # blocks with the same members are searched once
     alike = members.groupBy("key").agg(
         F.count("*").alias("c"), F.bit_xor(F.xxhash64("did")).alias("x"),
         F.bit_xor(F.xxhash64("did", F.lit(1))).alias("y"), F.min("did").alias("pivot"),
-    )
+    ).where("c > 1")
     once = alike.groupBy("c", "x", "y", "pivot").agg(F.min("key").alias("key"))
     blocks = cut(members.join(once.select("key", "c", "pivot"), "key"))
     if blocks.isEmpty():
@@ -372,9 +400,13 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
         .join(blocks.select("did").distinct(), "did", "left_semi").select("digest", "doc_id")
     )
     texts = join_lookup(docs.select("doc_id", "text"), needed.select("doc_id").distinct(), "doc_id", "left_semi", 500_000)
-    if not needed.where("doc_id is null").isEmpty():  # sets that only rows without an id hold
+    unnamed = not needed.where("doc_id is null").isEmpty()
+    if unnamed:  # sets that only rows without an id hold
         texts = texts.unionByName(docs.where("doc_id is null").select("doc_id", "text"))
-    sets = stored(set_rows(texts.select("text"), k).join(needed.select("digest"), "digest", "left_semi").dropDuplicates(["digest"]))
+    sets = set_rows(texts.select("text"), k)
+    if unnamed or repeated_ids(signed, needed):  # else each needed id is one row, with its own set
+        sets = sets.join(needed.select("digest"), "digest", "left_semi").dropDuplicates(["digest"])
+    sets = stored(sets)
     points = sets.select("digest", "n", "point", "bits")
     named = cut(blocks.join(sets.select("did", "digest"), "did").select("key", "c", "digest", (F.col("did") == F.col("pivot")).alias("pivot")))
     n = tasks_for(named.count())
@@ -434,9 +466,14 @@ def jaccard_components(
     component.  Repeated rows are linked like any equal texts.  A row without
     an id belongs to the component of equal sets that have one (the component
     id is null if none has).  Other columns are ignored.
+
+    ``num / den`` must be 2/3 or more: linked sets must be no further apart in
+    size than two neighbouring bands, or links would be missed.
     """
+    if 3 * num < 2 * den or num > den:
+        raise ValueError(f"similarity {num}/{den}: must be between 2/3 and 1")
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    signed = stored(signed_documents(docs, k, num, den))
+    signed = stored(signed_documents(docs, k))
     classes = signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id"))
     found = near_components(signed, docs, k, num, den)
     if found is None:
@@ -458,7 +495,12 @@ def jaccard_components(
 def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """All columns of the document of each group of linked documents that
     gives the group its id, and of every unlinked document.  Rows without an
-    id are named by their text, after all ids."""
+    id are named by their text, after all ids.
+
+    Null and empty texts are linked with nothing and all stay.  Rows that
+    repeat the id of the document that stays stay with it.  All columns are
+    kept, whatever their names; an empty table stays empty.
+    """
     if docs.where("doc_id is null").isEmpty():
         named, name = docs, F.col("doc_id")
     else:
