@@ -1,12 +1,16 @@
 """HTML extraction with site template removal.
 
-First pass: every page's element subtrees are hashed; Spark counts on how many
-distinct pages of a host each hash occurs (pages with equal main elements are
-one page, so a copied article is no template).  Second pass: subtrees that
-recur on a large share of the host's pages are deleted, inside the main element
-as well as outside, elements that are never part of an article (menus, forms,
-adverts, reader comments, ...) are skipped, and the text of the remaining main
-element is read block by block.
+First pass: every page's element subtrees are hashed twice, with their texts
+and by their shape alone (tags, class names, kinds of children); Spark counts
+on how many distinct pages of a host each hash occurs (pages with equal main
+elements are one page, so a copied article is no template).  Second pass:
+subtrees that recur on a large share of the host's pages are deleted.  A
+subtree that recurs with its text goes anywhere, inside the main element as
+well as outside; one that recurs by shape, such as a menu or an advert whose
+words change from page to page, goes outside the page's main content only.
+Elements that are never part of an article (menus, forms, adverts, reader
+comments, ...) are skipped, and the text of the remaining main element is read
+block by block.
 
 A host has at most (mean subtrees per page) / SHARE recurring subtrees, so
 their hashes come back to the pages as one short array per host.
@@ -14,9 +18,11 @@ their hashes come back to the pages as one short array per host.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import html as entities
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +31,8 @@ from pyspark.sql import functions as F
 from tallyhawk.llm.common import cut, join_lookup, table
 
 #: A subtree on more than this share of a host's distinct pages, and on so many
-#: of them at least, is part of the site's template.
-SHARE, MIN_PAGES = 0.5, 10
+#: of them at least (more than a pair), is part of the site's template.
+SHARE, LEAST_PAGES = 0.5, 3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -53,14 +59,36 @@ _DROP = {
     "audio", "video", "search", "header",
 }
 _DROP_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
-_DROP_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsense|sponsor(?:ed|s)?|promo(?:tion)?s?|banner|cookies?|consent|gdpr"
-    r"|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|paywall|signup|login|nav|navbar|navigation"
-    r"|menu|sidebar|side|aside|widgets?|breadcrumbs?|crumbs|pagination|pager|share|sharing|social|related|recommended"
-    r"|comments?|commentlist|respond|replies|disqus|footer|masthead|topbar|toolbar|copyright|legal|disclaimer|skip"
-    r")(?:$|[\s_-])",
-    re.I,
+#: Words that name such a part, and words that may stand beside them in a name.
+_DROP_NAMES = set(
+    "ad ads advert adverts advertisement advertisements adsense adbox adunit adslot adbanner sponsor sponsored sponsors promo promos promotion"
+    " promotions banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription"
+    " paywall signup login nav navbar navigation menu sidebar aside widget widgets breadcrumb breadcrumbs crumbs pagination pager"
+    " share sharing social related recommended comment comments commentlist respond reply replies disqus footer masthead topbar"
+    " toolbar copyright legal disclaimer skip".split()
 )
+_BESIDE = set(
+    "area article articles bar block body box btn button buttons container content form global group header holder icon icons"
+    " item items left link links list main media message panel page post posts primary right row secondary section side site slot"
+    " teaser teasers text thread top bottom unit wrap wrapper".split()
+)
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: Headings and paragraphs are judged by their text, never by a name.
+_UNNAMED = {"html", "body", "main", "h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "blockquote", "pre", "figure", "figcaption"}
+#: Prose goes with its text only: its shape is that of any other paragraph.
+_PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "figure", "figcaption", "html", "body", "main", "article"}
+
+
+def names_a_part(value: str) -> bool:
+    """Whether one of the names is made of words that name a part of the site
+    (and words that may stand beside them): ``post-comments``, ``cookieNotice``."""
+    for name in value.split():
+        words = [w.lower() for w in _PART.findall(name)]
+        if any(w in _DROP_NAMES for w in words) and all(w in _DROP_NAMES or w in _BESIDE for w in words):
+            return True
+    return False
+
+
 #: What an open element of the key ends when it starts.
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -80,29 +108,41 @@ class Page:
     """Block elements of a page in page order: tag, parent, whether skipped,
     and items (text or the number of a child)."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, lists: bool = True):
         self.tags, self.parents, self.skip, self.items, self.mains = ["#"], [0], [False], [[]], []
+        self.classes = [""]
+        self.lists = lists  # whether tags, roles and names decide
         self.open = [0]
+        self.standing = Counter()  # open elements by tag
         self._parse(source)
 
-    def _add(self, tag: str, skipped: bool) -> None:
+    def _add(self, tag: str, skipped: bool, classes: str) -> None:
         parent, n = self.open[-1], len(self.tags)
         self.tags.append(tag)
         self.parents.append(parent)
         self.skip.append(skipped)
+        self.classes.append(classes)
         self.items.append([])
         self.items[parent].append(n)
         self.open.append(n)
+        self.standing[tag] += 1
+
+    def _pop(self, at: int) -> None:
+        for n in self.open[at:]:
+            self.standing[self.tags[n]] -= 1
+        del self.open[at:]
 
     def _text(self, text: str) -> None:
         if text:
             self.items[self.open[-1]].append(entities.unescape(text) if "&" in text else text)
 
     def _end(self, tags: set, stop: set) -> None:
+        if not any(self.standing[t] for t in tags):
+            return
         for at in range(len(self.open) - 1, 0, -1):
             tag = self.tags[self.open[at]]
             if tag in tags:
-                del self.open[at:]
+                self._pop(at)
                 return self._end(tags, stop)
             if tag in stop:
                 return None
@@ -110,7 +150,7 @@ class Page:
 
     def _start(self, tag: str, attrs: str, closed: bool) -> None:
         skipped = tag in _DROP
-        role = ""
+        role = classes = ""
         if attrs:
             for m in _ATTR.finditer(attrs):
                 name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -121,9 +161,12 @@ class Page:
                     skipped |= attrs[m.start() - 1 : m.start()].isspace()
                 elif name == "aria-hidden":
                     skipped |= value.lower() == "true"
-                elif tag not in ("html", "body", "main", "article") and _DROP_NAMES.search(value):
-                    skipped = True
-        if tag not in _BLOCK and not skipped:
+                elif name == "class" or tag == "div":  # an id counts on a div only
+                    classes += f" {value}"
+                    skipped |= tag not in _UNNAMED and names_a_part(value)
+        skipped &= self.lists or tag in _RAW or tag == "head"
+        above = self.open[-1]
+        if tag not in _BLOCK and not skipped and not (self.skip[above] and self.tags[above] == tag):
             return
         if tag in _BLOCK:
             if any(self.tags[i] == "p" for i in self.open[-3:]):
@@ -132,15 +175,16 @@ class Page:
                 self._end(*_ENDS[tag])
         if tag in ("main", "article") or role == "main":
             self.mains.append(len(self.tags))
-        self._add(tag, skipped)
+        self._add(tag, skipped, " ".join(sorted(classes.split())))
         if closed or tag in _VOID:
-            self.open.pop()
+            self._pop(len(self.open) - 1)
 
     def _close(self, tag: str) -> None:
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.tags[self.open[at]] == tag:
-                del self.open[at:]
-                return
+        if self.standing[tag]:
+            for at in range(len(self.open) - 1, 0, -1):
+                if self.tags[self.open[at]] == tag:
+                    return self._pop(at)
+        return None
 
     def _parse(self, source: str) -> None:
         at = 0
@@ -182,6 +226,32 @@ class Page:
                 out[n] = hashlib.blake2b(b"\x00".join([self.tags[n].encode(), *parts]), digest_size=8).digest()
         return out
 
+    def shapes(self) -> list[bytes]:
+        """64-bit hash of the shape of every subtree that may go by its shape
+        (b'' for the others): tag, class names and the kinds of its children."""
+        size, main = [0] * len(self.tags), [False] * len(self.tags)
+        for n in self.mains:
+            main[n] = True
+        out = [b""] * len(self.tags)
+        for n in range(len(self.tags) - 1, 0, -1):
+            size[n] += sum(len(x) for x in self.items[n] if isinstance(x, str))
+            size[self.parents[n]] += size[n]
+            main[self.parents[n]] |= main[n]
+            kinds = {out[x] if isinstance(x, int) else b"text" for x in self.items[n] if isinstance(x, int) or not x.isspace()}
+            told = [b"shape", self.tags[n].encode(), self.classes[n].encode("utf-8", "replace"), *sorted(kinds)]
+            out[n] = hashlib.blake2b(b"\x00".join(told), digest_size=8).digest()
+        whole = size[0] + sum(len(x) for x in self.items[0] if isinstance(x, str))
+        inside = [False] * len(self.tags)
+        for n in range(1, len(self.tags)):
+            inside[n] = inside[self.parents[n]] or n in self._main_set
+        return [
+            b"" if n == 0 or main[n] or inside[n] or self.tags[n] in _PROSE or 2 * size[n] > whole else h for n, h in enumerate(out)
+        ]
+
+    @functools.cached_property
+    def _main_set(self) -> set[int]:
+        return set(self.mains)
+
     def roots(self, gone: list) -> list[int]:
         """The outermost main elements that are not gone."""
         inside = [False] * len(self.tags)
@@ -196,8 +266,9 @@ class Page:
 
     def _gone(self, template: set, hashes: list[bytes]) -> list[bool]:
         gone = list(self.skip)
+        shapes = self.shapes() if template else []
         for n in range(1, len(self.tags)):
-            gone[n] |= gone[self.parents[n]] or (bool(template) and hashes[n] in template)
+            gone[n] |= gone[self.parents[n]] or (bool(template) and (hashes[n] in template or shapes[n] in template))
         return gone
 
     def key(self, hashes: list[bytes]) -> bytes:
@@ -242,9 +313,9 @@ def _host():
     return F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
-def site_templates(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
+def site_templates(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
     """host, template (array of subtree hashes): the subtrees on more than
-    ``share`` of the host's distinct pages, on ``min_pages`` at least."""
+    ``share`` of the host's distinct pages, on ``least`` at least."""
 
     def run(batches):
         for batch in batches:
@@ -255,7 +326,7 @@ def site_templates(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_
                     page = Page(source or "")
                     hashes = page.digests()
                     keys.append(page.key(hashes))
-                    found.append(sorted({h for h in hashes if h} | {b""}))  # b'' stands for the page
+                    found.append(sorted({h for h in hashes if h} | {h for h in page.shapes() if h} | {b""}))  # b'' stands for the page
                 yield pa.RecordBatch.from_arrays(
                     [part.column("host"), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.binary()))],
                     ["host", "key", "hashes"],
@@ -268,7 +339,7 @@ def site_templates(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_
         .distinct()
         .groupBy("host", "hash")
         .agg(F.count("*").alias("on"))
-        .where(F.col("on") >= min_pages)
+        .where(F.col("on") >= least)
     )
     totals = counts.where("hash = X''").select("host", F.col("on").alias("pages"))
     return (
@@ -279,7 +350,7 @@ def site_templates(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_
     )
 
 
-def extract_text(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
+def extract_text(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
     """page_id, url, text, n_chars of every row.
 
     Main text: the outermost main or article elements, else the whole page,
@@ -289,7 +360,7 @@ def extract_text(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PA
     Pages of a host with equal main elements count as one; each row gets its
     text; other columns are ignored.
     """
-    found = cut(site_templates(pages, share, min_pages)).withColumnRenamed("host", "t_host")
+    found = cut(site_templates(pages, share, least)).withColumnRenamed("host", "t_host")
     rows = pages.select("page_id", "url", "html", _host().alias("host"))
     joined = join_lookup(rows, found, F.col("host") == F.col("t_host"), "left").select("page_id", "url", "html", "template")
 
