@@ -16,8 +16,8 @@ from tallyhawk.llm.common import cut, join_lookup, table
 
 #: A line on more than this share of a site's pages is boilerplate.
 RATIO = 0.02
-#: Sites with fewer pages are left alone: a share of few pages says nothing.
-MIN_PAGES = 20
+#: And on so many of its pages at least, which a pair of copies can't reach.
+LEAST_PAGES = 3
 
 
 def _lines(text_col: str):
@@ -28,17 +28,17 @@ def _key(line):
     return F.trim(line)
 
 
-def boilerplate_lines(df: DataFrame, site: str, text_col: str, ratio: float, min_pages: int) -> DataFrame:
+def boilerplate_lines(df: DataFrame, site: str, text_col: str, ratio: float, least: int) -> DataFrame:
     """site, lines (array of the md5 of every boilerplate line): counts are
     combined in each task before the shuffle on (site, line hash)."""
     pages = df.select(F.col(site).alias("site"), _lines(text_col).alias("l"))
-    totals = pages.groupBy("site").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
+    totals = pages.groupBy("site").agg(F.count("*").alias("pages"))
     keys = F.array_distinct(F.transform(F.filter("l", lambda x: _key(x) != ""), lambda x: F.unhex(F.md5(_key(x)))))
     counts = (
         pages.select("site", F.explode(keys).alias("line"))
         .groupBy("site", "line")
         .agg(F.count("*").alias("on"))
-        .where("on > 1")
+        .where(F.col("on") >= least)
     )
     both = join_lookup(counts, cut(totals).withColumnRenamed("site", "t_site"), F.col("site").eqNullSafe(F.col("t_site")), "inner")
     return (
@@ -53,17 +53,18 @@ def drop_frequent_lines(
     site: str = "source",
     text_col: str = "text",
     ratio: float = RATIO,
-    min_pages: int = MIN_PAGES,
+    least: int = LEAST_PAGES,
 ) -> DataFrame:
     """``df`` with text without its site's boilerplate lines, n_lines and
     n_dropped (columns of these names are replaced).
 
-    Lines are compared trimmed of spaces; blank lines are never counted nor
+    A line is boilerplate on more than ``ratio`` of its site's pages and on
+    ``least`` of them at least, whatever the size of the site.  Lines are compared trimmed of spaces; blank lines are never counted nor
     dropped.  A line repeated inside a page counts once for that page and all
     its repeats go.  A null text stays null (0 lines); a null site is a site
     of its own.  Repeated rows are pages of their own.
     """
-    found = cut(boilerplate_lines(df, site, text_col, ratio, min_pages)).select(
+    found = cut(boilerplate_lines(df, site, text_col, ratio, least)).select(
         F.col("site").alias("found_site"), F.col("lines").alias("found_lines")
     )
     rows = df.select(
@@ -95,10 +96,10 @@ WITH l AS (
   SELECT doc_id, source, i, ls[i] AS line, trim(ls[i], ' ') AS k
   FROM (SELECT doc_id, source, ls, unnest(range(1, len(ls) + 1)) AS i
         FROM (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
-pages AS (SELECT source, count(*) AS pages FROM documents GROUP BY source HAVING count(*) >= {MIN_PAGES}),
+pages AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
 bad AS (
   SELECT l.source, l.k FROM l JOIN pages p ON l.source IS NOT DISTINCT FROM p.source WHERE l.k <> ''
-  GROUP BY l.source, l.k, p.pages HAVING count(DISTINCT doc_id) > 1 AND count(DISTINCT doc_id) > {RATIO} * p.pages),
+  GROUP BY l.source, l.k, p.pages HAVING count(DISTINCT doc_id) >= {LEAST_PAGES} AND count(DISTINCT doc_id) > {RATIO} * p.pages),
 r AS (
   SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE b.k IS NULL) AS text,
          count(*) AS n_lines, count(b.k) AS n_dropped
