@@ -39,18 +39,25 @@ def _matrix(rows: pd.Series, width: int) -> np.ndarray:
     return out
 
 
-def threshold_top(ids: np.ndarray, m: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int):
-    """(query id, id, score) of the k best candidates of every query, ties to
-    the smaller id, never the query's own id."""
+def _scoring(m: np.ndarray, q: np.ndarray):
+    """Type in which no inner product can round or overflow."""
+    most = max(1, *(abs(int(x)) for a in (m, q) if a.size for x in (a.min(), a.max()))) ** 2 * max(1, m.shape[1])
+    return float if most < 2**52 else np.int64 if most < 2**62 else object
+
+
+def threshold_top(ids: np.ndarray, rows: np.ndarray, m: np.ndarray, queries: np.ndarray, q: np.ndarray, k: int):
+    """(query row, id, score) of the k best candidates of every query, ties to
+    the smaller id, never the query's own row; scores beyond 64 bits stand for
+    the nearest 64-bit number."""
     n, width = m.shape
-    exact = max(1, np.abs(m).max(initial=0)) * max(1, np.abs(q).max(initial=0)) * max(1, width) < 2**52
-    scored_m = m.astype(float) if exact else m
+    kind = _scoring(m, q)
+    scored_m = m.astype(kind)
     up = np.argsort(m, axis=0, kind="stable").T.copy()  # (width, n): smallest first
     values = np.take_along_axis(m, up.T, axis=0).T.copy()
     out = []
-    for own, v in zip(query_ids, q):
+    for own, v in zip(queries, q.astype(kind)):
         dims = np.flatnonzero(v)
-        w = v[dims].astype(scored_m.dtype)
+        w = v[dims]
         ahead = v[dims] < 0  # read these lists from the smallest
         seen = np.zeros(n, bool)
         best_ids, best = np.zeros(0, np.int64), np.zeros(0, scored_m.dtype)
@@ -66,14 +73,16 @@ def threshold_top(ids: np.ndarray, m: np.ndarray, query_ids: np.ndarray, q: np.n
                 to = n
             new = np.flatnonzero(fresh & ~seen)
             seen |= fresh
-            new = new[ids[new] != own]
-            all_ids = np.concatenate([best_ids, ids[new]])
-            all_scores = np.concatenate([best, scored_m[np.ix_(new, dims)] @ w if len(dims) else np.zeros(len(new), scored_m.dtype)])
+            new = new[rows[new] != own]
+            scores = scored_m[np.ix_(new, dims)] @ w if len(dims) else np.zeros(len(new), kind)
+            if kind is object:
+                scores = np.array([max(-(2**63), min(2**63 - 1, x)) for x in scores], object)
+            all_ids, all_scores = np.concatenate([best_ids, ids[new]]), np.concatenate([best, scores])
             pick = np.lexsort((all_ids, -all_scores))[:k]
             best_ids, best = all_ids[pick], all_scores[pick]
             depth, step = to, step * 4
             at = np.where(ahead, values[dims, to - 1], values[dims, n - to])
-            if len(best) == k and (v[dims] * at).sum() < best[-1]:
+            if len(best) == k and (w * at.astype(kind)).sum() < best[-1]:
                 break
         out += [(own, i, int(s)) for i, s in zip(best_ids, best)]
     return out
@@ -92,20 +101,24 @@ def top_k(
 
     Null vectors, those with null or non-finite components and rows without an
     id take no part.  Shorter vectors count as filled up with zeros.  A row
-    repeated with id and vector counts once; ties go to the smaller id.  Other
-    columns are ignored; empty input gives an empty result.
+    repeated with id and vector counts once; rows of one id with different
+    vectors are rows of their own, queries and candidates of each other.  Ties
+    go to the smaller id.  Components and scores beyond 64 bits stand for the
+    nearest 64-bit number.  Other columns are ignored; empty input gives an
+    empty result.
     """
     rows = (
         vectors.where(F.col(id_col).isNotNull() & usable(F.col(vec_col)))
         .select(F.col(id_col).cast("long").alias("id"), whole_components(F.col(vec_col)).alias("v"), is_query.alias("asks"))
         .dropDuplicates(["id", "v"])
+        .withColumn("row", F.md5(F.concat_ws(",", F.col("id"), F.col("v"))))
     )
     n, asked = rows.agg(F.count("*"), F.coalesce(F.sum(F.col("asks").cast("long")), F.lit(0))).first()
     blocks, query_blocks = max(1, -(-n // block)), max(1, -(-asked // query_block))
 
     def dealt(df, own, own_blocks, other, other_blocks):
         place = F.pmod(F.xxhash64("id"), F.lit(own_blocks)).cast("int").alias(own)
-        return df.select("id", "v", place, F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))).alias(other))
+        return df.select("id", "row", "v", place, F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))).alias(other))
 
     candidates = dealt(rows, "cb", blocks, "qb", query_blocks)
     queries = dealt(rows.where("asks"), "qb", query_blocks, "cb", blocks)
@@ -115,16 +128,18 @@ def top_k(
         if len(left) and len(right):
             width = max(map(len, [*left["v"], *right["v"]]))
             found = threshold_top(
-                left["id"].to_numpy(), _matrix(left["v"], width), right["id"].to_numpy(), _matrix(right["v"], width), k
+                left["id"].to_numpy(), left["row"].to_numpy(object), _matrix(left["v"], width),
+                right["row"].to_numpy(object), _matrix(right["v"], width), k,
             )
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+        out = pd.DataFrame(found, columns=["row", "vec_id", "score"]).astype({"vec_id": "int64", "score": "int64"})
+        return out.merge(right[["row", "id"]].rename(columns={"id": "query_id"}), on="row")[["query_id", "row", "vec_id", "score"]]
 
     best = (
         candidates.groupBy("qb", "cb")
         .cogroup(queries.groupBy("qb", "cb"))
-        .applyInPandas(run, "query_id long, vec_id long, score long")
+        .applyInPandas(run, "query_id long, row string, vec_id long, score long")
     )
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    place = F.row_number().over(Window.partitionBy("query_id", "row").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
