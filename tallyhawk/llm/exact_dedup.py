@@ -16,36 +16,40 @@ from tallyhawk.llm.common import table
 
 #: Characters deleted before texts are compared: \x20 and \x09-\x0D.
 WHITE = " \t\n\x0b\x0c\r"
+#: Repeats of a row dealt out at a time.
+_LOT = 100_000
 
 
 def _digested(df: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
+    """doc_id, n (code points), tie (hash of the original text) and norm."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    norm = df.select(
+    return df.select(
         F.col(id_col).alias("doc_id"),
         F.length(text).cast("long").alias("n"),
+        F.xxhash64(text).alias("tie"),
         F.translate(text, WHITE, "").alias("norm"),
         *more,
     )
-    return norm.withColumn("h", F.unhex(F.md5("norm")))
 
 
 def text_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per distinct normalised text: h, text_sha256, group_size,
-    keep_id and keep_n (id and code points of the row that stays: the longest
-    original text, then the smallest id, null ids last)."""
-    rows = _digested(df, id_col, text_col)
+    """One row per distinct normalised text: text_sha256, group_size, keep_id,
+    keep_n and keep_tie (id, code points and text hash of the row that stays:
+    the longest original text, then the smallest id, null ids last, then the
+    larger hash)."""
+    rows = _digested(df, id_col, text_col).withColumn("h", F.unhex(F.md5("norm")))
     return (
         rows.groupBy("h", "norm")
         .agg(
             F.count("*").alias("group_size"),
-            F.max(F.struct("n", F.bitwise_not("doc_id").alias("neg"))).alias("best"),
+            F.max(F.struct("n", F.bitwise_not("doc_id").alias("neg"), "tie")).alias("best"),
         )
         .select(
-            "h",
             F.sha2("norm", 256).alias("text_sha256"),
             "group_size",
             F.bitwise_not("best.neg").alias("keep_id"),
             F.col("best.n").alias("keep_n"),
+            F.col("best.tie").alias("keep_tie"),
         )
     )
 
@@ -54,33 +58,42 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """Decision for every row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Null and empty texts are equal to each other and form one group.  Ties go
-    to the smallest id; a null id loses to any other.  Rows that repeat the
-    id and length of the row that stays are that row again and all say
-    kept = true (``keep_first`` collapses them).  Other columns are ignored,
-    whatever their names; an empty table gives an empty result.
+    to the smallest id; a null id loses to any other; rows of one id are told
+    apart by their original text.  Of rows that repeat id and text of the one
+    that stays, one says kept = true.  Other columns are ignored, whatever
+    their names; an empty table gives an empty result.
     """
-    rows = _digested(df, id_col, text_col).select(
-        "doc_id", "n", "h", F.sha2("norm", 256).alias("text_sha256")
+    # repeated rows are one with a count, so the one that stays can say so once
+    rows = (
+        _digested(df, id_col, text_col)
+        .select("doc_id", "n", "tie", F.sha2("norm", 256).alias("text_sha256"))
+        .groupBy("doc_id", "n", "tie", "text_sha256")
+        .agg(F.count("*").alias("times"))
     )
-    return rows.join(text_groups(df, id_col, text_col), ["h", "text_sha256"]).select(
-        "doc_id",
-        "keep_id",
-        "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("keep_n"))).alias("kept"),
-        "text_sha256",
+    same = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("keep_n")) & (F.col("tie") == F.col("keep_tie"))
+    placed = rows.join(text_groups(df, id_col, text_col), "text_sha256").withColumn("same", same)
+    lots = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(times - 1) div {_LOT}"))).alias("lot")
+    in_lot = F.sequence(F.lit(1).cast("long"), F.least(F.lit(_LOT).cast("long"), F.col("times") - F.col("lot") * _LOT))
+    return (
+        placed.select("*", lots)
+        .select("*", F.explode(in_lot).alias("time"))
+        .select("doc_id", "keep_id", "group_size", (F.col("same") & (F.col("lot") == 0) & (F.col("time") == 1)).alias("kept"), "text_sha256")
     )
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` without copies: all columns of the row that stays of each group.
-    Rows are matched by id and text hash; repeated rows give one row."""
+    Rows are matched by id and text; repeated rows give one row."""
     keep = text_groups(df, id_col, text_col).select(
-        F.col("keep_id").alias("k_id"), F.col("keep_n").alias("k_n"), F.col("text_sha256").alias("k_sha")
+        F.col("keep_id").alias("k_id"), F.col("keep_n").alias("k_n"), F.col("keep_tie").alias("k_tie"), F.col("text_sha256").alias("k_sha")
     )
     rows = _digested(df, id_col, text_col, F.struct(*df.columns).alias("whole")).select(
-        "doc_id", "n", "whole", F.sha2("norm", 256).alias("sha")
+        "doc_id", "n", "tie", "whole", F.sha2("norm", 256).alias("sha")
+    )
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("sha") == F.col("k_sha"))
+        & (F.col("n") == F.col("k_n")) & (F.col("tie") == F.col("k_tie"))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("sha") == F.col("k_sha")) & (F.col("n") == F.col("k_n"))
     return (
         rows.join(keep, same, "left_semi")
         .groupBy("doc_id", "sha")
