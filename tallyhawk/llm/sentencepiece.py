@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, IntegerType, LongType
 
 from tallyhawk.llm.common import table
+from tallyhawk.llm.words import strings, text_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -205,16 +206,17 @@ class Encoder:
                     starts[end], scores[end] = start, score
 
 
-def marked_words(texts: pa.Array) -> pa.Array:
-    """Per text its marked words: one space is put before the text, and each
-    run of spaces starts a word.  An empty text has none."""
-    sep = next(
-        c for c in map(chr, [*range(1, 9), *range(14, 32), *range(0xE000, 0xF8FF)])
-        if not pc.any(pc.match_substring(texts, c)).as_py()
-    )
+def marked_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All marked words and the first one of each text: one space is put before
+    the text, and each run of spaces starts a word.  An empty text has none."""
     marked = pc.binary_join_element_wise(pa.scalar(" "), texts, "")
-    marked = pc.if_else(pc.equal(texts, ""), pa.scalar(None, pa.string()), marked)
-    return pc.split_pattern(pc.replace_substring_regex(marked, r"([^ ]) ", rf"\1{sep} "), sep)
+    data, ends = text_bytes(pc.if_else(pc.equal(texts, ""), pa.scalar("", pa.string()), marked))
+    edge = np.zeros(len(data) + 1, bool)
+    edge[1:-1] = (data[1:] == 0x20) & (data[:-1] != 0x20)
+    edge[ends] = True
+    starts = np.flatnonzero(edge)
+    small = len(data) < 1 << 31
+    return strings(data, starts, pa.string() if small else pa.large_string()), np.searchsorted(starts, ends)
 
 
 def runs(batch: pa.RecordBatch, text: str, limit: int = RUN_BYTES, rows: int = 8192) -> Iterator[pa.RecordBatch]:
@@ -239,16 +241,14 @@ def gather(values: np.ndarray, offsets: np.ndarray, index: np.ndarray) -> tuple[
 
 def encode_texts(texts: pa.Array, encoder: Encoder) -> pa.Array:
     """list<int32> of ids per text (null and empty texts: no ids)."""
-    lists = marked_words(pc.fill_null(texts, "").cast(pa.string()))
-    lists = pc.if_else(pc.is_null(lists), pa.scalar([], pa.list_(pa.string())), lists)
-    coded = lists.flatten().dictionary_encode()
+    marked, firsts = marked_words(pc.fill_null(texts, "").cast(pa.string()))
+    coded = marked.dictionary_encode()
     words = coded.dictionary.to_pylist()
     ids = encoder.encode_words(words)
     per_word = [ids[w] for w in words]
     flat = np.fromiter((i for x in per_word for i in x), dtype=np.int32)
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in per_word], dtype=np.int64)]).astype(np.int64)
     values, ends = gather(flat, offsets, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64))
-    firsts = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
     return pa.ListArray.from_arrays(pa.array(ends[firsts].astype(np.int32)), pa.array(values, pa.int32()))
 
 
@@ -310,7 +310,13 @@ def decode(df: DataFrame, model: Model, ids_col: str = "piece_ids", out_col: str
 
 
 def encoded_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """Ids of every document, and whether decoding them gives the text back.
+    """doc_id, n_pieces, piece_ids of every row, and whether decoding the ids
+    gives the text back (round_trip).
+
+    Null and empty texts have no pieces and decode to the empty text.  Repeated
+    rows stay as often as they stand there; texts of any length and with any
+    characters are encoded whole; an empty table gives an empty result; other
+    columns are ignored, whatever their names.
 
     Both directions run in one pass, so that neither texts nor ids go back
     and forth between Spark and a second Python process."""
