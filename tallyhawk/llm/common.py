@@ -69,7 +69,8 @@ def sample_labelled(
     df: DataFrame, id_col: str, label: str, per_label: int
 ) -> DataFrame:
     """(id, label) of about ``per_label`` rows of each non-null label: those
-    whose id hashes below per_label / (rows of that label).  One counting
+    whose id hashes below per_label / (rows of that label); of an id with
+    several labels the smallest counts.  One counting
     aggregate and a filter: no window, no sort, and no group in one task."""
     ids = df.select(F.col(id_col).alias("sample_id"), F.col(label).alias("sample_label")).where(
         "sample_id is not null and sample_label is not null"
@@ -79,8 +80,8 @@ def sample_labelled(
     return (
         ids.join(F.broadcast(counts), "sample_label")
         .where(share * F.col("rows") < per_label)
-        .select("sample_id", "sample_label")
-        .dropDuplicates(["sample_id"])
+        .groupBy("sample_id")
+        .agg(F.min("sample_label").alias("sample_label"))
     )
 
 
