@@ -50,6 +50,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps: it does so once
+    the driver's garbage collector finds a shuffle unused, which by itself may
+    be half an hour later.  For jobs of many steps, between the steps."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def join_lookup(
     big: DataFrame, lookup: DataFrame, on, how: str, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhawk.llm.bloom import bloom_filter, inside
-from tallyhawk.llm.common import components, cut, join_lookup, stored, table, tasks_for
+from tallyhawk.llm.common import components, cut, join_lookup, release, stored, table, tasks_for
 from tallyhawk.llm.sentencepiece import runs
 
 #: Coordinates of a point, members of a leaf or node, points of a sub-block,
@@ -305,6 +305,7 @@ def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, de
         (F.col("n_a") + F.col("n_b") - apart) * (num + den) >= 2 * F.col("need")
     ).select("a", "b", "need").coalesce(n)
     near = cut(near)
+    release(near.sparkSession)
     named = near.select(F.col("a").alias("digest")).union(near.select(F.col("b").alias("digest"))).distinct()
     sets = join_lookup(sets.select("digest", "hashes"), cut(named), "digest", "left_semi", 200_000)  # 16 bytes each
     both = near.join(side(sets, "a", "hashes"), "a").join(side(sets, "b", "hashes"), "b")  # whole sets: no fewer tasks
@@ -385,6 +386,8 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
     # most keys occur once: keys travel alone first, and with their set only if
     # the filter of the others may hold them
     twice = cut(keyed_sets(docs, k, num, den).groupBy("key").count().where("count > 1").select("key"))
+    spark = docs.sparkSession
+    release(spark)
     members = cut(keyed_sets(docs, k, num, den, bloom_filter(twice)).distinct())
     # blocks with the same members are searched once
     alike = members.groupBy("key").agg(
@@ -407,6 +410,7 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
     if unnamed or repeated_ids(signed, needed):  # else each needed id is one row, with its own set
         sets = sets.join(needed.select("digest"), "digest", "left_semi").dropDuplicates(["digest"])
     sets = stored(sets)
+    release(spark)
     points = sets.select("digest", "n", "point", "bits")
     named = cut(blocks.join(sets.select("did", "digest"), "did").select("key", "c", "digest", (F.col("did") == F.col("pivot")).alias("pivot")))
     n = tasks_for(named.count())
@@ -415,6 +419,7 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
         named.where("pivot").select("key", F.col("digest").alias("b")), "key"
     ).select("a", "b").where("a <> b").coalesce(n).distinct().coalesce(n)
     links = cut(_verified(star, points, sets, num, den, n))
+    release(spark)
     open_blocks = named.where("c > 2").select("key", "digest", "pivot")
     most, again = PARTNERS, None
     while True:
@@ -443,10 +448,12 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
             if open_blocks.isEmpty():
                 return found
         pairs = cut(_search_round(open_blocks, points, num, den, most, n)).coalesce(n)
+        release(spark)
         open_blocks = open_blocks.select("key", "digest", "pivot")
         again = cut(pairs.where("more").select(F.col("a").alias("digest"), F.lit(True).alias("again")).distinct())
         new = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().coalesce(n)
         added = cut(_verified(new, points, sets, num, den, n))
+        release(spark)
         left_out = not again.isEmpty()
         if not added.isEmpty():
             links = cut(added if found is None else added.union(found.select(F.col("node").alias("a"), F.col("root").alias("b"))))
