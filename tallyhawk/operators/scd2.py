@@ -208,22 +208,76 @@ def scd2_merge_snapshot(
     * open live version missing from the snapshot -> delete marker
     * replaced open versions end one grain before the new start
 
-    Re-merging the same snapshot changes nothing.  ``extras`` are literal
-    bookkeeping columns of new rows (e.g. ``file_date``); replaced rows keep
-    their own values.
+    Re-merging the same snapshot changes nothing; rows without a key are left
+    out.  ``extras`` are literal bookkeeping columns of new rows (e.g.
+    ``file_date``); replaced rows keep their own values.
     """
     keys = _keys(key)
     tracked = list(tracked)
     extras = dict(extras or {})
     start = as_of if isinstance(as_of, Column) else (X.date_lit(as_of) if grain == "day" else F.lit(as_of))
     open_rows, closed = _split(hist, grain)
-    snap = latest_per_key(snapshot, keys, tracked)
+    snap = latest_per_key(snapshot.dropna(subset=keys), keys, tracked)
     s = snap.select(*keys, *[F.col(c).alias("_s_" + c) for c in tracked], F.lit(True).alias("_s_present"))
     merged = _merge(open_rows, keys, tracked, start, start, grain, extras, with_action, None, s)
     columns = keys + tracked + [C.FROM_COL, C.TO_COL, C.FLAG_COL] + list(extras)
     return merged.unionByName(_passthrough(closed, columns, with_action))
 
 
+def scd2_insert_snapshot(
+    hist: DataFrame, snapshot: DataFrame, key, tracked: Sequence[str], as_of, next_as_of=None, file_date_col: str | None = C.FILE_DATE_COL
+) -> DataFrame:
+    """The DATE-grain history as it would be had the snapshot of ``as_of`` been
+    merged in its turn, though later ones, the next on ``next_as_of``, already
+    are (a snapshot of that day merged before is replaced).
+
+    Each key's history is a row of points (day, state).  Those between the two
+    days go; the snapshot's state is put at ``as_of`` and what the history
+    says of ``next_as_of`` is put there; points that change nothing are
+    dropped, and the versions are read off the rest.
+    """
+    keys, tracked = _keys(key), list(tracked)
+    day = X.date_lit(as_of)
+    state = F.struct(*tracked)
+
+    def points(df, at, live, attrs):
+        return df.select(*keys, at.alias("at"), live.alias("live"), attrs.alias("attrs"))
+
+    live_row = F.col(C.FLAG_COL) == C.LIVE
+    kept = F.col(C.FROM_COL) < day
+    if next_as_of is not None:
+        kept |= F.col(C.FROM_COL) >= X.date_lit(next_as_of)
+    parts = [points(hist.where(kept), F.col(C.FROM_COL), live_row, state)]
+    snap = latest_per_key(snapshot.dropna(subset=keys), keys, tracked).select(*keys, state.alias("attrs"))
+    every = hist.select(*keys).union(snap.select(*keys)).distinct()
+    then = every.join(snap, keys, "left")
+    parts.append(points(then, day, F.col("attrs").isNotNull(), F.col("attrs")))
+    if next_as_of is not None:
+        on_next = X.date_lit(next_as_of)
+        valid = hist.where(X.valid_at(on_next, C.FROM_COL, C.TO_COL, grain="day"))
+        later = every.join(valid.select(*keys, F.col(C.FROM_COL).alias("_f"), live_row.alias("live"), state.alias("attrs")), keys, "left")
+        later = later.where(~F.col("_f").eqNullSafe(on_next))  # else it is a point already
+        parts.append(points(later, on_next, F.coalesce("live", F.lit(False)), F.col("attrs")))
+    by_day = Window.partitionBy(*keys).orderBy("at")
+    told = parts[0]
+    for p in parts[1:]:
+        told = told.unionByName(p)
+    told = told.select("*", F.lag("live").over(by_day).alias("was"), F.lag("attrs").over(by_day).alias("had"))
+    same = F.when(F.col("live"), F.coalesce("was", F.lit(False)) & F.col("attrs").eqNullSafe(F.col("had"))).otherwise(
+        ~F.coalesce("was", F.lit(False))
+    )
+    told = told.where(~same)
+    told = told.select("*", F.lag("attrs").over(by_day).alias("before"), F.lead("at").over(by_day).alias("next"))
+    attrs = F.when(F.col("live"), F.col("attrs")).otherwise(F.col("before"))
+    told = told.withColumn("a", attrs)
+    out = [*keys, *[F.col(f"a.{c}").alias(c) for c in tracked], F.col("at").alias(C.FROM_COL)]
+    out.append(F.coalesce(F.date_sub("next", 1), X.infinity("day")).alias(C.TO_COL))
+    out.append(F.when(F.col("live"), C.LIVE).otherwise(C.DELETED).alias(C.FLAG_COL))
+    if file_date_col:
+        out.append(F.col("at").alias(file_date_col))
+    return told.select(*out)
+
+
 def scd2_merge_incremental(
     hist: DataFrame,
     changed_rows: DataFrame,
@@ -256,7 +310,7 @@ def scd2_merge_incremental(
     run = run_ts if isinstance(run_ts, Column) else X.ts_lit(str(run_ts))
     extras = {processed_col: run} if processed_col else {}
     open_rows, closed = _split(hist, grain)
-    live = live_keys.select(*keys).distinct().withColumn("_live", F.lit(True))
+    live = live_keys.select(*keys).dropna().distinct().withColumn("_live", F.lit(True))
     # the latest change per key (a change set may hold several per key)
     latest = latest_per_key(changed_rows, keys, tracked, _start(update_col, create_col, grain), "_start")
     staged = latest.select(
@@ -278,9 +332,14 @@ def scd2_merge_incremental(
 
 def scd2_initial(rows: DataFrame, key, tracked: Sequence[str], run_ts, grain: str = "ms",
                  create_col: str = C.CREATE_COL, update_col: str = C.UPDATE_COL,
-                 processed_col: str | None = C.PROCESSED_COL) -> DataFrame:
-    """First load of a history from a source: one open live version per row."""
+                 processed_col: str | None = C.PROCESSED_COL, live_keys: DataFrame | None = None) -> DataFrame:
+    """First load of a history from a source: one open live version per key,
+    from its latest row (rows without a key are left out).  ``live_keys``, if
+    given, are the keys the source still has: others are left out as well."""
     keys = _keys(key)
+    rows = latest_per_key(rows.dropna(subset=keys), keys, [*tracked, create_col, update_col], _start(update_col, create_col, grain))
+    if live_keys is not None:
+        rows = rows.join(live_keys.select(*keys), keys, "left_semi")
     run = run_ts if isinstance(run_ts, Column) else X.ts_lit(str(run_ts))
     cols = [F.col(k) for k in keys] + [F.col(c) for c in tracked]
     cols += [_start(update_col, create_col, grain).alias(C.FROM_COL), X.infinity(grain).alias(C.TO_COL), F.lit(C.LIVE).alias(C.FLAG_COL)]

@@ -2,12 +2,13 @@
 
 Layout under one base folder (a shared file system on a cluster)::
 
-    hist/<dimension>/segment=open/                  open versions (rewritten per run)
-    hist/<dimension>/segment=closed-<run>/          versions closed by that run
+    hist/<dimension>/open-<run>/                    open versions (written anew per run)
+    hist/<dimension>/closed-<run>/                  versions closed by that run
+    hist/<dimension>/manifest/<version>.json        the parts that make up the history
     fact/transactions/trans_day=D/load_id=<file>/   by operation day, then loaded file
     fact/passport_blacklist/file_date=D/load_id=<file>/
     report/fraud/report_dt=D/event_type=N/          recomputed per (day, rule)
-    meta/load_watermark/                            one row per source table
+    meta/load_watermark/                            one row per source table, published by a manifest
     meta/date_points/                               appended load-state rows
 
 Every write is a dynamic partition overwrite of partitions owned by the
@@ -41,6 +42,7 @@ from pyspark.sql import functions as F
 
 from tallyhawk.functions import columns as X
 from tallyhawk.functions import constants as C
+from tallyhawk.operators import affected as AF
 from tallyhawk.operators import facts as L
 from tallyhawk.operators import rules as R
 from tallyhawk.operators import scd2 as S
@@ -82,10 +84,27 @@ def stage_source(df: DataFrame, table: str) -> DataFrame:
 
 TRACKED = {t: [w for _, w in cols[1:]] for t, cols in C.SOURCE_COLUMNS.items()}
 KEYS = {t: cols[0][1] for t, cols in C.SOURCE_COLUMNS.items()}
+#: Key, tracked columns and grain of every history.
+DIMENSIONS = {t: ([KEYS[t]], TRACKED[t], "ms") for t in KEYS} | {"terminals": (["terminal_id"], TERMINAL_TRACKED, "day")}
 
 
 # ------------------------------------------------------------------ tables
 
+#: Columns of the tables that can be without rows.
+TABLES = {
+    "fact/transactions": (
+        "trans_id string, trans_date timestamp_ntz, amt decimal(18,2), card_num string, oper_type string, oper_result string,"
+        f" terminal string, {C.FILE_DATE_COL} date, {TRANS_DAY} date, {LOAD_ID} string"
+    ),
+    "fact/passport_blacklist": (
+        f"entry_dt date, passport_num string, {C.PROCESSED_COL} timestamp_ntz, {C.FILE_DATE_COL} date, {LOAD_ID} string"
+    ),
+    "report/fraud": "event_dt timestamp_ntz, passport string, fio string, phone string, report_dt date, event_type int",
+    "meta/date_points": "date_point date, " + ", ".join(f"{f} int" for f in ST.ALL_FLAGS),
+    "meta/files": "name string, day string",
+}
+WATERMARK = "schema_name string, table_name string, max_update_dt timestamp_ntz"
+
 
 @dataclass
 class Warehouse:
@@ -102,7 +121,18 @@ class Warehouse:
         return hp.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hp)
 
     def read(self, *parts: str) -> DataFrame | None:
-        return self.spark.read.parquet(self.path(*parts)) if self.exists(*parts) else None
+        """A table, None before its first write.  A table whose writes had no
+        rows so far (a first file without rows, a report without hits) is a
+        folder without data files: empty, with its declared columns."""
+        if not self.exists(*parts):
+            return None
+        Path, conf = self._fs()
+        root = Path(self.path(*parts))
+        files = root.getFileSystem(conf).listFiles(root, True)
+        while files.hasNext():
+            if files.next().getPath().getName().endswith(".parquet"):
+                return self.spark.read.parquet(self.path(*parts))
+        return self.spark.createDataFrame([], TABLES["/".join(parts)])
 
     def cut(self, df: DataFrame) -> DataFrame:
         """Materialise ``df`` reliably (survives executor loss) and drop lineage."""
@@ -121,8 +151,9 @@ class Warehouse:
 
     def _replace(self, rows: DataFrame, parts: list[str], covered: str, *path: str) -> None:
         """Replace exactly the partition folders that match ``covered`` (a
-        glob below the table): those that get rows are overwritten, those
-        that get none any more are removed afterwards."""
+        glob below the table): those that get no rows any more are removed,
+        then the others overwritten, so a run that stops in between leaves no
+        row that is no longer true."""
         Path, conf = self._fs()
         glob = Path(self.path(*path, covered))
         fs = glob.getFileSystem(conf)
@@ -131,17 +162,17 @@ class Warehouse:
         # one entry per partition folder written, as many as the run covers
         written = rows.select(*parts).distinct().collect()
         kept = {"/".join(f"{c}={self._escape(str(v))}" for c, v in zip(parts, r)) for r in written}
-        self._overwrite(rows, parts, *path)
         for p in before:
             if "/".join(p.toString().split("/")[-len(parts):]) not in kept:
                 fs.delete(p, True)
+        self._overwrite(rows, parts, *path)
 
     # -- history: parts are written under new names and become visible when a
     # manifest naming them is renamed into place; nothing that a reader or an
     # interrupted run could need is overwritten
-    def manifest(self, dim: str) -> dict:
+    def manifest(self, dim: str, kind: str = "hist") -> dict:
         Path, conf = self._fs()
-        root = Path(self.path("hist", dim, "manifest"))
+        root = Path(self.path(kind, dim, "manifest"))
         fs = root.getFileSystem(conf)
         names = [st.getPath().getName() for st in fs.listStatus(root)] if fs.exists(root) else []
         names = sorted(n for n in names if n.endswith(".json"))
@@ -153,9 +184,12 @@ class Warehouse:
         finally:
             stream.close()
 
-    def publish(self, dim: str, manifest: dict) -> None:
+    def publish(self, dim: str, manifest: dict, kind: str = "hist") -> None:
+        """Make a manifest the newest one.  The rename must be atomic and fail
+        where the name exists, as on HDFS; an object store needs a committer
+        that gives the same."""
         Path, conf = self._fs()
-        root = Path(self.path("hist", dim, "manifest"))
+        root = Path(self.path(kind, dim, "manifest"))
         fs = root.getFileSystem(conf)
         part = Path(root, f"{uuid.uuid4().hex}.part")
         stream = fs.create(part)
@@ -176,7 +210,41 @@ class Warehouse:
         m = self.manifest(dim)
         return self._parts(dim, ([m["open"]] if m["open"] else []) + m["closed"])
 
-    def write_history(self, dim: str, merged: DataFrame, run_id: str, grain: str, as_of: str | None = None) -> None:
+    def at(self, dim: str, manifest: dict) -> DataFrame | None:
+        """The history that a manifest names."""
+        return self._parts(dim, ([manifest["open"]] if manifest["open"] else []) + manifest["closed"])
+
+    def diff(self, dim: str, old: dict, new: dict) -> DataFrame | None:
+        """Where two published states of a history differ, None if they are
+        the same; closed parts that both name are not read."""
+        names = [set(([m["open"]] if m["open"] else []) + m["closed"]) for m in (old, new)]
+        if not old["version"] or names[0] == names[1]:
+            return None
+        a, b = (self._parts(dim, sorted(x - y)) for x, y in (names, names[::-1]))
+        if a is None or b is None:
+            a, b = (x if x is not None else y.limit(0) for x, y in ((a, b), (b, a)))
+        keys, tracked, grain = DIMENSIONS[dim]
+        return AF.history_diff(a, b, keys, tracked, grain)
+
+    def watermarks(self) -> DataFrame | None:
+        part = self.manifest("load_watermark", "meta")["open"]
+        return self.spark.read.schema(WATERMARK).parquet(self.path("meta", "load_watermark", part)) if part else None
+
+    def write_watermarks(self, rows: DataFrame) -> None:
+        """The new watermarks beside the old ones, then published: a run that
+        stops before leaves the old ones."""
+        m = self.manifest("load_watermark", "meta")
+        part = f"part-{uuid.uuid4().hex}"
+        rows.coalesce(1).write.parquet(self.path("meta", "load_watermark", part))
+        self.publish("load_watermark", {**m, "version": m["version"] + 1, "open": part, "before": m["open"]}, "meta")
+        if m["before"]:
+            Path, conf = self._fs()
+            old = Path(self.path("meta", "load_watermark", m["before"]))
+            old.getFileSystem(conf).delete(old, True)
+
+    def write_history(self, dim: str, merged: DataFrame, run_id: str, grain: str, as_of: str | None = None, whole: bool = False) -> None:
+        """Publish the new open versions and, beside the closed parts so far
+        (instead of them if ``merged`` is the whole history), the newly closed."""
         m = self.manifest(dim)
         rows = self.cut(merged)
         tag = f"{run_id}-{uuid.uuid4().hex[:8]}"
@@ -187,8 +255,9 @@ class Warehouse:
         if new:
             closed.write.parquet(self.path("hist", dim, new[0]))
         self.publish(dim, {
-            "version": m["version"] + 1, "open": f"open-{tag}", "closed": m["closed"] + new,
+            "version": m["version"] + 1, "open": f"open-{tag}", "closed": ([] if whole else m["closed"]) + new,
             "as_of": max(filter(None, (m["as_of"], as_of)), default=None), "before": m["open"],
+            "days": sorted({*m.get("days", filter(None, [m["as_of"]])), *filter(None, [as_of])}),
         })
         if m["before"]:  # the open part before the last one: no reader starts on it any more
             self.drop_segments(dim, [m["before"]])
@@ -261,16 +330,16 @@ def merge_source_table(wh: Warehouse, table: str, changed: DataFrame, live_keys:
     staged = stage_source(changed, table)
     open_rows = wh.open_versions(table)
     if open_rows is None:
-        merged = S.scd2_initial(staged, key, tracked, run_ts)
+        keys = live_keys.select(F.rtrim(F.col(live_keys.columns[0])).alias(key))
+        merged = S.scd2_initial(staged, key, tracked, run_ts, live_keys=keys)
     else:
         keys = live_keys.select(F.rtrim(F.col(live_keys.columns[0])).alias(key))
         merged = S.scd2_merge_incremental(open_rows, staged, keys, key, tracked, run_ts)
     wh.write_history(table, merged, _run_id(run_ts), grain="ms")
-    meta = wh.read("meta", "load_watermark")
+    meta = wh.watermarks()
     if meta is None:
-        meta = wh.spark.createDataFrame([], "schema_name string, table_name string, max_update_dt timestamp_ntz")
-    new_meta = wh.cut(ST.advance_watermark(meta, {table: changed}))
-    new_meta.write.mode("overwrite").parquet(wh.path("meta", "load_watermark"))
+        meta = wh.spark.createDataFrame([], WATERMARK)
+    wh.write_watermarks(ST.advance_watermark(meta, {table: changed}))
 
 
 def compact_closed(wh: Warehouse, dim: str, stamp: str) -> str | None:
@@ -294,27 +363,30 @@ def compact_closed(wh: Warehouse, dim: str, stamp: str) -> str | None:
 
 
 def source_watermark(wh: Warehouse, table: str):
-    meta = wh.read("meta", "load_watermark")
+    meta = wh.watermarks()
     return None if meta is None else ST.watermark_lookup(meta, table)
 
 
-class LateSnapshot(ValueError):
-    """A full snapshot older than one already merged: merging it would make
-    its state the current one."""
-
-
 def merge_terminals(wh: Warehouse, snapshot: DataFrame, day: str) -> None:
-    """M-2: a full terminal snapshot of ``day`` into the DATE-grain history."""
-    newest = wh.manifest("terminals")["as_of"]
-    if newest and day < newest:
-        raise LateSnapshot(f"snapshot of {day} arrived after that of {newest} was merged")
+    """M-2: a full terminal snapshot of ``day`` into the DATE-grain history.
+
+    Snapshots may arrive in any order: one of a day before the newest merged
+    one (or another one of the same day) is put into the history at its own
+    day, which gives the history of the chronological order."""
+    m = wh.manifest("terminals")
+    rows = snapshot.select("terminal_id", *TERMINAL_TRACKED)
+    run_id = day.replace("-", "")
+    if m["as_of"] and day <= m["as_of"]:
+        after = [d for d in m.get("days", [m["as_of"]]) if d > day]  # one entry per merged snapshot
+        merged = S.scd2_insert_snapshot(wh.at("terminals", m), rows, "terminal_id", TERMINAL_TRACKED, day, min(after, default=None))
+        return wh.write_history("terminals", merged, run_id, grain="day", as_of=day, whole=True)
     open_rows = wh.open_versions("terminals")
     if open_rows is None:
         open_rows = S.empty_history(wh.spark, {"terminal_id": "string"}, {c: "string" for c in TERMINAL_TRACKED},
                                     "day", {C.FILE_DATE_COL: "date"})
-    merged = S.scd2_merge_snapshot(open_rows, snapshot.select("terminal_id", *TERMINAL_TRACKED), "terminal_id",
-                                   TERMINAL_TRACKED, day, grain="day", extras={C.FILE_DATE_COL: X.date_lit(day)})
-    wh.write_history("terminals", merged, day.replace("-", ""), grain="day", as_of=day)
+    merged = S.scd2_merge_snapshot(open_rows, rows, "terminal_id", TERMINAL_TRACKED, day, grain="day",
+                                   extras={C.FILE_DATE_COL: X.date_lit(day)})
+    return wh.write_history("terminals", merged, run_id, grain="day", as_of=day)
 
 
 # ------------------------------------------------------------------ fact loads
@@ -443,7 +515,9 @@ def load_dimensions(wh: Warehouse, sources: dict, run_ts: str) -> dict[str, str]
     for name, source in sources.items():
         try:
             changed, live = source(source_watermark(wh, name)) if callable(source) else source
+            old = wh.manifest(name)
             merge_source_table(wh, name, changed, live, run_ts)
+            rerun(wh, affected_by_history(wh, name, old))
         except Exception as exc:  # the step failed: reported, the next run retries it
             errors[name] = repr(exc)[:500]
     return errors
@@ -455,27 +529,37 @@ def run_date(wh: Warehouse, day: str, run_ts: str, files: dict) -> dict:
     ``files`` maps 'terminals' / 'transactions' / 'passport_blacklist' to the
     DataFrame of that day's file, loaded at most once per day (load-state
     flags), or to a list of (file name, DataFrame): each is loaded under its
-    name, and rules already run for the day are run again on the fuller data.
+    name, and rules already run for the day are run again on the fuller data,
+    as are those of other days that a load touches (the window after its
+    operations, operations of newly listed passports, changed terminals).
     A step that fails raises, its flag stays 0 and the next run retries it.
     Returns the new flags (also appended to the state).
     """
     flags = day_state(wh, day)
-    again = False
+    again, touched = False, set()
     for kind in ("terminals", "transactions", "passport_blacklist"):
         given = files.get(kind, [])
         for name, rows in given if isinstance(given, list) else [(None, given)]:
             if name is None and flags[f"{kind}_flg"]:
                 continue
+            fact, load_id = kind, name or f"{kind}_{day}"
             if kind == "terminals":
+                old = wh.manifest("terminals")
                 merge_terminals(wh, rows, day)
-            elif kind == "transactions":
-                load_transactions_file(wh, rows, day, name)
+                touched |= affected_by_history(wh, "terminals", old)
             else:
-                load_blacklist_file(wh, rows, day, run_ts, name)
+                touched |= affected_by_load(wh, fact, [load_id])  # rows this load had before
+                if kind == "transactions":
+                    load_transactions_file(wh, rows, day, name)
+                else:
+                    load_blacklist_file(wh, rows, day, run_ts, name)
+                touched |= affected_by_load(wh, fact, [load_id])
             flags[f"{kind}_flg"] = 1
             again = again or name is not None
     open_rules = {**flags, **{f: 0 for f in ST.RULE_FLAGS}} if again else flags
-    for r in run_rules(wh, (day, day), rules_ready(open_rules)):
+    done = run_rules(wh, (day, day), rules_ready(open_rules))
+    rerun(wh, touched - {(dt.date.fromisoformat(day), r) for r in done})
+    for r in done:
         flags[f"event_type_{r}_rep"] = 1
     row = wh.spark.createDataFrame([(day,)], "d string").select(F.col("d").cast("date").alias("date_point"))
     wh.append_state("date_points", ST.date_point_rows(row, flags))
@@ -493,6 +577,59 @@ def run_ready(wh: Warehouse, days: list, rules) -> None:
             wh.append_state("date_points", ST.date_point_rows(row, {f"event_type_{r}_rep": 1 for r in done}))
 
 
+# ------------------------------------------------------------------ affected days
+
+
+def _pairs(frame: DataFrame | None) -> set[tuple]:
+    """(day, rule) pairs: at most the report's days times its rules."""
+    return set() if frame is None else {(r["report_dt"], r["event_type"]) for r in frame.select(*AF.PAIR).distinct().collect()}
+
+
+def _load_rows(wh: Warehouse, name: str, load_ids: list[str]) -> DataFrame | None:
+    rows = wh.read("fact", name)
+    return None if rows is None else rows.filter(F.col(LOAD_ID).isin(load_ids))
+
+
+def affected_by_load(wh: Warehouse, name: str, load_ids: list[str]) -> set[tuple]:
+    """Report days and rules that the stored rows of the loads touch."""
+    rows = _load_rows(wh, name, load_ids)
+    if rows is None:
+        return set()
+    if name == "transactions":
+        return _pairs(AF.days_of_operations(rows))
+    tx, dims = wh.read("fact", "transactions"), dimensions(wh)
+    return set() if tx is None else _pairs(AF.days_of_listings(tx, rows, dims.cards, dims.accounts, dims.clients))
+
+
+def affected_by_history(wh: Warehouse, dim: str, old: dict) -> set[tuple]:
+    """Report days and rules touched by what changed in a history since the
+    manifest ``old`` (its parts must still be there)."""
+    tx, diff = wh.read("fact", "transactions"), wh.diff(dim, old, wh.manifest(dim))
+    if tx is None or diff is None:
+        return set()
+    if dim == "terminals":
+        return _pairs(AF.days_of_terminals(tx, diff))
+    dims = dimensions(wh)
+    return _pairs(AF.days_of_cards(tx, AF.changed_cards(diff, dim, dims.cards, dims.accounts)))
+
+
+def rerun(wh: Warehouse, pairs: set[tuple]) -> None:
+    """Evaluate again exactly the (day, rule) pairs that had been evaluated, or
+    whose day has no load state of its own (operations of a day without a
+    file); the others run once their inputs have arrived.  Neighbouring days
+    with the same rules are one job."""
+    plan = []
+    for day in sorted({d for d, _ in pairs}):
+        flags = day_state(wh, str(day))
+        due = tuple(r for r in AF.ALL_RULES if (day, r) in pairs and (flags[f"event_type_{r}_rep"] or not any(flags.values())))
+        if due and plan and plan[-1][2] == due and plan[-1][1] + dt.timedelta(1) == day:
+            plan[-1][1] = day
+        elif due:
+            plan.append([day, day, due])
+    for first, last, rules in plan:
+        run_rules(wh, (first, last), rules)
+
+
 # ------------------------------------------------------------------ streamed files
 
 
@@ -514,14 +651,18 @@ def transactions_batch_writer(wh: Warehouse, rules=(2, 4)):
             load_ids = [r[0] for r in delta.select(LOAD_ID).distinct().collect()]
             if not load_ids:
                 return
+            touched = affected_by_load(wh, "transactions", load_ids)
             wh.write_fact("transactions", load_transactions_rows(wh, delta, load_ids), load_ids)
+            touched |= affected_by_load(wh, "transactions", load_ids)
             lo_hi = delta.agg(F.min(C.FILE_DATE_COL).alias("lo"), F.max(C.FILE_DATE_COL).alias("hi")).first()
             done = run_rules(wh, (lo_hi["lo"], lo_hi["hi"]), rules)
             flags = {"transactions_flg": 1, **{f"event_type_{r}_rep": 1 for r in done}}
             days = delta.select(F.col(C.FILE_DATE_COL).alias("date_point")).distinct()
             wh.append_state("date_points", ST.date_point_rows(days, flags))
             # a batch has at most maxFilesPerTrigger file days
-            run_ready(wh, [r[0] for r in days.collect()], [r for r in (1, 3) if r not in rules])
+            own = [r[0] for r in days.collect()]
+            run_ready(wh, own, [r for r in (1, 3) if r not in rules])
+            rerun(wh, touched - {(d, r) for d in own for r in AF.ALL_RULES})
         finally:
             delta.unpersist()
 
@@ -549,10 +690,13 @@ def terminals_batch_writer(wh: Warehouse):
         if row["n"] != 1:
             raise ValueError("terminal snapshots must arrive one file per batch")
         day = str(row["d"])
+        old = wh.manifest("terminals")
         merge_terminals(wh, batch.select("terminal_id", *TERMINAL_TRACKED), day)
+        touched = affected_by_history(wh, "terminals", old)
         days = batch.select(F.col(C.FILE_DATE_COL).alias("date_point")).distinct()
         wh.append_state("date_points", ST.date_point_rows(days, {"terminals_flg": 1}))
         run_ready(wh, [day], [3])
+        rerun(wh, touched - {(row["d"], 3)})
 
     return process
 
@@ -592,7 +736,9 @@ def blacklist_batch_writer(wh: Warehouse, run_ts: str):
         wh.write_fact("passport_blacklist", new, load_ids)
         days = batch.select(F.col(C.FILE_DATE_COL).alias("date_point")).distinct()
         wh.append_state("date_points", ST.date_point_rows(days, {"passport_blacklist_flg": 1}))
-        run_ready(wh, [r[0] for r in days.collect()], [1])
+        own = [r[0] for r in days.collect()]
+        run_ready(wh, own, [1])
+        rerun(wh, affected_by_load(wh, "passport_blacklist", load_ids) - {(d, 1) for d in own})
 
     return process
 
