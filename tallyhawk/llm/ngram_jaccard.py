@@ -41,6 +41,8 @@ from tallyhawk.llm.sentencepiece import runs
 #: Coordinates of a point, members of a leaf or node, points of a sub-block,
 #: partners returned for a point by the first round.
 COORDS, FANOUT, BLOCK, PARTNERS = 64, 16, 2048, 4
+#: Pairs of digests (40 bytes each) up to which they are broadcast.
+NAMED = 200_000
 #: Groups whose counts are kept modulo 2.
 BITS = 1024
 _BAND = 1.5
@@ -306,9 +308,12 @@ def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, de
     ).select("a", "b", "need").coalesce(n)
     near = cut(near)
     release(near.sparkSession)
-    named = near.select(F.col("a").alias("digest")).union(near.select(F.col("b").alias("digest"))).distinct()
-    sets = join_lookup(sets.select("digest", "hashes"), cut(named), "digest", "left_semi", 200_000)  # 16 bytes each
-    both = near.join(side(sets, "a", "hashes"), "a").join(side(sets, "b", "hashes"), "b")  # whole sets: no fewer tasks
+    hashes = sets.select("digest", "hashes")
+    # a set travels once per pair it is the first of; of the second ones only
+    # those named travel
+    first = join_lookup(hashes.withColumnRenamed("digest", "a").withColumnRenamed("hashes", "hashes_a"), near, "a", "inner", NAMED)
+    second = join_lookup(hashes, cut(near.select(F.col("b").alias("digest")).distinct()), "digest", "left_semi", NAMED)
+    both = first.join(side(second, "b", "hashes"), "b")  # whole sets: no fewer tasks
     same = F.size(F.array_intersect("hashes_a", "hashes_b"))
     return both.where(same * (num + den) >= F.col("need")).select("a", "b")
 
