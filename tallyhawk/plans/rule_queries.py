@@ -236,6 +236,53 @@ def asof_validity_join(spark, d):
     return j.select("trans_id", "terminal_city", "terminal_version_from")
 
 
+@register(
+    "asof_validity_carried",
+    with_views(
+        "SELECT t.trans_id, h.terminal_city, h.effective_from AS terminal_version_from "
+        "FROM tx t LEFT JOIN terminals_hist h ON h.terminal_id = t.terminal "
+        "AND CAST(t.trans_date AS DATE) BETWEEN h.effective_from AND h.effective_to AND h.deleted_flg = 'N'"
+    ),
+)
+def asof_validity_carried(spark, d):
+    """J-5 in linear time, left semantics: every operation with the terminal
+    version valid on its day, carried forward instead of paired."""
+    from tallyhawk.operators.asof import live_versions
+    from tallyhawk.operators.sequence import asof_carried
+
+    term = live_versions(V.terminals_hist(spark, d)).select(
+        F.col("terminal_id").alias("_t_id"),
+        F.col("terminal_city"),
+        F.col("effective_from").alias("terminal_version_from"),
+        F.col("effective_to").alias("_t_to"),
+    )
+    t = V.tx(spark, d).select("trans_id", "trans_date", "terminal")
+    j = asof_carried(t, term, "terminal", "_t_id", "trans_date", "terminal_version_from", "_t_to", grain="day")
+    return j.select("trans_id", "terminal_city", "terminal_version_from")
+
+
+_PREV = "lag({v}, {k}) OVER (PARTITION BY t.card_num ORDER BY t.trans_date, t.trans_id) AS {n}{k}"
+
+
+@register(
+    "card_previous_operations",
+    with_views(
+        "SELECT t.trans_id, t.card_num, "
+        + ", ".join(_PREV.format(v=f"t.{v}", k=k, n=n) for k in (1, 2, 3) for v, n in (("trans_date", "prev_ts"), ("oper_result", "prev_result"), ("amt", "prev_amt")))
+        + " FROM tx t WHERE t.card_num IS NOT NULL"
+    ),
+)
+def card_previous_operations(spark, d):
+    """W-3..W-7: the three operations before each one of a card, the card's
+    operations cut by row count (the columns that rule 4 compares)."""
+    from tallyhawk.operators.sequence import with_previous
+
+    t = V.tx(spark, d).select("trans_id", "card_num", "trans_date", "oper_result", "amt").where("card_num is not null")
+    p = with_previous(t, "card_num", ["trans_date", "trans_id"], ["trans_date", "oper_result", "amt"], depth=3)
+    names = (("trans_date", "prev_ts"), ("oper_result", "prev_result"), ("amt", "prev_amt"))
+    return p.select("trans_id", "card_num", *[F.col(f"_prev{k}_{v}").alias(f"{n}{k}") for k in (1, 2, 3) for v, n in names])
+
+
 @register(
     "blacklist_asof",
     with_views(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the library relies on.  AQE re-plans joins from the
 # real shuffle statistics (runtime broadcast only below the size threshold,
@@ -79,3 +81,15 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
     return None
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` by a reliable checkpoint and drop its lineage.  Local
+    sessions without ``spark.checkpoint.dir`` get a folder of their own; on a
+    cluster, whose machines share no temporary folder, that is an error."""
+    spark = df.sparkSession
+    if checkpoint_dir(spark) is None:
+        if not (spark.sparkContext.master or "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="th-cp-"))
+    return df.checkpoint(eager=True)
