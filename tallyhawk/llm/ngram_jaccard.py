@@ -43,6 +43,8 @@ from tallyhawk.llm.sentencepiece import runs
 COORDS, FANOUT, BLOCK, PARTNERS = 64, 16, 2048, 4
 #: Pairs of digests (40 bytes each) up to which they are broadcast.
 NAMED = 200_000
+#: Slices in which the sets of the pairs to verify travel.
+SLICES = 4
 #: Groups whose counts are kept modulo 2.
 BITS = 1024
 _BAND = 1.5
@@ -308,12 +310,26 @@ def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, de
     ).select("a", "b", "need").coalesce(n)
     near = cut(near)
     release(near.sparkSession)
+    # the sets of a slice of the pairs travel at a time, so that the disk holds
+    # one slice's shuffle; every pair lies in one slice
+    linked = None
+    for i in range(SLICES):
+        part = near.where(F.pmod(F.xxhash64("b"), F.lit(SLICES)) == i)
+        same = cut(_same_sets(part, sets, num, den))
+        release(near.sparkSession)
+        linked = same if linked is None else linked.unionByName(same)
+    return linked
+
+
+def _same_sets(near: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b, need) whose sets share enough."""
     hashes = sets.select("digest", "hashes")
     # a set travels once per pair it is the first of; of the second ones only
     # those named travel
     first = join_lookup(hashes.withColumnRenamed("digest", "a").withColumnRenamed("hashes", "hashes_a"), near, "a", "inner", NAMED)
-    second = join_lookup(hashes, cut(near.select(F.col("b").alias("digest")).distinct()), "digest", "left_semi", NAMED)
-    both = first.join(side(second, "b", "hashes"), "b")  # whole sets: no fewer tasks
+    named = cut(near.select(F.col("b").alias("digest")).distinct())
+    second = join_lookup(hashes, named, "digest", "left_semi", NAMED).select(F.col("digest").alias("b"), F.col("hashes").alias("hashes_b"))
+    both = first.join(second, "b")  # whole sets: no fewer tasks
     same = F.size(F.array_intersect("hashes_a", "hashes_b"))
     return both.where(same * (num + den) >= F.col("need")).select("a", "b")
 
@@ -486,6 +502,7 @@ def jaccard_components(
         raise ValueError(f"similarity {num}/{den}: must be between 2/3 and 1")
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     signed = stored(signed_documents(docs, k))
+    release(df.sparkSession)  # shuffles of what made the table
     classes = signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("class_id"))
     found = near_components(signed, docs, k, num, den)
     if found is None:
