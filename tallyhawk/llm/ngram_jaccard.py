@@ -14,7 +14,9 @@ are dealt into more than r parts by hash; a part without a difference holds
 the same shingles in both, so the two sets share the block (band, part,
 content).  Parts that are empty in both make large blocks and are needed only
 by sets with r or fewer non-empty parts: of a set with more, some non-empty
-part must be free of differences.
+part must be free of differences.  By the same count a set with f > r non-empty
+parts shares f - r keys of the band with every set it is linked with, so one of
+which fewer keys occur again is left out of the search.
 
 Components need no list of all links.  Each block first tests its members
 against its smallest one; whatever still spans several components is searched
@@ -112,13 +114,17 @@ def bands(num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return low, high, r, r + 4 + (r * 12 + 99) // 100
 
 
-def block_keys(value: np.ndarray, offsets: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, block key) of all texts."""
+def block_keys(
+    value: np.ndarray, offsets: np.ndarray, num: int, den: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, block key, place of the key's (text, band)) of all texts,
+    and by place the keys that linked sets of the band share at least."""
     sizes = offsets[1:] - offsets[:-1]
     low, high, r_of, parts_of = bands(num, den)
     band = np.searchsorted(high, sizes)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    owners, keys = [], []
+    owners, keys, places = [], [], []
+    least = np.ones(2 * len(sizes), np.int64)
     for up in (0, 1):
         tag = band + up
         use = (sizes > 0) & (r_of[tag] > 0)
@@ -137,17 +143,20 @@ def block_keys(value: np.ndarray, offsets: np.ndarray, num: int, den: int) -> tu
         content = np.add.reduceat(_mix(v + _C[3]), at)
         keys.append(_mix(content + _mix(part[at] * _C[0] + t[at] * _C[3] + np.uint64(1))))
         owners.append(own[at])
+        places.append(2 * own[at] + up)
         filled, t_of = np.bincount(own[at], minlength=len(sizes)), tag.astype(np.uint64)[:, None]
+        least[up::2] = np.maximum(1, filled - r_of[tag])
         for d in np.flatnonzero(use & (filled <= r_of[tag])):
             here = part[at][own[at] == d].astype(np.int64)
             rest = np.setdiff1d(np.arange(parts_of[tag[d]]), here).astype(np.uint64)
             keys.append(_mix(_mix(rest * _C[0] + t_of[d] * _C[3] + np.uint64(1))))
             owners.append(np.full(len(rest), d))
+            places.append(np.full(len(rest), 2 * d + up))
     if not keys:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    owner, key = np.concatenate(owners), np.concatenate(keys).view(np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), least
+    owner, key, place = np.concatenate(owners), np.concatenate(keys).view(np.int64), np.concatenate(places)
     order = np.argsort(owner, kind="stable")
-    return owner[order], key[order]
+    return owner[order], key[order], place[order], least
 
 
 def _digests(value: np.ndarray, offsets: np.ndarray) -> list[bytes | None]:
@@ -178,8 +187,8 @@ def signed_documents(df: DataFrame, k: int) -> DataFrame:
 
 def keyed_sets(df: DataFrame, k: int, num: int, den: int, known: np.ndarray | None = None) -> DataFrame:
     """The block keys of the texts' sets: each key alone, or, given the filter
-    of those worth following, (did, key).  A set that its task has just seen
-    is left out."""
+    of those that occur again, (did, key) of the sets and bands with as many
+    of them as a link takes.  A set that its task has just seen is left out."""
     shared = None if known is None else df.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
@@ -195,10 +204,11 @@ def keyed_sets(df: DataFrame, k: int, num: int, den: int, known: np.ndarray | No
                     if d and d not in seen:
                         seen.add(d)
                         fresh[i] = True
-                owner, key = block_keys(value, offsets, num, den)
+                owner, key, place, least = block_keys(value, offsets, num, den)
                 use = fresh[owner]
                 if shared is not None:
                     use[use] = inside(shared.value, key[use].view(np.uint64))
+                    use &= (np.bincount(place[use], minlength=len(least)) >= least)[place]
                 owner, key = owner[use], pa.array(key[use])
                 yield pa.RecordBatch.from_arrays([key] if shared is None else [_did(digests).take(pa.array(owner)), key],
                                                  ["key"] if shared is None else ["did", "key"])

@@ -153,6 +153,31 @@ def test_jaccard_below_two_thirds_is_refused(spark):
         ngram_jaccard.jaccard_components(spark.createDataFrame([(1, "a")], "doc_id long, text string"), num=1, den=2)
 
 
+@pytest.mark.parametrize("k, num, den", [(3, 9, 10), (5, 4, 5), (2, 2, 3)])
+def test_linked_sets_share_the_keys_asked_for(k, num, den):
+    rng, linked = np.random.default_rng(5), 0
+    for n in [4, 9, 17, 40, 90, 250, 700, 1600]:
+        for _ in range(12):
+            words = [f"w{x}" for x in rng.integers(0, 10**6, n)]
+            other = list(words)
+            for at in rng.integers(0, n, rng.integers(1, 3 + n // 80)):
+                other[at] = f"x{rng.integers(10**6)}"
+            other = other[: n - rng.integers(0, 1 + n // 30)]
+            value, offsets = ngram_jaccard.shingle_sets(pa.array([" ".join(words), " ".join(other)]), k)
+            a, b = (set(value[x:y].tolist()) for x, y in zip(offsets, offsets[1:]))
+            if a == b or len(a & b) * den < num * len(a | b):
+                continue
+            linked += 1
+            _, key, place, least = ngram_jaccard.block_keys(value, offsets, num, den)
+            shared = np.isin(key, np.intersect1d(key[place < 2], key[place >= 2]))
+            enough = np.bincount(place[shared], minlength=4) >= least
+            assert enough[:2].any() and enough[2:].any()
+            # the band of the larger set is one of which both share enough
+            bands = [(i, j) for i in (0, 1) for j in (2, 3) if np.intersect1d(key[place == i], key[place == j]).size]
+            assert any(enough[i] and enough[j] for i, j in bands)
+    assert linked > 20
+
+
 def test_bloom_filter_holds_all(spark):
     h = spark.range(50_000).select(F.xxhash64("id").alias("h"))
     bits = bloom_filter(h)
