@@ -43,6 +43,8 @@ from tallyhawk.llm.sentencepiece import runs
 #: Coordinates of a point, members of a leaf or node, points of a sub-block,
 #: partners returned for a point by the first round.
 COORDS, FANOUT, BLOCK, PARTNERS = 64, 16, 2048, 4
+#: Bytes of text whose shingles are in a task's memory at a time.
+SET_BYTES = 1 << 20
 #: Pairs of digests (40 bytes each) up to which they are broadcast.
 NAMED = 200_000
 #: Slices in which the sets of the pairs to verify travel.
@@ -173,7 +175,7 @@ def signed_documents(df: DataFrame, k: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in runs(batch, "text"):
+            for part in runs(batch, "text", SET_BYTES):
                 value, offsets = shingle_sets(part.column("text"), k)
                 digests = _digests(value, offsets)
                 yield pa.RecordBatch.from_arrays(
@@ -194,7 +196,7 @@ def keyed_sets(df: DataFrame, k: int, num: int, den: int, known: np.ndarray | No
     def run(batches):
         seen: set = set()
         for batch in batches:
-            for part in runs(batch, "text"):
+            for part in runs(batch, "text", SET_BYTES):
                 value, offsets = shingle_sets(part.column("text"), k)
                 digests = _digests(value, offsets)
                 if len(seen) > 500_000:
@@ -222,7 +224,7 @@ def set_rows(df: DataFrame, k: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in runs(batch, "text", rows=2048):
+            for part in runs(batch, "text", SET_BYTES, 2048):
                 value, offsets = shingle_sets(part.column("text"), k)
                 digests = _digests(value, offsets)
                 sizes = offsets[1:] - offsets[:-1]
