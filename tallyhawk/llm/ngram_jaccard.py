@@ -6,7 +6,9 @@ the counts per group are a point.  Two points bound the overlap of their sets
 by the sum of the smaller coordinates, and an R-tree over points bounds it for
 whole subtrees by the largest coordinates below.  Points that pass are bounded
 once more by counts modulo 2 in many more groups (a group of odd difference
-holds a shingle that only one set has).  Survivors are verified on the sets.
+holds a shingle that only one set has); sets of more than BITS shingles, of
+which those groups say little, once more in as many groups as they have
+shingles.  Survivors are verified on the sets.
 
 So that no task needs all points, the search runs inside blocks that no link
 can miss.  Linked sets of a size band differ in at most r shingles.  Shingles
@@ -218,9 +220,19 @@ def keyed_sets(df: DataFrame, k: int, num: int, den: int, known: np.ndarray | No
     return df.select("text").mapInArrow(run, "key bigint" if known is None else "did bigint, key bigint")
 
 
+def parities(value: np.ndarray) -> np.ndarray:
+    """Of a set of more than BITS hashes the counts modulo 2 in the first power
+    of two of groups that is no less than its size, packed; else nothing."""
+    if len(value) <= BITS:
+        return np.zeros(0, np.int64)
+    groups = 1 << (len(value) - 1).bit_length()
+    odd = np.bincount((_mix(value + _C[2]) & np.uint64(groups - 1)).astype(np.int64), minlength=groups) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def set_rows(df: DataFrame, k: int) -> DataFrame:
-    """digest, did, n, point (counts per coordinate), bits (parities) and
-    hashes of the texts."""
+    """digest, did, n, point (counts per coordinate), bits (parities), fine
+    (those of large sets in more groups) and hashes of the texts."""
 
     def run(batches):
         for batch in batches:
@@ -234,6 +246,7 @@ def set_rows(df: DataFrame, k: int) -> DataFrame:
                 )
                 odd = np.bincount(owner * BITS + (_mix(value + _C[1]) % np.uint64(BITS)).astype(np.int64), minlength=len(sizes) * BITS)
                 bits = np.packbits((odd & 1).astype(np.uint8)).view(np.int64)
+                fine = [parities(value[a:b]) for a, b in zip(offsets, offsets[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(digests, pa.binary()),
@@ -241,12 +254,13 @@ def set_rows(df: DataFrame, k: int) -> DataFrame:
                         pa.array(sizes, pa.int64()),
                         pa.FixedSizeListArray.from_arrays(pa.array(points, pa.int32()), COORDS).cast(pa.list_(pa.int32())),
                         pa.FixedSizeListArray.from_arrays(pa.array(bits), BITS // 64).cast(pa.list_(pa.int64())),
+                        pa.array(fine, pa.list_(pa.int64())),
                         pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(value.view(np.int64))),
                     ],
-                    ["digest", "did", "n", "point", "bits", "hashes"],
+                    ["digest", "did", "n", "point", "bits", "fine", "hashes"],
                 )
 
-    return df.mapInArrow(run, "digest binary, did bigint, n bigint, point array<int>, bits array<bigint>, hashes array<bigint>")
+    return df.mapInArrow(run, "digest binary, did bigint, n bigint, point array<int>, bits array<bigint>, fine array<bigint>, hashes array<bigint>")
 
 
 class Tree:
@@ -320,7 +334,7 @@ def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, de
     near = near.where(bound * (num + den) >= F.col("need")).where(
         (F.col("n_a") + F.col("n_b") - apart) * (num + den) >= 2 * F.col("need")
     ).select("a", "b", "need").coalesce(n)
-    near = cut(near)
+    near = cut(_finely_near(cut(near), sets, num, den))
     release(near.sparkSession)
     # the sets of a slice of the pairs travel at a time, so that the disk holds
     # one slice's shuffle; every pair lies in one slice
@@ -333,6 +347,28 @@ def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, de
     return linked
 
 
+def _finely_near(near: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b, need) that the parities of large sets leave.  Sizes of
+    linked sets differ by less than a half, so the longer parities are at most
+    twice the others and are folded once: group g and g + half become one."""
+
+    def side(name):
+        return sets.select(F.col("digest").alias(name), F.col("fine").alias(f"fine_{name}"))
+
+    def folded(x, size):
+        half = (F.size(x) / 2).cast("int")
+        halves = F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda u, v: u.bitwiseXOR(v))
+        return F.when(F.size(x) > size, halves).otherwise(x)
+
+    size = F.least(F.size("fine_a"), F.size("fine_b"))
+    both = near.join(side("a"), "a").join(side("b"), "b").withColumn("x", folded(F.col("fine_a"), size)).withColumn("y", folded(F.col("fine_b"), size))
+    apart = F.aggregate(
+        F.zip_with("x", "y", lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0).cast("long"), lambda t, v: t + v
+    )
+    ok = (F.col("need") - num * apart) * (num + den) >= 2 * num * F.col("need")
+    return both.where((F.size("x") != F.size("y")) | ok).select("a", "b", "need")
+
+
 def _same_sets(near: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b, need) whose sets share enough."""
     hashes = sets.select("digest", "hashes")

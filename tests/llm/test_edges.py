@@ -178,6 +178,42 @@ def test_linked_sets_share_the_keys_asked_for(k, num, den):
     assert linked > 20
 
 
+def test_long_sets_are_linked_as_by_brute_force(spark):
+    """Sets around 1024, 2048 and 4096 shingles: parities of one and of two lengths, and none."""
+    rng, texts = np.random.default_rng(8), []
+    for n in (1010, 1030, 2040, 2060, 4200):
+        base = [f"w{x}" for x in rng.integers(0, 10**6, n)]
+        for share in (0.0, 0.004, 0.01, 0.018, 0.03, 0.06):
+            words = list(base)
+            for at in rng.integers(0, n, int(n * share)):
+                words[at] = f"x{rng.integers(10**6)}"
+            texts.append(" ".join(words[rng.integers(0, 40) :]))
+    value, offsets = ngram_jaccard.shingle_sets(pa.array(texts), 5)
+    sets = [set(value[x:y].tolist()) for x, y in zip(offsets, offsets[1:])]
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) * 5 >= 4 * len(a | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = ngram_jaccard.jaccard_components(df, 5, 4, 5).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == dict(enumerate(root))
+    assert 5 < len(set(root)) < len(root)
+    # pairs that the parities judge: none that is linked goes, far ones do
+    digests = ngram_jaccard._digests(value, offsets)
+    pairs = [(digests[i], digests[j], 4 * (len(sets[i]) + len(sets[j]))) for i in range(len(sets)) for j in range(i)]
+    rows = ngram_jaccard.set_rows(df.select("text"), 5)
+    left = ngram_jaccard._finely_near(spark.createDataFrame(pairs, "a binary, b binary, need bigint"), rows, 4, 5)
+    left = {(bytes(r["a"]), bytes(r["b"])) for r in left.collect()}
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) * 5 >= 4 * len(a | sets[j]):
+                assert (digests[i], digests[j]) in left
+            elif min(len(a), len(sets[j])) > 1024 and not a & sets[j] and max(len(a), len(sets[j])) < 2 * min(len(a), len(sets[j])):
+                assert (digests[i], digests[j]) not in left
+
+
 def test_bloom_filter_holds_all(spark):
     h = spark.range(50_000).select(F.xxhash64("id").alias("h"))
     bits = bloom_filter(h)
