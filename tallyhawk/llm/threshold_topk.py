@@ -2,10 +2,11 @@
 
 Candidates and queries are dealt into blocks by a hash of their id, and every
 pair of blocks is one group.  A group sorts its candidates once per dimension.
-For each query the lists are read from their best end (from the other end
-where the query's component is negative), every vector that shows up is scored
-in full, and reading stops when the score that an unseen vector could still
-reach, the sum of the components where the lists stand, is below the kth best.
+The lists are read from their best end (from the other end for queries whose
+component is negative) by all queries of the group in step.  Every vector that
+shows up is scored in full, for the queries still reading at once; a query
+stops when the score that an unseen vector could still reach, the sum of its
+components times those where the lists stand, is below its kth best.
 The best of each block are merged per query by a window.
 """
 
@@ -45,46 +46,71 @@ def _scoring(m: np.ndarray, q: np.ndarray):
     return float if most < 2**52 else np.int64 if most < 2**62 else object
 
 
+def _whole(x: np.ndarray) -> np.ndarray:
+    """As 64-bit numbers, or the nearest ones."""
+    return (np.clip(x, -(2**63), 2**63 - 1) if x.dtype == object else x).astype(np.int64)
+
+
+def _best(scores: np.ndarray, most: int) -> np.ndarray:
+    """Columns of the ``most`` largest scores of each row, of equal ones the first columns."""
+    n = scores.shape[1]
+    if n <= most:
+        return np.broadcast_to(np.arange(n), scores.shape)
+    last = np.partition(scores, n - most, axis=1)[:, n - most, None]
+    pick, tied = scores > last, scores == last
+    room = most - pick.sum(axis=1)
+    if (tied.sum(axis=1) > room).any():
+        tied &= np.cumsum(tied, axis=1, dtype=np.int32) <= room[:, None]
+    return np.nonzero(pick | tied)[1].reshape(-1, most)
+
+
 def threshold_top(ids: np.ndarray, rows: np.ndarray, m: np.ndarray, queries: np.ndarray, q: np.ndarray, k: int):
     """(query row, id, score) of the k best candidates of every query, ties to
     the smaller id, never the query's own row; scores beyond 64 bits stand for
     the nearest 64-bit number."""
+    by_id = np.argsort(ids, kind="stable")
+    ids, rows, m = ids[by_id], rows[by_id], m[by_id]
     n, width = m.shape
     kind = _scoring(m, q)
-    scored_m = m.astype(kind)
-    up = np.argsort(m, axis=0, kind="stable").T.copy()  # (width, n): smallest first
-    values = np.take_along_axis(m, up.T, axis=0).T.copy()
-    out = []
-    for own, v in zip(queries, q.astype(kind)):
-        dims = np.flatnonzero(v)
-        w = v[dims]
-        ahead = v[dims] < 0  # read these lists from the smallest
-        seen = np.zeros(n, bool)
-        best_ids, best = np.zeros(0, np.int64), np.zeros(0, scored_m.dtype)
-        depth, step = 0, 16
-        while depth < n:
-            to = min(n, depth + step)
-            low, high = up[dims[ahead], depth:to], up[dims[~ahead], n - to : n - depth]
-            fresh = np.zeros(n, bool)
-            fresh[low.ravel()] = True
-            fresh[high.ravel()] = True
-            if len(dims) == 0:
-                fresh[:] = True  # every score is 0
-                to = n
-            new = np.flatnonzero(fresh & ~seen)
-            seen |= fresh
-            new = new[rows[new] != own]
-            scores = scored_m[np.ix_(new, dims)] @ w if len(dims) else np.zeros(len(new), kind)
-            if kind is object:
-                scores = np.array([max(-(2**63), min(2**63 - 1, x)) for x in scores], object)
-            all_ids, all_scores = np.concatenate([best_ids, ids[new]]), np.concatenate([best, scores])
-            pick = np.lexsort((all_ids, -all_scores))[:k]
-            best_ids, best = all_ids[pick], all_scores[pick]
-            depth, step = to, step * 4
-            at = np.where(ahead, values[dims, to - 1], values[dims, n - to])
-            if len(best) == k and (w * at.astype(kind)).sum() < best[-1]:
-                break
-        out += [(own, i, int(s)) for i, s in zip(best_ids, best)]
+    up = np.argsort(m, axis=0, kind="stable")  # (n, width): smallest first
+    values = np.take_along_axis(m, up, axis=0).astype(kind)
+    m, q = m.astype(kind), q.astype(kind)
+    ahead, behind = np.minimum(q, 0), np.maximum(q, 0)  # parts that read the lists from the smallest, from the largest
+    places = {row: i for i, row in enumerate(rows)}
+    own = np.array([places.get(row, -1) for row in queries], np.int64)
+    best = np.zeros((len(q), 0), np.int64)  # places of the k + 1 best so far, as the own row may be one of them
+    score = np.zeros((len(q), 0), np.int64)
+    seen, active = np.zeros(n, bool), np.arange(len(q))
+    out, depth, step = [], 0, 16
+    while len(active):
+        to = min(n, depth + step)
+        fresh = np.zeros(n, bool)
+        fresh[up[depth:to][:, (ahead[active] < 0).any(axis=0)]] = True
+        fresh[up[n - to : n - depth][:, (behind[active] > 0).any(axis=0)]] = True
+        if not q[active].any(axis=1).all():
+            fresh[:] = True  # of a query without components every score is 0
+        new = np.flatnonzero(fresh & ~seen)
+        seen |= fresh
+        if len(new):
+            scores = _whole(q[active] @ m[new].T)
+            pick = _best(scores, k + 1)
+            best = np.concatenate([best, new[pick]], axis=1)
+            score = np.concatenate([score, np.take_along_axis(scores, pick, axis=1)], axis=1)
+            order = np.lexsort((best, ~score))[:, : k + 1]
+            best, score = np.take_along_axis(best, order, axis=1), np.take_along_axis(score, order, axis=1)
+        depth, step = to, step * 4
+        ended = np.full(len(active), depth == n or bool(seen.all()))
+        if not ended.all():
+            mine = best == own[active][:, None]
+            last = k - 1 + mine[:, :k].any(axis=1)  # where the kth of the others stands
+            enough = last < best.shape[1]
+            kth = np.take_along_axis(score, np.minimum(last, best.shape[1] - 1)[:, None], axis=1)[:, 0]
+            reach = _whole(ahead[active] @ values[to - 1] + behind[active] @ values[n - to])
+            ended = enough & (reach < kth)
+        for i in np.flatnonzero(ended):
+            others = np.flatnonzero(best[i] != own[active[i]])[:k]
+            out += [(queries[active[i]], ids[j], int(s)) for j, s in zip(best[i, others], score[i, others])]
+        active, best, score = active[~ended], best[~ended], score[~ended]
     return out
 
 

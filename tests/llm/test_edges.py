@@ -2,6 +2,7 @@
 
 import collections
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -116,6 +117,39 @@ def test_threshold_topk_large_scores(spark):
         assert got[q] == {n: (i, -s) for n, (s, i) in enumerate(scores, 1)}
 
 
+def test_threshold_topk_queries_of_a_block_read_in_step():
+    rng = np.random.default_rng(3)
+    m, ids = rng.integers(-40, 41, (2048, 64)), rng.permutation(2048)
+    m[500:1500] = m[500]  # many copies: ties go to the smaller id
+    rows = ids.astype(str).astype(object)
+    began = time.thread_time()
+    got = threshold_topk.threshold_top(ids, rows, m, rows[:1024], m[:1024], 5)
+    assert time.thread_time() - began < 0.5  # a loop over the queries takes longer
+    by = collections.defaultdict(list)
+    for row, i, s in got:
+        by[row].append((-s, i))
+    scores = m[:1024] @ m.T
+    for i in range(0, 1024, 9):
+        order = np.lexsort((ids, -scores[i]))
+        want = [(-scores[i, j], ids[j]) for j in order if j != i][:5]
+        assert by[rows[i]] == want
+
+
+def test_threshold_topk_some_queries_stop_early():
+    rng = np.random.default_rng(4)
+    m = np.sort(rng.integers(0, 9, (3000, 2)), axis=0)
+    m[:40] += 1000
+    q = np.concatenate([rng.integers(-3, 4, (30, 2)), np.zeros((2, 2), int)])
+    ids = rng.permutation(3000)
+    for scale in (1, 2**28, 2**40):  # float, 64-bit and beyond
+        got = collections.defaultdict(list)
+        for row, i, s in threshold_topk.threshold_top(ids, ids.astype(str).astype(object), m * scale, np.arange(32), q * (scale // 2**12 or 1), 3):
+            got[row].append((-s, i))
+        for n in range(32):
+            exact = [(-max(-(2**63), min(2**63 - 1, sum(int(a) * int(b) * scale * (scale // 2**12 or 1) for a, b in zip(q[n], v)))), i) for v, i in zip(m, ids)]
+            assert got[n] == sorted(exact)[:3]
+
+
 def test_sentencepiece_texts_with_every_character():
     every = "".join(map(chr, [*range(1, 32), *range(0xE000, 0xF900)])) + " a  b "
     model = sentencepiece.load_model()
