@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhawk.llm.bloom import bloom_filter, inside
-from tallyhawk.llm.common import components, cut, join_lookup, release, stored, table, tasks_for
+from tallyhawk.llm.common import components, cut, gathered, join_lookup, release, stored, table, tasks_for
 from tallyhawk.llm.sentencepiece import runs
 
 #: Coordinates of a point, members of a leaf or node, points of a sub-block,
@@ -334,14 +334,14 @@ def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, de
     near = near.where(bound * (num + den) >= F.col("need")).where(
         (F.col("n_a") + F.col("n_b") - apart) * (num + den) >= 2 * F.col("need")
     ).select("a", "b", "need").coalesce(n)
-    near = cut(_finely_near(cut(near), sets, num, den))
+    near = gathered(_finely_near(cut(near), sets, num, den))
     release(near.sparkSession)
     # the sets of a slice of the pairs travel at a time, so that the disk holds
     # one slice's shuffle; every pair lies in one slice
     linked = None
     for i in range(SLICES):
         part = near.where(F.pmod(F.xxhash64("b"), F.lit(SLICES)) == i)
-        same = cut(_same_sets(part, sets, num, den))
+        same = gathered(_same_sets(part, sets, num, den))
         release(near.sparkSession)
         linked = same if linked is None else linked.unionByName(same)
     return linked
@@ -375,7 +375,7 @@ def _same_sets(near: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     # a set travels once per pair it is the first of; of the second ones only
     # those named travel
     first = join_lookup(hashes.withColumnRenamed("digest", "a").withColumnRenamed("hashes", "hashes_a"), near, "a", "inner", NAMED)
-    named = cut(near.select(F.col("b").alias("digest")).distinct())
+    named = gathered(near.select(F.col("b").alias("digest")).distinct())
     second = join_lookup(hashes, named, "digest", "left_semi", NAMED).select(F.col("digest").alias("b"), F.col("hashes").alias("hashes_b"))
     both = first.join(second, "b")  # whole sets: no fewer tasks
     same = F.size(F.array_intersect("hashes_a", "hashes_b"))
@@ -467,7 +467,7 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
     blocks = cut(members.join(once.select("key", "c", "pivot"), "key"))
     if blocks.isEmpty():
         return None
-    needed = cut(
+    needed = gathered(
         signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min("did").alias("did"))
         .join(blocks.select("did").distinct(), "did", "left_semi").select("digest", "doc_id")
     )
@@ -481,7 +481,7 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
     sets = stored(sets)
     release(spark)
     points = sets.select("digest", "n", "point", "bits")
-    named = cut(blocks.join(sets.select("did", "digest"), "did").select("key", "c", "digest", (F.col("did") == F.col("pivot")).alias("pivot")))
+    named = gathered(blocks.join(sets.select("did", "digest"), "did").select("key", "c", "digest", (F.col("did") == F.col("pivot")).alias("pivot")))
     n = tasks_for(named.count())
     named = named.coalesce(n)
     star = named.where("not pivot").select("key", F.col("digest").alias("a")).join(
@@ -516,10 +516,10 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
             open_blocks = cut(asked.join(asked.where("asks").select("key").distinct(), "key", "left_semi").coalesce(n))
             if open_blocks.isEmpty():
                 return found
-        pairs = cut(_search_round(open_blocks, points, num, den, most, n)).coalesce(n)
+        pairs = gathered(_search_round(open_blocks, points, num, den, most, n))
         release(spark)
         open_blocks = open_blocks.select("key", "digest", "pivot")
-        again = cut(pairs.where("more").select(F.col("a").alias("digest"), F.lit(True).alias("again")).distinct())
+        again = gathered(pairs.where("more").select(F.col("a").alias("digest"), F.lit(True).alias("again")).distinct())
         new = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().coalesce(n)
         added = cut(_verified(new, points, sets, num, den, n))
         release(spark)
@@ -557,7 +557,7 @@ def jaccard_components(
         placed = classes.select("digest", F.col("class_id").alias("component_id"))
     else:
         named = found.withColumnRenamed("node", "digest").join(classes, "digest")
-        least = cut(named.groupBy("root").agg(F.min("class_id").alias("component_id")))
+        least = gathered(named.groupBy("root").agg(F.min("class_id").alias("component_id")))
         linked = named.select("digest", "root").join(least, "root").select("digest", "component_id")
         placed = classes.join(linked, "digest", "left").select(
             "digest", F.coalesce("component_id", "class_id").alias("component_id")
@@ -587,7 +587,7 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFra
             F.when(unnamed, F.md5(F.coalesce("text", F.lit("")))).otherwise("").alias("by"),
         )
         named = docs.select(name.alias("doc_id"), "text")
-    gone = cut(jaccard_components(named, k, num, den).where("not component_id <=> doc_id").select("doc_id").distinct())
+    gone = gathered(jaccard_components(named, k, num, den).where("not component_id <=> doc_id").select("doc_id").distinct())
     return join_lookup(docs, gone.withColumnRenamed("doc_id", "gone_id"), name.eqNullSafe(F.col("gone_id")), "left_anti", 500_000)
 
 
