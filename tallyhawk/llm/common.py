@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,18 +50,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def gathered(df: DataFrame) -> DataFrame:
-    """:func:`cut` for tables of small rows: the tasks that compute them are
-    left as many as they are, but the checkpoint has no more files than the
-    rows call for.  Each file costs its writer a few system calls, on a local
-    file system even processes of their own."""
-    held = df.persist(StorageLevel.DISK_ONLY)
-    try:
-        return cut(held.coalesce(tasks_for(held.count())))
-    finally:
-        held.unpersist()
-
-
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps: it does so once
     the driver's garbage collector finds a shuffle unused, which by itself may
@@ -117,7 +104,7 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of the undirected edges (a, b), root being
     the smallest node reachable: alternating large-star and small-star steps,
     each a few shuffles of the edges, until every node has one edge and no root has one."""
-    edges = gathered(
+    edges = cut(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
     n = tasks_for(edges.count())  # the edges only get fewer
