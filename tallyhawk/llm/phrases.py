@@ -9,8 +9,10 @@ words both of whose pairs are frequent), the locally frequent ones of all
 shards are united, and all candidates are counted exactly over all texts.
 
 Shards are not tasks.  A shard is mined by many tasks, each of which counts
-its own texts before anything is shuffled, so no word or phrase, however
-frequent, is more than one row per task.  Mining counts 64-bit hashes; a
+its own texts, _RUN bytes at a time, before anything is shuffled, so no word or
+phrase, however frequent, is more than one row per such run.  Most phrases of a
+task occur once, so these rows are dealt out as they are: another table of
+them in the task would take much memory and make few rows fewer.  Mining counts 64-bit hashes; a
 collision can only add a candidate.  The candidates travel to the counting
 pass as a Bloom filter of bounded size; what it lets through wrongly is
 counted like the rest and falls below the support.
@@ -36,7 +38,7 @@ from tallyhawk.llm.words import byte_kinds, split_words
 SUPPORT, INSIDE, TOP = 10, 50, 2000
 SHARDS, PARTS = 3, 8
 #: Bytes of text counted at a time by a task.
-_RUN = 3 << 20
+_RUN = 1 << 20
 _KINDS = byte_kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)]
 
@@ -101,7 +103,7 @@ def _shard_counts(docs: DataFrame, shards: int, pairs: np.ndarray | None) -> Dat
 
     each = [F.sum(F.when(F.col("shard") == i, F.col("c")).otherwise(0)) for i in range(shards)]
     # one row per phrase with its count in every shard: one shuffle
-    return docs.mapInArrow(run, "h bigint, shard int, c bigint").groupBy("h").agg(F.array(*each).alias("c"))
+    return docs.mapInArrow(run, "h bigint, shard int, c bigint").repartition("h").groupBy("h").agg(F.array(*each).alias("c"))
 
 
 def local_threshold(support: int, shards: int) -> int:

@@ -296,3 +296,14 @@ def test_a_full_filter_only_costs_time(spark, monkeypatch):
     rows = [("alpha beta gamma " * 12, "en"), ("alpha beta delta", "en")]
     got = {tuple(r) for r in phrases.collocations(spark.createDataFrame(rows, "text string, lang string")).select(*COLUMNS).collect()}
     assert got == brute_phrases(rows)
+
+
+def test_phrase_mining_holds_no_table_of_a_tasks_phrases(spark):
+    """Counts of a run of texts are dealt out as they are, and summed once."""
+    docs = spark.createDataFrame([("a b c a b", "en")] * 12, "text string, lang string")
+    mined = phrases.frequent_hashes(docs, 10, 3)
+    plan = mined._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("Exchange hashpartitioning", 1)[1]
+    assert "HashAggregate" not in below and plan.count("Exchange hashpartitioning") == 1
+    assert mined.count() == 6  # a, b, c, a b, b c, c a
+    assert phrases._RUN <= 1 << 20
