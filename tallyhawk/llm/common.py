@@ -50,10 +50,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def gathered(df: DataFrame, n: int) -> DataFrame:
+    """:func:`cut` into n files, for tables of small rows: as many tasks as
+    before compute them, then they are dealt out anew.  A checkpoint has a file
+    for each partition, which may be many more than its rows call for; each
+    costs its writer system calls (on a local file system processes of their
+    own) and every later step a task."""
+    return cut(df.repartition(n))
+
+
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps: it does so once
-    the driver's garbage collector finds a shuffle unused, which by itself may
-    be half an hour later.  For jobs of many steps, between the steps."""
+    """Let Spark delete the shuffle files and broadcast tables of finished
+    steps: it does so once the driver's garbage collector finds them unused,
+    which by itself may be half an hour later; until then every executor keeps
+    a memory page or more for each broadcast table.  For jobs of many steps,
+    between the steps."""
     spark.sparkContext._jvm.System.gc()
 
 
@@ -104,12 +115,12 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of the undirected edges (a, b), root being
     the smallest node reachable: alternating large-star and small-star steps,
     each a few shuffles of the edges, until every node has one edge and no root has one."""
+    n = tasks_for(links.count())  # the edges only get fewer
     edges = cut(
-        links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().coalesce(n)
     )
-    n = tasks_for(edges.count())  # the edges only get fewer
-    edges = edges.coalesce(n)
     while True:
+        release(links.sparkSession)
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).coalesce(n).distinct()

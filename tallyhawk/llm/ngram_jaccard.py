@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhawk.llm.bloom import bloom_filter, inside
-from tallyhawk.llm.common import components, cut, join_lookup, release, stored, table, tasks_for
+from tallyhawk.llm.common import components, cut, gathered, join_lookup, release, stored, table, tasks_for
 from tallyhawk.llm.sentencepiece import runs
 
 #: Coordinates of a point, members of a leaf or node, points of a sub-block,
@@ -334,14 +334,14 @@ def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, num: int, de
     near = near.where(bound * (num + den) >= F.col("need")).where(
         (F.col("n_a") + F.col("n_b") - apart) * (num + den) >= 2 * F.col("need")
     ).select("a", "b", "need").coalesce(n)
-    near = cut(_finely_near(cut(near), sets, num, den))
+    near = gathered(_finely_near(cut(near), sets, num, den), n)
     release(near.sparkSession)
     # the sets of a slice of the pairs travel at a time, so that the disk holds
     # one slice's shuffle; every pair lies in one slice
     linked = None
     for i in range(SLICES):
         part = near.where(F.pmod(F.xxhash64("b"), F.lit(SLICES)) == i)
-        same = cut(_same_sets(part, sets, num, den))
+        same = gathered(_same_sets(part, sets, num, den, n), n)
         release(near.sparkSession)
         linked = same if linked is None else linked.unionByName(same)
     return linked
@@ -369,13 +369,13 @@ def _finely_near(near: DataFrame, sets: DataFrame, num: int, den: int) -> DataFr
     return both.where((F.size("x") != F.size("y")) | ok).select("a", "b", "need")
 
 
-def _same_sets(near: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _same_sets(near: DataFrame, sets: DataFrame, num: int, den: int, n: int) -> DataFrame:
     """The pairs (a, b, need) whose sets share enough."""
     hashes = sets.select("digest", "hashes")
     # a set travels once per pair it is the first of; of the second ones only
     # those named travel
     first = join_lookup(hashes.withColumnRenamed("digest", "a").withColumnRenamed("hashes", "hashes_a"), near, "a", "inner", NAMED)
-    named = cut(near.select(F.col("b").alias("digest")).distinct())
+    named = cut(near.select(F.col("b").alias("digest")).distinct().coalesce(n))
     second = join_lookup(hashes, named, "digest", "left_semi", NAMED).select(F.col("digest").alias("b"), F.col("hashes").alias("hashes_b"))
     both = first.join(second, "b")  # whole sets: no fewer tasks
     same = F.size(F.array_intersect("hashes_a", "hashes_b"))
@@ -481,9 +481,8 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
     sets = stored(sets)
     release(spark)
     points = sets.select("digest", "n", "point", "bits")
-    named = cut(blocks.join(sets.select("did", "digest"), "did").select("key", "c", "digest", (F.col("did") == F.col("pivot")).alias("pivot")))
-    n = tasks_for(named.count())
-    named = named.coalesce(n)
+    n = tasks_for(blocks.count())  # as many rows as the next table has, but for sets of the same did
+    named = cut(blocks.join(sets.select("did", "digest"), "did").select("key", "c", "digest", (F.col("did") == F.col("pivot")).alias("pivot")).coalesce(n))
     star = named.where("not pivot").select("key", F.col("digest").alias("a")).join(
         named.where("pivot").select("key", F.col("digest").alias("b")), "key"
     ).select("a", "b").where("a <> b").coalesce(n).distinct().coalesce(n)
@@ -519,7 +518,7 @@ def near_components(signed: DataFrame, docs: DataFrame, k: int, num: int, den: i
         pairs = cut(_search_round(open_blocks, points, num, den, most, n)).coalesce(n)
         release(spark)
         open_blocks = open_blocks.select("key", "digest", "pivot")
-        again = cut(pairs.where("more").select(F.col("a").alias("digest"), F.lit(True).alias("again")).distinct())
+        again = cut(pairs.where("more").select(F.col("a").alias("digest"), F.lit(True).alias("again")).distinct().coalesce(n))
         new = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().coalesce(n)
         added = cut(_verified(new, points, sets, num, den, n))
         release(spark)
